@@ -378,7 +378,7 @@ select conv_id, turn, md5(nullif(concat_ws(e'\n\n', case when role = 'assistant'
 def x13(spark, sf):
     step = F.parse_json(F.to_json(F.expr(
         "named_struct('data', named_struct('actual', if(role = 'assistant', text, null)), 'execution', named_struct('message', if(turn > 1, role, null)))")))
-    c = t(spark, sf, "conversations").withColumn("step", step)
+    c = t(spark, sf, "conversations").withColumn("step", ov.flat_step(step))
     md = tx.step_comment(ov.step_text(F.col("step"), ov.ACTUAL), ov.step_text(F.col("step"), ov.COMMENT))
     return c.select("conv_id", "turn", F.md5(md).alias("comment_md5"))
 
@@ -434,7 +434,7 @@ def n02(spark, sf):
     step = F.parse_json(F.to_json(F.expr(
         "named_struct('comment', 'own', 'status_id', 1, 'action', if(value > 10, '', 'step'), 'data', named_struct('action', 'from data'),"
         " 'execution', named_struct('action', 'never', 'comment', if(event_type = 'error', concat('run ', event_id), ' '), 'status_id', if(event_type = 'view', 5, null)))")))
-    ev = t(spark, sf, "events").withColumn("s", step)
+    ev = t(spark, sf, "events").withColumn("s", ov.flat_step(step))
     return ev.select("event_id", ov.step_text(F.col("s"), ov.COMMENT).alias("comment"), ov.step_text(F.col("s"), ov.ACTION).alias("action"),
                      sh.as_text(ov.step_member(F.col("s"), "status_id")).alias("status_id"))
 

@@ -11,7 +11,7 @@ def col(c) -> Column:
 
 def get(v, path: str, kind: str = "string") -> Column:
     """Member of a variant object, null when missing or of another type."""
-    return F.try_variant_get(col(v), f"$.{path}", kind)
+    return F.try_variant_get(col(v), f"${path}" if path.startswith("[") else f"$.{path}", kind)
 
 
 def as_type(v, kind: str) -> Column:
@@ -63,8 +63,23 @@ def first_truthy(*vs) -> Column:
     return F.coalesce(*[F.when(truthy(v), as_text(v)) for v in vs])
 
 
+def members(v) -> Column:
+    """Members of a variant object as map<string,variant>; null for any other shape."""
+    return F.try_variant_get(col(v), "$", "map<string,variant>")
+
+
+def pick_member(m, aliases) -> Column:
+    """First non-blank alias in a map of members, trimmed. One lambda over the alias list keeps the
+    plan small however many aliases there are."""
+    texts = F.transform(F.array(*[F.lit(a) for a in aliases]),
+                        lambda a: F.trim(as_text(F.try_element_at(col(m), a))))
+    return F.get(F.filter(texts, lambda x: x != ""), F.lit(0))
+
+
 def pick(v, *aliases: str) -> Column:
     """First non-blank alias of an object, trimmed."""
+    if len(aliases) > 2:
+        return pick_member(members(v), aliases)
     return F.coalesce(*[non_blank(get(v, a)) for a in aliases])
 
 

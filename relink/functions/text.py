@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .shapes import col, first_non_blank, get, is_object, is_text, joined_entries, non_blank, pick, truncate, as_text, items, is_array
+from .shapes import (
+    as_text, col, first_non_blank, is_object, is_text, items, joined_entries, members, non_blank, pick,
+)
 
 # Shapes of an attachment key and of the URLs that carry one.
 HEX_KEY = "[a-f0-9]{32,64}"
@@ -199,25 +201,29 @@ URL_ALIASES = ("url", "URL", "link", "href", "thumb_url", "thumbnail_url", "prev
 def item_refs(item) -> Column:
     """array<struct<key,url>> of one attachment-like item: a key or URL, or an object of aliases."""
     nothing = F.array().cast("array<struct<key:string,url:string>>")
-    none = F.lit(None).cast("string")
+    m = members(item)
 
-    def ref(k, u):
-        return F.struct(k.alias("key"), u.alias("url"))
+    def listed(aliases):
+        return F.transform(F.array(*[F.lit(a) for a in aliases]), lambda a: as_text(F.try_element_at(m, a)))
 
-    text = as_text(item)
-    of_text = F.array(ref(F.when(looks_like_key(text), normal_key(text)), none), ref(key_of_url(text), none))
-    of_object = F.array(
-        *[ref(F.when(looks_like_key(get(item, a)), normal_key(get(item, a))), none) for a in KEY_ALIASES],
-        *[ref(key_of_url(get(item, a)), get(item, a)) for a in URL_ALIASES],
-    )
+    def bare(values):
+        return F.transform(F.filter(values, looks_like_key), lambda v: F.struct(
+            normal_key(v).alias("key"), F.lit(None).cast("string").alias("url")))
+
+    def in_urls(values, keep_url):
+        return F.transform(values, lambda u: F.struct(
+            key_of_url(u).alias("key"), (u if keep_url else F.lit(None).cast("string")).alias("url")))
+
+    alone = F.array(as_text(item))
+    of_text = F.concat(bare(alone), in_urls(alone, False))
+    of_object = F.concat(bare(listed(KEY_ALIASES)), in_urls(listed(URL_ALIASES), True))
     found = F.when(is_object(item), of_object).when(is_text(item), of_text).otherwise(nothing)
     return F.filter(found, lambda r: r["key"].isNotNull())
 
 
 def media_refs(*lists) -> Column:
     """Refs of every item of several attachment-like lists."""
-    per_list = [F.flatten(F.transform(items(v), item_refs)) for v in lists]
-    return F.flatten(F.array(*per_list))
+    return F.flatten(F.transform(F.flatten(F.array(*[items(v) for v in lists])), item_refs))
 
 
 def media_keys(*lists) -> Column:

@@ -49,21 +49,26 @@ MEDIA = ("attachments", "files", "screenshots", "media", "images", "evidence", "
 RUN_MEDIA = ("attachments", "files", "screenshots", "media", "images")
 
 
-def object_media(v: Column) -> Column:
-    """Media refs of an object and of its `execution`."""
-    return media_refs(*[_nested(v, m) for m in MEDIA], *[_nested(v, f"execution.{m}") for m in RUN_MEDIA])
+def object_media(*objects: Column) -> Column:
+    """Media refs of some objects and of their `execution`."""
+    return media_refs(*[_nested(v, m) for v in objects for m in MEDIA],
+                      *[_nested(v, f"execution.{m}") for v in objects for m in RUN_MEDIA])
+
+
+def texts_refs(texts: list[Column]) -> Column:
+    """Refs of several texts."""
+    return F.flatten(F.transform(F.array(*texts), text_refs))
 
 
 def case_refs(cases: DataFrame) -> DataFrame:
     """Refs of cases: attachments, texts, custom fields, steps."""
     def step(s):
-        texts = [text_refs(get(s, t)) for t in ("action", "expected_result")]
-        return F.flatten(F.array(media_refs(_nested(s, "attachments")), *texts,
-                                 value_refs(_nested(s, "data"))))
+        return F.concat(media_refs(_nested(s, "attachments")),
+                        texts_refs([get(s, t) for t in ("action", "expected_result")]), value_refs(_nested(s, "data")))
 
     return harvest_refs(cases, "project_code", [
-        media_refs("attachments"), text_refs("description"), text_refs("preconditions"),
-        text_refs("postconditions"), value_refs("custom_fields"),
+        media_refs("attachments"), texts_refs([F.col(c) for c in ("description", "preconditions", "postconditions")]),
+        value_refs("custom_fields"),
         F.flatten(F.transform(items("steps"), step)),
     ], 0, "id")
 
@@ -71,17 +76,15 @@ def case_refs(cases: DataFrame) -> DataFrame:
 def result_refs(results: DataFrame) -> DataFrame:
     """Refs of results: media lists here, under execution, in steps, in a step's data and execution."""
     def step(s):
-        texts = [text_refs(get(s, t)) for t in
-                 ("action", "expected_result", "comment", "message", "text", "actual_result",
-                  "execution.comment", "execution.message")]
-        return F.flatten(F.array(object_media(s), object_media(_nested(s, "data")), *texts))
+        texts = ("action", "expected_result", "comment", "message", "text", "actual_result",
+                 "execution.comment", "execution.message")
+        return F.concat(object_media(s, _nested(s, "data")), texts_refs([get(s, t) for t in texts]))
 
     own = [m for m in MEDIA if m in results.columns]
     return harvest_refs(results, "project_code", [
-        media_refs(*own),
-        media_refs(*[_nested(F.col("execution"), m) for m in RUN_MEDIA]),
-        *[text_refs(t) for t in ("comment", "message", "text", "stacktrace")],
-        *[text_refs(get("execution", t)) for t in ("comment", "message", "stacktrace")],
+        media_refs(*own, *[_nested(F.col("execution"), m) for m in RUN_MEDIA]),
+        texts_refs([*[F.col(c) for c in ("comment", "message", "text", "stacktrace")],
+                    *[get("execution", c) for c in ("comment", "message", "stacktrace")]]),
         F.flatten(F.transform(items("steps"), step)),
     ], 1, "hash")
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import as_type, get, is_array, is_object, items, non_blank, pick, truthy
-from ..lineage import cut
+from ..functions.shapes import as_type, items, members, pick_member, truthy
 
 
 def overlay(
@@ -56,44 +55,61 @@ ACTUAL = (
 COMMENT = ("comment", "Comment", "message", "Message", "text", "Text")
 
 
-def _filled(v: Column) -> Column:
+def _empty(v: Column) -> Column:
     t = F.try_variant_get(v, "$", "string")
-    return F.when(t.isNotNull() & ~t.isin("", "[]", "{}"), v)
+    return F.coalesce(t.isin("", "[]", "{}"), F.lit(True))
 
 
-def step_member(step, name: str) -> Column:
-    """One member of a step after its nested `data` (fills blanks) and `execution` (replaces the
-    result-like members, fills the others) are laid over it."""
-    def member(path):
-        return F.try_variant_get(step, f"$.{path}", "variant")
+def flat_step(step) -> Column:
+    """Members of a step after its nested `data` (fills blanks) and `execution` (replaces the
+    result-like members, fills the others) are laid over it: map<string,variant>."""
+    none = F.create_map().cast("map<string,variant>")
 
-    own = F.coalesce(_filled(member(name)), _filled(member(f"data.{name}")), member(name))
-    run = [member(f"execution.{name}"), member(f"Execution.{name}")]
-    if name in ("status", "status_id"):
-        return F.coalesce(run[1], run[0], own)
-    if name in EXECUTION_WINS:
-        blank = [F.when(F.trim(F.try_variant_get(v, "$", "string")) != "", _filled(v)) for v in run]
-        return F.coalesce(blank[1], blank[0], own)
-    return F.coalesce(_filled(own), _filled(run[0]), _filled(run[1]), own)
+    def nested(name):
+        return F.coalesce(members(F.try_variant_get(step, f"$.{name}", "variant")), none)
 
+    def fill(base, extra):
+        """Members of ``extra`` where ``base`` has none or an empty one."""
+        wanted = F.map_filter(extra, lambda k, _: _empty(F.try_element_at(base, k)))
+        return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(wanted, k)), wanted)
 
-def step_text(step, aliases) -> Column:
+    def replace(base, extra):
+        wins = F.array(*[F.lit(w) for w in EXECUTION_WINS])
+
+        def stronger(k, v):
+            text = F.try_variant_get(v, "$", "string")
+            strong = F.when(k.isin("status", "status_id"), text.isNotNull()).otherwise(
+                ~_empty(v) & (F.trim(text) != ""))
+            return F.when(F.array_contains(wins, k), strong).otherwise(_empty(F.try_element_at(base, k)))
+
+        wanted = F.map_filter(extra, stronger)
+        return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(wanted, k)), wanted)
+
+    own = F.coalesce(members(step), none)
+    return replace(replace(fill(own, nested("data")), nested("execution")), nested("Execution"))
+
+
+def step_text(flat, aliases) -> Column:
     """First non-blank alias of a flattened step, trimmed."""
-    return F.coalesce(*[non_blank(F.try_variant_get(step_member(step, a), "$", "string")) for a in aliases])
+    return pick_member(flat, aliases)
+
+
+def step_member(flat, name: str) -> Column:
+    return F.try_element_at(F.col(flat) if isinstance(flat, str) else flat, F.lit(name))
 
 
-def step_columns(step) -> list[Column]:
-    """The columns of the step table read from one raw step."""
-    duration = F.coalesce(*[F.when(truthy(step_member(step, d)), as_type(step_member(step, d), "bigint"))
+def step_columns(flat) -> list[Column]:
+    """The columns of the step table read from one flattened step."""
+    duration = F.coalesce(*[F.when(truthy(step_member(flat, d)), as_type(step_member(flat, d), "bigint"))
                             for d in ("duration", "time_ms", "time_spent_ms")])
     return [
-        step_text(step, ACTION).alias("action"),
-        step_text(step, EXPECTED).alias("expected_result"),
-        step_text(step, ACTUAL).alias("actual"),
-        step_text(step, COMMENT).alias("comment"),
-        step_member(step, "status").alias("status"),
-        step_member(step, "status_id").alias("status_id"),
-        step_member(step, "attachments").alias("attachments"),
+        step_text(flat, ACTION).alias("action"),
+        step_text(flat, EXPECTED).alias("expected_result"),
+        step_text(flat, ACTUAL).alias("actual"),
+        step_text(flat, COMMENT).alias("comment"),
+        step_member(flat, "status").alias("status"),
+        step_member(flat, "status_id").alias("status_id"),
+        step_member(flat, "attachments").alias("attachments"),
         duration.alias("duration"),
     ]
 
@@ -104,14 +120,14 @@ def explode_steps(df: DataFrame, row_key: list[str], steps, depth: int | None =
     Levels are exploded until none is left; pass ``depth`` when it is known to save the check.
     """
     level = df.select(*row_key, F.posexplode(items(steps)).alias("_p", "_step")).select(
-        *row_key, F.array("_p").alias("path"), "_step")
+        *row_key, F.array("_p").alias("path"), flat_step(F.col("_step")).alias("_flat"))
     out, n = None, 1
     while True:
-        rows = level.select(*row_key, "path", *step_columns(F.col("_step")))
+        rows = level.select(*row_key, "path", *step_columns("_flat"))
         out = rows if out is None else out.unionByName(rows)
         level = level.select(
-            *row_key, "path", F.posexplode(items(step_member(F.col("_step"), "steps"))).alias("_p", "_step")
-        ).select(*row_key, F.concat("path", F.array("_p")).alias("path"), "_step")
+            *row_key, "path", F.posexplode(items(step_member("_flat", "steps"))).alias("_p", "_step")
+        ).select(*row_key, F.concat("path", F.array("_p")).alias("path"), flat_step(F.col("_step")).alias("_flat"))
         n += 1
         if depth is not None and n > depth:
             return out

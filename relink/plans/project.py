@@ -112,7 +112,7 @@ def _custom_values(df: DataFrame) -> Column:
     return F.coalesce(F.when(F.size(items("custom_fields")) > 0, listed), mapped, F.array().cast(entry))
 
 
-def _parameters(m) -> Column:
+def parameter_shapes(m) -> Column:
     """Shared references where mapped, else the single or group shape with titles and values."""
     def values(p):
         v = F.try_variant_get(p, "$.values", "variant")
@@ -210,7 +210,7 @@ def cases(
         custom_out.alias("custom_field"),
         F.coalesce(F.when(is_object("params"), as_type("params", "map<string,string>")),
                    F.create_map().cast("map<string,string>")).alias("params"),
-        _parameters("_m").alias("parameters"),
+        parameter_shapes("_m").alias("parameters"),
         F.transform(kept, step).alias("steps"),
         F.col("suite_id").alias("_suite"))
     unknown_suite = F.col("_suite").isNotNull() & F.col("suite_id").isNull()
