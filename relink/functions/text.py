@@ -168,7 +168,7 @@ def row_identity(row_hash, signature, target_case_id, params) -> tuple[Column, C
 
 def suite_path(suite_title, suite, suites) -> Column:
     """Root-to-leaf titles: split title text, else the suite's title, else titles of `suites`."""
-    listed = F.filter(F.transform(F.split(col(suite_title), r"[\t\n\r]+"), F.trim), lambda x: x != "")
+    listed = F.filter(F.transform(F.split(col(suite_title), r"[\t\n\r]+"), lambda x: F.trim(x)), lambda x: x != "")
     single = pick(suite, "title", "Title", "name", "Name")
 
     def one(s):
@@ -182,7 +182,7 @@ def suite_path(suite_title, suite, suites) -> Column:
 
 def short_titles(titles, n: int = 500) -> Column:
     """Trimmed, blanks dropped, long ones cut to ``n`` with an ellipsis."""
-    kept = F.filter(F.transform(col(titles), F.trim), lambda x: x != "")
+    kept = F.filter(F.transform(col(titles), lambda x: F.trim(x)), lambda x: x != "")
     return F.transform(
         kept, lambda x: F.when(F.length(x) > n, F.concat(F.left(x, F.lit(n - 3)), F.lit("..."))).otherwise(x))
 

@@ -64,29 +64,25 @@ def flat_step(step) -> Column:
     """Members of a step after its nested `data` (fills blanks) and `execution` (replaces the
     result-like members, fills the others) are laid over it: map<string,variant>."""
     none = F.create_map().cast("map<string,variant>")
+    wins = F.array(*[F.lit(w) for w in EXECUTION_WINS])
 
-    def nested(name):
+    def layer(name):
         return F.coalesce(members(F.try_variant_get(step, f"$.{name}", "variant")), none)
 
-    def fill(base, extra):
-        """Members of ``extra`` where ``base`` has none or an empty one."""
-        wanted = F.map_filter(extra, lambda k, _: _empty(F.try_element_at(base, k)))
-        return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(wanted, k)), wanted)
+    def fill(_, below, above):
+        return F.when(above.isNotNull() & _empty(below), above).otherwise(below)
 
-    def replace(base, extra):
-        wins = F.array(*[F.lit(w) for w in EXECUTION_WINS])
+    def replace(k, below, above):
+        text = F.try_variant_get(above, "$", "string")
+        strong = F.when(k.isin("status", "status_id"), text.isNotNull()).otherwise(
+            text.isNotNull() & ~_empty(above) & (F.trim(text) != ""))
+        return F.when(F.when(F.array_contains(wins, k), strong).otherwise(above.isNotNull() & _empty(below)), above
+                      ).otherwise(below)
 
-        def stronger(k, v):
-            text = F.try_variant_get(v, "$", "string")
-            strong = F.when(k.isin("status", "status_id"), text.isNotNull()).otherwise(
-                ~_empty(v) & (F.trim(text) != ""))
-            return F.when(F.array_contains(wins, k), strong).otherwise(_empty(F.try_element_at(base, k)))
-
-        wanted = F.map_filter(extra, stronger)
-        return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(wanted, k)), wanted)
-
-    own = F.coalesce(members(step), none)
-    return replace(replace(fill(own, nested("data")), nested("execution")), nested("Execution"))
+    out = F.map_zip_with(F.coalesce(members(step), none), layer("data"), fill)
+    for name in ("execution", "Execution"):
+        out = F.map_zip_with(out, layer(name), replace)
+    return out
 
 
 def step_text(flat, aliases) -> Column:
