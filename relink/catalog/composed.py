@@ -355,7 +355,7 @@ select project_code, l_orderkey as run_id, hash, case when mapped then l_partkey
 @query("e15_results", f"select * from {RESULTS}")
 def e15(spark, sf):
     rows, details, cases = source_results(spark, sf)
-    out = pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, depth=2)["payload"]
+    out = pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, depth=2, with_steps=False)["payload"]
     return out.select("project_code", "run_id", "hash", "testops_id", "title", "status", "duration_ms", "stacktrace", "message",
                       F.array_join("attachments", "|").alias("attachments"), sh.joined_entries(F.col("params")).alias("params"), "signature",
                       F.array_join("suite_path", "/").alias("suite_path"), "author", "chunk")

@@ -9,6 +9,16 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def names(words) -> Column:
+    """A constant array of words, parsed once instead of built word by word."""
+    return F.expr("array(" + ", ".join("'" + w.replace("'", "\\'") + "'" for w in words) + ")")
+
+
+def none_of(kind: str) -> Column:
+    """An empty list or map of a type."""
+    return F.expr(f"cast({'map' if kind.startswith('map') else 'array'}() as {kind})")
+
+
 def get(v, path: str, kind: str = "string") -> Column:
     """Member of a variant object, null when missing or of another type."""
     return F.try_variant_get(col(v), f"${path}" if path.startswith("[") else f"$.{path}", kind)
@@ -41,9 +51,7 @@ def is_int(v) -> Column:
 
 def items(v) -> Column:
     """List items of a variant; an empty list for any other shape."""
-    return F.coalesce(
-        F.try_variant_get(col(v), "$", "array<variant>"), F.array().cast("array<variant>")
-    )
+    return F.coalesce(F.try_variant_get(col(v), "$", "array<variant>"), none_of("array<variant>"))
 
 
 def nonempty(v) -> Column:
@@ -71,8 +79,7 @@ def members(v) -> Column:
 def pick_member(m, aliases) -> Column:
     """First non-blank alias in a map of members, trimmed. One lambda over the alias list keeps the
     plan small however many aliases there are."""
-    texts = F.transform(F.array(*[F.lit(a) for a in aliases]),
-                        lambda a: F.trim(as_text(F.try_element_at(col(m), a))))
+    texts = F.transform(names(aliases), lambda a: F.trim(as_text(F.try_element_at(col(m), a))))
     return F.get(F.filter(texts, lambda x: x != ""), F.lit(0))
 
 
@@ -206,7 +213,8 @@ def param_entries(v) -> Column:
 
 def first_params(*sources) -> Column:
     """First source that yields parameters."""
-    return F.coalesce(*[param_entries(s) for s in sources])
+    every = F.transform(F.array(*[col(s) for s in sources]), param_entries)
+    return F.get(F.filter(every, lambda e: e.isNotNull()), F.lit(0))
 
 
 def param_groups(v) -> Column:
@@ -221,7 +229,7 @@ def param_groups(v) -> Column:
                           lambda t: t.isNotNull() & (F.trim(t) != ""))
         return (F.when(is_object(g), titles).when(is_array(g), listed)
                 .when(is_text(g) & (F.trim(as_text(g)) != ""), F.array(F.trim(as_text(g))))
-                .otherwise(F.array().cast("array<string>")))
+                .otherwise(none_of("array<string>")))
 
     out = F.filter(F.transform(items(v), one), lambda g: F.size(g) > 0)
     return F.when(F.size(out) > 0, out)
@@ -238,7 +246,7 @@ def response_hashes(response, n) -> Column:
     """Hash list of an upload response, padded or cut to the ``n`` files that were sent."""
     r = F.try_variant_get(col(response), "$.result", "variant")
     ok = truthy(F.try_variant_get(col(response), "$.status", "variant"))
-    found = (F.when(~ok, F.array().cast("array<string>"))
+    found = (F.when(~ok, none_of("array<string>"))
              .when(is_array(r), F.transform(items(r), lambda i: get(i, "hash")))
              .when(get(r, "hash").isNotNull(), F.array(get(r, "hash")))
              .otherwise(F.transform(items(F.try_variant_get(r, "$.entities", "variant")),
@@ -281,5 +289,5 @@ def cap_members(v, max_keys: int = 80, max_items: int = 200, max_chars: int = 80
     over = F.when(F.size(entries) > max_keys,
                   F.array(F.struct(F.lit("_truncated_keys").alias("key"),
                                    (F.size(entries) - max_keys).cast("string").alias("value")))
-                  ).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
+                  ).otherwise(none_of("array<struct<key:string,value:string>>"))
     return F.map_from_entries(F.concat(kept, over))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .shapes import (
-    as_text, col, first_non_blank, is_object, is_text, items, joined_entries, members, non_blank, pick,
+    as_text, col, first_non_blank, is_object, is_text, items, joined_entries, members, names, non_blank, none_of, pick,
 )
 
 # Shapes of an attachment key and of the URLs that carry one.
@@ -32,7 +32,7 @@ def embedded_keys(text) -> Column:
     """Distinct keys in a text's URLs, normalised, in order of appearance."""
     found = F.regexp_extract_all(col(text), F.lit(KEY_IN_URL), F.lit(1))
     return F.coalesce(F.array_distinct(F.transform(found, normal_key)),
-                      F.array().cast("array<string>"))
+                      none_of("array<string>"))
 
 
 def key_of_url(url) -> Column:
@@ -45,7 +45,7 @@ def embedded_urls(text) -> Column:
     keys = F.regexp_extract_all(col(text), F.lit(IMAGE_LINK), F.lit(2))
     urls = F.regexp_extract_all(col(text), F.lit(IMAGE_LINK), F.lit(1))
     pairs = F.zip_with(keys, urls, lambda k, u: F.struct(normal_key(k).alias("key"), u.alias("url")))
-    return F.coalesce(pairs, F.array().cast("array<struct<key:string,url:string>>"))
+    return F.coalesce(pairs, none_of("array<struct<key:string,url:string>>"))
 
 
 def workspace_hash(raw_json) -> Column:
@@ -200,11 +200,11 @@ URL_ALIASES = ("url", "URL", "link", "href", "thumb_url", "thumbnail_url", "prev
 
 def item_refs(item) -> Column:
     """array<struct<key,url>> of one attachment-like item: a key or URL, or an object of aliases."""
-    nothing = F.array().cast("array<struct<key:string,url:string>>")
+    nothing = none_of("array<struct<key:string,url:string>>")
     m = members(item)
 
     def listed(aliases):
-        return F.transform(F.array(*[F.lit(a) for a in aliases]), lambda a: as_text(F.try_element_at(m, a)))
+        return F.transform(names(aliases), lambda a: as_text(F.try_element_at(m, a)))
 
     def bare(values):
         return F.transform(F.filter(values, looks_like_key), lambda v: F.struct(

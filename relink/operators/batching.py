@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import col
+from ..functions.shapes import col, none_of
 from .ranking import chunk_index, number_rows
 
 
@@ -28,8 +28,8 @@ def uniquify(labels) -> Column:
         free = F.get(F.filter(tries, lambda t: ~F.array_contains(seen, t)), F.lit(0))
         return F.concat(seen, F.array(F.when(F.array_contains(seen, label), free).otherwise(label)))
 
-    return F.aggregate(F.coalesce(col(labels), F.array().cast("array<string>")),
-                       F.array().cast("array<string>"), add)
+    return F.aggregate(F.coalesce(col(labels), none_of("array<string>")),
+                       none_of("array<string>"), add)
 
 
 def positions(steps, position) -> Column:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import as_text, get, is_object, is_text, items
+from ..functions.shapes import as_text, get, is_object, is_text, items, none_of
 from ..functions.text import embedded_keys, embedded_urls, item_refs, media_refs, normal_key
 from .overlay import step_member
 
@@ -33,7 +33,7 @@ def value_refs(v) -> Column:
 
 def harvest_refs(df: DataFrame, scope: str, refs: list[Column], source_rank: int, order: str) -> DataFrame:
     """Explode a row's refs. ``refs`` are array<struct<key,url>> columns."""
-    every = F.flatten(F.array(*[F.coalesce(r, F.array().cast(NO_REFS)) for r in refs]))
+    every = F.flatten(F.array(*[F.coalesce(r, none_of(NO_REFS)) for r in refs]))
     return (df.select(F.col(scope).alias("scope"), F.col(order).cast("string").alias("row_id"),
                       F.posexplode(every).alias("pos", "_r"))
             .select("scope", "row_id", "pos", F.col("_r.key").alias("key"), F.col("_r.url").alias("url"),
@@ -103,6 +103,17 @@ def keys_by_scope(refs: DataFrame) -> DataFrame:
     return refs.select("scope", "key").distinct()
 
 
+def keys_with_urls(refs: DataFrame) -> DataFrame:
+    """One row per (scope, key) with its last URL and that URL's rank among sources."""
+    order = F.when(F.col("url").isNotNull(), F.struct("source_rank", "row_id", "pos"))
+    return refs.groupBy("scope", "key").agg(F.max_by("url", order).alias("url"), F.max(order).alias("url_order"))
+
+
+def latest_url(found: DataFrame) -> DataFrame:
+    """One URL per key over all scopes, from `keys_with_urls`."""
+    return found.where("url is not null").groupBy("key").agg(F.max_by("url", "url_order").alias("url"))
+
+
 def url_per_key(refs: DataFrame, by: list[str] = ("key",)) -> DataFrame:
     """One URL per key: the last source with one wins, and the last URL in it."""
     order = F.struct("source_rank", "row_id", "pos")

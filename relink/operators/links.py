@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import col
+from ..functions.shapes import col, none_of
 from ..functions.text import embedded_keys, normal_key, rewrite_keys
 from ..schemas import WORKSPACE
 from .crosswalk import slice_of
@@ -35,8 +35,7 @@ def resolve_refs(
             F.array_distinct(F.filter(keys.cast("array<string>"), lambda k: k.isNotNull())),
             lambda k: F.struct(F.lit(entity).alias("entity"), place.alias("scope"), k.alias("source_key")))
 
-    arrays = [F.coalesce(tagged(e, k), F.array().cast(
-        "array<struct<entity:string,scope:string,source_key:string>>")) for e, k in refs.items()]
+    arrays = [F.coalesce(tagged(e, k), none_of("array<struct<entity:string,scope:string,source_key:string>>")) for e, k in refs.items()]
     every = reduce(lambda a, b: F.concat(a, b), arrays)
     slim = df.select(*row_key, F.explode(every).alias("_r")).select(*row_key, "_r.*")
     wanted = cw.where(F.col("entity").isin(*refs))
@@ -61,7 +60,7 @@ def text_targets(targets, entity: str) -> Column:
 def remap_list(keys, targets, entity: str, distinct: bool = False) -> Column:
     """Array of source keys -> array of target keys: unmapped dropped, order kept."""
     hit = F.filter(F.transform(col(keys), lambda k: target_of(targets, entity, k)), lambda t: t.isNotNull())
-    hit = F.coalesce(hit, F.array().cast("array<string>"))
+    hit = F.coalesce(hit, none_of("array<string>"))
     return F.array_distinct(hit) if distinct else hit
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import as_type, items, members, pick_member, truthy
+from ..functions.shapes import as_type, items, members, names, none_of, pick_member, truthy
 
 
 def overlay(
@@ -63,8 +63,8 @@ def _empty(v: Column) -> Column:
 def flat_step(step) -> Column:
     """Members of a step after its nested `data` (fills blanks) and `execution` (replaces the
     result-like members, fills the others) are laid over it: map<string,variant>."""
-    none = F.create_map().cast("map<string,variant>")
-    wins = F.array(*[F.lit(w) for w in EXECUTION_WINS])
+    none = none_of("map<string,variant>")
+    wins = names(EXECUTION_WINS)
 
     def layer(name):
         return F.coalesce(members(F.try_variant_get(step, f"$.{name}", "variant")), none)

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates, enums, shapes, text
 from ..functions.predicates import defect_resolved, has_all, run_finished
-from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, is_text, items
-from ..lineage import cut
+from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, items, none_of
 from ..operators import hierarchy, overlay as ov
 from ..operators.audit import rejects
 from ..operators.batching import positions
@@ -22,11 +21,6 @@ SCOPE = "project_code"
 ROW = [SCOPE, "id"]
 
 
-def _user(aliases, default: int, found) -> Column:
-    """Target user of the first truthy alias; 0, text and unmapped users take the default."""
-    return F.coalesce(found.try_cast("bigint"), F.lit(default))
-
-
 def milestones(rows: DataFrame) -> dict[str, DataFrame]:
     """Milestones parents-first; 0 counts as no parent. The remapped parent is planned as a load level."""
     walked = hierarchy.expand(rows, "id", "parent_id", [SCOPE], zero_is_root=True)
@@ -109,7 +103,7 @@ def _custom_values(df: DataFrame) -> Column:
     mapped = F.transform(
         F.map_entries(as_type("custom_field", "map<string,string>")),
         lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    return F.coalesce(F.when(F.size(items("custom_fields")) > 0, listed), mapped, F.array().cast(entry))
+    return F.coalesce(F.when(F.size(items("custom_fields")) > 0, listed), mapped, none_of(entry))
 
 
 def parameter_shapes(m) -> Column:
@@ -129,7 +123,7 @@ def parameter_shapes(m) -> Column:
         shared = target_of(m, "shared_parameter", get(p, "shared_id"))
         single = named(F.array(F.try_variant_get(p, "$.item", "variant")))
         group = named(items(F.try_variant_get(p, "$.items", "variant")))
-        nothing = F.array().cast("array<struct<title:string,values:array<string>>>")
+        nothing = none_of("array<struct<title:string,values:array<string>>>")
         shape = (F.when(shared.isNotNull(), nothing).when(get(p, "type") == "single", single)
                  .when(get(p, "type") == "group", group).otherwise(nothing))
         return F.struct(shared.alias("shared_id"), get(p, "type").alias("type"), shape.alias("items"))
@@ -154,7 +148,7 @@ def cases(
         get(s, "action"), get(s, "expected_result"), get(s, "data"))))
     custom_texts = F.transform(custom, lambda e: e["value"])
     in_texts = F.flatten(F.transform(
-        F.concat(F.array(*CASE_TEXTS), F.coalesce(step_texts, F.array().cast("array<string>")), custom_texts),
+        F.concat(F.array(*CASE_TEXTS), F.coalesce(step_texts, none_of("array<string>")), custom_texts),
         text.embedded_keys))
     listed = F.transform(items("attachments"), _case_attachment)
     in_steps = F.flatten(F.transform(steps, lambda s: F.transform(
@@ -209,7 +203,7 @@ def cases(
         remap_list(F.transform(items("attachments"), _case_attachment), "_m", "attachment").alias("attachments"),
         custom_out.alias("custom_field"),
         F.coalesce(F.when(is_object("params"), as_type("params", "map<string,string>")),
-                   F.create_map().cast("map<string,string>")).alias("params"),
+                   none_of("map<string,string>")).alias("params"),
         parameter_shapes("_m").alias("parameters"),
         F.transform(kept, step).alias("steps"),
         F.col("suite_id").alias("_suite"))
@@ -361,6 +355,7 @@ def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None =
 def results(
     rows: DataFrame, details: DataFrame | None, case_rows: DataFrame, cw: DataFrame,
     new_workspace: str | None = None, default_user: int = 1, batch: int = 500, depth: int | None = None,
+    with_steps: bool = True,
 ) -> dict[str, DataFrame]:
     """Results ready to load, chunked per run, and their merged step table.
 
@@ -376,7 +371,6 @@ def results(
     work = (enriched.withColumn("_message", message).withColumn("_media", media)
             .withColumn("_params", params).withColumn("_groups", shapes.param_groups(groups))
             .withColumn("_row_hash", F.coalesce("hash", "result_hash")))
-    users = [as_text(c).alias(c) for c in ("member_id", "author_id", "user_id", "created_by")]
     chosen = F.coalesce(*[as_text(c).try_cast("bigint") for c in ("member_id", "author_id", "user_id", "created_by")])
     work = lookup(work, cw, "author", "author_uuid", "_author")
     work = work.withColumn("_uid", F.coalesce(F.col("_author").try_cast("bigint"), chosen))
@@ -409,7 +403,7 @@ def results(
         F.when(F.col("testops_id").isNull(), author.cast("string")).alias("author"))
     return {
         "payload": chunk_index(out, [SCOPE, "run_id"], ["hash"], batch),
-        "steps": result_steps(enriched, cw, new_workspace, depth),
+        **({"steps": result_steps(enriched, cw, new_workspace, depth)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("testops_id").isNull()}),
     }
 

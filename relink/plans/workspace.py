@@ -13,6 +13,7 @@ from ..functions.enums import field_entity_code, field_type_code, numeric_text
 from ..functions.predicates import allow, deny, has_all
 from ..functions.shapes import as_text, clean_parameters, get, is_object, items
 from ..functions.text import split_name
+from ..lineage import cut
 from ..operators import harvest
 from ..operators.audit import rejects
 from ..operators.batching import uniquify, upload_plan
@@ -136,14 +137,16 @@ def attachments(
 
     ``project_order`` has scope, ordinal and target_code; ``sizes`` has key and n_bytes.
     """
-    per_scope = harvest.keys_by_scope(refs)
+    # Harvesting reads every text, so its small result is written once and used five times.
+    found = cut(harvest.keys_with_urls(refs))
+    per_scope = found.select("scope", "key")
     keys = per_scope.select("key").distinct()
     mapped = cw.where("entity = 'attachment'").select("source_key", "target_key")
     split = harvest.transfer_split(keys, mapped, target_refs.select("key"))
     owned = first_owner(per_scope.join(project_order, "scope"), "key", "scope", "ordinal").join(
         project_order.select(F.col("scope").alias("owner"), "target_code"), "owner")
     to_move = (split.where("label = 'to_transfer'").select("key").join(owned, "key")
-               .join(harvest.url_per_key(refs), "key", "left").join(sizes, "key", "left")
+               .join(harvest.latest_url(found), "key", "left").join(sizes, "key", "left")
                .withColumn("n_bytes", F.coalesce("n_bytes", F.lit(0))))
     known = split.where("target_key is not null").select("key", "target_key")
     fanned = fan_out(per_scope, known, "scope", "key")
