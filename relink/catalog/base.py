@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schemas import WORKSPACE
+from ..schemas import WORKSPACE, fields
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,10 +42,20 @@ def page_per_row(df: DataFrame, entity: str, scope: Column | str | None, /, **me
 
 
 def entity_of(df: DataFrame, entity: str, scope: Column | str | None, /, **members) -> DataFrame:
-    """The same rows through the page reader, so every member has its landed type."""
-    from ..sources.pages import entity_rows
-
-    return entity_rows(page_per_row(df, entity, scope, **members), entity)
+    """Rows with the declared columns of a landed entity; members not given are null."""
+    scope = F.lit(WORKSPACE) if scope is None else (F.col(scope) if isinstance(scope, str) else scope)
+    given = df.select("*", *[(F.expr(v) if isinstance(v, str) else v).alias(f"_m_{k}") for k, v in members.items()])
+    types = dict(given.dtypes)
+
+    def column(name, kind):
+        if name not in members:
+            return F.lit(None).cast(kind).alias(name)
+        have = types[f"_m_{name}"]
+        nested = kind == "variant" and have.startswith(("array", "struct", "map"))
+        made = F.to_variant_object(f"_m_{name}") if nested else F.col(f"_m_{name}").cast(kind)
+        return made.alias(name)
+
+    return given.select(scope.alias("project_code"), *[column(n, k) for n, k in fields(entity)])
 
 
 def crosswalk_of(*parts: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes as sh, text as tx
+from ..lineage import cut
 from ..operators import audit as au, crosswalk as cx, harvest as hv, links as lk, overlay as ov, pairing as pa
 from ..operators.ranking import chunk_index, first_per_key
 from ..plans import project as pj
@@ -217,7 +218,8 @@ SENT = f"""(select project_code, hash, l_partkey, l_returnflag, l_quantity, (rn
 
 
 def sent_rows(spark, sf):
-    return chunk_index(result_lines(spark, sf), ["project_code"], ["hash"], 500)
+    rows = result_lines(spark, sf).select("project_code", "hash", "l_partkey", "l_returnflag", "l_quantity")
+    return cut(chunk_index(rows, ["project_code"], ["hash"], 500))
 
 
 @query("j13_pair_by_delta", f"""

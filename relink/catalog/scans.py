@@ -34,8 +34,7 @@ def s01(spark, sf):
                                  F.from_json(F.get_json_object("body", "$.result.entities"),
                                              "array<struct<event_id:bigint,user_id:bigint,event_type:string,value:double,props:string>>").alias("result"))))
                              .otherwise(F.col("body")))
-    rows, _ = pg.envelope("body", EVENT)
-    return pages.select(F.inline(rows))
+    return pg.open_pages(pages, EVENT).select(F.inline("entities"))
 
 
 @query("s02_projects", "select n_nationkey::bigint as id, n_name as code from nation where n_name in ('NATION_1', 'NATION_7', 'NATION_20')")

@@ -70,13 +70,13 @@ def flat_step(step) -> Column:
         return F.coalesce(members(F.try_variant_get(step, f"$.{name}", "variant")), none)
 
     def fill(_, below, above):
-        return F.when(above.isNotNull() & _empty(below), above).otherwise(below)
+        return F.when(F.try_variant_get(above, "$", "string").isNotNull() & _empty(below), above).otherwise(below)
 
     def replace(k, below, above):
         text = F.try_variant_get(above, "$", "string")
         strong = F.when(k.isin("status", "status_id"), text.isNotNull()).otherwise(
             text.isNotNull() & ~_empty(above) & (F.trim(text) != ""))
-        return F.when(F.when(F.array_contains(wins, k), strong).otherwise(above.isNotNull() & _empty(below)), above
+        return F.when(F.when(F.array_contains(wins, k), strong).otherwise(text.isNotNull() & _empty(below)), above
                       ).otherwise(below)
 
     out = F.map_zip_with(F.coalesce(members(step), none), layer("data"), fill)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-NULL_SCOPE = "\u0000"
+NULL_KEY = "\u0000"
 
 
 def coarsen(df: DataFrame, column: str, bits: int = 16) -> Column:
@@ -36,22 +36,22 @@ def number_rows(
     first order column. ``order`` should end in a unique column, else ties are numbered arbitrarily.
     """
     coarse = coarse or [coarsen(df, order[0])]
-    scope = {f"_s{i}": F.coalesce(F.col(c).cast("string"), F.lit(NULL_SCOPE)) for i, c in enumerate(by)}
-    piece = {}
-    for i, c in enumerate(coarse):
-        piece[f"_n{i}"] = c.isNotNull().cast("int")
-        piece[f"_c{i}"] = c
+    def key(c):
+        return F.coalesce(c.cast("string"), F.lit(NULL_KEY))
+
+    scope = {f"_s{i}": key(F.col(c)) for i, c in enumerate(by)}
+    piece = {f"_p{i}": key(c) for i, c in enumerate(coarse)}
+    typed = {f"_c{i}": c for i, c in enumerate(coarse)}
     # Join and window share one partitioning, so the rows are shuffled once.
-    keyed = df.select("*", *[c.alias(n) for n, c in {**scope, **piece}.items()])
-    keyed = keyed.withColumn("_p", F.to_json(F.struct(*piece)))
-    keys = list(scope) + ["_p"]
+    keyed = df.select("*", *[c.alias(n) for n, c in {**scope, **piece, **typed}.items()])
+    keys = [*scope, *piece]
     local = Window.partitionBy(*keys).orderBy(*order)
     pieces = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"), *[F.first(p).alias(p) for p in piece])
+        F.count(F.lit(1)).alias("_size"), *[F.first(c).alias(c) for c in typed])
     before = Window.partitionBy(*scope) if scope else Window.partitionBy(F.lit(0))
-    before = before.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
+    before = before.orderBy(*typed).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    ranked = keyed.withColumn("_local", F.row_number().over(local)).drop(*piece)
+    ranked = keyed.withColumn("_local", F.row_number().over(local)).drop(*typed)
     return (ranked.join(offsets, keys)
             .withColumn(out, F.col("_local") + F.col("_before"))
             .select(*df.columns, out))

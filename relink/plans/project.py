@@ -162,7 +162,9 @@ def cases(
         "shared_step": F.transform(steps, _shared_ref),
         "shared_parameter": F.transform(items("parameters"), lambda p: get(p, "shared_id")),
     }
-    wide = rows.withColumn("_author", author).withColumn("_custom", custom)
+    # Chunks are numbered on the landed rows: every row is kept, and the references need not be
+    # resolved a second time for the count.
+    wide = chunk_index(rows, [SCOPE], ["id"], batch).withColumn("_author", author).withColumn("_custom", custom)
     resolved = resolve_refs(wide, cw, ROW, refs, SCOPE, workspace=("user", "custom_field", "shared_parameter"),
                             out="_m").withColumn("_texts", text_targets("_m", "attachment"))
 
@@ -205,11 +207,11 @@ def cases(
         F.coalesce(F.when(is_object("params"), as_type("params", "map<string,string>")),
                    none_of("map<string,string>")).alias("params"),
         parameter_shapes("_m").alias("parameters"),
-        F.transform(kept, step).alias("steps"),
+        F.transform(kept, step).alias("steps"), "chunk", "pos",
         F.col("suite_id").alias("_suite"))
     unknown_suite = F.col("_suite").isNotNull() & F.col("suite_id").isNull()
     return {
-        "payload": chunk_index(out.drop("_suite"), [SCOPE], ["source_id"], batch),
+        "payload": out.drop("_suite"),
         "at_root": rejects(out, "case", SCOPE, "source_id", {"suite unknown, created at root": unknown_suite}),
         "rejects": rejects(rows, "case", SCOPE, "title", {"no id": F.col("id").isNull()}),
     }
@@ -361,7 +363,7 @@ def results(
 
     The crosswalk holds case, attachment, user and author (uuid -> source user id) entries.
     """
-    enriched = enrich_results(rows, details, case_rows)
+    enriched = enrich_results(chunk_index(rows, [SCOPE, "run_id"], ["hash"], batch), details, case_rows)
     ex = F.col("execution")
     media = text.media_keys(*MEDIA, *[F.try_variant_get(ex, f"$.{m}", "variant") for m in RUN_MEDIA])
     message = text.join_message("comment", "message", "text")
@@ -400,9 +402,9 @@ def results(
         row_id.alias("id"), signature.alias("signature"), F.col("defect"),
         text.short_titles("_path").alias("suite_path"),
         F.when(F.col("testops_id").isNull(), text.standalone_description(as_text("case_id"), "_row_hash")).alias("description"),
-        F.when(F.col("testops_id").isNull(), author.cast("string")).alias("author"))
+        F.when(F.col("testops_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
     return {
-        "payload": chunk_index(out, [SCOPE, "run_id"], ["hash"], batch),
+        "payload": out,
         **({"steps": result_steps(enriched, cw, new_workspace, depth)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("testops_id").isNull()}),
     }

@@ -9,20 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.shapes import col
 from ..schemas import ENTITIES, KEYS, struct_of
 from ..operators.audit import page_completeness
 from ..operators.ranking import first_per_key
 
 
-def envelope(body, ddl: str) -> tuple[Column, Column]:
-    """(entities, declared total) of a page body. The bare-list reading is tried only on pages that
-    have no entities under the usual name."""
+def open_pages(pages: DataFrame, ddl: str, keep: list[str] = ()) -> DataFrame:
+    """(keep..., entities, total) of each page. The bare-list reading is tried only on pages that have
+    no entities under the usual name. The body is parsed in a step of its own, once per page."""
     row = struct_of(ddl)
-    usual = F.from_json(col(body), f"status boolean, result struct<total:bigint, entities:array<{row}>>")
-    bare = F.from_json(col(body), f"status boolean, result array<{row}>")
-    rows = F.when(usual["status"], F.coalesce(usual["result"]["entities"], bare["result"]))
-    return rows, F.when(usual["status"], usual["result"]["total"])
+    usual = F.from_json("body", f"status boolean, result struct<total:bigint, entities:array<{row}>>")
+    bare = F.from_json("body", f"status boolean, result array<{row}>")
+    parsed = pages.select(*keep, "body", usual.alias("_e"))
+    ok = F.col("_e.status")
+    rows = F.when(ok, F.coalesce(F.col("_e.result.entities"), bare["result"]))
+    return parsed.select(*keep, rows.alias("entities"), F.when(ok, F.col("_e.result.total")).alias("total"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -39,9 +40,8 @@ def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedu
     ``dedupe`` keeps one row per key: pages fetched while the source changed may overlap.
     """
     mine = pages.where(F.col("entity") == entity) if "entity" in pages.columns else pages
-    rows, _ = envelope("body", ENTITIES[entity])
     keep = [c for c in (scope, "page_offset") if c in pages.columns]
-    out = mine.select(*keep, F.inline(rows))
+    out = open_pages(mine, ENTITIES[entity], keep).select(*keep, F.inline("entities"))
     if dedupe:
         key = KEYS[entity]
         keys = [c for c in (scope,) if c in keep] + [key]
@@ -52,11 +52,13 @@ def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedu
 
 def audit_pages(pages: DataFrame, scope: str = "project_code") -> DataFrame:
     """Landed rows against declared totals, per entity and scope. Only counts are parsed."""
-    body = F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>")
-    bare = F.from_json("body", "status boolean, result array<string>")
-    n = F.when(body["status"], F.size(F.coalesce(body["result"]["entities"], bare["result"])))
-    sized = pages.select("entity", scope, F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).alias("n_rows"),
-                         F.when(body["status"], body["result"]["total"]).alias("total"))
+    keys = ["entity", scope]
+    parsed = pages.select(
+        *keys, F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>").alias("_e"),
+        F.from_json("body", "result array<string>").alias("_b"))
+    n = F.when(F.col("_e.status"), F.size(F.coalesce("_e.result.entities", "_b.result")))
+    sized = parsed.select(*keys, F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).alias("n_rows"),
+                          F.when(F.col("_e.status"), F.col("_e.result.total")).alias("total"))
     return page_completeness(sized, ["entity", scope])
 
 
