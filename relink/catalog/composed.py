@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import predicates as pr, shapes as sh
-from ..operators import audit as au, crosswalk as cx, harvest as hv, links as lk
+from ..operators import audit as au, harvest as hv
 from ..plans import project as pj, whole, workspace as ws
 from ..sources import entities as en
 from .base import (
-    ATT_CW, CASE_CW, LINES, NEW_WS, OLD_WS, USER_CW, crosswalk_of, entity_of, linked_documents, query, result_lines, t,
-    user_cw, xw,
+    LINES, NEW_WS, OLD_WS, USER_CW, crosswalk_of, entity_of, linked_documents, query, result_lines, t, user_cw,
+    xw,
 )
 from .lookups import RECONCILE, USERS, planned_users, reconciled
 from .ordered import TREE, WALK, tree
-from .rows import LINKED
 from .scans import CONFIGS, configuration_pages
 
 

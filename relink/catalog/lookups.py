@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from ..functions import shapes as sh, text as tx
 from ..lineage import cut
 from ..operators import audit as au, crosswalk as cx, harvest as hv, links as lk, overlay as ov, pairing as pa
-from ..operators.ranking import chunk_index, first_per_key
+from ..operators.ranking import chunk_index
 from ..plans import project as pj
 from .base import (
-    ATT_CW, CASE_CW, LINES, USER_CW, attachment_cw, case_cw, crosswalk_of, entity_of, linked_documents, query,
-    result_lines, t, user_cw, xw,
+    CASE_CW, LINES, USER_CW, case_cw, crosswalk_of, entity_of, linked_documents, query, result_lines, t, user_cw,
+    xw,
 )
 
 NATION_CW = "(select 'N' || c_nationkey as scope, c_custkey as source_key, 'c' || c_custkey as target_key from customer where c_acctbal >= 0)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes as sh, text as tx
-from ..operators import audit as au, batching as ba, crosswalk as cx, hierarchy as hi, ranking as rk, rate
+from ..operators import audit as au, batching as ba, hierarchy as hi, ranking as rk, rate
 from .base import LINES, query, result_lines, t, xw
 from .lookups import RECONCILE, entity_rows, reconciled, ENTITY_ROWS
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, enums, predicates as pr, shapes as sh, text as tx
 from ..operators import audit, links as lk, overlay as ov
-from ..operators.batching import positions
 from .base import ATT_CW, LINES, NEW_WS, OLD_WS, attachment_cw, entity_of, linked_documents, query, result_lines, t
 
 # ------------------------------------------------------------------ predicates

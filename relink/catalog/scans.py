@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..lineage import work_path
-from ..operators import crosswalk as cx, harvest
+from ..operators import harvest
 from ..operators.batching import payload_chunks
-from ..schemas import ENTITIES, TRACE
 from ..sinks import tables
 from ..sources import entities as en, pages as pg, snapshots as sn
-from .base import (
-    CASE_CW, LINES, case_cw, crosswalk_of, entity_of, linked_documents, page_per_row, query, result_lines, t,
-    user_cw, xw,
-)
+from .base import CASE_CW, LINES, case_cw, entity_of, linked_documents, page_per_row, query, result_lines, t, xw
 
 EVENT = "event_id bigint, user_id bigint, event_type string, value double, props string"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..lineage import work_path
 from ..sources import snapshots as sn
 from ..streaming import trace as tr
-from .base import query, t, xw
+from .base import query
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 

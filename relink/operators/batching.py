@@ -23,9 +23,11 @@ def payload_chunks(df: DataFrame, by: list[str], order: list[str], n: int, colum
 def uniquify(labels) -> Column:
     """Make the labels of a row's list distinct: `A`, `A (1)`, `A (2)`, skipping labels taken."""
     def add(seen, label):
-        tries = F.transform(F.sequence(F.lit(1), F.size(seen) + 1),
+        # Of the k+1 first suffixes one is free when k labels with a suffix are taken.
+        taken = F.filter(seen, lambda x: x.startswith(F.concat(label, F.lit(" ("))))
+        tries = F.transform(F.sequence(F.lit(1), F.size(taken) + 1),
                             lambda k: F.concat(label, F.lit(" ("), k.cast("string"), F.lit(")")))
-        free = F.get(F.filter(tries, lambda t: ~F.array_contains(seen, t)), F.lit(0))
+        free = F.get(F.array_except(tries, taken), F.lit(0))
         return F.concat(seen, F.array(F.when(F.array_contains(seen, label), free).otherwise(label)))
 
     return F.aggregate(F.coalesce(col(labels), none_of("array<string>")),

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.shapes import as_text, get, is_object, is_text, items, none_of
-from ..functions.text import embedded_keys, embedded_urls, item_refs, media_refs, normal_key
-from .overlay import step_member
+from ..functions.text import embedded_keys, embedded_urls, media_refs, normal_key
 
 REF = "struct<key:string,url:string>"
 NO_REFS = f"array<{REF}>"

@@ -9,11 +9,9 @@ from ..functions.predicates import defect_resolved, has_all, run_finished
 from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, items, none_of
 from ..operators import hierarchy, overlay as ov
 from ..operators.audit import rejects
-from ..operators.batching import positions
-from ..operators.crosswalk import attribute, lookup, lookup_by_title, pairs, resume, titles_to_ids
+from ..operators.crosswalk import lookup, lookup_by_title, resume, titles_to_ids
 from ..operators.links import (
-    distinct_links, parents_with_links, refs_in_text, remap_links, remap_list, remap_map_keys, resolve_refs,
-    target_of, text_targets,
+    distinct_links, refs_in_text, remap_links, remap_list, remap_map_keys, resolve_refs, target_of, text_targets,
 )
 from ..operators.ranking import chunk_index
 

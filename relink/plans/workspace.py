@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.enums import field_entity_code, field_type_code, numeric_text
-from ..functions.predicates import allow, deny, has_all
+from ..functions.predicates import allow, deny
 from ..functions.shapes import as_text, clean_parameters, get, is_object, items
 from ..functions.text import split_name
 from ..lineage import cut
 from ..operators import harvest
 from ..operators.audit import rejects
 from ..operators.batching import uniquify, upload_plan
-from ..operators.crosswalk import build_crosswalk, match_or_create, natural_key, pairs, resume
+from ..operators.crosswalk import match_or_create, natural_key, pairs, resume
 from ..operators.links import fan_out, first_owner, remap_links
 from ..operators.ranking import first_wins
 

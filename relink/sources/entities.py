@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.predicates import allow
-from ..functions.shapes import as_type, get, items, linked_ids, member_keys, non_blank, as_text
-from ..operators.crosswalk import slice_of
+from ..functions.shapes import get, items, linked_ids, member_keys
 from ..operators.overlay import overlay
 from ..operators.links import distinct_links, remap_links
 from ..operators.ranking import first_wins, last_per_key
