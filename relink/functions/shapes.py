@@ -9,6 +9,12 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``. Inside the function of a higher-order
+    expression, anything that is not its variable would be worked out again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def names(words) -> Column:
     """A constant array of words, parsed once instead of built word by word."""
     return F.expr("array(" + ", ".join("'" + w.replace("'", "\\'") + "'" for w in words) + ")")
@@ -86,7 +92,7 @@ def pick_member(m, aliases) -> Column:
 def pick(v, *aliases: str) -> Column:
     """First non-blank alias of an object, trimmed."""
     if len(aliases) > 2:
-        return pick_member(members(v), aliases)
+        return let(members(v), lambda m: pick_member(m, aliases))
     return F.coalesce(*[non_blank(get(v, a)) for a in aliases])
 
 
@@ -180,12 +186,9 @@ PARAM_CHOICE = ("selected", "Selected", "selected_value", "selectedValue")
 def last_per_key(entries) -> Column:
     """Entries {key, value} with a later one replacing an earlier one of the same key, in place of
     a session-wide map policy."""
-    return F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
-        ),
-    )
+    return let(entries, lambda every: F.filter(
+        every, lambda e, i: ~F.exists(
+            F.slice(every, i + 2, F.size(every)), lambda later: later["key"] == e["key"])))
 
 
 def param_entries(v) -> Column:

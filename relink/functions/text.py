@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .shapes import (
-    as_text, col, first_non_blank, is_object, is_text, items, joined_entries, members, names, non_blank, none_of, pick,
+    as_text, col, first_non_blank, is_object, is_text, items, joined_entries, let, members, names, non_blank,
+    none_of, pick,
 )
 
 # Shapes of an attachment key and of the URLs that carry one.
@@ -61,29 +62,31 @@ def rewrite_keys(text, targets, new_workspace=None, symmetric: bool = False) ->
     """
     t, m = col(text), col(targets)
     path, key = ("/attachments?/", ANY_KEY) if symmetric else ("/attachment/", HEX_KEY)
-    parts = F.split(t, f"(?i)(?<={path})(?={key}/)")
     lead = f"(?i)^({key})(?=/)"
+    follows = f"{lead}/[^)]"
+    ws = None if new_workspace is None else (
+        new_workspace if isinstance(new_workspace, Column) else F.lit(new_workspace))
+    tail = rf"(?i)(https://[^/]+/public/team/){HEX_KEY}({path})$"
 
-    def old(p):
-        return F.regexp_extract(p, lead, 1)
+    def piece(p, i):
+        found = F.when(i > 0, F.regexp_extract(p, lead, 1))
+        return F.struct(p.alias("text"), F.length(found).alias("n"), F.try_element_at(m, normal_key(found)).alias("new"))
 
-    def new(p):
-        return F.element_at(m, normal_key(old(p)))
+    def join(pieces):
+        def one(x, i):
+            body = F.when(x["new"].isNotNull(), F.concat(x["new"], F.substring(x["text"], x["n"] + 1, F.length(x["text"])))
+                          ).otherwise(x["text"])
+            if ws is None:
+                return body
+            nxt = F.get(pieces, i + 1)
+            full = nxt["new"].isNotNull() & nxt["text"].rlike(follows) & ws.isNotNull()
+            return F.when(full, F.regexp_replace(body, F.lit(tail), F.concat(F.lit("$1"), ws, F.lit("$2")))).otherwise(body)
 
-    def one(p, i):
-        nxt = F.get(parts, i + 1)
-        body = F.when((i > 0) & new(p).isNotNull(),
-                      F.concat(new(p), F.substring(p, F.length(old(p)) + 1, F.length(p)))).otherwise(p)
-        if new_workspace is None:
-            return body
-        ws = col(new_workspace) if isinstance(new_workspace, Column) else F.lit(new_workspace)
-        tail = rf"(?i)(https://[^/]+/public/team/){HEX_KEY}({path})$"
-        full = nxt.isNotNull() & new(nxt).isNotNull() & nxt.rlike(f"{lead}/[^)]") & ws.isNotNull()
-        return F.when(full, F.regexp_replace(body, F.lit(tail), F.concat(F.lit("$1"), ws, F.lit("$2")))
-                      ).otherwise(body)
+        return F.array_join(F.transform(pieces, one), "")
 
-    rewritten = F.array_join(F.transform(parts, one), "")
-    return F.when(m.isNull() | (F.size(m) == 0) | (F.size(parts) < 2), t).otherwise(rewritten)
+    split = F.transform(F.split(t, f"(?i)(?<={path})(?={key}/)"), piece)
+    idle = m.isNull() | (F.size(m) == 0) | ~t.rlike(f"(?i){path}{key}/")
+    return F.when(idle, t).otherwise(let(split, join))
 
 
 def split_name(full_name, email=None) -> tuple[Column, Column]:
@@ -201,9 +204,8 @@ URL_ALIASES = ("url", "URL", "link", "href", "thumb_url", "thumbnail_url", "prev
 def item_refs(item) -> Column:
     """array<struct<key,url>> of one attachment-like item: a key or URL, or an object of aliases."""
     nothing = none_of("array<struct<key:string,url:string>>")
-    m = members(item)
 
-    def listed(aliases):
+    def listed(m, aliases):
         return F.transform(names(aliases), lambda a: as_text(F.try_element_at(m, a)))
 
     def bare(values):
@@ -216,7 +218,8 @@ def item_refs(item) -> Column:
 
     alone = F.array(as_text(item))
     of_text = F.concat(bare(alone), in_urls(alone, False))
-    of_object = F.concat(bare(listed(KEY_ALIASES)), in_urls(listed(URL_ALIASES), True))
+    of_object = let(members(item), lambda m: F.concat(
+        bare(listed(m, KEY_ALIASES)), in_urls(listed(m, URL_ALIASES), True)))
     found = F.when(is_object(item), of_object).when(is_text(item), of_text).otherwise(nothing)
     return F.filter(found, lambda r: r["key"].isNotNull())
 
