@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted, langid, packing, simhash
+from . import inverted, langid, packing, reshard, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ordered_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_flow_resharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshard.reshard(table(spark, sf_dir, "documents"))
+
+
+@query("op6_addressed_archive", """
+with p as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as lead from pages)
+select page_id, strlen(html)::bigint as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(sha1(html), 1 + 5 * (i // 4)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int, 1)), '') as payload_digest,
+       case when page_id = lead then 'response' else 'revisit' end as record_type,
+       case when page_id <> lead then lead end as refers_to
+from p
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
