@@ -9,8 +9,7 @@ their ids (expected number; a binomial draw), a slice of SLICE characters of eac
 BLOCK symbols that are walked side by side; a phrase ends with its block, for each language alike.
 
 Defined results: a null text or one without letters gets `und` with score 0; no training text at all makes every result
-`und`; rows without language or text teach nothing; a row with null doc_id teaches nothing and isn't held out; repeated rows
-are rows; other columns are ignored.
+`und`; rows without language or text teach nothing; a null doc_id is not held out; repeated rows are rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +30,8 @@ BLANK, OTHER = 0, 1
 
 
 def fold() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
+    """crc32 of the id as text, modulo FOLDS; a null id counts as crc32 zero."""
+    return F.pmod(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)), F.lit(FOLDS))
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
@@ -180,7 +180,7 @@ def predict(docs: DataFrame, slices: list[tuple[str, str]]) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score", "phrases_per_symbol"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"),
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold() == HELD_OUT).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     return map_batches(slim, rows, "doc_id long, held_out boolean, lang_pred string, score double, phrases_per_symbol double")
 

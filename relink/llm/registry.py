@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted, langid, packing, reshard, simhash, warc
+from . import inverted, langid, lattice, notices, packing, reshard, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,13 @@ from p
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive(table(spark, sf_dir, "pages"))
     return warc.records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_notice_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices.labelled(notices.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op1_lattice_scores")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"))
