@@ -2,23 +2,29 @@
 
 A word's lattice has an arc for every piece of an existing subword vocabulary at every place where the piece stands, and
 one arc that spans the whole word. Arcs are weighted by unigram scores learned from the training documents: the word's own
-share, and the pieces' shares; the vocabulary itself is given and not trained. The log-space forward recursion sums over all
-segmentations, so a word's score is its marginal probability; as no arc crosses white space, a document's marginal is the
-product over its words and the closing token.
+share, and the pieces' shares; the vocabulary itself is given and not trained. The forward recursion sums over all
+segmentations, so a word's score is its marginal probability; as no arc crosses white space, the marginal of a document's
+words is their product. There is a set of scores for each class of training documents (their `lang`, the CLASSES commonest,
+the last one pooling the rest), and the document's marginal sums over the classes by their shares as well; the class of a
+scored document is not looked at.
 
-With c, N, V the counts of the training tokens and e = V / (N + V) (the share that novel words may expect):
+With c, N, V the counts of a class's training tokens, C and M those of all classes, e = V / (N + V) (what novel words may
+expect) and OWN the weight of the class's own counts:
 
-    P(word) = (1 - e) c / N + e * sum over segmentations of first(p1) next(p2) ... next(pk) stop
+    P(word) = (1 - e) (OWN c / N + (1 - OWN) C / M) + e * sum over segmentations of first(p1) next(p2) ... next(pk) stop
 
 `first` is a distribution over the vocabulary's pieces that open a word, `next` and `stop` one over those that go on and
-the word's end; each piece has SMOOTHING pseudo-counts, and single bytes are pieces, so that every word has a segmentation.
+the word's end. As it serves novel words, it counts every distinct training word of the class once; each piece has
+SMOOTHING pseudo-counts, and single bytes are pieces, so that every word has a segmentation. The recursion carries
+mantissas and one log10 offset, so that long words don't vanish.
 
 The counts of all words, and the scores of all words, are tables that grow with the corpus; only the commonest HOT words of
 at most HOT_BYTES bytes are broadcast, to spare their shuffle. Other words are joined; none of them but an overlong one can
 be common, and that is split by adaptive execution.
 
-Defined results: a null text is empty and has the closing token alone; a null doc_id counts as crc32 zero, so it trains;
-repeated rows are rows and count twice in training; an empty table gives no rows; other columns are ignored.
+Defined results: a null text is empty and has the closing token alone; a null doc_id counts as crc32 zero, so it trains; a
+null lang is a class of its own; repeated rows are rows and count twice in training; without training documents only the
+spelling counts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,20 +37,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_batches, raw, space_words, written
 
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 7, 2
-SMOOTHING = 0.1
+SMOOTHING, OWN, CLASSES = 0.1, 0.9, 8
 HOT, HOT_BYTES = 50_000, 64
 #: Distinct words that a task counts before it hands them on.
 HELD = 300_000
 OPENING = "▁"
 
-PARTS = "row long, word binary, tf long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-
 
 @lru_cache(2)
 def vocabulary(name: str):
@@ -72,161 +76,217 @@ def vocabulary(name: str):
     return model, opening, going
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c, n): a word's tokens in the training documents and in all documents."""
+def held_out() -> Column:
+    return F.pmod(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)), F.lit(FOLDS)) == HELD_OUT
+
+
+def classes_of(docs: DataFrame) -> tuple[Column, list[int]]:
+    """(class number of a training document, training documents of each class)."""
+    name = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    found = sorted(((r[1], r[0]) for r in docs.where(~held_out()).groupBy(name.alias("c")).count().select("c", "count").collect()),
+                   key=lambda x: (-x[0], x[1]))  # a row for each language
+    own = [c for _, c in found[:CLASSES]] if len(found) <= CLASSES else [c for _, c in found[:CLASSES - 1]]
+    sizes = [n for n, _ in found[:len(own)]] + ([sum(n for n, _ in found[len(own):])] if len(found) > len(own) else [])
+    number = F.lit(max(0, len(sizes) - 1))
+    for k, c in enumerate(own):
+        number = F.when(name == c, k).otherwise(number)
+    return number, sizes or [0]
+
+
+def word_counts(docs: DataFrame, number: Column, k: int) -> DataFrame:
+    """(word, n, c0, c1, ...): a word's tokens in all documents and in the training documents of each class."""
+    names = ["word", "n", *(f"c{i}" for i in range(k))]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, trained = Counter(), Counter()
+        seen, trained = Counter(), [Counter() for _ in range(k)]
 
         def flush() -> pa.RecordBatch:
             words = list(seen)
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([trained[w] for w in words], pa.int64()),
-                                              pa.array(list(seen.values()), pa.int64())], ["word", "c", "n"])
-            seen.clear()
-            trained.clear()
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64()),
+                                              *(pa.array([t[w] for w in words], pa.int64()) for t in trained)], names)
+            for t in (seen, *trained):
+                t.clear()
             return out
 
         for b in batches:
-            for held_out, text in zip(b.column(0).to_pylist(), b.column(1)):
+            for own, text in zip(b.column(0).to_pylist(), b.column(1)):
                 words = space_words(text.as_py())
                 seen.update(words)
-                if not held_out:
-                    trained.update(words)
+                if own is not None:
+                    trained[own].update(words)
                 if len(seen) > HELD:
                     yield flush()
         if seen:
             yield flush()
 
-    parts = map_batches(docs.select(held_out().alias("held_out"), raw("text")), rows, "word binary, c long, n long")
-    return written(parts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "words")
+    slim = docs.select(F.when(~held_out(), number).cast("int").alias("own"), raw("text"))
+    parts = map_batches(slim, rows, ", ".join(["word binary", *(f"{c} long" for c in names[1:])]))
+    return written(parts.groupBy("word").agg(*(F.sum(c).alias(c) for c in names[1:])), "words")
 
 
-def held_out():
-    return F.pmod(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)), F.lit(FOLDS)) == HELD_OUT
-
-
-def piece_scores(words: DataFrame, name: str = VOCABULARY) -> dict:
-    """Scores of the vocabulary's pieces: log10 of first and next, and of stop. Their number is the vocabulary's."""
+def piece_scores(words: DataFrame, k: int, name: str = VOCABULARY) -> dict:
+    """Scores of the vocabulary's pieces in each class. Their number is the vocabulary's, so they fit the driver."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, _, going = vocabulary(name)
+        model, _, _ = vocabulary(name)
         size = model.get_piece_size()
-        first, after, stop = np.zeros(size), np.zeros(size), 0
+        first, after, stop = np.zeros((k, size), np.int64), np.zeros((k, size), np.int64), np.zeros((k, 1), np.int64)
         for b in batches:
             texts = [w.decode("utf-8", "replace") for w in b.column(0).to_pylist()]
-            for ids, c in zip(model.encode(texts, num_threads=1), b.column(1).to_pylist()):
-                first[ids[0]] += c
-                for i in ids[1:]:
-                    after[i] += c
-                stop += c
-        for kind, counts in (("first", first), ("next", after), ("stop", np.array([stop], float))):
-            i = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(i), pa.string()), pa.array(i, pa.int64()), pa.array(counts[i].astype(np.int64))], ["kind", "id", "c"])
-
-    known = map_batches(words.where("c > 0").select("word", "c"), rows, "kind string, id long, c long")
-    counts = {(r[0], r[1]): r[2] for r in known.groupBy("kind", "id").agg(F.sum("c")).collect()}  # two per piece at most
+            known = np.stack([b.column(i + 1).to_numpy() > 0 for i in range(k)], axis=1)
+            coded = model.encode(texts, num_threads=1)
+            for i in range(k):
+                own = [ids for ids, yes in zip(coded, known[:, i].tolist()) if yes and ids]
+                first[i] += np.bincount([ids[0] for ids in own], minlength=size)
+                after[i] += np.bincount([x for ids in own for x in ids[1:]], minlength=size)
+                stop[i] += len(own)
+        for kind, counts in (("first", first), ("next", after), ("stop", stop)):
+            i, j = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(i), pa.string()), pa.array(i), pa.array(j), pa.array(counts[i, j])], ["kind", "own", "id", "c"])
+
+    known = map_batches(words.select("word", *(f"c{i}" for i in range(k))), rows, "kind string, own long, id long, c long")
+    counts = {(r[0], r[1], r[2]): r[3] for r in known.groupBy("kind", "own", "id").agg(F.sum("c")).collect()}
     _, opening, going = vocabulary(name)
-    return scores_of(counts, opening, going)
+    return scores_of(counts, k, opening, going)
 
 
-def scores_of(counts: dict, opening: list[bytes | None], going: list[bytes | None]) -> dict:
-    first, after = {}, {}
+def scores_of(counts: dict, k: int, opening: list[bytes | None], going: list[bytes | None]) -> dict:
+    """For every piece its probability in each class, and how far pieces with the same two first bytes reach."""
+    first: dict[bytes, np.ndarray] = {}
+    after: dict[bytes, np.ndarray] = {}
     for i, (a, b) in enumerate(zip(opening, going)):
-        if a is not None:
-            first[a] = first.get(a, 0.0) + counts.get(("first", i), 0) + SMOOTHING
-        if b is not None:
-            after[b] = after.get(b, 0.0) + counts.get(("next", i), 0) + SMOOTHING
-    stop = counts.get(("stop", 0), 0) + SMOOTHING
+        for kind, piece, table in (("first", a, first), ("next", b, after)):
+            if piece is not None:
+                table[piece] = table.get(piece, 0.0) + np.array([counts.get((kind, c, i), 0) + SMOOTHING for c in range(k)])
+    stop = np.array([counts.get(("stop", c, 0), 0) + SMOOTHING for c in range(k)])
     total, more = sum(first.values()), sum(after.values()) + stop
-    return {"first": {k: math.log10(v / total) for k, v in first.items()}, "next": {k: math.log10(v / more) for k, v in after.items()},
-            "stop": math.log10(stop / more), "longest": max(map(len, [*first, *after]))}
-
+    reach: dict[bytes, int] = {}
+    for piece in after:
+        reach[piece[:2]] = max(reach.get(piece[:2], 0), len(piece))
+    return {"first": {p: tuple((v / total).tolist()) for p, v in first.items()}, "next": {p: tuple((v / more).tolist()) for p, v in after.items()},
+            "stop": (stop / more).tolist(), "reach": reach, "longest": max(map(len, first)), "classes": k}
 
-def _sum10(logs: list[float]) -> float:
-    """log10 of a sum of powers of ten."""
-    if len(logs) == 1:
-        return logs[0]
-    most = max(logs)
-    return most + math.log10(math.fsum(10.0 ** (x - most) for x in logs))
 
-
-def lattice(word: bytes, pieces: dict) -> float:
-    """log10 of the probability of all segmentations of a word, by the forward recursion over its bytes."""
-    first, after, longest = pieces["first"], pieces["next"], pieces["longest"]
+def lattice(word: bytes, pieces: dict) -> list[float]:
+    """log10 of the probability of all segmentations of a word in each class, by the forward recursion over its bytes."""
+    first, after, reach, classes = pieces["first"], pieces["next"], pieces["reach"], range(pieces["classes"])
     n = len(word)
-    into: list[list[float]] = [[] for _ in range(n + 1)]
-    for j in range(min(n, longest) + 1):
+    into: list[list[float] | None] = [None] * (n + 1)
+    offset = 0.0
+    for j in range(min(n, pieces["longest"]) + 1):
         x = first.get(word[:j])
         if x is not None:
-            into[j].append(x)
+            into[j] = list(x)
     for i in range(n):
-        if not into[i]:
+        at = into[i]
+        if at is None:
             continue
-        at = _sum10(into[i])
-        into[i] = []
-        for j in range(i + 1, min(n, i + longest) + 1):
+        if max(at) < 1e-150:  # all that is still ahead is scaled alike
+            offset -= 150
+            for j in range(i, n + 1):
+                if into[j] is not None:
+                    into[j] = [x * 1e150 for x in into[j]]
+                elif j > i + 64:
+                    break
+            at = into[i]
+        most = max(reach.get(word[i:i + 2], 1), 1)
+        for j in range(i + 1, min(n, i + most) + 1):
             x = after.get(word[i:j])
             if x is not None:
-                into[j].append(at + x)
-    return _sum10(into[n]) + pieces["stop"]
-
-
-def token_score(c: int, known: float, spelled: float, total: int, distinct: int) -> float:
-    """log10 of a token's probability: its own share joined with that of its spelling."""
-    novel = math.log10(distinct / (total + distinct)) if total else 0.0
-    if not c:
-        return novel + spelled
-    return _sum10([math.log10(total / (total + distinct)) + math.log10(c / total), novel + spelled])
+                to = into[j]
+                if to is None:
+                    into[j] = [at[c] * x[c] for c in classes]
+                else:
+                    for c in classes:
+                        to[c] += at[c] * x[c]
+        into[i] = None
+    return [math.log10(max(x, 1e-320)) + offset + math.log10(s) for x, s in zip(into[n], pieces["stop"])]
+
+
+class Shares:
+    """Token probabilities of each class from counts of tokens and distinct tokens."""
+
+    def __init__(self, tokens: list[int], distinct: list[int]):
+        self.tokens, self.all = tokens, sum(tokens)
+        self.novel = [v / (n + v) if n else 1.0 for n, v in zip(tokens, distinct)]
+
+    def logs(self, counts: list[int], spelled: list[float] | None) -> list[float]:
+        """log10 P of a token in each class; `spelled` is the log10 probability of its spelling (none for the end)."""
+        out, every = [], sum(counts)
+        for c, n, e, s in zip(counts, self.tokens, self.novel, spelled or [-math.inf] * len(counts)):
+            share = (1 - e) * (OWN * c / n + (1 - OWN) * every / self.all) if n else 0.0
+            if share and s > -300:
+                out.append(math.log10(share + e * 10.0 ** s))
+            elif share:
+                out.append(math.log10(share))
+            else:
+                out.append(math.log10(e) + s if s > -math.inf else math.log10(0.5))
+        return out
 
 
 def score(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    words = word_counts(docs)
-    ends = docs.where(~held_out()).count()
-    seen = words.where("c > 0").agg(F.sum("c"), F.count("*")).first()
-    total, distinct = (seen[0] or 0) + ends, seen[1] + (ends > 0)
-    pieces = spark.sparkContext.broadcast(piece_scores(words, name))
+    number, ends = classes_of(docs)
+    k = len(ends)
+    own, places = [f"c{i}" for i in range(k)], [f"s{i}" for i in range(k)]
+    words = word_counts(docs, number, k)
+    seen = words.agg(*(F.sum(c) for c in own), *(F.count_if(F.col(c) > 0) for c in own), F.count_if(sum(F.col(c) for c in own) > 0)).first()
+    shares = Shares([(seen[i] or 0) + ends[i] for i in range(k)], [seen[k + i] + (ends[i] > 0) for i in range(k)])
+    total, distinct = shares.all, seen[2 * k] + (sum(ends) > 0)
+    pieces = spark.sparkContext.broadcast(piece_scores(words, k, name))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            c = b.column("c").to_pylist()
-            whole = [token_score(x, 0.0, lattice(w, pieces.value), total, distinct) for w, x in zip(b.column("word").to_pylist(), c)]
-            base = [math.log10((x + 1) / (total + distinct + 1)) for x in c]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), pa.array([x > 0 for x in c]), pa.array(base, pa.float64()), pa.array(whole, pa.float64())],
-                                             ["word", "n", "known", "w_base", "w_score"])
-
-    table = written(map_batches(words, scored, "word binary, n long, known boolean, w_base double, w_score double"), "word-scores")
-    short = table.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT)
-    hot = spark.sparkContext.broadcast({bytes(r[0]): (int(r[2]), r[3], r[4]) for r in short.collect()})  # HOT words of HOT_BYTES
-    end_base = math.log10((ends + 1) / (total + distinct + 1))
-    end_score = token_score(ends, 0.0, math.log10(0.5), total, distinct)
+            counts = list(zip(*(b.column(c).to_pylist() for c in own)))
+            whole = [shares.logs(c, lattice(w, pieces.value)) for w, c in zip(b.column("word").to_pylist(), counts)]
+            base = [math.log10((sum(c) + 1) / (total + distinct + 1)) for c in counts]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("word"), b.column("n"), pa.array([int(sum(c) > 0) for c in counts], pa.int64()), pa.array(base, pa.float64()),
+                 *(pa.array(x, pa.float64()) for x in zip(*whole))], ["word", "n", "w_known", "w_base", *(f"w_{s}" for s in places)])
+
+    kinds = ", ".join(["word binary, n long, w_known long, w_base double", *(f"w_{s} double" for s in places)])
+    table = written(map_batches(words, scored, kinds), "word-scores")
+    hot = spark.sparkContext.broadcast(table.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT).drop("n").toArrow())
+    end = np.array([float(sum(ends) > 0), math.log10((sum(ends) + 1) / (total + distinct + 1)), *shares.logs(ends, None)])
+    names = ["row", "word", "tf", "doc_id", "held_out", "n_tokens", "known", "base", *places]
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, row = hot.value.get, TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
+        get = {w: i for i, w in enumerate(hot.value.column("word").to_pylist())}.get
+        grid = np.stack([hot.value.column(c).to_numpy() for c in ("w_known", "w_base", *(f"w_{s}" for s in places))], axis=1)
         for b in batches:
-            out: list[tuple] = []
-            for doc_id, held, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            rows, rare, times, ids, sums = [], [], [], [], []
+            for text in b.column(2):
                 bag = Counter(space_words(text.as_py()))
-                known, base, whole = int(ends > 0), end_base, end_score
-                for w, tf in bag.items():
-                    found = get(w)
-                    if found is None:
-                        out.append((row, w, tf, None, None, None, None, None, None))
-                    else:
-                        known += tf * found[0]
-                        base += tf * found[1]
-                        whole += tf * found[2]
-                # no word holds a blank: the document's own row meets none in the join, and no two meet each other
-                out.append((row, b" %d" % row, 0, doc_id, held, bag.total() + 1, known, base, whole))
+                places_of = [get(w, -1) for w in bag]
+                at, tf = np.array(places_of, np.int64), np.fromiter(bag.values(), np.float64, len(bag))
+                usual = at >= 0
+                sums.append(end + tf[usual] @ grid[at[usual]])
+                for (w, n), p in zip(bag.items(), places_of):
+                    if p < 0:
+                        rows.append(row)
+                        rare.append(w)
+                        times.append(n)
+                ids.append((row, bag.total() + 1))
                 row += 1
-            columns = list(zip(*out))
-            types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [c.split()[0] for c in PARTS.split(", ")])
+            # no word holds a blank: a document's own row meets no word in the join, and no two of them meet
+            m, d = len(rows), len(ids)
+            sums_of = np.array(sums).reshape(d, 2 + k)
+            blank = pa.nulls(m)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows + [r for r, _ in ids], pa.int64()), pa.array(rare + [b" %d" % r for r, _ in ids], pa.binary()),
+                 pa.array(times + [0] * d, pa.int64()), pa.concat_arrays([blank.cast(pa.int64()), b.column(0)]), pa.concat_arrays([blank.cast(pa.bool_()), b.column(1)]),
+                 pa.array([None] * m + [n for _, n in ids], pa.int64()), pa.array([None] * m + sums_of[:, 0].astype(int).tolist(), pa.int64()),
+                 *(pa.array([None] * m + sums_of[:, j].tolist(), pa.float64()) for j in range(1, 2 + k))], names)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), raw("text"))
-    rare = map_batches(slim, parts, PARTS).join(table.drop("n"), "word", "left")
-    return rare.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(F.when(F.col("known"), F.col("tf")).otherwise(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        F.sum(F.coalesce(F.col("base"), F.col("tf") * F.col("w_base"))).alias("base_score"),
-        F.sum(F.coalesce(F.col("score"), F.col("tf") * F.col("w_score"))).alias("score")).drop("row")
+    schema = ", ".join(["row long, word binary, tf long, doc_id long, held_out boolean, n_tokens long, known long, base double", *(f"{s} double" for s in places)])
+    met = map_batches(slim, parts, schema).join(table.drop("n"), "word", "left")
+    both = lambda c: F.sum(F.coalesce(F.col(c), F.col("tf") * F.col(f"w_{c}"))).alias(c)
+    sums = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
+                                  both("known"), both("base"), *(both(s) for s in places))
+    logs = [F.col(s) + math.log10(n / sum(ends) if sum(ends) else 1.0) for s, n in zip(places, ends)]
+    most = F.greatest(*logs) if k > 1 else logs[0]
+    return sums.withColumn("_most", most).select(
+        "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("_most") + F.log10(sum(F.pow(F.lit(10.0), x - F.col("_most")) for x in logs))).alias("score"))
