@@ -74,3 +74,23 @@ def key_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table
             last = k[a]
     if held:
         yield pa.Table.from_batches(held)
+
+
+class Forest:
+    """Least-member links among numbered points."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def roots(self, i: np.ndarray) -> np.ndarray:
+        r = self.up[i]
+        while (n := self.up[r]).tobytes() != r.tobytes():
+            r = n
+        return r
+
+    def link(self, i: np.ndarray) -> None:
+        """All of `i` belong together."""
+        r = self.roots(i)
+        least = r.min()
+        self.up[r] = least
+        self.up[i] = least

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted, langid, lattice, notices, packing, reshard, simhash, warc
+from . import e8, inverted, langid, lattice, notices, packing, preference, reshard, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,47 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_lattice_scores")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"))
+
+
+@query("op2_e8_near_duplicates", r"""
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings
+       where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+         and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+           where list_cosine_similarity(a.e, b.e) >= 0.93),
+     r as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from r join l on r.b = l.a)
+select e.vec_id, (select count(*) from l where l.a = e.vec_id) as n_links, min(r.b) as component_id, min(r.b) = e.vec_id as kept
+from embeddings e join r on r.a = e.vec_id group by e.vec_id
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return e8.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_preference_pairs", """
+with t as (select conv_id // 2 as pair_id, conv_id % 2 as side, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as i, role, text
+           from conversations where conv_id is not null),
+     s as (select pair_id, count(distinct side) as sides from t group by pair_id),
+     n as (select pair_id, side, max(i) as n from t group by pair_id, side),
+     d as (select c.pair_id, min(c.i) as i from t c join t r on c.pair_id = r.pair_id and c.i = r.i and c.side = 0 and r.side = 1
+           where c.role is distinct from r.role or c.text is distinct from r.text group by c.pair_id),
+     k as (select s.pair_id, case when sides < 2 then 0 else coalesce(d.i - 1, (select min(n) from n where n.pair_id = s.pair_id)) end as k, sides
+           from s left join d on s.pair_id = d.pair_id),
+     x as (select t.*, k, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) as h, coalesce(text, '') || '<|end|>' || chr(10) as b from t join k on t.pair_id = k.pair_id),
+     y as (select *, coalesce(sum(length(h) + length(b)) over (partition by pair_id, side order by i rows between unbounded preceding and 1 preceding), 0) as pos from x where i > k),
+     z as (select pair_id, side, string_agg(h || b, '' order by i) as body,
+                  string_agg(case when role = 'assistant' then (pos + length(h))::bigint || '-' || (pos + length(h) + length(b))::bigint end, ',' order by i) as mask
+           from y group by pair_id, side),
+     p as (select pair_id, string_agg(h || b, '' order by i) as prompt from x where i <= k and side = 0 group by pair_id),
+     own as (select distinct pair_id, side from t)
+select k.pair_id, k.k::int as n_common, coalesce(prompt, '') as prompt,
+       case when oc.side is not null then coalesce(c.body, '') end as chosen, case when orr.side is not null then coalesce(r.body, '') end as rejected,
+       case when oc.side is not null then coalesce(c.mask, '') end as chosen_mask, case when orr.side is not null then coalesce(r.mask, '') end as rejected_mask,
+       case when sides < 2 then 'unpaired' when c.body is null and r.body is null then 'equal' else 'pair' end as status
+from k left join p on k.pair_id = p.pair_id
+left join z c on k.pair_id = c.pair_id and c.side = 0 left join z r on k.pair_id = r.pair_id and r.side = 1
+left join own oc on k.pair_id = oc.pair_id and oc.side = 0 left join own orr on k.pair_id = orr.pair_id and orr.side = 1
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+    spans = "array_join(transform({0}, s -> concat(s.from, '-', s.to)), ',') as {0}"
+    return pairs.selectExpr("pair_id", "n_common", "prompt", "chosen", "rejected", spans.format("chosen_mask"), spans.format("rejected_mask"), "status")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..lineage import cut
-from .common import key_groups, map_batches, raw, space_words, written
+from .common import Forest, key_groups, map_batches, raw, space_words, written
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -74,27 +74,7 @@ def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-class _Forest:
-    """Least-member links among numbered points."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def roots(self, i: np.ndarray) -> np.ndarray:
-        r = self.up[i]
-        while (n := self.up[r]).tobytes() != r.tobytes():
-            r = n
-        return r
-
-    def link(self, i: np.ndarray) -> None:
-        """All of `i` belong together."""
-        r = self.roots(i)
-        least = r.min()
-        self.up[r] = least
-        self.up[i] = least
-
-
-def _join_near(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: _Forest) -> None:
+def _join_near(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: Forest) -> None:
     """Link every point of `left` with all points of `right` within the radius, a point's links at once."""
     near = _bits(x[left][:, None], x[right][None, :]) <= RADIUS
     if left is right:
@@ -103,7 +83,7 @@ def _join_near(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: _Fore
         forest.link(np.append(right[near[i]], left[i]))
 
 
-def vp_links(x: np.ndarray, forest: _Forest) -> None:
+def vp_links(x: np.ndarray, forest: Forest) -> None:
     """Link all pairs within the radius, by a vantage-point tree over `x` (distinct unsigned fingerprints)."""
     todo: list[tuple[np.ndarray, np.ndarray | None]] = [(np.arange(len(x)), None)]
     while todo:
@@ -138,7 +118,7 @@ def vp_links(x: np.ndarray, forest: _Forest) -> None:
                 todo += parts
 
 
-def _blocks(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: _Forest, size: int = 1024) -> None:
+def _blocks(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: Forest, size: int = 1024) -> None:
     """What no vantage point divides is compared in blocks, without a list of the pairs."""
     for i in range(0, len(left), size):
         for j in range(i if left is right else 0, len(right), size):
@@ -168,7 +148,7 @@ def near_links(fps: DataFrame) -> DataFrame:
             x = np.unique(group.column("fp").to_numpy())
             if len(x) < 2:
                 continue
-            forest = _Forest(len(x))
+            forest = Forest(len(x))
             vp_links(x.view(np.uint64), forest)
             roots = forest.roots(np.arange(len(x)))
             moved = np.flatnonzero(roots != np.arange(len(x)))
