@@ -126,7 +126,7 @@ def phrases(pieces: list[np.ndarray], go: np.ndarray) -> np.ndarray:
     width = go.shape[1]
     flat, restart = go.ravel(), np.where(go[1] > 0, go[1], 1)
     literal = go[1] == 0  # a symbol that the language lacks is a phrase of its own
-    lengths = np.array([len(p) for p in pieces])
+    lengths = np.array([len(p) for p in pieces], np.int64)
     order = np.argsort(-lengths, kind="stable")
     grid = np.zeros((lengths.max(initial=0), len(pieces)), np.uint8)
     for column, k in enumerate(order.tolist()):
