@@ -85,10 +85,9 @@ def e05(spark, sf):
     p = t(spark, sf, "part").withColumn("title", F.expr("concat(p_name, ' ', p_size)")).withColumn("id", F.md5(F.col("p_partkey").cast("string")))
     source = entity_of(p, "shared_parameter", None, id="id", title="title", type="'single'", project_codes="array('Brand#1')",
                        parameters="if(p_type <> 'SMALL', parse_json(to_json(array(named_struct('title', p_name, 'values', array(p_brand))))), parse_json('[]'))")
-    kept = source.where(F.size(sh.items("parameters")) > 0)
     done = xw(p.where("p_retailprice <= 950"), "shared_parameter", "id", "concat('x', id)")
     target = p.where("p_size > 40").select("id", F.upper("title").alias("title"))
-    out = ws.shared_parameters(kept, target, done)["payload"]
+    out = ws.shared_parameters(source, target, done)["payload"]
     return out.select("source_id", F.col("parameters")[0]["values"][0].alias("first_value"), F.array_join("project_codes", ",").alias("project_codes"))
 
 
@@ -354,7 +353,7 @@ select project_code, l_orderkey as run_id, hash, case when mapped then l_partkey
 @query("e15_results", f"select * from {RESULTS}")
 def e15(spark, sf):
     rows, details, cases = source_results(spark, sf)
-    out = pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, depth=2, with_steps=False)["payload"]
+    out = pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, with_steps=False)["payload"]
     return out.select("project_code", "run_id", "hash", "testops_id", "title", "status", "duration_ms", "stacktrace", "message",
                       F.array_join("attachments", "|").alias("attachments"), sh.joined_entries(F.col("params")).alias("params"), "signature",
                       F.array_join("suite_path", "/").alias("suite_path"), "author", "chunk")
@@ -372,7 +371,7 @@ c as (select hash, '0' as path, p_name as action, p_type as expected_result, nul
 select * from r union all select * from c""")
 def e15b(spark, sf):
     rows, details, cases = source_results(spark, sf)
-    out = pj.result_steps(pj.enrich_results(rows, details, cases), result_crosswalk(spark, sf), NEW_WS, depth=2)
+    out = pj.result_steps(pj.enrich_results(rows, details, cases), result_crosswalk(spark, sf), NEW_WS)
     return out.select("hash", F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "action", "expected_result", "comment", "status", "origin")
 
 
@@ -435,7 +434,7 @@ def e18(spark, sf):
         "milestone": milestone_rows(spark, sf), "environment": entity_of(s, "environment", "project", id="s_suppkey", title="s_name"),
         "case": case_rows(spark, sf), "plan": plan_rows(spark, sf), "run": run_rows(spark, sf), "run_link": run_links(spark, sf),
         "result": results, "result_detail": details, "defect": defect_rows(spark, sf)}
-    plans = whole.project_entities(landed, run_crosswalk(spark, sf), NEW_WS, step_depth=2)
+    plans = whole.project_entities(landed, run_crosswalk(spark, sf), NEW_WS)
     return whole.plan_summary(landed, plans)
 
 

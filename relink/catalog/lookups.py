@@ -519,9 +519,9 @@ def planned_users(spark, sf):
 
 
 USERS = """(with s as (select *, case when c_mktsegment <> 'MACHINERY' then lower(c_mktsegment || '.' || c_nationkey || '@x.example') end as email from customer),
- g as (select email, max(c_custkey) + 100000 as tid from s where c_mktsegment = 'BUILDING' group by 1), f as (select email, min(c_custkey) as cf from s where email is not null group by 1)
- select s.c_custkey, s.email, case when s.email is null then 'invalid' when tid is not null then 'matched' when c_acctbal <= 0 then 'defaulted'
-   when cf = c_custkey then 'to_create' else 'reuse_new' end as outcome, case when tid is not null then tid::varchar when c_acctbal <= 0 and s.email is not null then '1' end as target_key
+ g as (select email, max(c_custkey) + 100000 as tid from s where c_mktsegment = 'BUILDING' group by 1), f as (select email, min(c_custkey) as cf from s where email is not null and c_acctbal > 0 group by 1)
+ select s.c_custkey, s.email, case when s.email is null then 'invalid' when tid is not null then 'matched' when cf = c_custkey then 'to_create'
+   when cf < c_custkey then 'reuse_new' else 'defaulted' end as outcome, case when tid is not null then tid::varchar when s.email is not null and (cf is null or cf > c_custkey) then '1' end as target_key
  from s left join g using (email) left join f using (email))"""
 
 

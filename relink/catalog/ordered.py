@@ -41,14 +41,17 @@ def w03(spark, sf):
 
 
 @query("w04_uniquify_labels", """
-with w as (select conv_id, turn, unnest(list_filter(string_split(text, ' '), lambda x: not contains(x, '('))) as w,
-                  generate_subscripts(list_filter(string_split(text, ' '), lambda x: not contains(x, '(')), 1) as i from conversations),
-  n as (select *, row_number() over (partition by conv_id, turn, w order by i) - 1 as k from w)
-select conv_id, turn, md5(string_agg(case when k = 0 then w else w || ' (' || k || ')' end, '|' order by i)) as labels_md5 from n group by 1, 2""")
+with recursive w as (select conv_id, turn, list_transform(string_split(text, ' '), lambda x: left(x, 2)) || ['th (1)', 'th', 'an (2)', 'an', 'an', 'an (2)'] as ws from conversations),
+  g as (select conv_id, turn, ws, 1 as i, [ws[1]] as seen from w
+        union all
+        select conv_id, turn, ws, i + 1, seen || [case when not list_contains(seen, ws[i + 1]) then ws[i + 1] else ws[i + 1] || ' (' ||
+          list_min(list_filter(range(1, i + 2), lambda k: not list_contains(seen, ws[i + 1] || ' (' || k || ')'))) || ')' end]
+        from g where i < len(ws))
+select conv_id, turn, md5(array_to_string(seen, '|')) as labels_md5 from g where i = len(ws)""")
 def w04(spark, sf):
-    words = F.filter(F.split("text", " "), lambda w: ~w.contains("("))
+    words = F.concat(F.transform(F.split("text", " "), lambda w: F.left(w, F.lit(2))), F.array(*[F.lit(x) for x in ("th (1)", "th", "an (2)", "an", "an", "an (2)")]))
     out = F.array_join(ba.uniquify(words), "|")
-    return t(spark, sf, "conversations").where(F.size(words) > 0).select("conv_id", "turn", F.md5(out).alias("labels_md5"))
+    return t(spark, sf, "conversations").select("conv_id", "turn", F.md5(out).alias("labels_md5"))
 
 
 @query("w05_step_positions", """
@@ -115,7 +118,7 @@ def o01(spark, sf):
 select lower(c_name) || '@x.example' as email, row_number() over (order by lower(c_name) || '@x.example') as place from customer""")
 def o02(spark, sf):
     c = t(spark, sf, "customer").select(F.lower(F.concat("c_name", F.lit("@X.example"))).alias("email"))
-    return rk.number_rows(c, [], ["email"], "place", [F.left("email", F.lit(15))])
+    return rk.number_rows(c, [], ["email"], "place")
 
 
 @query("o03_pairs_by_numeric_id", """

@@ -55,7 +55,7 @@ select page_id, trim(html) <> '' as has_html, len(string_split(url, '?')) - 1 >
        len(string_split(url, '?')) > 1 as shaped from pages""")
 def p06(spark, sf):
     p = t(spark, sf, "pages").withColumn("parts", F.split("url", r"\?"))
-    params = F.slice("parts", 2, 1000)
+    params = F.slice("parts", F.lit(2), F.size("parts"))
     v = F.parse_json(F.to_json(params))
     return p.select("page_id", sh.present("html").alias("has_html"), sh.present(params, "collection").alias("has_query"),
                     sh.nonempty(v).alias("shaped"))

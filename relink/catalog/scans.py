@@ -246,7 +246,7 @@ def s20(spark, sf):
 with landed as (select event_type, count(*) as landed, count(distinct event_id // 100) as n_pages
                 from events where ts >= timestamp '2024-01-02' group by 1)
 select 'event' as entity, event_type as project_code, coalesce(landed, 0) as landed, count(*) as declared,
-       coalesce(n_pages, 0) as n_pages, coalesce(landed, 0) >= count(*) as complete
+       coalesce(n_pages, 0) as n_pages, 0 as n_bad, coalesce(landed, 0) >= count(*) as complete
 from events left join landed using (event_type) group by event_type, landed, n_pages""")
 def s21(spark, sf):
     ev = t(spark, sf, "events")

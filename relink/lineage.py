@@ -15,11 +15,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the cluster; a fresh local one only where none is set (tests)."""
+    """The folder named by the cluster. Only where none is set and everything runs in one process (a local master, as in
+    tests) a fresh local folder is made; on a cluster the executors could not read it, so that is an error."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
+        one_process = sc.master == "local" or sc.master.startswith("local[")
+        if not named and not one_process:
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="relink-"))
         current = sc.getCheckpointDir()
     return named or os.path.dirname(current)

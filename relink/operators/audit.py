@@ -26,9 +26,10 @@ def merge_stats(parts: list[DataFrame], by: list[str]) -> DataFrame:
 def summary(rows: DataFrame, scope: str, entity: str, created: str) -> DataFrame:
     """Created/processed per project and entity, per project, and for the workspace."""
     return (rows.rollup(scope, entity)
-            .agg(F.count(F.lit(1)).alias("processed"), F.count(created).alias("created"))
-            .select(F.coalesce(scope, F.lit("(all)")).alias(scope),
-                    F.coalesce(entity, F.lit("(all)")).alias(entity), "processed", "created"))
+            .agg(F.count(F.lit(1)).alias("processed"), F.count(created).alias("created"),
+                 F.grouping(scope).alias("_s"), F.grouping(entity).alias("_e"))
+            .select(F.when(F.col("_s") == 1, "(all)").otherwise(F.col(scope)).alias(scope),
+                    F.when(F.col("_e") == 1, "(all)").otherwise(F.col(entity)).alias(entity), "processed", "created"))
 
 
 COUNT_PARTS = ("passed", "failed", "skipped", "blocked", "invalid", "untested", "pending", "in_progress", "retest")
@@ -147,11 +148,23 @@ def outcome_counts(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def page_completeness(pages: DataFrame, by: list[str] = ("entity", "project_code")) -> DataFrame:
-    """Rows landed against the total the pages declare. ``pages`` has n_rows and total."""
-    per = pages.groupBy(*by).agg(F.sum("n_rows").alias("landed"), F.max("total").alias("declared"),
-                                 F.count(F.lit(1)).alias("n_pages"))
-    return per.withColumn("complete", F.col("landed") >= F.coalesce("declared", F.lit(0)))
+def page_completeness(
+    pages: DataFrame, rows: DataFrame, by: list[str] = ("entity", "project_code"), expected: DataFrame | None = None
+) -> DataFrame:
+    """Distinct rows landed against the total the pages declare.
+
+    ``pages`` has total and bad (could not be read), ``rows`` the landed keys. Complete means: a total is declared, as
+    many distinct keys are there, and every page could be read. Scopes of ``expected`` (columns ``by``) without any page
+    are listed as incomplete. Rows without a key count one by one.
+    """
+    by = list(by)
+    keys = rows.groupBy(*by).agg((F.count_distinct("key") + F.count_if(F.col("key").isNull())).alias("landed"))
+    per = pages.groupBy(*by).agg(F.max("total").alias("declared"), F.count(F.lit(1)).alias("n_pages"), F.count_if("bad").alias("n_bad"))
+    if expected is not None:
+        per = expected.select(*by).distinct().join(per, by, "full").fillna(0, ["n_pages", "n_bad"])
+    per = per.join(keys, by, "left").withColumn("landed", F.coalesce("landed", F.lit(0)))
+    whole = F.coalesce(F.col("landed") >= F.col("declared"), F.lit(False)) & (F.col("n_bad") == 0)
+    return per.select(*by, "landed", "declared", "n_pages", "n_bad", whole.alias("complete"))
 
 
 def run_summary(runs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.shapes import col, none_of
-from .ranking import chunk_index, number_rows
+from .ranking import NULL_KEY, chunk_index, number_rows
 
 
 def payload_chunks(df: DataFrame, by: list[str], order: list[str], n: int, columns: list[str]) -> DataFrame:
@@ -58,10 +58,9 @@ def _ends(sizes: np.ndarray, max_n: int, max_bytes: int, lone_bytes: int) -> np.
 def cap_batches(
     df: DataFrame, by: list[str], order: list[str], size: str, max_n: int = 20,
     max_bytes: int = 128 * 1024 * 1024, lone_bytes: int = 32 * 1024 * 1024, block: int = 200_000,
-    coarse: list[Column] | None = None,
 ) -> DataFrame:
-    """Greedy batches per queue: at most ``max_n`` items and ``max_bytes``, an item above
-    ``lone_bytes`` alone. Adds `batch` (from 0 in the queue).
+    """Greedy batches per queue: at most ``max_n`` items and ``max_bytes``, an item above ``lone_bytes`` or of unknown
+    size alone. Adds `batch` (from 0 in the queue); rows without a queue share one.
 
     Each batch starts where the last one ended, but where it ends depends on the next ``max_n`` items
     only. So a queue is cut into blocks: every block works out, for each place a batch may start in it
@@ -71,15 +70,19 @@ def cap_batches(
     """
     if not by:
         raise ValueError("name the queue column")
-    cols, types = df.columns, {f.name: f.dataType.simpleString() for f in df.schema}
-    ranked = number_rows(df, by, order, "_rank", coarse)
+    cols = df.columns
+    # queues are told apart by non-null text keys, so that no join or group loses the rows without one
+    queue = [f"_q{i}" for i in range(len(by))]
+    ranked = number_rows(df, by, order, "_rank").withColumns(
+        {q: F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY)) for q, c in zip(queue, by)})
+    by = queue
     slots = ranked.withColumn("_i", F.col("_rank") - 1).withColumn("_block", F.floor(F.col("_i") / block))
-    own = slots.select(*by, "_block", "_i", F.col(size).cast("bigint").alias("_bytes"))
+    own = slots.select(*by, "_block", "_i", F.coalesce(F.col(size).cast("bigint"), F.lit(lone_bytes + 1)).alias("_bytes"))
     # The first max_n items of a block are also shown to the block before it.
     halo = own.where((F.col("_block") > 0) & (F.pmod("_i", F.lit(block)) < max_n)).withColumn(
         "_block", F.col("_block") - 1)
     keys = [*by, "_block"]
-    key_ddl = ", ".join(f"`{c}` {types[c]}" for c in by)
+    key_ddl = ", ".join(f"`{c}` string" for c in by)
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_i")
@@ -141,5 +144,6 @@ def cap_batches(
 
 def upload_plan(df: DataFrame, queue: str, order: list[str], size: str, **caps) -> DataFrame:
     """Batches per target queue plus the queue's turn in sorted target order."""
-    turns = number_rows(df.select(queue).distinct(), [], [queue], "turn").withColumn("turn", F.col("turn") - 1)
-    return cap_batches(df, [queue], order, size, **caps).join(turns, queue)
+    turns = number_rows(df.select(queue).distinct(), [], [queue], "turn").select(F.col(queue).alias("_turn_of"), (F.col("turn") - 1).alias("turn"))
+    out = cap_batches(df, [queue], order, size, **caps)
+    return out.join(turns, F.col(queue).eqNullSafe(F.col("_turn_of"))).drop("_turn_of")

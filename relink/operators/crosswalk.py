@@ -90,14 +90,16 @@ def natural_key(c, trim: bool = True) -> Column:
 
 def match_or_create(
     source: DataFrame, target: DataFrame, source_id: str, source_key: Column, target_key: Column,
-    target_id: str, order: list[str], target_order: list[str], dedupe_new: bool = True,
+    target_id: str, order: list[str], target_order: list[str], dedupe_new: bool = True, eligible: Column | None = None,
 ) -> DataFrame:
     """Match source rows to target rows by natural key; say which remain to be created.
 
-    Adds `target_key`, `outcome` (matched | to_create | reuse_new | invalid) and `created_from`, the
-    source id whose creation serves the row. Of several target rows with one key the last wins; new
-    rows sharing a key are created once (first in order) unless ``dedupe_new`` is false.
+    Adds `target_key`, `outcome` (matched | to_create | reuse_new | ineligible | invalid) and `created_from`,
+    the source id whose creation serves the row. Of several target rows with one key the last wins; new rows
+    sharing a key are created once (the first in order that is ``eligible``) unless ``dedupe_new`` is false.
+    Rows after that one reuse it, eligible or not; rows before it, or of a key that nothing creates, are ineligible.
     """
+    may = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     existing = last_per_key(
         target.select(target_key.alias("_nk"), F.col(target_id).cast("string").alias("target_key"),
                       *[F.col(c).alias(f"_o{i}") for i, c in enumerate(target_order)])
@@ -106,13 +108,15 @@ def match_or_create(
     keyed = source.withColumn("_nk", source_key).join(existing, "_nk", "left")
     valid = F.col("_nk").isNotNull() & F.col(source_id).isNotNull()
     if dedupe_new:
-        new = source.withColumn("_nk", source_key).where(valid)
-        first = first_per_key(new, ["_nk"], order).select("_nk", F.col(source_id).alias("created_from"))
+        new = source.withColumn("_nk", source_key).where(valid & may)
+        first = first_per_key(new, ["_nk"], order).select(
+            "_nk", F.col(source_id).alias("created_from"), F.struct(*order).alias("_first"))
         keyed = keyed.join(first, "_nk", "left")
+        later = F.col("created_from").isNotNull() & (F.struct(*order) >= F.col("_first"))
     else:
-        keyed = keyed.withColumn("created_from", F.col(source_id))
-    outcome = (F.when(~valid, "invalid").when(F.col("target_key").isNotNull(), "matched")
-               .when(F.col("created_from") == F.col(source_id), "to_create").otherwise("reuse_new"))
+        keyed, later = keyed.withColumn("created_from", F.when(may, F.col(source_id))), may
+    outcome = (F.when(~valid, "invalid").when(F.col("target_key").isNotNull(), "matched").when(~later, "ineligible")
+               .when(may & (F.col("created_from") == F.col(source_id)), "to_create").otherwise("reuse_new"))
     made = F.when(F.col("outcome").isin("to_create", "reuse_new"), F.col("created_from"))
     return (keyed.withColumn("outcome", outcome).withColumn("created_from", made)
             .withColumn("target_key", F.when(valid, F.col("target_key")))
@@ -169,6 +173,24 @@ def resume(df: DataFrame, cw: DataFrame, entity: str, key: str, scope: str | Non
     return df.join(done, on, "left_anti")
 
 
+def apply_created(rows: DataFrame, responses: DataFrame, entity: str, source_id: str = "id", scope=WORKSPACE) -> DataFrame:
+    """Crosswalk rows that creation adds: ``rows`` is what `match_or_create` returned, ``responses`` has source_id and
+    target_key of what was created. Rows that reuse a new one get its target; failed creations give no row. Of repeated
+    responses the largest key counts, so that a retried call changes nothing."""
+    made = responses.where("target_key is not null").groupBy(F.col("source_id").cast("string").alias("_made")).agg(
+        F.max(F.col("target_key").cast("string")).alias("_new"))
+    served = rows.where("outcome in ('to_create', 'reuse_new')").withColumn("_made", F.col("created_from").cast("string"))
+    return pairs(served.join(made, "_made"), entity, source_id, "_new", scope)
+
+
+def extend(cw: DataFrame, *added: DataFrame) -> DataFrame:
+    """A crosswalk with further pairs laid over it: of one key the later frame's pair stays."""
+    every = cw.withColumn("_turn", F.lit(0))
+    for i, a in enumerate(added):
+        every = every.unionByName(a.withColumn("_turn", F.lit(i + 1)))
+    return build_crosswalk(every, ["_turn", "target_key"])
+
+
 def replace_slices(main: DataFrame, worker: DataFrame, scope: str) -> DataFrame:
     """Main crosswalk with one scope's rows replaced by a worker's."""
     return main.where(F.col("scope") != scope).unionByName(

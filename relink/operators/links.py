@@ -40,9 +40,11 @@ def resolve_refs(
     slim = df.select(*row_key, F.explode(every).alias("_r")).select(*row_key, "_r.*")
     wanted = cw.where(F.col("entity").isin(*refs))
     hits = slim.join(wanted, ["entity", "scope", "source_key"])
-    # A row's map holds at most the row's own distinct references.
-    maps = hits.groupBy(*row_key).agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat_ws(SEP, "entity", "source_key"), "target_key"))).alias(out))
+    # A row's map holds at most the row's own distinct references; of several targets of one key the largest counts.
+    entries = F.array_sort(F.collect_list(F.struct(F.concat_ws(SEP, "entity", "source_key").alias("key"), "target_key")))
+    found = hits.groupBy(*row_key).agg(entries.alias("_e"))
+    last = F.filter("_e", lambda e, i: (i == F.size("_e") - 1) | (F.get("_e", i + 1)["key"] != e["key"]))
+    maps = found.select(*row_key, F.map_from_entries(last).alias(out))
     return df.join(maps, row_key, "left")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.shapes import as_type, items, members, names, none_of, pick_member, truthy
+from ..lineage import cut
 
 
 def overlay(
@@ -46,6 +47,7 @@ EXECUTION_WINS = (
     "stdout", "stderr", "error", "Error", "errors", "attachments", "duration", "time_ms", "time_spent_ms",
     "stacktrace", "start_time", "end_time", "status", "status_id",
 )
+# Names under which a step's texts are landed.
 ACTION = ("action", "Action", "title", "Title", "name", "Name")
 EXPECTED = ("expected_result", "expectedResult", "expected", "Expected")
 ACTUAL = (
@@ -110,25 +112,23 @@ def step_columns(flat) -> list[Column]:
     ]
 
 
-def explode_steps(df: DataFrame, row_key: list[str], steps, depth: int | None = None) -> DataFrame:
+def explode_steps(df: DataFrame, row_key: list[str], steps) -> DataFrame:
     """Step tree -> table (row_key, path array<int>, step columns), one row per step at any depth.
 
-    Levels are exploded until none is left; pass ``depth`` when it is known to save the check.
+    Each level is written once to the shared folder and the next one is exploded from it, until a level is empty; so
+    ``df`` is read once whatever the depth, and no step is flattened twice.
     """
-    level = df.select(*row_key, F.posexplode(items(steps)).alias("_p", "_step")).select(
-        *row_key, F.array("_p").alias("path"), flat_step(F.col("_step")).alias("_flat"))
-    out, n = None, 1
+    level = cut(df.select(*row_key, F.posexplode(items(steps)).alias("_p", "_step")).select(
+        *row_key, F.array("_p").alias("path"), flat_step(F.col("_step")).alias("_flat")))
+    out = level.select(*row_key, "path", *step_columns("_flat"))
     while True:
-        rows = level.select(*row_key, "path", *step_columns("_flat"))
-        out = rows if out is None else out.unionByName(rows)
-        level = level.select(
-            *row_key, "path", F.posexplode(items(step_member("_flat", "steps"))).alias("_p", "_step")
-        ).select(*row_key, F.concat("path", F.array("_p")).alias("path"), flat_step(F.col("_step")).alias("_flat"))
-        n += 1
-        if depth is not None and n > depth:
-            return out
-        if depth is None and level.isEmpty():
+        below = items(step_member("_flat", "steps"))
+        level = level.select(*row_key, "path", F.posexplode(below).alias("_p", "_step")).select(
+            *row_key, F.concat("path", F.array("_p")).alias("path"), flat_step(F.col("_step")).alias("_flat"))
+        level = cut(level)
+        if level.isEmpty():
             return out
+        out = out.unionByName(level.select(*row_key, "path", *step_columns("_flat")))
 
 
 def zip_steps(

@@ -1,67 +1,73 @@
 """Order-dependent operators that hold up when one scope owns a large share of all rows.
 
-A plain `row_number() over (partition by scope)` puts a whole scope into one task. `number_rows` ranks
-inside (scope, coarse) pieces, where `coarse` is a monotone coarsening of the order column, and adds the
-number of rows of earlier pieces. First/last-per-key uses `row_number() = 1`, which Spark limits per map
+A plain `row_number() over (partition by scope)` puts a whole scope into one task. `number_rows` counts the scopes first;
+those with very many rows are cut into pieces at measured quantiles of the whole order key, are ranked inside a piece, and
+get the number of rows of the earlier pieces added. First/last-per-key uses `row_number() = 1`, which Spark limits per map
 task before the shuffle (WindowGroupLimit), so a hot key sends at most one row per task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 NULL_KEY = "\u0000"
-
-
-def coarsen(df: DataFrame, column: str, bits: int = 16) -> Column:
-    """Monotone coarsening by type: 2^bits ids, one hour, or the first four characters."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return F.shiftright(c.cast("bigint"), bits)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_trunc("HOUR", c)
-    if isinstance(kind, T.StringType):
-        return F.left(c, F.lit(4))
-    raise TypeError(f"no default coarsening for {kind.simpleString()}; pass coarse=")
-
-
-def number_rows(
-    df: DataFrame, by: list[str], order: list[str], out: str = "rank", coarse: list[Column] | None = None
-) -> DataFrame:
+#: Rows from which a scope is cut into pieces, pieces at most, keys looked at for each piece, and the smallest share of all
+#: rows of a scope that is cut: so no more than 1 / SHARE scopes are, and what is collected and broadcast is bounded.
+PIECE, PIECES, LOOKED_AT, SHARE = 500_000, 256, 40, 0.002
+
+
+def _bounds(keyed: DataFrame, order: list[str], piece: int) -> dict[str, list]:
+    """Upper bounds of the pieces of each large scope: quantiles of a sample of its order keys."""
+    counts = keyed.groupBy("_scope").agg(F.count(F.lit(1)).alias("n"))
+    total = keyed.count()
+    large = {r[0]: r[1] for r in counts.where(F.col("n") > max(piece, SHARE * total)).collect()}
+    if not large:
+        return {}
+    wanted = {s: min(PIECES, -(-n // piece)) for s, n in large.items()}
+    share = F.create_map(*[F.lit(x) for s, k in wanted.items() for x in (s, min(1.0, k * LOOKED_AT / large[s]))])
+    sample = keyed.where(F.col("_scope").isin(list(large))).where(
+        F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < share[F.col("_scope")] * (1 << 30)).select("_scope", F.struct(*order).alias("k"))
+    found: dict[str, list] = {}
+    for r in sample.sort("_scope", "k").collect():
+        found.setdefault(r[0], []).append(r[1])
+    return {s: [ks[len(ks) * i // wanted[s]] for i in range(1, wanted[s])] for s, ks in found.items()}
+
+
+def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "rank", piece: int = PIECE) -> DataFrame:
     """Add the 1-based position of each row in its scope, in ascending ``order`` (nulls first).
 
-    ``coarse`` must be monotone in ``order`` and leave few rows per piece; by default it coarsens the
-    first order column. ``order`` should end in a unique column, else ties are numbered arbitrarily.
+    ``order`` should end in a unique column, else ties are numbered arbitrarily. ``df`` is counted before it is ranked, so
+    it should be cheap to read or written before.
     """
-    coarse = coarse or [coarsen(df, order[0])]
-    def key(c):
-        return F.coalesce(c.cast("string"), F.lit(NULL_KEY))
-
-    scope = {f"_s{i}": key(F.col(c)) for i, c in enumerate(by)}
-    piece = {f"_p{i}": key(c) for i, c in enumerate(coarse)}
-    typed = {f"_c{i}": c for i, c in enumerate(coarse)}
-    # Join and window share one partitioning, so the rows are shuffled once.
-    keyed = df.select("*", *[c.alias(n) for n, c in {**scope, **piece, **typed}.items()])
-    keys = [*scope, *piece]
-    local = Window.partitionBy(*keys).orderBy(*order)
-    pieces = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"), *[F.first(c).alias(c) for c in typed])
-    before = Window.partitionBy(*scope) if scope else Window.partitionBy(F.lit(0))
-    before = before.orderBy(*typed).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    ranked = keyed.withColumn("_local", F.row_number().over(local)).drop(*typed)
-    return (ranked.join(offsets, keys)
-            .withColumn(out, F.col("_local") + F.col("_before"))
-            .select(*df.columns, out))
-
-
-def chunk_index(
-    df: DataFrame, by: list[str], order: list[str], n: int, coarse: list[Column] | None = None
-) -> DataFrame:
+    spark = df.sparkSession
+    scope = F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY)) for c in by]) if by else F.lit("")
+    keyed = df.withColumn("_scope", scope)
+    bounds = _bounds(keyed.select("_scope", *{c: None for c in order}), order, piece)
+    if not bounds:
+        ranked = keyed.withColumn(out, F.row_number().over(Window.partitionBy("_scope").orderBy(*order)).cast("bigint"))
+        return ranked.select(*df.columns, out)
+    kind = df.select(F.struct(*order).alias("k")).schema["k"].dataType
+    ddl = f"_scope string, _bounds array<{kind.simpleString()}>"
+    table = F.broadcast(spark.createDataFrame(list(bounds.items()), ddl))  # 1 / SHARE scopes of PIECES keys at most
+    pieced = keyed.join(table, "_scope", "left").withColumn("_piece", F.coalesce(
+        F.size(F.filter("_bounds", lambda b: b <= F.struct(*order))), F.lit(0))).drop("_bounds")
+    large = F.col("_scope").isin(list(bounds))
+    sizes = {(r[0], r[1]): r[2] for r in pieced.where(large).groupBy("_scope", "_piece").count().collect()}
+    first, rows = 0, []
+    for s in bounds:
+        first = 0
+        for p in range(len(bounds[s]) + 1):
+            rows.append((s, p, first))
+            first += sizes.get((s, p), 0)
+    offsets = F.broadcast(spark.createDataFrame(rows, "_scope string, _piece int, _before long"))
+    local = F.row_number().over(Window.partitionBy("_scope", "_piece").orderBy(*order))
+    return (pieced.withColumn("_local", local).join(offsets, ["_scope", "_piece"], "left")
+            .withColumn(out, F.col("_local") + F.coalesce("_before", F.lit(0))).select(*df.columns, out))
+
+
+def chunk_index(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """Fixed-size chunks in order: adds `chunk` (from 0) and `pos` (from 0 inside the chunk)."""
-    ranked = number_rows(df, by, order, "_rank", coarse)
+    ranked = number_rows(df, by, order, "_rank")
     zero = F.col("_rank") - 1
     return (ranked.withColumn("chunk", F.floor(zero / n)).withColumn("pos", F.pmod(zero, F.lit(n)))
             .drop("_rank"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates, enums, shapes, text
 from ..functions.predicates import defect_resolved, has_all, run_finished
 from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, items, none_of
+from ..lineage import cut
 from ..operators import hierarchy, overlay as ov
 from ..operators.audit import rejects
 from ..operators.crosswalk import lookup, lookup_by_title, resume, titles_to_ids
@@ -19,16 +20,19 @@ SCOPE = "project_code"
 ROW = [SCOPE, "id"]
 
 
-def milestones(rows: DataFrame) -> dict[str, DataFrame]:
-    """Milestones parents-first; 0 counts as no parent. The remapped parent is planned as a load level."""
+def milestones(rows: DataFrame, cw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Milestones parents-first; 0 counts as no parent. With a crosswalk, `parent_target` is the parent's target where
+    it is known already; the others are created level by level."""
     walked = hierarchy.expand(rows, "id", "parent_id", [SCOPE], zero_is_root=True)
     ok = walked.where("state = 'reached'")
+    ok = (ok.withColumn("parent_target", F.lit(None).cast("string")) if cw is None
+          else hierarchy.remap_parent(ok, cw, "milestone", "parent_id", "parent_target", SCOPE))
     return {
         "payload": ok.select(
             SCOPE, F.col("id").alias("source_id"), "title",
             F.coalesce("description", F.lit("")).alias("description"),
             F.coalesce("status", F.lit("active")).alias("status"), dates.day("due_date").alias("due_date"),
-            "parent_id", "depth", "order_path"),
+            "parent_id", "parent_target", "depth", "order_path"),
         "rejects": rejects(walked, "milestone", SCOPE, "id", {
             "parent never reached": F.col("state") == hierarchy.LOST}),
     }
@@ -40,7 +44,7 @@ def configurations(groups: DataFrame, nested: DataFrame, cw: DataFrame) -> dict[
     return {
         "payload_groups": groups.select(SCOPE, F.col("id").alias("source_id"), "title"),
         "payload": fresh.where(has_all("title")).select(SCOPE, "group_id", F.col("id").alias("source_id"), "title"),
-        "rejects": rejects(nested, "configuration", SCOPE, "id", {"no title": ~has_all("title")}),
+        "rejects": rejects(fresh, "configuration", SCOPE, "id", {"no title": ~has_all("title")}),
     }
 
 
@@ -50,7 +54,7 @@ def environments(rows: DataFrame, cw: DataFrame) -> dict[str, DataFrame]:
         "payload": fresh.where(has_all("id", "title")).select(
             SCOPE, F.col("id").alias("source_id"), "title", F.coalesce("slug", F.lit("")).alias("slug"),
             F.coalesce("host", F.lit("")).alias("host"), F.nullif(F.col("description"), F.lit("")).alias("description")),
-        "rejects": rejects(rows, "environment", SCOPE, "id", {"no id or title": ~has_all("id", "title")}),
+        "rejects": rejects(fresh, "environment", SCOPE, "id", {"no id or title": ~has_all("id", "title")}),
     }
 
 
@@ -209,7 +213,7 @@ def cases(
         F.col("suite_id").alias("_suite"))
     unknown_suite = F.col("_suite").isNotNull() & F.col("suite_id").isNull()
     return {
-        "payload": out.drop("_suite"),
+        "payload": out.where("source_id is not null").drop("_suite"),
         "at_root": rejects(out, "case", SCOPE, "source_id", {"suite unknown, created at root": unknown_suite}),
         "rejects": rejects(rows, "case", SCOPE, "title", {"no id": F.col("id").isNull()}),
     }
@@ -217,7 +221,8 @@ def cases(
 
 def plans(rows: DataFrame, cw: DataFrame) -> dict[str, DataFrame]:
     """Plans with at least one mapped case; case lists as a link table."""
-    fresh = resume(rows, cw, "plan", "id", SCOPE).where(has_all("id", "title"))
+    new = resume(rows, cw, "plan", "id", SCOPE)
+    fresh = new.where(has_all("id", "title"))
     links = fresh.select(SCOPE, F.col("id").alias("plan_id"), F.posexplode(
         shapes.linked_ids("cases", "case_id")).alias("pos", "case_id"))
     mapped = remap_links(links, cw, "case", "case_id", "target_case", SCOPE)
@@ -229,7 +234,7 @@ def plans(rows: DataFrame, cw: DataFrame) -> dict[str, DataFrame]:
                                F.nullif(F.col("description"), F.lit("")).alias("description")),
         "links": mapped.select(SCOPE, "plan_id", "pos", "case_id", "target_case"),
         "rejects": rejects(dropped, "plan", SCOPE, "id", {"no mapped case": F.lit(True)}).unionByName(
-            rejects(rows, "plan", SCOPE, "id", {"no id or title": ~has_all("id", "title")})),
+            rejects(new, "plan", SCOPE, "id", {"no id or title": ~has_all("id", "title")})),
     }
 
 
@@ -281,6 +286,7 @@ def runs(
     }
 
 
+# Names of step lists, members a detail record wins, media lists, durations in milliseconds.
 STEP_LISTS = ("steps", "step_results", "elements", "result_steps", "test_results", "substeps")
 DETAIL_WINS = (
     "steps", "comment", "message", "stacktrace", "attachments", "status", "status_id", "time_spent_ms",
@@ -292,15 +298,20 @@ RUN_MEDIA = ("attachments", "files", "screenshots", "media", "images")
 MS_FIELDS = ("time_spent_ms", "time_ms", "duration_ms")
 
 
+def _by_hash(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("hash", F.coalesce("hash", "result_hash")) if "result_hash" in rows.columns else rows
+
+
 def enrich_results(rows: DataFrame, details: DataFrame | None, case_rows: DataFrame) -> DataFrame:
     """Summary + detail + promoted execution + case metadata: one row per result, one join each.
 
-    Adds `_steps` (variant), `_case_steps`, `_path` (suite titles) and flattened texts.
+    Adds `_steps` (variant), `_case_steps`, `_path` (suite titles) and flattened texts. A row's key is `hash`, or
+    `result_hash` where that is all it has.
     """
-    out = rows
+    out, details = _by_hash(rows), None if details is None else _by_hash(details)
     if details is not None:
         fill = tuple(c for c in details.columns if c not in DETAIL_WINS)
-        out = ov.overlay(rows, details, [SCOPE, "hash"], not_shorter=("steps",),
+        out = ov.overlay(out, details, [SCOPE, "hash"], not_shorter=("steps",),
                          longer=("files", "screenshots", "media", "images"), fill_only=fill)
     ex = F.col("execution")
 
@@ -334,16 +345,16 @@ def enrich_results(rows: DataFrame, details: DataFrame | None, case_rows: DataFr
             .withColumn("_path", F.coalesce("_case_path", own_path, *nested)).drop("_case_path"))
 
 
-def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None = None, depth: int | None = None) -> DataFrame:
+def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None = None) -> DataFrame:
     """Steps of results at every level, merged by position with the steps of their cases."""
     key = [SCOPE, "hash"]
-    own = ov.explode_steps(enriched, key, "_steps", depth)
-    case_side = ov.explode_steps(enriched.withColumn("_ps", F.col("status_id")), [*key, "_ps"], "_case_steps", depth)
+    own = ov.explode_steps(enriched, key, "_steps")
+    case_side = ov.explode_steps(enriched.withColumn("_ps", F.col("status_id")), [*key, "_ps"], "_case_steps")
     merged = ov.zip_steps(own, case_side.withColumnRenamed("_ps", "parent_status"), key)
     comment = text.step_comment("actual", "comment")
     with_text = merged.withColumn("comment", comment).withColumn("_pk", F.array_join(F.col("path").cast("array<string>"), "."))
     refs = {"attachment": F.concat(refs_in_text(["comment"]), text.media_keys("attachments"))}
-    done = resolve_refs(with_text, cw, [*key, "_pk"], refs, SCOPE, out="_m")
+    done = resolve_refs(cut(with_text), cw, [*key, "_pk"], refs, SCOPE, out="_m")
     status = F.coalesce("status", "status_id")
     return done.select(
         *key, "path", F.coalesce("action", F.lit(".")).alias("action"), "expected_result",
@@ -354,14 +365,14 @@ def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None =
 
 def results(
     rows: DataFrame, details: DataFrame | None, case_rows: DataFrame, cw: DataFrame,
-    new_workspace: str | None = None, default_user: int = 1, batch: int = 500, depth: int | None = None,
-    with_steps: bool = True,
+    new_workspace: str | None = None, default_user: int = 1, batch: int = 500, with_steps: bool = True,
 ) -> dict[str, DataFrame]:
     """Results ready to load, chunked per run, and their merged step table.
 
-    The crosswalk holds case, attachment, user and author (uuid -> source user id) entries.
+    The crosswalk holds case, attachment, user and author (uuid -> source user id) entries. The enriched rows are
+    written once to the shared folder: texts, steps and references are all read from there.
     """
-    enriched = enrich_results(chunk_index(rows, [SCOPE, "run_id"], ["hash"], batch), details, case_rows)
+    enriched = cut(enrich_results(chunk_index(_by_hash(rows), [SCOPE, "run_id"], ["hash"], batch), details, case_rows))
     ex = F.col("execution")
     media = text.media_keys(*MEDIA, *[F.try_variant_get(ex, f"$.{m}", "variant") for m in RUN_MEDIA])
     message = text.join_message("comment", "message", "text")
@@ -370,7 +381,7 @@ def results(
     groups = F.coalesce("param_groups", *[F.try_variant_get(o, "$.param_groups", "variant") for o in ("execution", "case")])
     work = (enriched.withColumn("_message", message).withColumn("_media", media)
             .withColumn("_params", params).withColumn("_groups", shapes.param_groups(groups))
-            .withColumn("_row_hash", F.coalesce("hash", "result_hash")))
+            .withColumn("_row_hash", F.col("hash")))
     chosen = F.coalesce(*[as_text(c).try_cast("bigint") for c in ("member_id", "author_id", "user_id", "created_by")])
     work = lookup(work, cw, "author", "author_uuid", "_author")
     work = work.withColumn("_uid", F.coalesce(F.col("_author").try_cast("bigint"), chosen))
@@ -403,7 +414,7 @@ def results(
         F.when(F.col("testops_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
     return {
         "payload": out,
-        **({"steps": result_steps(enriched, cw, new_workspace, depth)} if with_steps else {}),
+        **({"steps": result_steps(enriched, cw, new_workspace)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("testops_id").isNull()}),
     }
 

@@ -22,11 +22,10 @@ ORDER = (
 
 def project_entities(
     landed: dict[str, DataFrame], cw: DataFrame, new_workspace: str | None = None, default_user: int = 1,
-    step_depth: int | None = None,
 ) -> dict[str, dict[str, DataFrame]]:
     """Plan of each landed project entity against one crosswalk."""
     build = {
-        "milestone": lambda d: pj.milestones(d["milestone"]),
+        "milestone": lambda d: pj.milestones(d["milestone"], cw),
         "configuration": lambda d: pj.configurations(d["configuration_group"], d["configuration"], cw),
         "environment": lambda d: pj.environments(d["environment"], cw),
         "shared_step": lambda d: pj.shared_steps(d["shared_step"]),
@@ -35,7 +34,7 @@ def project_entities(
         "plan": lambda d: pj.plans(d["plan"], cw),
         "run": lambda d: pj.runs(d["run"], d["run_link"], d["milestone"], cw, default_user),
         "result": lambda d: pj.results(d["result"], d.get("result_detail"), d["case"], cw, new_workspace,
-                                       default_user, depth=step_depth),
+                                       default_user),
         "defect": lambda d: pj.defects(d["defect"], cw, new_workspace, default_user),
     }
     return {e: build[e](landed) for e in ORDER if e in build and e in landed}
@@ -72,6 +71,7 @@ def plan_summary(landed: dict[str, DataFrame], plans: dict[str, dict[str, DataFr
         parts += [counted(landed[e], e, True), counted(p["payload"], e, False)]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     return (rows.rollup("scope", "entity").agg(
-        F.count_if("is_landed").alias("landed"), F.count_if(~F.col("is_landed")).alias("planned"))
-        .select(F.coalesce("scope", F.lit("(all)")).alias("scope"), F.coalesce("entity", F.lit("(all)")).alias("entity"),
-                "landed", "planned"))
+        F.count_if("is_landed").alias("landed"), F.count_if(~F.col("is_landed")).alias("planned"),
+        F.grouping("scope").alias("_s"), F.grouping("entity").alias("_e"))
+        .select(F.when(F.col("_s") == 1, "(all)").otherwise(F.col("scope")).alias("scope"),
+                F.when(F.col("_e") == 1, "(all)").otherwise(F.col("entity")).alias("entity"), "landed", "planned"))

@@ -40,13 +40,15 @@ def projects(source: DataFrame, target: DataFrame, only=(), skip=()) -> dict[str
 def users(
     source: DataFrame, target: DataFrame, create: bool = True, create_inactive: bool = False, default: int = 1
 ) -> dict[str, DataFrame]:
-    """Users matched by lower-case email. `outcome`: matched, to_create, reuse_new, defaulted, invalid."""
-    rows = match_or_create(source, target, "id", F.nullif(F.lower("email"), F.lit("")),
-                           F.nullif(F.lower("email"), F.lit("")), "id", ["id"], ["id"])
+    """Users matched by lower-case email. `outcome`: matched, to_create, reuse_new, defaulted, invalid.
+
+    The first user of an email that may be created is; later users of it, inactive ones too, reuse that one, and
+    earlier ones that may not be created take the default user."""
     active = F.coalesce("is_active", F.lit(True))
     may_create = F.lit(create) & (active | F.lit(create_inactive))
-    waiting = F.col("outcome").isin("to_create", "reuse_new")
-    rows = rows.withColumn("outcome", F.when(waiting & ~may_create, "defaulted").otherwise(F.col("outcome")))
+    rows = match_or_create(source, target, "id", F.nullif(F.lower("email"), F.lit("")),
+                           F.nullif(F.lower("email"), F.lit("")), "id", ["id"], ["id"], eligible=may_create)
+    rows = rows.withColumn("outcome", F.when(F.col("outcome") == "ineligible", "defaulted").otherwise(F.col("outcome")))
     target_id = (F.when(F.col("outcome") == "matched", numeric_text("target_key"))
                  .when(F.col("outcome") == "defaulted", F.lit(str(default))))
     rows = rows.withColumn("target_key", target_id)
@@ -114,19 +116,19 @@ def custom_fields(source: DataFrame, target: DataFrame) -> dict[str, DataFrame]:
 def shared_parameters(source: DataFrame, target: DataFrame, cw: DataFrame) -> dict[str, DataFrame]:
     """Parameters not yet mapped, matched by title; only items with a title and values are sent."""
     open_rows = resume(source, cw, "shared_parameter", "id")
-    rows = match_or_create(open_rows, target, "id", natural_key("title"), natural_key("title"), "id", ["id"], ["id"])
-    rows = rows.withColumn("clean", clean_parameters("parameters"))
+    cleaned = open_rows.withColumn("clean", clean_parameters("parameters"))
+    rows = match_or_create(cleaned, target, "id", natural_key("title"), natural_key("title"), "id", ["id"], ["id"],
+                           eligible=F.size("clean") > 0)
     for_all = F.coalesce("is_enabled_for_all_projects", F.lit(False))
-    empty = (F.col("outcome") == "to_create") & (F.size("clean") == 0)
     return {
         "rows": rows,
-        "payload": rows.where((F.col("outcome") == "to_create") & ~empty).select(
+        "payload": rows.where("outcome = 'to_create'").select(
             F.col("id").alias("source_id"), "title", "type", for_all.alias("is_enabled_for_all_projects"),
             F.col("clean").alias("parameters"),
             F.when(~for_all & (F.size("project_codes") > 0), F.col("project_codes")).alias("project_codes")),
         "crosswalk": pairs(rows.where("outcome = 'matched'"), "shared_parameter", "id", "target_key"),
         "rejects": rejects(rows, "shared_parameter", F.lit("*"), "id", {
-            "no id or title": F.col("outcome") == "invalid", "no usable values": empty}),
+            "no id or title": F.col("outcome") == "invalid", "no usable values": F.col("outcome") == "ineligible"}),
     }
 
 
@@ -135,7 +137,9 @@ def attachments(
 ) -> dict[str, DataFrame]:
     """Harvested refs -> what to move, who owns it, in which upload batch, and each project's map.
 
-    ``project_order`` has scope, ordinal and target_code; ``sizes`` has key and n_bytes.
+    ``project_order`` has scope, ordinal and target_code; ``sizes`` has key and n_bytes. Keys to move that no listed
+    scope refers to, and keys of unknown size, are rejected: without an owner there is no queue, and without a size no
+    batch could keep its cap. payload + rejects = the keys labelled `to_transfer`.
     """
     # Harvesting reads every text, so its small result is written once and used five times.
     found = cut(harvest.keys_with_urls(refs))
@@ -145,9 +149,9 @@ def attachments(
     split = harvest.transfer_split(keys, mapped, target_refs.select("key"))
     owned = first_owner(per_scope.join(project_order, "scope"), "key", "scope", "ordinal").join(
         project_order.select(F.col("scope").alias("owner"), "target_code"), "owner")
-    to_move = (split.where("label = 'to_transfer'").select("key").join(owned, "key")
-               .join(harvest.latest_url(found), "key", "left").join(sizes, "key", "left")
-               .withColumn("n_bytes", F.coalesce("n_bytes", F.lit(0))))
+    known_size = sizes.groupBy("key").agg(F.max("n_bytes").alias("n_bytes"))
+    wanted = cut(split.where("label = 'to_transfer'").select("key").join(owned, "key", "left").join(known_size, "key", "left"))
+    to_move = wanted.where("target_code is not null and n_bytes is not null").join(harvest.latest_url(found), "key", "left")
     known = split.where("target_key is not null").select("key", "target_key")
     fanned = fan_out(per_scope, known, "scope", "key")
     counts = per_scope.groupBy("scope").agg(F.count(F.lit(1)).alias("n_keys"))
@@ -156,4 +160,6 @@ def attachments(
         "payload": upload_plan(to_move, "target_code", ["key"], "n_bytes", **caps),
         "crosswalk": pairs(fanned, "attachment", "key", "target_key", scope="scope"),
         "counts": counts,
+        "rejects": rejects(wanted, "attachment", F.coalesce("owner", F.lit("*")), "key", {
+            "no listed project": F.col("target_code").isNull(), "size unknown": F.col("n_bytes").isNull()}),
     }

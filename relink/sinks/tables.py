@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..lineage import cut
 from ..operators.batching import payload_chunks
 
 # Columns each create request sends.
@@ -17,16 +18,24 @@ PAYLOAD = {
 }
 
 
-def save_crosswalk(cw: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write by entity and scope; existing slices that are not in ``cw`` stay as they are."""
-    (cw.select("source_key", "target_key", "entity", "scope")
-     .repartition("entity", "scope", F.pmod(F.xxhash64("source_key"), F.lit(16)))
+def save_crosswalk(cw: DataFrame, path: str, mode: str = "overwrite", keep: tuple[str, ...] = (), files: int = 16) -> None:
+    """Write by entity and scope, a slice in up to ``files`` files; existing slices that are not in ``cw`` stay as they
+    are. ``keep`` names further columns to store, such as the order a pair was seen in."""
+    (cw.select("source_key", "target_key", *keep, "entity", "scope")
+     .repartition("entity", "scope", F.pmod(F.xxhash64("source_key"), F.lit(files)))
      .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("entity", "scope").parquet(path))
 
 
 def replace_scope(worker: DataFrame, path: str, scope: str) -> None:
-    """Overwrite the slices of one scope with a worker's."""
-    save_crosswalk(worker.where(F.col("scope") == scope), path)
+    """Replace all slices of one scope by a worker's. Slices of it that the worker doesn't have are emptied, as
+    `crosswalk.replace_slices` does in memory: an overwritten partition without rows would stay, so such a slice is
+    written with one row of nulls, which readers drop."""
+    fresh = cut(worker.where(F.col("scope") == scope).select("source_key", "target_key", "entity", "scope"))
+    old = fresh.sparkSession.read.schema("source_key string, target_key string, entity string, scope string").parquet(path)
+    gone = cut(old.where(F.col("scope") == scope).select("entity", "scope").distinct().join(
+        fresh.select("entity", "scope"), ["entity", "scope"], "left_anti"))
+    none = F.lit(None).cast("string")
+    save_crosswalk(fresh.unionByName(gone.select(none.alias("source_key"), none.alias("target_key"), "entity", "scope")), path)
 
 
 def payload(df: DataFrame, entity: str, keys: list[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 `result` may also be a bare list. A page with a false status or no entities yields no rows. Paging is
 already done by whoever landed the files; what is left is reading all of them, and the completeness
-audit that says whether all of them are there.
+audit that says whether all of them are there, and `page_rejects`, which lists the pages that could not be read.
 """
 
 from __future__ import annotations
@@ -50,16 +50,32 @@ def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedu
     return out.drop("page_offset")
 
 
-def audit_pages(pages: DataFrame, scope: str = "project_code") -> DataFrame:
-    """Landed rows against declared totals, per entity and scope. Only counts are parsed."""
-    keys = ["entity", scope]
+def _status(pages: DataFrame, scope: str) -> DataFrame:
+    """(entity, scope, rows as texts, total, bad): a page is bad if it can't be parsed or its status isn't true."""
     parsed = pages.select(
-        *keys, F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>").alias("_e"),
+        "entity", scope, "body", F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>").alias("_e"),
         F.from_json("body", "result array<string>").alias("_b"))
-    n = F.when(F.col("_e.status"), F.size(F.coalesce("_e.result.entities", "_b.result")))
-    sized = parsed.select(*keys, F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).alias("n_rows"),
-                          F.when(F.col("_e.status"), F.col("_e.result.total")).alias("total"))
-    return page_completeness(sized, ["entity", scope])
+    ok = F.coalesce(F.col("_e.status"), F.lit(False))
+    return parsed.select("entity", scope, "body", F.when(ok, F.coalesce("_e.result.entities", "_b.result")).alias("rows"),
+                         F.when(ok, F.col("_e.result.total")).alias("total"), (~ok).alias("bad"))
+
+
+def page_rejects(pages: DataFrame, scope: str = "project_code") -> DataFrame:
+    """Pages that yield no rows because they can't be read or report failure."""
+    bad = _status(pages, scope).where("bad")
+    unread = F.coalesce(F.try_parse_json("body").isNull(), F.lit(True))
+    return bad.select("entity", F.col(scope).alias("scope"), F.md5("body").alias("source_key"),
+                      F.when(unread, "page not parsable").otherwise("page reports failure").alias("reason"))
+
+
+def audit_pages(pages: DataFrame, scope: str = "project_code", expected: DataFrame | None = None) -> DataFrame:
+    """Landed rows against declared totals, per entity and scope. Only keys are parsed; repeated rows count once."""
+    read = _status(pages, scope)
+    name = F.create_map(*[F.lit(x) for e, k in sorted(KEYS.items()) for x in (e, f"$.{k}")])
+    path = F.coalesce(F.try_element_at(name, F.col("entity")), F.lit("$.id"))
+    keys = read.select("entity", scope, F.explode("rows").alias("row")).select(
+        "entity", scope, F.call_function("get_json_object", F.col("row"), path).alias("key"))
+    return page_completeness(read, keys, ["entity", scope], expected)
 
 
 def land(df: DataFrame, entity: str, page: Column, columns: list, scope: str = "project_code") -> DataFrame:

@@ -11,8 +11,8 @@ from ..schemas import CROSSWALK, TRACE, WORKSPACE
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    """Crosswalk table as written by `sinks.tables.save_crosswalk`."""
-    return spark.read.schema(CROSSWALK).parquet(path)
+    """Crosswalk table as written by `sinks.tables`; a row without a key only marks a slice as emptied."""
+    return spark.read.schema(CROSSWALK).parquet(path).where("source_key is not null")
 
 
 def bucket_rows(df: DataFrame, body: str, workspace: tuple[str, ...] = ("users",)) -> DataFrame:

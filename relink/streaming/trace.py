@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..lineage import work_path
-from ..operators.crosswalk import build_crosswalk
+from ..lineage import cut, work_path
+from ..operators.ranking import last_per_key
 from ..schemas import TRACE
 from ..sinks.tables import save_crosswalk
 
@@ -45,27 +45,24 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
 def upsert_crosswalk(stream: DataFrame, path: str, checkpoint: str, order: list[str]) -> None:
     """Fold each micro-batch of (entity, scope, source_key, target_key, order...) into the crosswalk.
 
-    Only the slices a batch touches are read and rewritten; a replayed batch gives the same slices.
+    The order columns are stored with each pair, and of the stored and the new pair of a key the later in order stays, so
+    files that land late change nothing. Only the slices a batch touches are read and rewritten; a replayed batch gives
+    the same slices.
     """
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    names = ["source_key", "target_key", *order, "entity", "scope"]
+    ddl = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in names)
+
     def fold(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.persist()
-        touched = fresh.select("entity", "scope").distinct()
-        new = build_crosswalk(fresh, order)
-        try:
-            old = spark.read.schema("source_key string, target_key string, entity string, scope string").parquet(path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
-        if old is not None:
-            keep = old.join(touched, ["entity", "scope"], "left_semi").join(
-                new, ["entity", "scope", "source_key"], "left_anti")
-            new = new.unionByName(keep).checkpoint()
-        save_crosswalk(new, path)
-        fresh.unpersist()
-
-    from ..lineage import shared_dir
-    shared_dir(stream.sparkSession)
+        fresh = cut(batch.where("source_key is not null and target_key is not null").select(names))
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        every = fresh
+        if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+            old = spark.read.schema(ddl).parquet(path).select(names)
+            every = every.unionByName(old.join(fresh.select("entity", "scope").distinct(), ["entity", "scope"], "left_semi"))
+        last = last_per_key(every, ["entity", "scope", "source_key"], [*order, "target_key"])
+        save_crosswalk(cut(last), path, keep=tuple(order))
+
     (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

