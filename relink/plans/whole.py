@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.crosswalk import apply_created, extend, pairs
 from ..schemas import WORKSPACE
 from . import project as pj, workspace as ws
 
@@ -22,37 +23,60 @@ ORDER = (
 
 def project_entities(
     landed: dict[str, DataFrame], cw: DataFrame, new_workspace: str | None = None, default_user: int = 1,
+    created: dict[str, DataFrame] | None = None,
 ) -> dict[str, dict[str, DataFrame]]:
-    """Plan of each landed project entity against one crosswalk."""
+    """Plan of each landed project entity. ``created`` holds, per entity, what creation answered (project_code, source_id,
+    target_key): an entity's answers are laid over the crosswalk before the entities after it are planned, so a second
+    call with the answers of the first resolves the references that were open then."""
     build = {
-        "milestone": lambda d: pj.milestones(d["milestone"], cw),
-        "configuration": lambda d: pj.configurations(d["configuration_group"], d["configuration"], cw),
-        "environment": lambda d: pj.environments(d["environment"], cw),
-        "shared_step": lambda d: pj.shared_steps(d["shared_step"]),
-        "suite": lambda d: pj.suites(d["suite"], cw),
-        "case": lambda d: pj.cases(d["case"], cw, new_workspace=new_workspace, default_user=default_user),
-        "plan": lambda d: pj.plans(d["plan"], cw),
-        "run": lambda d: pj.runs(d["run"], d["run_link"], d["milestone"], cw, default_user),
-        "result": lambda d: pj.results(d["result"], d.get("result_detail"), d["case"], cw, new_workspace,
-                                       default_user),
-        "defect": lambda d: pj.defects(d["defect"], cw, new_workspace, default_user),
+        "milestone": lambda d, cw: pj.milestones(d["milestone"], cw),
+        "configuration": lambda d, cw: pj.configurations(d["configuration_group"], d["configuration"], cw),
+        "environment": lambda d, cw: pj.environments(d["environment"], cw),
+        "shared_step": lambda d, cw: pj.shared_steps(d["shared_step"]),
+        "suite": lambda d, cw: pj.suites(d["suite"], cw),
+        "case": lambda d, cw: pj.cases(d["case"], cw, new_workspace=new_workspace, default_user=default_user),
+        "plan": lambda d, cw: pj.plans(d["plan"], cw),
+        "run": lambda d, cw: pj.runs(d["run"], d["run_link"], d["milestone"], cw, default_user),
+        "result": lambda d, cw: pj.results(d["result"], d.get("result_detail"), d["case"], cw, new_workspace, default_user),
+        "defect": lambda d, cw: pj.defects(d["defect"], cw, new_workspace, default_user),
     }
-    return {e: build[e](landed) for e in ORDER if e in build and e in landed}
+    plans = {}
+    for e in ORDER:
+        if e in build and e in landed:
+            plans[e] = build[e](landed, cw)
+        if created and e in created:
+            cw = extend(cw, pairs(created[e], e, "source_id", "target_key", pj.SCOPE))
+    return plans
 
 
 def workspace_entities(
     landed: dict[str, DataFrame], target: dict[str, DataFrame], cw: DataFrame, only=(), skip=(),
-    create_users: bool = True, default_user: int = 1,
+    create_users: bool = True, default_user: int = 1, created: dict[str, DataFrame] | None = None,
 ) -> dict[str, dict[str, DataFrame]]:
-    """Plan of each landed workspace entity against what the target has."""
+    """Plan of each landed workspace entity against what the target has. What an entity's plan matches, and what
+    ``created`` says of it (source_id, target_key), is in the crosswalk that the entities after it are planned with: users
+    found in this call are seen by groups. The whole crosswalk is returned as plan `crosswalk`.
+
+    Attachments are planned if ``landed`` has attachment (references), project_order and attachment_size.
+    """
     build = {
-        "project": lambda d, t: ws.projects(d["project"], t["project"], only, skip),
-        "user": lambda d, t: ws.users(d["user"], t["user"], create_users, default=default_user),
-        "group": lambda d, t: ws.groups(d["group"], t["group"], cw),
-        "custom_field": lambda d, t: ws.custom_fields(d["custom_field"], t["custom_field"]),
-        "shared_parameter": lambda d, t: ws.shared_parameters(d["shared_parameter"], t["shared_parameter"], cw),
+        "project": lambda d, t, cw: ws.projects(d["project"], t["project"], only, skip),
+        "user": lambda d, t, cw: ws.users(d["user"], t["user"], create_users, default=default_user),
+        "group": lambda d, t, cw: ws.groups(d["group"], t["group"], cw),
+        "custom_field": lambda d, t, cw: ws.custom_fields(d["custom_field"], t["custom_field"]),
+        "shared_parameter": lambda d, t, cw: ws.shared_parameters(d["shared_parameter"], t["shared_parameter"], cw),
+        "attachment": lambda d, t, cw: ws.attachments(d["attachment"], t["attachment"], cw, d["project_order"], d["attachment_size"]),
     }
-    return {e: build[e](landed, target) for e in ORDER if e in build and e in landed}
+    plans = {}
+    for e in ORDER:
+        if e not in build or e not in landed:
+            continue
+        plans[e] = build[e](landed, target, cw)
+        added = [plans[e]["crosswalk"]]
+        if created and e in created and "rows" in plans[e]:
+            added.append(apply_created(plans[e]["rows"], created[e], e))
+        cw = extend(cw, *added)
+    return {**plans, "crosswalk": {"crosswalk": cw}}
 
 
 def all_rejects(plans: dict[str, dict[str, DataFrame]]) -> DataFrame:
@@ -68,6 +92,8 @@ def plan_summary(landed: dict[str, DataFrame], plans: dict[str, dict[str, DataFr
 
     parts = []
     for e, p in plans.items():
+        if "payload" not in p:
+            continue
         parts += [counted(landed[e], e, True), counted(p["payload"], e, False)]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     return (rows.rollup("scope", "entity").agg(

@@ -366,3 +366,20 @@ def test_results_known_by_result_hash_only(spark):
     cw = spark.createDataFrame([("case", "P", "5", "55")], "entity string, scope string, source_key string, target_key string")
     out = pj.results(rows, details, cases, cw)["payload"]
     assert {(r.hash, r.testops_id, r.message) for r in out.collect()} == {("h1", 55, "detail 1"), ("h2", 55, "detail 2")}
+
+
+def test_entities_see_what_came_before(spark):
+    from relink.catalog.base import entity_of
+    from relink.plans import whole
+
+    users = spark.createDataFrame([(1, "a@x"), (2, "b@x")], "i long, e string")
+    groups = spark.createDataFrame([("7", "G", ["1", "2"])], "id string, displayName string, members array<string>")
+    landed = {"user": entity_of(users, "user", None, id="i", email="e", is_active="true", name="e"),
+              "group": groups}
+    target = {"user": spark.createDataFrame([(91, "a@x")], "id long, email string"), "group": spark.createDataFrame([], "id long, displayName string")}
+    none = spark.createDataFrame([], CROSSWALK)
+    made = {"user": spark.createDataFrame([(2, 92)], "source_id long, target_key long")}
+    plans = whole.workspace_entities(landed, target, none, created=made)
+    assert {(r.member, r.target_user) for r in plans["group"]["members"].collect()} == {("1", "91"), ("2", "92")}
+    assert {(r.entity, r.source_key, r.target_key) for r in plans["crosswalk"]["crosswalk"].collect()} == {("user", "1", "91"), ("user", "2", "92")}
+    assert whole.workspace_entities(landed, target, none)["group"]["members"].count() == 1
