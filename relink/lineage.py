@@ -29,9 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named or os.path.dirname(current)
 
 
+def run_path(spark: SparkSession) -> str:
+    """The folder of this run's tables: one for each Spark application."""
+    return f"{shared_dir(spark).rstrip('/')}/relink/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder for one run's written tables."""
-    return f"{shared_dir(spark).rstrip('/')}/relink/{label}-{uuid.uuid4().hex}"
+    """A new path under the run's folder for a written table."""
+    return f"{run_path(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the run's tables; call it when no DataFrame that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_path(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

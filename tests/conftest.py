@@ -7,12 +7,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import oracle  # noqa: E402
+from relink import lineage  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = oracle.session()
     yield s
+    lineage.clear(s)
     s.stop()
 
 

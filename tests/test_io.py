@@ -1,6 +1,9 @@
 """Files in, files out, streams, and the registered queries against their SQL."""
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +67,17 @@ def test_stream_replays_pass_once_and_upserts_last(spark, tmp_path):
 
 def test_shared_folder_is_kept(spark):
     first = lineage.shared_dir(spark)
-    assert lineage.shared_dir(spark) == first and lineage.work_path(spark, "x").startswith(first.rstrip("/"))
+    assert lineage.shared_dir(spark) == first and lineage.work_path(spark, "x").startswith(lineage.run_path(spark))
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """Functions that run on executors import the package; it need not be the working folder."""
+    code = ("import sys; sys.path[:0] = [%r, %r]; import oracle, __spark_entry__ as e; s = oracle.session(2); "
+            "print(e.queries()['w06_capped_batches'](s, '/root/testdata/sf0.001').count())")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code % (root, os.path.join(root, "tests"))], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert done.returncode == 0 and done.stdout.strip().endswith("200"), done.stderr[-1500:]
 
 
 def test_every_query_has_sql():
