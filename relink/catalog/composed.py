@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import predicates as pr, shapes as sh
+from ..lineage import cut
 from ..operators import audit as au, harvest as hv
 from ..plans import project as pj, whole, workspace as ws
 from ..sources import entities as en
@@ -340,7 +341,7 @@ def result_crosswalk(spark, sf):
 
 RESULTS = f"""(with b as (select *, p_name not like '%e%' as hit, md5(l_partkey::varchar) as k, md5('t' || l_partkey) as tk, p_size > 5 as mapped from {LINES} join part on p_partkey = l_partkey
   left join {USER_CW} on o_custkey = source_key)
-select project_code, l_orderkey as run_id, hash, case when mapped then l_partkey + 500000 end as testops_id, 'Automated Test ' || l_partkey as title,
+select project_code, l_orderkey as run_id, hash, case when mapped then l_partkey + 500000 end as target_case_id, 'Automated Test ' || l_partkey as title,
   case l_linenumber when 1 then 'passed' when 2 then 'blocked' when 3 then 'skipped' when 4 then 'blocked' when 5 then 'failed' else 'skipped' end as status,
   case when l_quantity > 25 then l_quantity::bigint * 1000 end as duration_ms, case when l_returnflag = 'R' then 'at ' || l_suppkey end as stacktrace,
   case l_returnflag when 'A' then '![s](https://h/public/team/' || case when hit then '{NEW_WS}' else '{OLD_WS}' end || '/attachment/' || case when hit then tk else k end || '/s.png)'
@@ -354,11 +355,49 @@ select project_code, l_orderkey as run_id, hash, case when mapped then l_partkey
 def e15(spark, sf):
     rows, details, cases = source_results(spark, sf)
     out = pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, with_steps=False)["payload"]
-    return out.select("project_code", "run_id", "hash", "testops_id", "title", "status", "duration_ms", "stacktrace", "message",
+    return out.select("project_code", "run_id", "hash", "target_case_id", "title", "status", "duration_ms", "stacktrace", "message",
                       F.array_join("attachments", "|").alias("attachments"), sh.joined_entries(F.col("params")).alias("params"), "signature",
                       F.array_join("suite_path", "/").alias("suite_path"), "author", "chunk")
 
 
+@query("p11b_result_summary", f"""
+select project_code, hash, l_linenumber as status_id, case when l_returnflag <> 'N' then 2 else 0 end as n_steps, 1 as n_attachments_coalesced, 0 as n_files,
+  false as has_execution_block, case when l_returnflag = 'A' then length('![s](https://h/public/team/{OLD_WS}/attachment/' || md5(l_partkey::varchar) || '/s.png)') else 0 end as comment_len
+from {LINES}""")
+def p11b(spark, sf):
+    return au.result_summary(source_results(spark, sf)[0]).select(
+        "project_code", "hash", "status_id", F.greatest("n_steps", F.lit(0)).alias("n_steps"), "n_attachments_coalesced", F.greatest("n_files", F.lit(0)).alias("n_files"),
+        F.coalesce("has_execution_block", F.lit(False)).alias("has_execution_block"), "comment_len")
+
+
+def sent_results(spark, sf):
+    rows, details, cases = source_results(spark, sf)
+    return au.sent_summary(pj.results(rows, details, cases, result_crosswalk(spark, sf), NEW_WS, with_steps=False)["payload"])
+
+
+@query("p11c_sent_summary", f"""
+select project_code, hash, target_case_id, title, case when attachments = '' then 0 else 1 end as n_attachments, status as execution_status,
+  duration_ms as execution_duration_ms, length(coalesce(message, '')) as message_len from {RESULTS}""")
+def p11c(spark, sf):
+    return sent_results(spark, sf).select("project_code", "hash", "target_case_id", "title", "n_attachments", "execution_status", "execution_duration_ms", "message_len")
+
+
+@query("p11d_chunk_summary", f"""
+select project_code, run_id, chunk, count(*) as count, string_agg(status, ',' order by hash) as statuses from {RESULTS} group by 1, 2, 3""")
+def p11d(spark, sf):
+    return au.chunk_summary(sent_results(spark, sf)).select("project_code", "run_id", "chunk", "count", F.array_join("items.execution_status", ",").alias("statuses"))
+
+
+@query("j12b_apply_created", f"""
+select c_custkey::varchar as source_key, (cf + 700000)::varchar as target_key from {USERS} u join (select email, min(c_custkey) filter (where outcome = 'to_create') as cf from {USERS} group by 1) using (email)
+where outcome in ('to_create', 'reuse_new') and cf % 5 <> 0""")
+def j12b(spark, sf):
+    from ..operators import crosswalk as cx
+    rows = cut(planned_users(spark, sf)["rows"])
+    made = rows.where("outcome = 'to_create' and cast(id as bigint) % 5 <> 0").select(F.col("id").alias("source_id"), (F.col("id").cast("bigint") + 700000).alias("target_key"))
+    return cx.apply_created(rows, made, "user").select("source_key", "target_key")
+
+
 @query("e15b_result_steps", f"""
 with b as (select * from {LINES} join part on p_partkey = l_partkey),
 r as (select hash, '0' as path, case when p_size > 3 then p_name else '.' end as action, case when p_size > 3 then p_type end as expected_result,

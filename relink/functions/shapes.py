@@ -277,11 +277,14 @@ def capped_keys(m, n: int) -> Column:
 def cap_members(v, max_keys: int = 80, max_items: int = 200, max_chars: int = 8000) -> Column:
     """Cap the top two levels of a nested value: keys, list items and text length.
 
-    Returns a map of member name to capped text (lists keep their first items)."""
+    A feature of log lines, not for data. Returns a map of member name to capped text; what is cut is marked, in texts, in
+    lists (which keep their first items) and among the members. Deeper levels count as text."""
     entries = F.map_entries(F.try_variant_get(col(v), "$", "map<string,variant>"))
 
     def one(e):
-        listed = F.to_json(F.slice(items(e["value"]), 1, max_items))
+        n = F.size(items(e["value"]))
+        listed = F.concat(F.to_json(F.slice(items(e["value"]), 1, max_items)), F.when(
+            n > max_items, F.concat(F.lit("...<truncated "), (n - max_items).cast("string"), F.lit(" items>"))).otherwise(F.lit("")))
         return F.struct(
             e["key"].alias("key"),
             F.when(is_array(e["value"]), listed).otherwise(

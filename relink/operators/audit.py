@@ -178,6 +178,25 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.when(is_array("cases"), F.size(items("cases"))).alias("n_cases_on_run"))
 
 
+def sent_summary(payload: DataFrame, steps: DataFrame | None = None) -> DataFrame:
+    """Log line of a result as it is sent; ``steps`` is the merged step table, of which the roots are counted."""
+    key = ["project_code", "hash"]
+    rows = payload if steps is None else payload.join(
+        steps.where(F.size("path") == 1).groupBy(*key).agg(F.count(F.lit(1)).alias("_roots")), key, "left")
+    return rows.select(
+        "project_code", "run_id", "hash", "chunk", "pos", "target_case_id", F.left(F.coalesce("title", F.lit("")), F.lit(200)).alias("title"),
+        (F.lit(0) if steps is None else F.coalesce("_roots", F.lit(0))).cast("bigint").alias("n_step_roots"),
+        F.size(F.coalesce("attachments", F.array().cast("array<string>"))).alias("n_attachments"), F.col("status").alias("execution_status"),
+        F.col("duration_ms").alias("execution_duration_ms"), F.length(F.coalesce("message", F.lit(""))).alias("message_len"))
+
+
+def chunk_summary(sent: DataFrame, by: tuple[str, ...] = ("project_code", "run_id", "chunk")) -> DataFrame:
+    """Log line of a chunk: how many rows, and their summaries in order (a chunk's size is fixed)."""
+    items_of = [c for c in sent.columns if c not in by]
+    return sent.groupBy(*by).agg(F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(
+        F.struct("pos", *[c for c in items_of if c != "pos"]))).alias("items"))
+
+
 def result_summary(results: DataFrame) -> DataFrame:
     """Log line of an enriched result."""
     return results.select(

@@ -392,15 +392,18 @@ def results(
     }
     done = resolve_refs(work, cw, [SCOPE, "hash"], refs, SCOPE, workspace=("user",), out="_m")
     m = text_targets("_m", "attachment")
-    done = done.withColumn("testops_id", target_of("_m", "case", F.col("_case_id")).try_cast("bigint"))
-    row_id, signature = text.row_identity("_row_hash", "signature", "testops_id", F.col("_params"))
+    done = done.withColumn("target_case_id", target_of("_m", "case", F.col("_case_id")).try_cast("bigint"))
+    row_id, signature = text.row_identity("_row_hash", "signature", "target_case_id", F.col("_params"))
     author = F.when(F.coalesce("_uid", F.lit(0)) == 0, F.lit(default_user)).otherwise(
         F.coalesce(target_of("_m", "user", F.col("_uid")).try_cast("bigint"), F.lit(default_user)))
     stack = text.rewrite_keys("stacktrace", m, new_workspace)
     out = done.select(
-        SCOPE, "run_id", "hash", "testops_id",
-        text.result_title(["title", "case_title", "name"], F.col("case"), as_text("case_id"), "id", "testops_id",
-                          "_row_hash").alias("title"),
+        SCOPE, "run_id", "hash", "target_case_id",
+        text.result_title(
+            [c for c in ("title", "case_title", "caseTitle", "name") if c in done.columns],
+            F.coalesce(*[F.when(is_object(c), F.col(c)) for c in ("case", "test_case", "TestCase") if c in done.columns]),
+            F.coalesce(*[F.nullif(as_text(c), F.lit("")) for c in ("case_id", "CaseId", "test_case_id") if c in done.columns]),
+            "id", "target_case_id", "_row_hash").alias("title"),
         enums.run_execution_status(enums.result_status("status_id", "status")).alias("status"),
         enums.duration_ms([as_type(c, "bigint") for c in MS_FIELDS],
                           [as_type(c, "bigint") for c in ("time", "duration")]).alias("duration_ms"),
@@ -409,13 +412,14 @@ def results(
         remap_list("_media", "_m", "attachment", distinct=True).alias("attachments"),
         F.col("_params").alias("params"), F.col("_groups").alias("param_groups"),
         row_id.alias("id"), signature.alias("signature"), F.col("defect"),
+        *[(dates.wall_clock(c) if c in done.columns else F.lit(None).cast("string")).alias(c) for c in ("start_time", "end_time")],
         text.short_titles("_path").alias("suite_path"),
-        F.when(F.col("testops_id").isNull(), text.standalone_description(as_text("case_id"), "_row_hash")).alias("description"),
-        F.when(F.col("testops_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
+        F.when(F.col("target_case_id").isNull(), text.standalone_description(as_text("case_id"), "_row_hash")).alias("description"),
+        F.when(F.col("target_case_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
     return {
         "payload": out,
         **({"steps": result_steps(enriched, cw, new_workspace)} if with_steps else {}),
-        "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("testops_id").isNull()}),
+        "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("target_case_id").isNull()}),
     }
 
 

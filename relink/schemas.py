@@ -61,7 +61,8 @@ ENTITIES = {
     "result": (
         "run_id bigint, hash string, result_hash string, id bigint, case_id variant, status_id int, "
         "status string, author_uuid string, member_id variant, author_id variant, user_id variant, "
-        "created_by variant, title string, case_title string, name string, comment string, message string, "
+        "created_by variant, title string, case_title string, caseTitle string, name string, start_time string, end_time string, "
+        "test_case variant, TestCase variant, test_case_id variant, CaseId variant, comment string, message string, "
         "text string, stacktrace string, time_spent_ms variant, time_ms variant, duration_ms variant, "
         "time variant, duration variant, execution variant, steps variant, step_results variant, "
         "elements variant, result_steps variant, test_results variant, substeps variant, "

@@ -365,7 +365,7 @@ def test_results_known_by_result_hash_only(spark):
     cases = entity_of(base.where("i = 1"), "case", F.lit("P"), id="cast(5 as bigint)", title="'t'")
     cw = spark.createDataFrame([("case", "P", "5", "55")], "entity string, scope string, source_key string, target_key string")
     out = pj.results(rows, details, cases, cw)["payload"]
-    assert {(r.hash, r.testops_id, r.message) for r in out.collect()} == {("h1", 55, "detail 1"), ("h2", 55, "detail 2")}
+    assert {(r.hash, r.target_case_id, r.message) for r in out.collect()} == {("h1", 55, "detail 1"), ("h2", 55, "detail 2")}
 
 
 def test_entities_see_what_came_before(spark):
