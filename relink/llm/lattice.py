@@ -33,6 +33,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from .common import map_batches, raw, space_words, written
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 7, 2
 SMOOTHING, OWN, CLASSES = 0.1, 0.9, 8
-HOT, HOT_BYTES = 50_000, 64
+HOT, HOT_BYTES = 200_000, 64
 #: Distinct words that a task counts before it hands them on.
 HELD = 300_000
 OPENING = "▁"
@@ -98,25 +99,21 @@ def word_counts(docs: DataFrame, number: Column, k: int) -> DataFrame:
     names = ["word", "n", *(f"c{i}" for i in range(k))]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, trained = Counter(), [Counter() for _ in range(k)]
+        tallies = [Counter() for _ in range(k + 1)]  # the last one: documents held out
 
         def flush() -> pa.RecordBatch:
-            words = list(seen)
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64()),
-                                              *(pa.array([t[w] for w in words], pa.int64()) for t in trained)], names)
-            for t in (seen, *trained):
+            words = list(set().union(*tallies))
+            counts = [np.fromiter(map(t.get, words, repeat(0)), np.int64, len(words)) for t in tallies]
+            for t in tallies:
                 t.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(sum(counts)), *map(pa.array, counts[:k])], names)
 
         for b in batches:
             for own, text in zip(b.column(0).to_pylist(), b.column(1)):
-                words = space_words(text.as_py())
-                seen.update(words)
-                if own is not None:
-                    trained[own].update(words)
-                if len(seen) > HELD:
-                    yield flush()
-        if seen:
+                tallies[k if own is None else own].update(space_words(text.as_py()))
+            if sum(map(len, tallies)) > HELD:
+                yield flush()
+        if any(tallies):
             yield flush()
 
     slim = docs.select(F.when(~held_out(), number).cast("int").alias("own"), raw("text"))
@@ -168,7 +165,7 @@ def scores_of(counts: dict, k: int, opening: list[bytes | None], going: list[byt
 
 def lattice(word: bytes, pieces: dict) -> list[float]:
     """log10 of the probability of all segmentations of a word in each class, by the forward recursion over its bytes."""
-    first, after, reach, classes = pieces["first"], pieces["next"], pieces["reach"], range(pieces["classes"])
+    first, after, reach = pieces["first"], pieces["next"].get, pieces["reach"].get
     n = len(word)
     into: list[list[float] | None] = [None] * (n + 1)
     offset = 0.0
@@ -180,7 +177,7 @@ def lattice(word: bytes, pieces: dict) -> list[float]:
         at = into[i]
         if at is None:
             continue
-        if max(at) < 1e-150:  # all that is still ahead is scaled alike
+        if i > 12 and max(at) < 1e-150:  # all that is still ahead is scaled alike
             offset -= 150
             for j in range(i, n + 1):
                 if into[j] is not None:
@@ -188,16 +185,11 @@ def lattice(word: bytes, pieces: dict) -> list[float]:
                 elif j > i + 64:
                     break
             at = into[i]
-        most = max(reach.get(word[i:i + 2], 1), 1)
-        for j in range(i + 1, min(n, i + most) + 1):
-            x = after.get(word[i:j])
+        for j in range(i + 1, min(n, i + reach(word[i:i + 2], 1)) + 1):
+            x = after(word[i:j])
             if x is not None:
                 to = into[j]
-                if to is None:
-                    into[j] = [at[c] * x[c] for c in classes]
-                else:
-                    for c in classes:
-                        to[c] += at[c] * x[c]
+                into[j] = [a * b for a, b in zip(at, x)] if to is None else [t + a * b for t, a, b in zip(to, at, x)]
         into[i] = None
     return [math.log10(max(x, 1e-320)) + offset + math.log10(s) for x, s in zip(into[n], pieces["stop"])]
 
@@ -262,11 +254,10 @@ def score(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
                 at, tf = np.array(places_of, np.int64), np.fromiter(bag.values(), np.float64, len(bag))
                 usual = at >= 0
                 sums.append(end + tf[usual] @ grid[at[usual]])
-                for (w, n), p in zip(bag.items(), places_of):
-                    if p < 0:
-                        rows.append(row)
-                        rare.append(w)
-                        times.append(n)
+                more = [w for w, p in zip(bag, places_of) if p < 0]
+                rare += more
+                rows += [row] * len(more)
+                times += [bag[w] for w in more]
                 ids.append((row, bag.total() + 1))
                 row += 1
             # no word holds a blank: a document's own row meets no word in the join, and no two of them meet
