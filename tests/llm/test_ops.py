@@ -305,6 +305,12 @@ def test_reshard_balances_and_keeps_copies(spark):
         size[r.shard] += r.size
         place[r.text_crc32].add(r.shard)
     assert max(size.values()) <= 1.02 * min(size.values()) and all(len(s) == 1 for s in place.values())
+    large = [(i, "y" * 500 if i % 3 == 0 else f"z{i}" * 40) for i in range(3000)]  # a third of all rows, more than a shard holds
+    more = reshard.reshard(spark.createDataFrame(large, "doc_id long, text string")).collect()
+    size_of = collections.Counter()
+    for r in more:
+        size_of[r.shard] += r.size
+    assert max(size_of.values()) <= 1.02 * min(size_of.values())
     stay = sum(r.size for r in got if r.shard == r.old_shard)
     old = collections.Counter()
     for r in got:
