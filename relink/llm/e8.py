@@ -32,7 +32,7 @@ from .components import components
 
 THRESHOLD = 0.93
 TABLES, BLOCKS, PROBES, SCALE, SEED = 10, 2, 2, 3.5, 7
-GROUP = 2048
+GROUP = 512
 
 USABLE = ("label is not null and embedding is not null and size(embedding) > 0 and exists(embedding, x -> x <> 0) and "
           "forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
