@@ -559,6 +559,19 @@ def test_pipeline_brute_force(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontaminate", "pack"]
 
 
+def test_pipeline_edges(spark, edge, docs):
+    import corpus_pipeline
+    from relink.llm.common import written
+
+    for first in (edge, empty(spark)):
+        stage_docs = first
+        for name, stage in corpus_pipeline.STAGES:
+            stage_docs = written(stage(spark, stage_docs, SMALL), f"test-{name}")
+            assert name == "pack" or stage_docs.columns == first.columns
+        left = {r.doc_id for r in stage_docs.select("doc_id").collect()}
+        assert left == ({5, 7, 8, 9} if first is edge else set())
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES)
     assert numbers == list(range(1, 11)) and set(registry.SQL) <= set(registry.QUERIES)
