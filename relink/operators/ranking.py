@@ -11,16 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 NULL_KEY = "\u0000"
-#: Rows from which a scope is cut into pieces, pieces at most, keys looked at for each piece, and the smallest share of all
-#: rows of a scope that is cut: so no more than 1 / SHARE scopes are, and what is collected and broadcast is bounded.
-PIECE, PIECES, LOOKED_AT, SHARE = 500_000, 256, 40, 0.002
+#: Rows from which a scope is cut into pieces, pieces at most, keys looked at for each piece, and how many scopes are cut:
+#: the largest ones, so that any other holds less than 1 / SCOPES of the rows. What is collected and broadcast is bounded.
+PIECE, PIECES, LOOKED_AT, SCOPES = 500_000, 256, 40, 500
 
 
 def _bounds(keyed: DataFrame, order: list[str], piece: int) -> dict[str, list]:
     """Upper bounds of the pieces of each large scope: quantiles of a sample of its order keys."""
     counts = keyed.groupBy("_scope").agg(F.count(F.lit(1)).alias("n"))
-    total = keyed.count()
-    large = {r[0]: r[1] for r in counts.where(F.col("n") > max(piece, SHARE * total)).collect()}
+    large = {r[0]: r[1] for r in counts.where(F.col("n") > piece).orderBy(F.desc("n"), "_scope").limit(SCOPES).collect()}
     if not large:
         return {}
     wanted = {s: min(PIECES, -(-n // piece)) for s, n in large.items()}
@@ -48,7 +47,7 @@ def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "rank
         return ranked.select(*df.columns, out)
     kind = df.select(F.struct(*order).alias("k")).schema["k"].dataType
     ddl = f"_scope string, _bounds array<{kind.simpleString()}>"
-    table = F.broadcast(spark.createDataFrame(list(bounds.items()), ddl))  # 1 / SHARE scopes of PIECES keys at most
+    table = F.broadcast(spark.createDataFrame(list(bounds.items()), ddl))  # SCOPES x PIECES keys at most
     pieced = keyed.join(table, "_scope", "left").withColumn("_piece", F.coalesce(
         F.size(F.filter("_bounds", lambda b: b <= F.struct(*order))), F.lit(0))).drop("_bounds")
     large = F.col("_scope").isin(list(bounds))

@@ -372,7 +372,7 @@ def results(
     The crosswalk holds case, attachment, user and author (uuid -> source user id) entries. The enriched rows are
     written once to the shared folder: texts, steps and references are all read from there.
     """
-    enriched = cut(enrich_results(chunk_index(_by_hash(rows), [SCOPE, "run_id"], ["hash"], batch), details, case_rows))
+    enriched = enrich_results(chunk_index(_by_hash(rows), [SCOPE, "run_id"], ["hash"], batch), details, case_rows)
     ex = F.col("execution")
     media = text.media_keys(*MEDIA, *[F.try_variant_get(ex, f"$.{m}", "variant") for m in RUN_MEDIA])
     message = text.join_message("comment", "message", "text")
@@ -384,11 +384,12 @@ def results(
             .withColumn("_row_hash", F.col("hash")))
     chosen = F.coalesce(*[as_text(c).try_cast("bigint") for c in ("member_id", "author_id", "user_id", "created_by")])
     work = lookup(work, cw, "author", "author_uuid", "_author")
-    work = work.withColumn("_uid", F.coalesce(F.col("_author").try_cast("bigint"), chosen))
+    in_texts = refs_in_text(["_message", "stacktrace"])
+    work = cut(work.withColumn("_uid", F.coalesce(F.col("_author").try_cast("bigint"), chosen)).withColumn("_in_texts", in_texts))
     refs = {
         "case": F.array(F.col("_case_id").cast("string")),
         "user": F.array(F.col("_uid").cast("string")),
-        "attachment": F.concat("_media", refs_in_text(["_message", "stacktrace"])),
+        "attachment": F.concat("_media", "_in_texts"),
     }
     done = resolve_refs(work, cw, [SCOPE, "hash"], refs, SCOPE, workspace=("user",), out="_m")
     m = text_targets("_m", "attachment")
@@ -418,7 +419,7 @@ def results(
         F.when(F.col("target_case_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
     return {
         "payload": out,
-        **({"steps": result_steps(enriched, cw, new_workspace)} if with_steps else {}),
+        **({"steps": result_steps(work, cw, new_workspace)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("target_case_id").isNull()}),
     }
 
