@@ -16,6 +16,7 @@ ANY_KEY = f"(?:{HEX_KEY}|{UUID_KEY})"
 KEY_IN_URL = f"(?i)/attachments?/({ANY_KEY})/"
 STRICT_KEY_IN_URL = f"(?i)/attachment/({HEX_KEY})/"
 IMAGE_LINK = rf"(?i)!\[[^\]]*\]\((https://[^\)]+/attachments?/({ANY_KEY})/[^\)]+)\)"
+KEY_OF_LINK = rf"(?is)^https://.+/attachments?/({ANY_KEY})/.+$"
 WORKSPACE_IN_URL = f"(?i)/public/team/({HEX_KEY})/"
 
 
@@ -43,9 +44,8 @@ def key_of_url(url) -> Column:
 
 def embedded_urls(text) -> Column:
     """array<struct<key,url>> of the image links in a text."""
-    keys = F.regexp_extract_all(col(text), F.lit(IMAGE_LINK), F.lit(2))
-    urls = F.regexp_extract_all(col(text), F.lit(IMAGE_LINK), F.lit(1))
-    pairs = F.zip_with(keys, urls, lambda k, u: F.struct(normal_key(k).alias("key"), u.alias("url")))
+    urls = F.regexp_extract_all(col(text), F.lit(IMAGE_LINK), F.lit(1))  # one pass over the text; keys come from the URLs
+    pairs = F.transform(urls, lambda u: F.struct(normal_key(F.regexp_extract(u, KEY_OF_LINK, 1)).alias("key"), u.alias("url")))
     return F.coalesce(pairs, none_of("array<struct<key:string,url:string>>"))
 
 

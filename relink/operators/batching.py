@@ -21,7 +21,8 @@ def payload_chunks(df: DataFrame, by: list[str], order: list[str], n: int, colum
 
 
 def uniquify(labels) -> Column:
-    """Make the labels of a row's list distinct: `A`, `A (1)`, `A (2)`, skipping labels taken."""
+    """Make the labels of a row's list distinct: `A`, `A (1)`, `A (2)`, skipping labels taken. Quadratic in the list's
+    length: meant for option lists, not for texts."""
     def add(seen, label):
         # Of the k+1 first suffixes one is free when k labels with a suffix are taken.
         taken = F.filter(seen, lambda x: x.startswith(F.concat(label, F.lit(" ("))))
