@@ -14,9 +14,10 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import pyarrow as pa
@@ -73,29 +74,46 @@ def searcher(notices: tuple, per_edit: int):
     return automaton, patterns
 
 
+def apart(pattern, line: str, spans: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, edits) of the matches that lie within one of the spans: least edits first, then the first, and none that
+    overlaps one taken before. A span keeps its best match until another takes a part of it; then what is left is searched."""
+    def best(a: int, b: int) -> None:
+        m = pattern.search(line, a, b)
+        if m:
+            heappush(waiting, (sum(m.fuzzy_counts), m.start(), m.end(), a, b))
+
+    waiting: list[tuple[int, int, int, int, int]] = []
+    for a, b in spans:
+        best(a, b)
+    taken: list[tuple[int, int, int]] = []  # by place
+    while waiting:
+        edits, start, end, a, b = heappop(waiting)
+        i = bisect_right(taken, (a, len(line) + 1, 0))
+        i -= i > 0 and taken[i - 1][1] > a
+        j = bisect_left(taken, (b,))
+        inside = taken[i:j]
+        if all(y <= start or x >= end for x, y, _ in inside):
+            insort(taken, (start, end, edits))
+        else:
+            for x, y in zip([a, *(y for _, y, _ in inside)], [*(x for x, _, _ in inside), b]):
+                if x < y:
+                    best(x, y)
+    return taken
+
+
 def fuzzy(line: str, notices: tuple = NOTICES, per_edit: int = PER_EDIT) -> list[tuple[str, int, int, int, int]]:
     """(label, start, end, edits, notice's length) of matches in a line of words."""
     automaton, patterns = searcher(notices, per_edit)
-    regions: dict[int, list[tuple[int, int]]] = {}
+    regions: dict[int, set[tuple[int, int]]] = {}
     for end, uses in automaton.iter(line):
         for number, offset, size in uses:
             _, k, length, _ = patterns[number]
             begin = end + 1 - size - offset
-            regions.setdefault(number, []).append((max(0, begin - k), min(len(line), begin + length + k)))
+            regions.setdefault(number, set()).add((max(0, begin - k), min(len(line), begin + length + k)))
     found = []
     for number, spans in regions.items():
-        pattern, k, length, label = patterns[number]
-        spans.sort()
-        merged = [spans[0]]
-        for a, b in spans[1:]:
-            if a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        for a, b in merged:
-            for m in pattern.finditer(line, a, b):
-                if m.end() > m.start():
-                    found.append((label, m.start(), m.end(), sum(m.fuzzy_counts), length))
+        pattern, _, length, label = patterns[number]
+        found += [(label, a, b, edits, length) for a, b, edits in apart(pattern, line, spans)]
     return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 

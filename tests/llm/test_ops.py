@@ -394,6 +394,51 @@ def test_seeds_lose_no_match():
             assert (label in {x[0] for x in notices.fuzzy(line)}) or whole is None
 
 
+def least_edits(line, notice, k):
+    """Brute force: for each start, the least edits of any stretch from there on, if at most k."""
+    out = {}
+    for a in range(len(line)):
+        row = list(range(len(notice) + 1))
+        least = row[-1]
+        for c in line[a:a + len(notice) + k]:
+            last, row = row, [row[0] + 1]
+            for j, x in enumerate(notice):
+                row.append(min(last[j] + (c != x), last[j + 1] + 1, row[-1] + 1))
+            least = min(least, row[-1])
+        if least <= k:
+            out[a] = least
+    return out
+
+
+def test_notices_side_by_side(spark):
+    mpl = "mozila public license " * 5 + "mozilla public license"
+    assert [x[1:4] for x in notices.fuzzy(mpl) if x[0] == "mpl"] == [(22 * i, 22 * i + 21, 1) for i in range(5)] + [(110, 132, 0)]
+    assert [x[1:4] for x in notices.fuzzy("all rights reservd all rights reserved")] == [(0, 18, 1), (19, 38, 0)]
+    found = notices.scan(spark.createDataFrame([(1, mpl)], "doc_id long, text string")).collect()[0].spans
+    assert [(s.first, s.last) for s in found if s.label == "mpl"] == [(3 * i, 3 * i + 2) for i in range(6)]
+    rng = np.random.default_rng(8)
+    for notice, label in (("all rights reserved", "a"), ("mozilla public license", "m"), ("licensed under the apache license", "l")):
+        k = len(notice) // notices.PER_EDIT
+        for _ in range(12):
+            near = []
+            for _ in range(rng.integers(2, 7)):
+                t = list(notice)
+                for _ in range(rng.integers(0, k + 2)):
+                    i = int(rng.integers(0, len(t)))
+                    t[i:i + 1] = [[], [t[i], "q"], ["z"]][rng.integers(0, 3)]
+                near.append("".join(t))
+            line = ["", " ", " x "][rng.integers(0, 3)].join(near)
+            got = notices.fuzzy(line, ((notice, label),))
+            want = least_edits(line, notice, k)
+            assert all(want.get(a) is not None and want[a] <= e <= k for _, a, _, e, _ in got)
+            assert all(x[2] <= y[1] for x, y in zip(got, got[1:]))
+            # what no match touches holds no match
+            free = [0, *(x[2] for x in got)], [*(x[1] for x in got), len(line)]
+            assert not any(least_edits(line[a:b], notice, k) for a, b in zip(*free))
+            # least edits first: a start with fewer edits than a taken match lies in or beside one that has as few
+            assert not got or min(want.values()) == min(x[3] for x in got)
+
+
 # 1: lattice scores
 
 def toy(k=1):
