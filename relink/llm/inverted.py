@@ -140,29 +140,36 @@ def phrase(lists: list[np.ndarray | None], window: np.ndarray, counts: np.ndarra
     return at
 
 
-def near(lists: list[np.ndarray | None], window: np.ndarray, counts: np.ndarray, reach: int) -> list[tuple[int, int]]:
-    """(start, length) of the shortest stretch of at most `reach` words around each place of the rarest term that holds
-    every term of the window, in any order."""
-    terms = np.unique(window)
-    rare = terms[np.argmin(counts[terms])]
-    found = []
-    for p in lists[rare].tolist():
-        around = []
-        for t in terms:
-            a, b = np.searchsorted(lists[t], (p - reach + 1, p + reach))
-            around.append(lists[t][a:b] if t != rare else np.array([p]))
-        if any(not len(x) for x in around):
-            continue
-        best = None
-        for lo in sorted({int(v) for x in around for v in x if v <= p}, reverse=True):
-            i = [np.searchsorted(x, lo) for x in around]
-            if all(j < len(x) for j, x in zip(i, around)):
-                hi = max(int(x[j]) for j, x in zip(i, around))
-                if hi - lo < reach and (best is None or hi - lo + 1 < best[1]):
-                    best = (lo, hi - lo + 1)
-        if best:
-            found.append(best)
-    return sorted(set(found))
+def near(lists: list[np.ndarray | None], window: np.ndarray, reach: int, bounds: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """(start, length) of the shortest stretch of at most `reach` words around each place of a document's rarest term that
+    holds every term of the window, in any order. `bounds` are the documents' first positions and ends; each document is
+    searched by itself, and of its equally rare terms the window's first counts, so its neighbours change nothing."""
+    terms = list(dict.fromkeys(window.tolist()))
+    least = min((lists[t] for t in terms), key=len)
+    holders = np.unique(np.searchsorted(bounds[0], least, "right") - 1)  # no other document has all terms
+    cuts = np.array([np.searchsorted(lists[t], [b[holders] for b in bounds]) for t in terms])  # term, first or end, document
+    sizes = cuts[:, 1] - cuts[:, 0]
+    found = set()
+    for d in np.flatnonzero(sizes.min(axis=0) > 0).tolist():
+        own = [lists[t][a:b] for t, (a, b) in zip(terms, cuts[:, :, d].tolist())]
+        rare = int(sizes[:, d].argmin())
+        for p in own[rare].tolist():
+            around = []
+            for k, x in enumerate(own):
+                a, b = np.searchsorted(x, (p - reach + 1, p + reach))
+                around.append(x[a:b] if k != rare else np.array([p]))
+            if any(not len(x) for x in around):
+                continue
+            best = None
+            for lo in sorted({int(v) for x in around for v in x if v <= p}, reverse=True):
+                i = [np.searchsorted(x, lo) for x in around]
+                if all(j < len(x) for j, x in zip(i, around)):
+                    hi = max(int(x[j]) for j, x in zip(i, around))
+                    if hi - lo < reach and (best is None or hi - lo + 1 < best[1]):
+                        best = (lo, hi - lo + 1)
+            if best:
+                found.add(best)
+    return sorted(found)
 
 
 def _segment(table: pa.Table, terms: dict[bytes, int]):
@@ -234,7 +241,7 @@ def search(index: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
 
 def matches(index: DataFrame, benchmark: DataFrame, n: int = 10, slop: int = 0) -> DataFrame:
     """Every place of a window: kind `phrase`, and with slop > 0 also kind `near`, a stretch of at most n + slop words that
-    holds all terms of a window of n words in any order around its rarest term."""
+    holds all terms of a window of n words in any order around the term that its document has least often."""
     def find(table: pa.Table, block: dict) -> pa.Table:
         lists, counts, ids, _, offsets = _segment(table, block["terms"])
         rows = []
@@ -246,12 +253,11 @@ def matches(index: DataFrame, benchmark: DataFrame, n: int = 10, slop: int = 0)
             least = np.where(grid >= 0, counts[grid], np.iinfo(np.int64).max).min(axis=1)
             for k in np.flatnonzero(least > 0).tolist():
                 window = grid[k][grid[k] >= 0]
-                rows += [(p, size, block["items"][k], "near") for p, size in near(lists, window, counts, len(window) + slop)]
+                rows += [(p, size, block["items"][k], "near") for p, size in near(lists, window, len(window) + slop, (offsets[:-1], offsets[1:] - 1))]
         out = []
         for p, size, item, kind in rows:
             d = int(np.searchsorted(offsets, p, "right")) - 1
-            if p + size <= offsets[d + 1]:
-                out.append((ids[d], item, p - int(offsets[d]), size, kind))
+            out.append((ids[d], item, p - int(offsets[d]), size, kind))
         columns = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
                         names=["doc_id", "item_id", "start", "n", "kind"])

@@ -93,6 +93,34 @@ def test_whole_index_and_proximity(spark):
     assert {(r.doc_id, r.kind) for r in inverted.matches(index, bench, 3).collect()} == {(1, "phrase")}
 
 
+def brute_near(words, window, reach):
+    """(start, length) around each place of the rarest term, from all stretches of a document."""
+    terms = list(dict.fromkeys(window))
+    rare = min(terms, key=words.count)
+    out = set()
+    for p in [i for i, w in enumerate(words) if w == rare]:
+        held = [(b - a, -a) for a in range(p + 1) for b in range(p + 1, min(len(words), a + reach) + 1)
+                if set(terms) <= set(words[a:b])]
+        if held:
+            out.add((-min(held)[1], min(held)[0]))
+    return out
+
+
+def test_proximity_beside_other_documents(spark):
+    pair = spark.createDataFrame([(1, "b x x a"), (2, "b y")], "doc_id long, text string").coalesce(1)
+    asked = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert [(r.doc_id, r.start, r.n) for r in inverted.matches(inverted.build(pair), asked, 2, slop=3).collect()] == [(1, 0, 4)]
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abcdxyz"), rng.integers(0, 9))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    items = [(1, "a b"), (2, "c a b"), (3, "d d c"), (4, "b")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted((d, str(i), *m) for d, t in enumerate(texts) for i, w in items
+                  for m in brute_near(t.split(), w.split(), len(w.split()) + 2) if set(w.split()) <= set(t.split()))
+    got = inverted.matches(inverted.build(docs), bench, 3, slop=2).where("kind = 'near'").collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.n) for r in got) == want and len(want) > 100
+
+
 def test_contamination_edges(spark, edge):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     got = sorted(((r.doc_id or 0, r.n_words, r.n_hit) for r in inverted.contamination(edge, bench).collect()))
