@@ -4,10 +4,11 @@ A document's fingerprint sums the bits of its shingle hashes. Distinct fingerpri
 stands in one shard for each of SEGMENTS bit segments, keyed by that segment's value, so two fingerprints that differ in
 fewer bits than there are segments meet in a shard. A shard with many members is divided further by its members' Hamming
 distance to a vantage point: rings of width RING, and every member whose ball of the radius reaches over a ring's outer
-edge is also sent to the next ring, which is the only other one the triangle inequality leaves. Inside a task a shard's
-ring is a vantage-point tree: each level splits at the median distance, and only points within the radius of the boundary
-are compared across it. A tree emits a link from each member to the least member it is connected with, never all pairs;
-the links' components are then found by Spark.
+edge is also sent to the next ring, which is the only other one the triangle inequality leaves. A ring that still is large
+(distances may crowd) is dealt into chunks, and each two chunks are a group, so a task holds a bounded number of fingerprints
+and a dense ring's quadratic work is spread over tasks. Inside a task a group is a vantage-point tree: each level splits at
+the median distance, and only points within the radius of the boundary are compared across it. A tree emits a link from
+each member to the least member it is connected with, never all pairs; the links' components are then found by Spark.
 
 A vantage-point tree over all 64 bits prunes little at radius 4 (distances of unrelated fingerprints crowd around 32), so
 the segments come first and the trees do the rest.
@@ -33,6 +34,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 SEGMENTS = RADIUS + 1
 #: Members from which a shard is divided into rings, and the width of a ring; a ring must be no narrower than the radius.
 SHARD, RING = 2048, 4
+#: Members from which a ring is dealt into chunks that are solved two by two.
+PART = 8192
 #: Members of a tree's leaf, which are compared with each other.
 LEAF = 128
 
@@ -126,20 +129,34 @@ def _blocks(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: Forest,
             _join_near(x, a, a if left is right and i == j else right[j:j + size], forest)
 
 
-def near_links(fps: DataFrame) -> DataFrame:
-    """(a, b): links among distinct fingerprints `fp` whose components are those of all pairs within the radius.
+def dealt(fps: DataFrame) -> DataFrame:
+    """(fp, key): the groups of distinct fingerprints that are solved in one task each; near ones meet in a group.
 
-    Shards are counted first; only those over SHARD members are cut into rings. A ring's task holds the shard's ring alone.
+    Shards are counted first; only those over SHARD members are cut into rings. A ring over PART members is dealt by hash into
+    chunks of about PART at most, and a group for each two chunks holds just these, so no group is larger than about 2 x PART.
     """
     cuts = [round(i * 64 / SEGMENTS) for i in range(SEGMENTS + 1)]
     values = [F.shiftrightunsigned("fp", a).bitwiseAND((1 << (b - a)) - 1).bitwiseOR(F.lit(i << 32)) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
     shards = fps.select("fp", F.explode(F.array(*values)).alias("shard"))
     sizes = shards.groupBy("shard").agg(F.count("*").alias("size"), F.min("fp").alias("vantage")).where("size > 1")
-    dealt = shards.join(F.broadcast(sizes), "shard")  # no more rows than segments have values: 5 x 2 ** 13
+    sized = shards.join(F.broadcast(sizes), "shard")  # no more rows than segments have values: 5 x 2 ** 13
     ring = (F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage"))) / RING).cast("int")
     rings = F.when(F.col("size") <= SHARD, F.array(F.lit(0))).otherwise(F.array(ring, ring + 1))
-    keyed = dealt.select("fp", "shard", F.explode(rings).alias("ring")).select("fp", F.xxhash64("shard", "ring").alias("key"))
+    ringed = sized.select("fp", "shard", "size", F.explode(rings).alias("ring"))
+    # no more rows than shards have rings (5 x 2 ** 13 x 18), and none unless a shard is larger than PART
+    large = ringed.where(F.col("size") > PART).groupBy("shard", "ring").agg(F.count("*").alias("members")).where(F.col("members") > PART)
+    chunks = F.ceil(F.col("members") / PART).cast("int")
+    mine = F.pmod(F.xxhash64("fp"), chunks).cast("int")
+    pairs = F.filter(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(F.least(c, mine).alias("i"), F.greatest(c, mine).alias("j"))),
+                     lambda p: p.i != p.j)
+    none = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    return ringed.join(F.broadcast(large), ["shard", "ring"], "left").select(
+        "fp", "shard", "ring", F.explode(F.when(F.col("members").isNull(), none).otherwise(pairs)).alias("p")).select(
+        "fp", F.xxhash64("shard", "ring", "p.i", "p.j").alias("key"))
+
 
+def near_links(fps: DataFrame) -> DataFrame:
+    """(a, b): links among distinct fingerprints `fp` whose components are those of all pairs within the radius."""
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
@@ -162,7 +179,7 @@ def near_links(fps: DataFrame) -> DataFrame:
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(links, "a long, b long")
+    return dealt(fps).repartition("key").sortWithinPartitions("key").mapInArrow(links, "a long, b long")
 
 
 def classes(prints: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -185,6 +185,29 @@ def test_vantage_trees_and_rings(spark, monkeypatch, shard):
     assert [got[i] for i in range(len(prints))] == brute_classes(rows)
 
 
+def test_dense_rings_are_dealt_into_chunks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 16)
+    monkeypatch.setattr(simhash, "PART", 32)
+    rng = np.random.default_rng(7)
+    # one value of the first segment; one ring: half of the twelve free bits differ from the vantage point's
+    dense = {sum(1 << int(i) for i in rng.choice(range(13, 40, 2), 7, replace=False)) for _ in range(400)}
+    prints = sorted({0, *dense, *rng.integers(0, 2 ** 63, 60).tolist()})
+    fps = spark.createDataFrame([(p,) for p in prints], "fp long")
+    groups = collections.defaultdict(set)
+    for r in simhash.dealt(fps).collect():
+        groups[r.key].add(r.fp)
+    assert len(prints) > 300 and max(map(len, groups.values())) <= 3 * 32
+    near = [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= simhash.RADIUS]
+    of = collections.defaultdict(set)
+    for k, g in groups.items():
+        for p in g:
+            of[p].add(k)
+    assert len(near) > 1000 and all(of[a] & of[b] for a, b in near)
+    linked, first = simhash.classes(fps.select(F.col("fp").alias("doc_id"), F.col("fp").alias("h"), "fp"))
+    got = {r.doc_id: r.component_id for r in linked.join(first, "group").collect()}
+    assert [got[p] for p in prints] == brute_classes([(p, p) for p in prints])
+
+
 def test_vp_links_on_dense_points():
     x = np.unique(np.random.default_rng(5).integers(0, 1 << 11, 700)).astype(np.uint64) << np.uint64(20)
     forest = Forest(len(x))
