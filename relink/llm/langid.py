@@ -4,8 +4,8 @@ Per language a suffix automaton is built over a bounded sample of labelled text.
 follow it as long as it matches, count a phrase where it fails, start again. The language that needs the fewest phrases per
 symbol wins; ties go to the first name. Letters are lowered, and every run of other characters is one blank.
 
-The sample is the only thing that is bounded: about DOCS_PER_LANGUAGE training documents per language, chosen by a hash of
-their ids (expected number; a binomial draw), a slice of SLICE characters of each. All texts are parsed whole, in blocks of
+The sample is the only thing that is bounded: at most DOCS_PER_LANGUAGE distinct training documents per language, those with
+the least hashes of id and text, a slice of SLICE characters of each. All texts are parsed whole, in blocks of
 BLOCK symbols that are walked side by side; a phrase ends with its block, for each language alike.
 
 Defined results: a null text or one without letters gets `und` with score 0; no training text at all makes every result
@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import map_batches
 
@@ -35,16 +35,20 @@ def fold() -> Column:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """(lang, slice) of the training documents whose hash falls below their language's share; bounded, so collected."""
+    """(lang, slice) of the DOCS_PER_LANGUAGE training documents of each language with the least hashes of id and text. Equal
+    rows teach once, so neither null nor repeated ids let more in; about twice as many pass the hash, then the rest is cut."""
     train = docs.where((fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "lang", "text", F.xxhash64("doc_id").alias("h"))
-    counts = {r[0]: r[1] for r in train.groupBy("lang").count().collect()}  # a row for each language
+        "lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    counts = {r[0]: r[1] for r in train.groupBy("lang").agg(F.approx_count_distinct("h")).collect()}  # a row for each language
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, DOCS_PER_LANGUAGE / n))])
+    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 2 * DOCS_PER_LANGUAGE / n))])
     at = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SLICE, F.lit(0)) + 1).cast("int") + 1
-    chosen = train.where(F.pmod("h", F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
-    return sorted((r[0], r[1]) for r in chosen.select("lang", F.col("text").substr(at, F.lit(SLICE))).collect())
+    place = F.pmod("h", F.lit(1 << 52))
+    passed = train.where(place < share[F.col("lang")] * float(1 << 52)).groupBy("lang", "h").agg(F.min(F.col("text").substr(at, F.lit(SLICE))).alias("slice"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "h"))
+    chosen = passed.withColumn("rank", rank).where(F.col("rank") <= DOCS_PER_LANGUAGE)
+    return sorted((r[0], r[1]) for r in chosen.select("lang", "slice").collect())
 
 
 @lru_cache(1)
@@ -191,16 +195,15 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, columns untouched, whose language can be told. The verdict falls where the text is read, so no
-    text is shuffled. Without any labelled training text no verdict can be given, and every row stays."""
+    text is shuffled. Without any labelled training text no verdict can be given, and every row with a letter stays."""
     slices = sample(docs)
-    if not slices:
-        return docs
     shared = docs.sparkSession.sparkContext.broadcast(train(slices))
     at = docs.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pred = verdicts(b.column(at).to_pylist(), shared.value)[0]
-            yield b.filter(pa.array([p != UNKNOWN for p in pred], pa.bool_()))
+            texts, model = b.column(at).to_pylist(), shared.value
+            known = [p != UNKNOWN for p in verdicts(texts, model)[0]] if model["langs"] else [bool(symbols(t or "", {}).any()) for t in texts]
+            yield b.filter(pa.array(known, pa.bool_()))
 
     return map_batches(docs, rows, docs.schema)

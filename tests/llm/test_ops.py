@@ -230,6 +230,15 @@ def test_language_accuracy(docs):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_sample_of_null_and_repeated_ids(spark):
+    rows = [(d, f"{w} number {i}", w) for w, d in (("none", None), ("same", 3)) for i in range(1500)] + [(3, "again", "copies")] * 900
+    rows += [(i, f"own {i}", "own") for i in range(900)]
+    got = collections.Counter(k for k, _ in langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert got == {"none": 160, "same": 160, "own": 160, "copies": 1}
+    bare = spark.createDataFrame([(1, None, None), (2, "1 2", None), (3, "", None), (4, "é", None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.keep_known(bare).collect()] == [4]
+
+
 def test_language_folds_and_edges(spark, docs, edge):
     rows = {r.doc_id: r.held_out for r in langid.identify(docs).collect()}
     assert all(h == (zlib.crc32(str(d).encode()) % 4 == 2) for d, h in rows.items())
