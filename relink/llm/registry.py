@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import e8, inverted, langid, lattice, notices, packing, preference, reshard, simhash, warc
+from . import collocation, e8, inverted, langid, lattice, notices, packing, preference, reshard, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
     spans = "array_join(transform({0}, s -> concat(s.from, '-', s.to)), ',') as {0}"
     return pairs.selectExpr("pair_id", "n_common", "prompt", "chosen", "rejected", spans.format("chosen_mask"), spans.format("rejected_mask"), "status")
+
+
+@query("op12_branch_and_bound_phrases", r"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+     w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+     s as (select lang, m, array_to_string(w[i : i + m - 1], ' ') as phrase from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i
+           from (select *, unnest([1, 2, 3, 4]) as m from w) where len(w) >= m)),
+     f as materialized (select lang, m, phrase, count(*) as f from s group by all),
+     n as (select lang, sum(f)::bigint as n from f where m = 1 group by lang),
+     c as materialized (select lang, m, phrase, string_split(phrase, ' ') as ws, f as a from f where m > 1 and f >= 30),
+     u as (select lang, m, phrase, a, k, array_to_string(ws[1 : k], ' ') as p, array_to_string(ws[k + 1 : m], ' ') as q
+           from (select *, unnest(range(1, m)) as k from c)),
+     cuts as (select u.*, x.f as l, y.f as r, 2000000::hugeint * a // (x.f + y.f) as score
+              from u join f x on x.lang = u.lang and x.phrase = u.p join f y on y.lang = u.lang and y.phrase = u.q),
+     best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+     held as (select lang, phrase, max(a) as over_ from (select lang, a, array_to_string(ws[i : i + s - 1], ' ') as phrase
+              from (select *, unnest(range(1, m - s + 2)) as i from (select *, unnest([2, 3]) as s from c) where m > s)) group by all),
+     live as (select b.* from best b left join held h on h.lang = b.lang and h.phrase = b.phrase
+              where h.over_ is null or 100 * h.over_ < 80 * b.a)
+select live.lang, row_number() over (partition by live.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from live join n on n.lang = live.lang qualify rank <= 2000
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
