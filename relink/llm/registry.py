@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocation, e8, inverted, langid, lattice, notices, packing, preference, reshard, simhash, warc
+from . import collocation, e8, filter_audit, html_region, inverted, langid, lattice, notices, packing, preference, reshard, simhash, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,35 @@ from live join n on n.lang = live.lang qualify rank <= 2000
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit", r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+     lab as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+     least as (select text, min(doc_id) as first from d group by text),
+     f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+                  (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+                  + 4 * (100 * (length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g'))) > 10 * length(d.text))::int
+                  + 8 * regexp_matches(d.text, '[#$%&*|]')::int + 16 * coalesce(d.doc_id > first, false)::int as mask
+           from d join least on least.text = d.text left join lab on lab.doc_id = d.doc_id),
+     c as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, mask),
+     l as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+     o as (select a.x || b.x || c.x || d.x || e.x as o from l a, l b, l c, l d, l e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     s as (select o, step, 1 << (ascii(o[step]) - 65) as bit,
+                  list_sum([0] || list_transform(range(1, step), lambda j: 1 << (ascii(o[j]) - 65)))::int as before
+           from (select o, unnest(range(1, 6)) as step from o)),
+     x as (select part, o as filter_order, step::int as step, n, good, toxic, mask, bit, (mask & bit) <> 0 as fails, (mask & before) <> 0 as earlier from c, s)
+select part, filter_order, step, coalesce(sum(n) filter (not fails and not earlier), 0)::bigint as kept,
+       coalesce(sum(n) filter (fails and not earlier), 0)::bigint as removed, coalesce(sum(n) filter (fails and earlier), 0)::bigint as redundant,
+       coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails, coalesce(sum(good) filter (fails and not earlier), 0)::bigint as good_lost,
+       coalesce(sum(toxic) filter (fails and not earlier), 0)::bigint as toxic_lost,
+       coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) filter (fails), 0)::bigint as shapley
+from x group by part, filter_order, step
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+@query("op13_scored_region_text")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.extract(table(spark, sf_dir, "pages"))

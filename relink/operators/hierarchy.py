@@ -8,10 +8,13 @@ with a reliable checkpoint. A parent with very many children is a skewed but sin
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..lineage import cut
 from .crosswalk import lookup
+from .ranking import first_per_key, orderable
 
 OPEN, REACHED, LOST = "open", "reached", "unreachable"
 
@@ -24,11 +27,14 @@ def expand(
     the root), `order_path` (sibling ordinals from the root; sorting by it gives the pre-order load
     sequence) and, with ``label``, `titles` along the path.
 
-    Nodes whose chain of parents ends in a missing node or a cycle are unreachable. A null parent marks
-    a root; with ``zero_is_root`` so does 0.
+    Nodes whose chain of parents ends in a missing node or a cycle are unreachable, and so is a row without an id. A null
+    parent marks a root; with ``zero_is_root`` so does 0. A node that was landed twice is walked and returned once (the
+    first by ordinal and its plain columns). Rows without a scope form a scope of their own.
     """
     by = list(by)
     ordinal = ordinal or node
+    lone = df.where(F.col(node).isNull())
+    df = first_per_key(df.where(F.col(node).isNotNull()), [*by, node], [ordinal, *orderable(df, [*by, node, ordinal])])
     up = F.col(parent)
     if zero_is_root:
         up = F.nullif(up, F.lit(0).cast(df.schema[parent].dataType))
@@ -39,12 +45,14 @@ def expand(
         F.when(up.isNull(), REACHED).otherwise(OPEN).alias("state"))
     carried = ["path", "order_path"] + (["titles"] if label else [])
 
+    places = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
     known = cut(state)
     while True:
-        ahead = known.select(*by, F.col("_id").alias("_up"), F.col("_up").alias("_next"),
+        ahead = known.select(*places, F.col("_id").alias("_head"), F.col("_up").alias("_next"),
                              F.col("state").alias("_state"), *[F.col(c).alias(f"_h_{c}") for c in carried])
         todo = known.where(F.col("state") == OPEN)
-        met = todo.join(ahead, [*by, "_up"], "left")
+        met = todo.join(ahead, reduce(lambda a, b: a & b, [F.col("_up") == F.col("_head"), *same]), "left")
         whole = F.concat("_h_path", "path")
         loops = F.size(F.array_distinct(whole)) < F.size(whole)
         new_state = (F.when(F.col("_state").isNull() | (F.col("_state") == LOST) | loops, LOST)
@@ -59,10 +67,11 @@ def expand(
             break
     reached = F.col("state") == REACHED
     walk = known.select(
-        *by, F.col("_id").alias(node), "state",
+        *places, "_id", "state",
         F.when(reached, F.size("path") - 1).alias("depth"),
         *[F.when(reached, F.col(c)).alias(c) for c in carried])
-    return df.join(walk, [*by, node], "left")
+    walked = df.join(walk, reduce(lambda a, b: a & b, [F.col(node) == F.col("_id"), *same]), "left").drop("_id", *[f"_by{i}" for i in range(len(by))])
+    return walked.unionByName(lone.withColumn("state", F.lit(LOST)), allowMissingColumns=True)
 
 
 def unreachable(walked: DataFrame) -> DataFrame:

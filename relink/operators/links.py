@@ -27,7 +27,9 @@ def resolve_refs(
     """Add ``out``: map of `entity␟source key` -> target key for the references of each row.
 
     ``refs`` gives, per entity, an array of text keys; entities in ``workspace`` (or all, without a
-    ``scope`` column) use the workspace slice. ``row_key`` must identify the row.
+    ``scope`` column) use the workspace slice. ``row_key`` must identify the row. A row with a null scope resolves its
+    workspace references, and others where the crosswalk has pairs without a scope; a row whose key lacks any other part
+    can't be told from its like and gets no map (plans reject it).
     """
     def tagged(entity, keys):
         place = F.lit(WORKSPACE) if scope is None or entity in workspace else F.col(scope)
@@ -37,15 +39,20 @@ def resolve_refs(
 
     arrays = [F.coalesce(tagged(e, k), none_of("array<struct<entity:string,scope:string,source_key:string>>")) for e, k in refs.items()]
     every = reduce(lambda a, b: F.concat(a, b), arrays)
-    slim = df.select(*row_key, F.explode(every).alias("_r")).select(*row_key, "_r.*")
-    wanted = cw.where(F.col("entity").isin(*refs))
-    hits = slim.join(wanted, ["entity", "scope", "source_key"])
+    kept = ["_r.entity", F.col("_r.scope").alias("_place"), "_r.source_key"]
+    sure = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in row_key if c != scope] or [F.lit(True)])
+    slim = df.where(sure).select(*row_key, F.explode(every).alias("_r")).select(*row_key, *kept)
+    wanted = cw.where(F.col("entity").isin(*refs)).select("entity", F.col("scope").alias("_cw_scope"), "source_key", "target_key")
+    hits = (slim.join(wanted, (slim["entity"] == wanted["entity"]) & slim["_place"].eqNullSafe(wanted["_cw_scope"])
+                      & (slim["source_key"] == wanted["source_key"]))
+            .select(*row_key, slim["entity"], slim["source_key"], "target_key"))
     # A row's map holds at most the row's own distinct references; of several targets of one key the largest counts.
     entries = F.array_sort(F.collect_list(F.struct(F.concat_ws(SEP, "entity", "source_key").alias("key"), "target_key")))
     found = hits.groupBy(*row_key).agg(entries.alias("_e"))
     last = F.filter("_e", lambda e, i: (i == F.size("_e") - 1) | (F.get("_e", i + 1)["key"] != e["key"]))
-    maps = found.select(*row_key, F.map_from_entries(last).alias(out))
-    return df.join(maps, row_key, "left")
+    maps = found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(row_key)], F.map_from_entries(last).alias(out))
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) if c == scope else F.col(c) == F.col(f"_k{i}") for i, c in enumerate(row_key)]
+    return df.join(maps, reduce(lambda a, b: a & b, on), "left").select(*df.columns, out)
 
 
 def target_of(targets, entity: str, key) -> Column:

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.shapes import as_type, items, members, names, none_of, pick_member, truthy
 from ..lineage import cut
+from .ranking import last_per_key, orderable
 
 
 def overlay(
     summary: DataFrame, detail: DataFrame, on: list[str], not_shorter: tuple[str, ...] = (),
-    longer: tuple[str, ...] = (), fill_only: tuple[str, ...] = (), size=None,
+    longer: tuple[str, ...] = (), fill_only: tuple[str, ...] = (), size=None, latest: tuple[str, ...] = (),
 ) -> DataFrame:
     """Left join a detail record over its summary; non-null detail wins.
 
     Lists in ``not_shorter`` win when at least as long, lists in ``longer`` only when longer; columns
     in ``fill_only`` only fill gaps. ``size`` measures a list column (default: variant list).
+
+    A detail that was landed twice counts once: the last by ``latest``, then by its plain columns. So every summary row
+    stays one row. The last column of ``on`` is the key, which never matches by null; those before it are scopes, and a
+    missing scope matches a missing one.
     """
     size = size or (lambda c: F.size(items(c)))
     extra = [c for c in detail.columns if c not in on]
-    d = detail.select(*on, *[F.col(c).alias(f"_d_{c}") for c in extra])
-    joined = summary.join(d, on, "left")
+    once = last_per_key(detail.where(F.col(on[-1]).isNotNull()), on, [*latest, *orderable(detail, [*on, *latest])])
+    d = once.select(*[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], *[F.col(c).alias(f"_d_{c}") for c in extra])
+    same = [F.col(c).eqNullSafe(F.col(f"_on{i}")) if c != on[-1] else F.col(c) == F.col(f"_on{i}") for i, c in enumerate(on)]
+    joined = summary.join(d, reduce(lambda a, b: a & b, same), "left")
 
     def pick_value(c):
         new = F.col(f"_d_{c}")

@@ -14,7 +14,7 @@ from ..operators.crosswalk import lookup, lookup_by_title, resume, titles_to_ids
 from ..operators.links import (
     distinct_links, refs_in_text, remap_links, remap_list, remap_map_keys, resolve_refs, target_of, text_targets,
 )
-from ..operators.ranking import chunk_index
+from ..operators.ranking import chunk_index, first_per_key, orderable
 
 SCOPE = "project_code"
 ROW = [SCOPE, "id"]
@@ -306,7 +306,7 @@ def enrich_results(rows: DataFrame, details: DataFrame | None, case_rows: DataFr
     """Summary + detail + promoted execution + case metadata: one row per result, one join each.
 
     Adds `_steps` (variant), `_case_steps`, `_path` (suite titles) and flattened texts. A row's key is `hash`, or
-    `result_hash` where that is all it has.
+    `result_hash` where that is all it has. Details and cases that were landed twice count once, so they multiply nothing.
     """
     out, details = _by_hash(rows), None if details is None else _by_hash(details)
     if details is not None:
@@ -335,14 +335,16 @@ def enrich_results(rows: DataFrame, details: DataFrame | None, case_rows: DataFr
     from_run = F.try_variant_get(ex, "$.steps", "variant")
     out = out.withColumn("_steps", F.coalesce(*lists, F.when(F.size(items(from_run)) > 0, from_run)))
     out = out.withColumn("_case_id", as_type("case_id", "bigint"))
-    meta = case_rows.select(
-        SCOPE, F.col("id").alias("_case_id"), F.col("steps").alias("_case_steps"),
+    once = first_per_key(case_rows.where("id is not null"), ROW, orderable(case_rows, ROW) or ["id"])
+    meta = once.select(
+        F.col(SCOPE).alias("_case_scope"), F.col("id").alias("_found_id"), F.col("steps").alias("_case_steps"),
         text.suite_path("suite_title", "suite", "suites").alias("_case_path"))
     own_path = text.suite_path("suite_title", "suite", "suites")
     nested = [text.suite_path(get("case", "suite_title"), F.try_variant_get("case", "$.suite", "variant"),
                               F.try_variant_get("case", "$.suites", "variant"))]
-    return (out.join(meta, [SCOPE, "_case_id"], "left")
-            .withColumn("_path", F.coalesce("_case_path", own_path, *nested)).drop("_case_path"))
+    same = F.col(SCOPE).eqNullSafe(F.col("_case_scope")) & (F.col("_case_id") == F.col("_found_id"))
+    return (out.join(meta, same, "left").withColumn("_path", F.coalesce("_case_path", own_path, *nested))
+            .drop("_case_path", "_case_scope", "_found_id"))
 
 
 def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITIES, KEYS, struct_of
 from ..operators.audit import page_completeness
-from ..operators.ranking import first_per_key
+from ..operators.ranking import first_per_key, orderable
 
 
 def open_pages(pages: DataFrame, ddl: str, keep: list[str] = ()) -> DataFrame:
@@ -34,20 +34,25 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "body")
 
 
-def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedupe: bool = False) -> DataFrame:
+def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedupe: bool = True) -> DataFrame:
     """Pages of one entity -> its rows, with the scope column first.
 
-    ``dedupe`` keeps one row per key: pages fetched while the source changed may overlap.
+    Pages fetched while the source changed may overlap, so a key's row is taken once: from the page fetched last where
+    pages say when (`fetched_at`), then from the one of the smallest offset. Rows without a key are all kept, for plans to
+    reject them with a reason. ``dedupe=False`` keeps every landed row.
     """
     mine = pages.where(F.col("entity") == entity) if "entity" in pages.columns else pages
-    keep = [c for c in (scope, "page_offset") if c in pages.columns]
+    keep = [c for c in (scope, "page_offset", "fetched_at") if c in pages.columns]
     out = open_pages(mine, ENTITIES[entity], keep).select(*keep, F.inline("entities"))
     if dedupe:
         key = KEYS[entity]
         keys = [c for c in (scope,) if c in keep] + [key]
-        order = ["page_offset"] if "page_offset" in keep else [key]
-        out = first_per_key(out.where(F.col(key).isNotNull()), keys, order)
-    return out.drop("page_offset")
+        latest = [F.desc_nulls_last("fetched_at")] if "fetched_at" in keep else []
+        order = latest + [c for c in ("page_offset",) if c in keep] + orderable(out, [*keys, "page_offset", "fetched_at"])
+        # Rows without a key are spread by a number of their own, as their partition would hold them all.
+        lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        out = first_per_key(out.withColumn("_lone", lone), [*keys, "_lone"], order or [key]).drop("_lone")
+    return out.drop("page_offset", "fetched_at")
 
 
 def _status(pages: DataFrame, scope: str) -> DataFrame:

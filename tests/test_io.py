@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import subprocess
 import sys
 
@@ -17,6 +18,16 @@ from relink.sources import entities as en, pages as pg, snapshots as sn
 from relink.streaming import trace as tr
 
 SF = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SMALL_SESSION = ("from pyspark.sql import SparkSession; s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+                 ".config('spark.sql.shuffle.partitions', '4').config('spark.sql.session.timeZone', 'UTC').getOrCreate()")
+
+
+def in_process(code, folder):
+    """Run code in a process of its own whose search path has neither this repository nor its tests."""
+    path = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and not os.path.abspath(p).startswith(ROOT)]
+    return subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, timeout=300,
+                          env={**os.environ, "PYTHONPATH": os.pathsep.join(path)})
 
 
 def test_pages_from_files(spark, tmp_path):
@@ -72,14 +83,26 @@ def test_shared_folder_is_kept(spark):
 
 def test_workers_find_the_package_from_any_folder(tmp_path):
     """Functions that run on executors import the package; it need not be the working folder."""
-    code = ("import sys; sys.path[:0] = [%r, %r]; import oracle, __spark_entry__ as e; s = oracle.session(2); "
-            "print(e.queries()['w06_capped_batches'](s, '/root/testdata/sf0.001').count())")
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    done = subprocess.run([sys.executable, "-c", code % (root, os.path.join(root, "tests"))], cwd=tmp_path, capture_output=True, text=True, timeout=300,
-                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    code = f"import sys; sys.path[:0] = [{ROOT!r}]; import __spark_entry__ as e; {SMALL_SESSION}; " \
+           "print(e.queries()['w06_capped_batches'](s, '/root/testdata/sf0.001').count())"
+    done = in_process(code, tmp_path)
     assert done.returncode == 0 and done.stdout.strip().endswith("200"), done.stderr[-1500:]
 
 
+def test_library_works_without_the_document_operators(tmp_path):
+    """A copy without relink/llm, its tests and the pipeline registers and runs all other queries; so does one whose document
+    operators lack a library of theirs."""
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__"))
+    count = "q, o = e.queries(), e.oracle_sql(); assert not [n for n in q if n.startswith('op') or n == 'pipeline']; print(len(q), len(o), e.entry(s).count() >= 0)"
+    done = in_process(f"import __spark_entry__ as e; {SMALL_SESSION}; {count}", tmp_path / "copy")
+    assert done.returncode == 0 and done.stdout.split()[-1] == "True", done.stderr[-1500:]
+    n, m = map(int, done.stdout.split()[-3:-1])
+    assert n == m >= 191
+    blocked = f"import sys; sys.path[:0] = [{ROOT!r}]; sys.modules['xxhash'] = None; import __spark_entry__ as e; {count.split('; print')[0]}; print(len(q))"
+    done = in_process(blocked, tmp_path)
+    assert done.returncode == 0 and int(done.stdout.split()[-1]) == n, done.stderr[-1500:]
+
+
 def test_every_query_has_sql():
     from relink import catalog
 
