@@ -74,13 +74,6 @@ def step_status(v) -> Column:
     return F.coalesce(F.when(is_int(v), n), F.when(is_text(v), w), F.lit("passed"))
 
 
-def step_status_of(number, word) -> Column:
-    """The same rule over two typed columns; a word wins over a number."""
-    n = by_code(col(number), STEP_STATUS_BY_INT)
-    w = by_word(F.lower(F.trim(col(word))), STEP_STATUS_WORDS)
-    return F.coalesce(F.when(col(word).isNotNull(), w).otherwise(n), F.lit("passed"))
-
-
 def severity_code(word) -> Column:
     return F.coalesce(by_code(F.lower(col(word)), SEVERITY), F.lit(0))
 
@@ -99,10 +92,6 @@ def field_entity_of_word(word) -> Column:
     return F.coalesce(by_code(F.lower(col(word)), FIELD_ENTITY), F.lit(0))
 
 
-def field_type_of_word(word) -> Column:
-    return F.coalesce(by_code(F.lower(col(word)), FIELD_TYPE), F.lit(0))
-
-
 def duration_ms(ms_fields, second_fields) -> Column:
     """First whole-number field: milliseconds as they are, seconds times 1000; negative -> null."""
     parsed = [F.when(c.isNotNull(), c) for c in map(col, ms_fields)]

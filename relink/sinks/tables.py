@@ -1,11 +1,10 @@
-"""Writing crosswalks, payloads and traces. All writes are partition-wise and can be repeated."""
+"""Writing crosswalks, payloads and traces. All writes can be repeated."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..lineage import cut
-from ..operators.batching import payload_chunks
+from . import store
 
 # Columns each create request sends.
 PAYLOAD = {
@@ -18,24 +17,15 @@ PAYLOAD = {
 }
 
 
-def save_crosswalk(cw: DataFrame, path: str, mode: str = "overwrite", keep: tuple[str, ...] = (), files: int = 16) -> None:
-    """Write by entity and scope, a slice in up to ``files`` files; existing slices that are not in ``cw`` stay as they
-    are. ``keep`` names further columns to store, such as the order a pair was seen in."""
-    (cw.select("source_key", "target_key", *keep, "entity", "scope")
-     .repartition("entity", "scope", F.pmod(F.xxhash64("source_key"), F.lit(files)))
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("entity", "scope").parquet(path))
+def save_crosswalk(cw: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """Replace the slices (entity, scope) that ``cw`` has; the others stay as they are. See `store`."""
+    store.save(cw, path, order)
 
 
 def replace_scope(worker: DataFrame, path: str, scope: str) -> None:
-    """Replace all slices of one scope by a worker's. Slices of it that the worker doesn't have are emptied, as
-    `crosswalk.replace_slices` does in memory: an overwritten partition without rows would stay, so such a slice is
-    written with one row of nulls, which readers drop."""
-    fresh = cut(worker.where(F.col("scope") == scope).select("source_key", "target_key", "entity", "scope"))
-    old = fresh.sparkSession.read.schema("source_key string, target_key string, entity string, scope string").parquet(path)
-    gone = cut(old.where(F.col("scope") == scope).select("entity", "scope").distinct().join(
-        fresh.select("entity", "scope"), ["entity", "scope"], "left_anti"))
-    none = F.lit(None).cast("string")
-    save_crosswalk(fresh.unionByName(gone.select(none.alias("source_key"), none.alias("target_key"), "entity", "scope")), path)
+    """Replace all slices of one scope by a worker's. Slices of it that the worker doesn't have are gone, as with
+    `crosswalk.replace_slices` in memory. The path may be new."""
+    store.replace_scope(worker, path, scope)
 
 
 def payload(df: DataFrame, entity: str, keys: list[str] = ()) -> DataFrame:
@@ -43,11 +33,6 @@ def payload(df: DataFrame, entity: str, keys: list[str] = ()) -> DataFrame:
     return df.select(*keys, *PAYLOAD[entity])
 
 
-def write_chunks(df: DataFrame, path: str, by: list[str], order: list[str], n: int, columns: list[str]) -> None:
-    """One JSON body per request, partitioned by scope."""
-    payload_chunks(df, by, order, n, columns).write.mode("overwrite").partitionBy(*by).json(path)
-
-
 def append_trace(events: DataFrame, path: str) -> None:
     """Append events as JSON lines."""
     events.write.mode("append").json(path)

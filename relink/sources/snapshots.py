@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.crosswalk import from_buckets, natural_key
 from ..operators.harvest import all_refs
 from ..operators.ranking import last_per_key
-from ..schemas import CROSSWALK, TRACE, WORKSPACE
+from ..schemas import TRACE, WORKSPACE
+from ..sinks import store
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    """Crosswalk table as written by `sinks.tables`; a row without a key only marks a slice as emptied."""
-    return spark.read.schema(CROSSWALK).parquet(path).where("source_key is not null")
+    """The last complete version of a crosswalk written by `sinks.tables`."""
+    return store.read(spark, path)
 
 
 def bucket_rows(df: DataFrame, body: str, workspace: tuple[str, ...] = ("users",)) -> DataFrame:

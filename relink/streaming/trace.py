@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..lineage import cut, work_path
-from ..operators.ranking import last_per_key
+from ..lineage import work_path
 from ..schemas import TRACE
-from ..sinks.tables import save_crosswalk
+from ..sinks import store
 
 
 def trace_stream(spark: SparkSession, path: str, ddl: str = TRACE, fmt: str = "json", files: int = 1000) -> DataFrame:
@@ -46,23 +45,11 @@ def upsert_crosswalk(stream: DataFrame, path: str, checkpoint: str, order: list[
     """Fold each micro-batch of (entity, scope, source_key, target_key, order...) into the crosswalk.
 
     The order columns are stored with each pair, and of the stored and the new pair of a key the later in order stays, so
-    files that land late change nothing. Only the slices a batch touches are read and rewritten; a replayed batch gives
-    the same slices.
+    files that land late change nothing. A batch writes its own pairs only (`sinks.store`); a replayed batch is known by
+    its number and changes nothing either.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
-    names = ["source_key", "target_key", *order, "entity", "scope"]
-    ddl = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in names)
-
-    def fold(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = cut(batch.where("source_key is not null and target_key is not null").select(names))
-        there = spark._jvm.org.apache.hadoop.fs.Path(path)
-        every = fresh
-        if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
-            old = spark.read.schema(ddl).parquet(path).select(names)
-            every = every.unionByName(old.join(fresh.select("entity", "scope").distinct(), ["entity", "scope"], "left_semi"))
-        last = last_per_key(every, ["entity", "scope", "source_key"], [*order, "target_key"])
-        save_crosswalk(cut(last), path, keep=tuple(order))
+    def fold(batch: DataFrame, number: int) -> None:
+        store.upsert(batch, path, order, tag=(checkpoint, number))
 
     (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
