@@ -170,6 +170,48 @@ def e11(spark, sf):
                       F.array_join(F.col("order_path").cast("array<string>"), "/").alias("path"))
 
 
+def sent_suites(spark, sf):
+    rows = entity_of(tree(spark, sf), "suite", None, id="id", parent_id="parent_id", title="p_name")
+    known = xw(t(spark, sf, "part").where("p_size > 45"), "suite", "p_partkey", "p_partkey + 7")
+
+    def send(wave):  # the other side refuses a quarter of the second level, and never answers for some others
+        refused = F.expr("(wave = 1 and id % 4 = 0) or id % 101 = 0")
+        return wave.withColumn("target_key", F.when(~refused, F.concat(F.lit("s"), F.col("id").cast("string")))).where("id % 101 <> 0")
+
+    return pj.suite_waves(rows, known, send)
+
+
+WAVES = f"""known as (select p_partkey from part where p_size > 45),
+n as (select t.*, k.p_partkey is not null as is_known from {TREE} t left join known k on k.p_partkey = t.id),
+loaded as (select id, 0 as depth, null::varchar as parent_target, case when is_known then 'resumed' when id % 101 = 0 then 'not created' else 'sent' end as outcome,
+    case when is_known then (id + 7)::varchar when id % 101 <> 0 then 's' || id end as target from n where parent_id is null
+  union all select c.id, p.depth + 1, p.target,
+    case when c.is_known then 'resumed' when p.target is null then 'an ancestor was not created' when (p.depth = 0 and c.id % 4 = 0) or c.id % 101 = 0 then 'not created' else 'sent' end,
+    case when c.is_known then (c.id + 7)::varchar when p.target is null or (p.depth = 0 and c.id % 4 = 0) or c.id % 101 = 0 then null else 's' || c.id end
+  from n c join loaded p on c.parent_id = p.id)"""
+
+
+@query("e11b_suite_waves", f"""
+with recursive {WAVES}
+select id, outcome, case when outcome in ('sent', 'not created') then depth end as wave, case when outcome in ('sent', 'not created') then parent_target end as parent_target from loaded
+union all select id, 'parent never reached', null, null from n where id not in (select id from loaded)""")
+def e11b(spark, sf):
+    plan = sent_suites(spark, sf)
+    gone = plan["rejects"].select(F.col("source_key").cast("int").alias("id"), "reason")
+    sent = plan["payload"].select("id", F.lit("sent").alias("outcome"), "wave", "parent_target").join(gone, "id", "left")
+    sent = sent.select("id", F.coalesce("reason", "outcome").alias("outcome"), "wave", "parent_target")
+    never = gone.join(plan["payload"].select("id"), "id", "left_anti").withColumnRenamed("reason", "outcome")
+    known = plan["resumed"].select("id", F.lit("resumed").alias("outcome"))
+    return sent.unionByName(never, allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
+
+
+@query("e11c_suite_waves_crosswalk", f"""
+with recursive {WAVES} select id::varchar as source_key, target as target_key from loaded where target is not null
+union all select id::varchar, (id + 7)::varchar from n where is_known and id not in (select id from loaded)""")
+def e11c(spark, sf):
+    return sent_suites(spark, sf)["crosswalk"].select("source_key", "target_key")
+
+
 def case_rows(spark, sf):
     step = ("array(named_struct('action', concat('do /attachment/', md5(p_name), '/'), 'shared', null, 'attachments', array(md5(p_name))),"
             " named_struct('action', null, 'shared', p_type, 'attachments', null), named_struct('action', p_name, 'shared', null, 'attachments', null))")

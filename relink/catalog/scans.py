@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..lineage import work_path
 from ..operators import harvest
 from ..operators.batching import payload_chunks
+from ..operators.ranking import number_rows
 from ..sinks import tables
 from ..sources import entities as en, pages as pg, snapshots as sn
 from .base import CASE_CW, LINES, case_cw, entity_of, linked_documents, page_per_row, query, result_lines, t, xw
@@ -257,6 +258,60 @@ def s21(spark, sf):
     return pg.audit_pages(declared)
 
 
+def damaged_pages(spark, sf):
+    """Pages of 100 events each, by type: every 7th never landed, every 9th can't be read, every 11th landed twice (first unreadable), every
+    5th delivers ten rows of the page before it once more."""
+    ev = t(spark, sf, "events")
+    ranked = number_rows(ev.select(F.col("event_type").alias("project_code"), "event_id"), ["project_code"], ["event_id"], "rn")
+    page = ranked.withColumn("p", F.floor((F.col("rn") - 1) / 100)).groupBy("project_code", "p").agg(F.count("*").alias("n"))
+    totals = ranked.groupBy("project_code").agg(F.count("*").alias("total"))
+    page = page.join(totals, "project_code").where("p % 7 <> 3").withColumn("back", F.expr("if(p % 5 = 2, 10, 0)"))
+    page = page.withColumn("good", F.expr(
+        "concat('{\"status\":true,\"result\":{\"total\":', total, ',\"entities\":[', array_join(transform(sequence(1, n + back), i -> concat('{\"id\":', i, '}')), ','), ']}}')"))
+    fetches = F.expr("case when p % 9 = 4 then array(named_struct('body', '<html>busy', 'fetched_at', 1)) when p % 11 = 6 then array("
+                     "named_struct('body', '{\"status\":false}', 'fetched_at', 1), named_struct('body', good, 'fetched_at', 2)) "
+                     "else array(named_struct('body', good, 'fetched_at', 1)) end")
+    return page.select(F.lit("event").alias("entity"), "project_code", (F.col("p") * 100 - F.col("back")).alias("page_offset"), F.explode(fetches).alias("f")).select(
+        "entity", "project_code", "page_offset", "f.*")
+
+
+DAMAGED = """ranked as (select event_type, row_number() over (partition by event_type order by event_id) as rn from events),
+page as (select *, p * 100 - back as start, sum(n) over (partition by event_type) as total from
+  (select event_type, (rn - 1) // 100 as p, count(*) as n, case when (rn - 1) // 100 % 5 = 2 then 10 else 0 end as back from ranked group by all)),
+landed as (select *, start + n + back as stop, p % 9 = 4 as bad from page where p % 7 <> 3),
+cover as (select event_type, start, stop, coalesce(max(stop) over (partition by event_type order by start rows between unbounded preceding and 1 preceding), 0) as before
+  from landed where not bad),
+hole as (select event_type, before as a, start as b from cover where start > before
+  union all select event_type, max(stop), max(total) from landed where not bad group by event_type having max(stop) < max(total)),
+req as (select event_type, o, least(100, b - o) as n from (select *, unnest(range(a::bigint, b::bigint, 100)) as o from hole))"""
+
+
+@query("s21b_refetch_list", f"""
+with {DAMAGED}
+select r.event_type as project_code, r.o::bigint as page_offset, r.n::bigint as n, case when l.start is null then 'never fetched' else 'unreadable' end as reason
+from req r left join landed l on l.event_type = r.event_type and l.bad and l.start = r.o""")
+def s21b(spark, sf):
+    return pg.page_coverage(damaged_pages(spark, sf))["refetch"].select(F.col("scope").alias("project_code"), "page_offset", "n", "reason")
+
+
+@query("s21c_page_coverage", f"""
+with {DAMAGED}, missing as (select event_type, sum(n) as m from req group by 1), again as (select event_type, sum(least(before, stop) - start) as r from cover where start < before group by 1),
+tot as (select event_type, count(*) as n_pages, max(total) filter (where not bad) as declared from landed group by 1)
+select event_type as project_code, declared::bigint as declared, coalesce(m, 0)::bigint as n_missing, coalesce(r, 0)::bigint as n_repeated, n_pages::bigint as n_pages, coalesce(m, 0) = 0 as complete
+from tot left join missing using (event_type) left join again using (event_type)""")
+def s21c(spark, sf):
+    out = pg.page_coverage(damaged_pages(spark, sf))["summary"]
+    return out.select(F.col("scope").alias("project_code"), "declared", "n_missing", "n_repeated", "n_pages", "complete")
+
+
+@query("s01b_page_rejects", f"""
+with {DAMAGED} select event_type as project_code, 'page not parsable' as reason, count(*) as n from landed where bad group by 1
+union all select event_type, 'page reports failure', count(*) from landed where not bad and p % 11 = 6 group by 1""")
+def s01b(spark, sf):
+    out = pg.page_rejects(damaged_pages(spark, sf))
+    return out.groupBy(F.col("scope").alias("project_code"), "reason").agg(F.count("*").alias("n"))
+
+
 @query("s22_crosswalk_load", """
 select 'users' as entity, '*' as scope, c_custkey::varchar as source_key, (c_custkey + 100000)::varchar as target_key from customer
 union all

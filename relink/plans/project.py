@@ -15,6 +15,7 @@ from ..operators.links import (
     distinct_links, refs_in_text, remap_links, remap_list, remap_map_keys, resolve_refs, target_of, text_targets,
 )
 from ..operators.ranking import chunk_index, first_per_key, orderable
+from ..operators.waves import load_waves
 
 SCOPE = "project_code"
 ROW = [SCOPE, "id"]
@@ -80,6 +81,26 @@ def suites(rows: DataFrame, cw: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def suite_waves(rows: DataFrame, cw: DataFrame, send) -> dict[str, DataFrame]:
+    """Suites created parents-first in one call, each below its parent's new key; see `waves.load_waves`."""
+    def ready(wave):
+        return wave.select(
+            SCOPE, "id", text.suite_title("title", "name", "id").alias("title"), F.coalesce("description", F.lit("")).alias("description"),
+            F.coalesce("preconditions", F.lit("")).alias("preconditions"), "parent_id", "parent_target", "depth", "order_path", "wave")
+
+    return load_waves(hierarchy.expand(rows, "id", "parent_id", [SCOPE]), cw, "suite", SCOPE, send, ready=ready)
+
+
+def milestone_waves(rows: DataFrame, cw: DataFrame, send) -> dict[str, DataFrame]:
+    """Milestones created parents-first in one call; 0 counts as no parent."""
+    def ready(wave):
+        return wave.select(
+            SCOPE, "id", "title", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("status", F.lit("active")).alias("status"),
+            dates.day("due_date").alias("due_date"), "parent_id", "parent_target", "depth", "order_path", "wave")
+
+    return load_waves(hierarchy.expand(rows, "id", "parent_id", [SCOPE], zero_is_root=True), cw, "milestone", SCOPE, send, ready=ready)
+
+
 def _shared_ref(step) -> Column:
     """Shared-step reference under any of its aliases."""
     return F.coalesce(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITIES, KEYS, struct_of
 from ..operators.audit import page_completeness
+from ..operators.coverage import gaps, overlaps, same_group
 from ..operators.ranking import first_per_key, orderable
 
 
@@ -55,13 +56,13 @@ def entity_rows(pages: DataFrame, entity: str, scope: str = "project_code", dedu
     return out.drop("page_offset", "fetched_at")
 
 
-def _status(pages: DataFrame, scope: str) -> DataFrame:
-    """(entity, scope, rows as texts, total, bad): a page is bad if it can't be parsed or its status isn't true."""
+def _status(pages: DataFrame, scope: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(entity, scope, keep..., rows as texts, total, bad): a page is bad if it can't be parsed or its status isn't true."""
     parsed = pages.select(
-        "entity", scope, "body", F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>").alias("_e"),
+        "entity", scope, *keep, "body", F.from_json("body", "status boolean, result struct<total:bigint, entities:array<string>>").alias("_e"),
         F.from_json("body", "result array<string>").alias("_b"))
     ok = F.coalesce(F.col("_e.status"), F.lit(False))
-    return parsed.select("entity", scope, "body", F.when(ok, F.coalesce("_e.result.entities", "_b.result")).alias("rows"),
+    return parsed.select("entity", scope, *keep, "body", F.when(ok, F.coalesce("_e.result.entities", "_b.result")).alias("rows"),
                          F.when(ok, F.col("_e.result.total")).alias("total"), (~ok).alias("bad"))
 
 
@@ -83,6 +84,57 @@ def audit_pages(pages: DataFrame, scope: str = "project_code", expected: DataFra
     return page_completeness(read, keys, ["entity", scope], expected)
 
 
+def page_coverage(pages: DataFrame, scope: str = "project_code", limit: int = 100) -> dict[str, DataFrame]:
+    """What the landed pages of each (entity, scope) cover of the rows the source declares.
+
+    A page at `page_offset` with n rows covers n rows from there. Of several fetches of an offset the last readable one counts
+    (`fetched_at`, where pages have it); the total is the one declared last. Returns
+
+    - `refetch`: (entity, scope, page_offset, n, reason) requests of at most ``limit`` rows for all that is not covered; the reason
+      is `unreadable` where a page landed at that offset but none could be read, else `never fetched`;
+    - `overlaps`: (entity, scope, start, end) rows that a page delivers once more;
+    - `summary`: (entity, scope, declared, n_missing, n_repeated, n_pages, complete).
+
+    A scope whose pages are all unreadable declares nothing: its offsets are requested anew. Pages without an offset can't be
+    placed and are left to `audit_pages`.
+    """
+    keep = tuple(c for c in ("page_offset", "fetched_at") if c in pages.columns)
+    read = _status(pages.where("page_offset is not null"), scope, keep).select(
+        "entity", F.col(scope).alias("scope"), F.col("page_offset").cast("bigint").alias("start"), F.coalesce(F.size("rows"), F.lit(0)).cast("bigint").alias("n"),
+        "total", "bad", F.xxhash64("body").alias("_hash"), *[F.col(c).alias("_at") for c in keep if c == "fetched_at"])
+    at = [F.desc_nulls_last("_at")] if "fetched_at" in keep else []
+    group = ["entity", "scope"]
+    chosen = first_per_key(read, [*group, "start"], ["bad", *at, F.desc("n"), "_hash"])
+    latest = F.max_by("total", F.struct("_at", "total")) if at else F.max("total")
+    totals = read.where("not bad").groupBy(*group).agg(latest.alias("total"))
+    spans = chosen.where("n > 0 and not bad").select(*group, "start", (F.col("start") + F.col("n")).alias("end"))
+    missing = gaps(spans, totals.where("total is not null"), group)
+    repeated = overlaps(spans, group)
+    offsets = F.explode(F.sequence("start", F.col("end") - 1, F.lit(limit).cast("bigint")))
+    wanted = missing.select(*group, "end", offsets.alias("page_offset"))
+    wanted = wanted.select(*group, "page_offset", F.least(F.lit(limit), F.col("end") - F.col("page_offset")).alias("n"))
+    unread = chosen.where("bad").select(F.col("entity").alias("_entity"), F.col("scope").alias("_scope"), F.col("start").alias("_start"))
+    mixed = wanted.join(unread, same_group(group) & (F.col("page_offset") == F.col("_start")), "left")
+    known = totals.select(F.col("entity").alias("_entity"), F.col("scope").alias("_scope"))
+    silent = chosen.where("bad").join(known, same_group(group), "left_anti").select(
+        *group, F.col("start").alias("page_offset"), F.lit(limit).cast("bigint").alias("n"), F.lit("unreadable").alias("reason"))
+    refetch = mixed.select(*group, "page_offset", F.col("n").cast("bigint").alias("n"),
+                           F.when(F.col("_start").isNotNull(), "unreadable").otherwise("never fetched").alias("reason")).unionByName(silent)
+    parts = (chosen.select(*group, F.lit("page").alias("_kind"), F.lit(1).cast("bigint").alias("_n"))
+             .unionByName(totals.select(*group, F.lit("total").alias("_kind"), F.col("total").alias("_n")))
+             .unionByName(refetch.select(*group, F.lit("gap").alias("_kind"), F.col("n").alias("_n")))
+             .unionByName(repeated.select(*group, F.lit("again").alias("_kind"), (F.col("end") - F.col("start")).alias("_n"))))
+
+    def summed(kind):
+        return F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("_n"))), F.lit(0))
+
+    summary = parts.groupBy(*group).agg(
+        F.max(F.when(F.col("_kind") == "total", F.col("_n"))).alias("declared"), summed("gap").alias("n_missing"),
+        summed("again").alias("n_repeated"), summed("page").alias("n_pages"))
+    whole = F.col("declared").isNotNull() & (F.col("n_missing") == 0)
+    return {"refetch": refetch, "overlaps": repeated, "summary": summary.withColumn("complete", whole)}
+
+
 def land(df: DataFrame, entity: str, page: Column, columns: list, scope: str = "project_code") -> DataFrame:
     """Rows -> page bodies, the inverse of `entity_rows`: for tests and for handing pages on.
 
