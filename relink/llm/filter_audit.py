@@ -209,8 +209,10 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int
     landed = spark.read.parquet(path)
     each = -(-len(landed.inputFiles()) // batches)
     counters, progress = counters or work_path(spark, "counters"), progress or work_path(spark, "progress")
-    # A file is read whatever its age beside others.
-    stream = (spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", max(1, each)).option("maxFileAge", "36500d").parquet(path))
+    # As a pattern the path may be one file or a folder of files. A file is read whatever its age beside others.
+    path = path.rstrip("/")
+    pattern = path if set(path) & set("*?[]{}") else f"{path[:-1]}[{path[-1]}]"
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", max(1, each)).option("maxFileAge", "36500d").parquet(pattern)
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ROCKS)
     try:

@@ -9,7 +9,8 @@ outside, and how many words do (events in skipped elements, below, are neither).
 page has outside for each tag there, so that a stretch of boilerplate costs more than its words bring however long it usually
 is; at least 1/4 and no more than 64. A tag's name holds its class or id if that marks boilerplate (`div.ad`). The content
 element's own tags are left out of the counts and cost 1/4, else the labels would be learned instead of what is in them; a tag
-that no labelled page has costs what PRIOR says.
+that no labelled page has costs what PRIOR says. A page that is labelled itself has its label: a tag inside its content
+element costs WITHIN only, a word outside scores -1.
 
 Boilerplate that can stand inside an article is told by its element: words in the elements of SKIPPED, in an element whose
 class, id or role has a mark of MARKS, or in a hidden element, score nothing and are no part of the text (a `header` inside the
@@ -63,9 +64,11 @@ BLOCK = frozenset(("address article aside blockquote center details dir div dl f
 #: Cost of tags that no labelled page has: those of prose, and all others.
 PRIOR = {"li": 1.0, "ul": 1.0} | {t: 0.25 for t in "p h1 h2 h3 h4 h5 h6 br blockquote pre figure figcaption table tbody thead tr td th dl dt dd ol hr".split()} | {t: 0.25 for t in INLINE if t != "a"}
 OTHER, LEAST, MOST = 4.0, 0.25, 64.0
+#: Cost of a tag inside the content element of a labelled page, less than any word's score.
+WITHIN = 1 / (1 << 20)
 
-#: A quoted attribute may hold `>`; where quotes don't pair up the tag ends at the first `>`.
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+|[^>]*)>", re.S)
+#: A quoted attribute may hold `>`; where quotes don't pair up before the next `<` the tag ends at the first `>`.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _MARK = re.compile(r"[a-z]+")
 
@@ -91,7 +94,7 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
     """(kind, value, skipped, depth) in page order: kind `tag` with a tag's name (`/` before an end tag, a mark after a dot) or `text` with
     the raw text between tags; skipped says whether boilerplate elements are open, depth how many content elements are."""
     open_: list[tuple[str, bool]] = []  # elements and whether they are skipped
-    skipped = depth = 0
+    skipped = depth = seen = 0
     at = 0
 
     def close(name: str) -> None:
@@ -104,8 +107,9 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
                 del open_[k:]
                 return
 
+    last = page.rfind(">") + 1  # no tag ends later: beyond it nothing is searched, so that a page costs one pass
     while at < len(page):
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, last)
         if m is None:
             yield "text", page[at:], skipped > 0, depth
             return
@@ -113,6 +117,8 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
             yield "text", page[at : m.start()], skipped > 0, depth
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                return
             continue
         name = m[2].lower()
         if m[1]:
@@ -128,8 +134,18 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
                 k -= 1
             if k >= 0 and open_[k][0] == "p":
                 close("p")
-        mark = _mark(m[3]) if name not in ("html", "body", *CONTENT) else ""
-        yield "tag", f"{name}.{mark}" if mark else name, skipped > 0, depth
+        # frames of the page and its first content element may be named after what stands beside the text ("has-sidebar")
+        mark = "" if name in ("html", "body") or (name in CONTENT and not seen) else _mark(m[3])
+        if depth and (name == "header" or mark == "header"):
+            skip = mark not in ("", "header")
+        else:
+            skip = bool(mark) or name in SKIPPED
+        if name in CONTENT:
+            if not seen:  # what the first content element stands in is a frame, however it is named
+                open_[:] = [(n, was and n in SKIPPED and n != "form") for n, was in open_]
+                skipped = sum(was for _, was in open_)
+            seen += 1
+        yield "tag", f"{name}.{mark}" if mark else name, skipped > 0 or (depth > 0 and skip), depth
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s>/])[^>]*>", re.I).search(page, at) if not m[3].rstrip().endswith("/") or name not in ("svg", "math") else None
             if end:
@@ -138,13 +154,6 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
             elif not m[3].rstrip().endswith("/"):
                 return
         elif name not in VOID and not m[3].rstrip().endswith("/"):
-            if depth and (name == "header" or mark == "header"):
-                skip = mark not in ("", "header")
-            else:
-                skip = bool(mark) or name in SKIPPED
-            if name in CONTENT:  # a form around the whole page is a frame, not a form
-                skipped -= sum(was for n, was in open_ if n == "form")
-                open_[:] = [(n, was and n != "form") for n, was in open_]
             open_.append((name, skip))
             skipped += skip
             depth += name in CONTENT
@@ -213,18 +222,23 @@ def cost(tag: str, weights: dict[str, float]) -> float:
     name = tag.lstrip("/")
     if name in CONTENT:
         return LEAST
-    return weights.get(tag, MOST if "." in name else PRIOR.get(name, OTHER))
+    return weights.get(tag, PRIOR.get(name, OTHER))
 
 
 def region(line: list[tuple[str, str, bool, int]], weights: dict[str, float]) -> tuple[int, int]:
     """[first, last) of the events whose scores have the greatest sum; (0, 0) if none is positive. One scan; of equal sums the first."""
     best, where, sum_, start = 0.0, (0, 0), 0.0, 0
     costs: dict[str, float] = {}
-    for k, (kind, value, skipped, _) in enumerate(line):
-        if kind == "text":
-            score = 0.0 if skipped else float(len(value.split()))
-        elif skipped:
+    own = sum(kind == "tag" and value in CONTENT and not skipped for kind, value, skipped, _ in line) == 1
+    for k, (kind, value, skipped, depth) in enumerate(line):
+        if skipped:
             score = 0.0
+        elif kind == "text":
+            score = float(len(value.split()))
+            if own and not depth:
+                score = -score
+        elif own and depth:
+            score = -WITHIN
         else:
             score = costs.get(value)
             if score is None:

@@ -39,7 +39,7 @@ def test_region_is_the_best_one():
         line = []
         for _ in range(rng.randint(0, 25)):
             line.append(("text", "w " * rng.randint(0, 4), rng.random() < 0.2, 0) if rng.random() < 0.5 else ("tag", rng.choice(["p", "div", "ul", "nav.ad"]), rng.random() < 0.2, 0))
-        weights = {"p": 0.5, "div": 2.0, "nav.ad": 9.0}
+        weights = {"p": 0.5, "div": 2.0, "ul": 1.0, "nav.ad": 9.0}
 
         def total(a, b):
             return sum(0 if s else len(v.split()) if k == "text" else -h.cost(v, weights) for k, v, s, _ in line[a:b])
@@ -55,11 +55,14 @@ PROSE = "This paragraph has quite some words in it, so that its score is well ab
 @pytest.mark.parametrize("page,want", [
     (None, ""), ("", ""), ("<div><nav><a>x y z</a></nav></div>", ""), ("just words", "just words"),
     (f"<body><div class='menu'>{PROSE}</div><p>{PROSE}</p><p>{PROSE}", f"{PROSE.strip()}\n{PROSE.strip()}"),
-    (f"<p>{PROSE}<div id=sidebar-2><p>{PROSE}</p></div><p>Tail words here", f"{PROSE.strip()}\nTail words here"),
+    (f"<p>{PROSE}<div id=sidebar-2><p>{PROSE}</p></div><p>Some more words at the tail", f"{PROSE.strip()}\nSome more words at the tail"),
     (f"<main><h1>Head &amp; <b>b</b>old&#33;</h1><p>{PROSE}<p class=ad>buy this<p>a\n b&nbsp;&lt;p&gt;</main><section id='comments'><p>{PROSE * 9}</p></section>",
      f"Head & bold!\n{PROSE.strip()}\na b <p>"),
     (f"<article><header><h1>Title here</h1></header><p>{PROSE}</p><form><p>{PROSE}</p></form><ul><li>one</li><li>two</li></ul><p>{PROSE}</p></article>",
      f"Title here\n{PROSE.strip()}\none\ntwo\n{PROSE.strip()}"),
+    (f"<div class='has-sidebar'><main><div>{PROSE}</div><div class=ad>{PROSE * 5}</div><section><div><div><a href=x>Z</a></div></div></section></main></div><div>{PROSE * 3}</div>",
+     f"{PROSE.strip()}\nZ"),
+    (f"<article class=post><p>{PROSE}</p></article><section class=comments><article class=comment><p>{PROSE}</p></article></section>", PROSE.strip()),
     (f"<form><article><p>{PROSE}</p></article></form><footer>{PROSE * 3}</footer>", PROSE.strip()),
     (f"<p>{PROSE}</p><script>if (a < b) {{ document.write('<p>no</p>') }}</script><!-- <p>no</p> --><p>1 < 2 and 3 > 2</p>", f"{PROSE.strip()}\n1 < 2 and 3 > 2"),
     (f"<p title=\"a > b\">{PROSE}</p><p hidden>no</p><p style='display: none'>no</p><p>{PROSE}</p><script>never closed <p>x", f"{PROSE.strip()}\n{PROSE.strip()}"),
