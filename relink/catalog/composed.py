@@ -496,27 +496,92 @@ def e17(spark, sf):
     return out.select("project_code", "source_id", "actual_result", "severity", "author_id", "milestone_id", F.array_join("attachments", "|").alias("attachments"), "resolve")
 
 
-@query("e18_project_plan", f"""
-with rows as (
-  select p_brand as scope, 'case' as entity, true as l from part union all select p_brand, 'case', false from part
-  union all select o_orderpriority, 'plan', true from orders union all select project_code, 'plan', false from (select distinct project_code, plan_id from {PLAN_LINKS.replace(" and o_totalprice <= 400000", "")}
-      where (project_code, plan_id) not in (select (o_orderpriority, o_custkey) from orders where o_totalprice > 250000))
-  union all select o_orderpriority, 'run', l from orders, (values (true), (false)) v(l)
-  union all select project_code, 'result', l from {LINES}, (values (true), (false)) v(l)
-  union all select o_orderpriority, 'defect', l from orders, (values (true), (false)) v(l)
-  union all select o_orderpriority, 'milestone', l from (select distinct o_orderpriority, o_orderstatus from orders), (values (true), (false)) v(l)
-  union all select 'N' || s_nationkey, 'environment', l from supplier, (values (true), (false)) v(l))
-select coalesce(scope, '(all)') as scope, coalesce(entity, '(all)') as entity, count(*) filter (where l) as landed, count(*) filter (where not l) as planned
-from rows group by rollup (scope, entity)""")
+#: The same number as `whole.digest`, in SQL.
+DIGEST = "sum(('0x' || substr(md5(concat_ws('|', {})), 1, 8))::bigint)::bigint"
+SHARED = "project_code, source_hash, title, 'No action>' || p_type as steps"
+
+
+def _contents():
+    """What is compared of each project entity's payload."""
+    steps = F.transform("steps", lambda s: F.coalesce(s["shared"], F.concat(s["action"], F.lit("@"), s["position"].cast("string"))))
+    shared = F.transform("steps", lambda s: F.concat(s["action"], F.lit(">"), s["expected_result"]))
+    custom = F.transform("custom_field", lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return {
+        "milestone": ["source_id", "title", "status", "depth"], "configuration": ["group_id", "source_id", "title"],
+        "environment": ["source_id", "title", "slug", "description"], "shared_step": ["source_hash", "title", F.array_join(shared, ";")],
+        "suite": ["source_id", "title", "parent_id", "parent_target", "depth", F.array_join(F.col("order_path").cast("array<string>"), "/")],
+        "case": ["source_id", "title", "suite_id", "milestone_id", "author_id", "description", "severity", F.array_join("tags", "|"),
+                 F.array_join("attachments", "|"), F.array_join(custom, ";"), F.array_join(steps, ";"), "chunk"],
+        "plan": ["source_id", "title", "description"],
+        "run": ["source_id", "title", "author_id", "start_time", "end_time", F.array_join("configurations", "|"), "milestone_id", "environment_id", "finished"],
+        "result": ["run_id", "hash", "target_case_id", "title", "status", "duration_ms", "signature", F.array_join("suite_path", "/"), "author", "chunk"],
+        "defect": ["source_id", "severity", "author_id", "milestone_id", "resolve"]}
+
+
+E18_PLANS = PLAN_LINKS.replace(" and o_totalprice <= 400000", "")
+#: entity -> (landed rows with their scope, planned rows with their scope, columns compared)
+E18 = {
+    "milestone": ("select distinct o_orderpriority as scope, o_orderstatus from orders",
+                  "select o_orderpriority as scope, max(o_orderkey) as source_id, 'M ' || o_orderstatus as title, 'active' as status, 0 as depth from orders group by o_orderpriority, o_orderstatus",
+                  "source_id, title, status, depth"),
+    "configuration": (f"select project_code as scope from {CONFIGS}",
+                      f"select project_code as scope, * from {CONFIGS} where id not in (select p_partkey * 10 from part where p_size > 30)", "group_id, id, title"),
+    "environment": ("select 'N' || s_nationkey as scope from supplier",
+                    "select 'N' || s_nationkey as scope, s_suppkey, s_name, lower(s_name) as slug, 'd' as description from supplier where s_acctbal <= 5000", "s_suppkey, s_name, slug, description"),
+    "shared_step": ("select p_brand as scope from part", "select p_brand as scope, md5(p_partkey::varchar) as h, p_name, 'No action>' || p_type as steps from part where p_size > 2", "h, p_name, steps"),
+    "suite": (f"select '*' as scope from {TREE}",
+              f"""select '*' as scope, t.id as source_id, case when t.id % 2 = 0 then t.p_name else 'Suite ' || t.id end as title, t.parent_id, p.p_partkey + 7 as parent_target, depth,
+                array_to_string(path, '/') as path from {TREE} t join walk using (id) left join part p on p.p_partkey = t.parent_id and p.p_size > 5""",
+              "source_id, title, parent_id, parent_target, depth, path"),
+    "case": ("select p_brand as scope from part", f"select project_code as scope, * from {CASES}",
+             "source_id, title, suite_id, milestone_id, author_id, description, severity, tags, attachments, custom_field, steps, chunk"),
+    "plan": ("select o_orderpriority as scope from orders",
+             f"""select o_orderpriority as scope, o_orderkey as source_id, 'Plan' as title, o_orderstatus as description from orders where (o_orderpriority, o_orderkey) in
+               (select (project_code, plan_id) from {E18_PLANS}) and (o_orderpriority, o_orderkey) not in (select (o_orderpriority, o_custkey) from orders where o_totalprice > 250000)""",
+             "source_id, title, description"),
+    "run": ("select o_orderpriority as scope from orders", f"select project_code as scope, * from ({RUN_SQL})",
+            "source_id, title, author_id, start_time, end_time, configurations, milestone_id, environment_id, finished"),
+    "result": (f"select project_code as scope from {LINES}", f"select project_code as scope, * from {RESULTS}",
+               "run_id, hash, target_case_id, title, status, duration_ms, signature, suite_path, author, chunk"),
+    "defect": ("select o_orderpriority as scope from orders",
+               f"""select o.o_orderpriority as scope, o_orderkey as source_id, case when o_orderstatus = 'F' then 3 else 0 end as severity,
+                 case when o.o_custkey = 0 then 1 else coalesce(target_key, 1) end as author_id, 'm' || ms.id as milestone_id, o_orderstatus = 'P' as resolve
+                 from orders o left join (select o_orderpriority, max(o_orderkey) as id from orders group by o_orderpriority, o_orderstatus) ms
+                 on ms.o_orderpriority = o.o_orderpriority and ms.id = o_orderkey left join {USER_CW} on o.o_custkey = source_key""",
+               "source_id, severity, author_id, milestone_id, resolve"),
+}
+
+
+def summary_sql(parts: dict, more: str = "") -> str:
+    """Counts and digests of landed and planned rows, by scope and entity."""
+    rows = [f"select scope, '{e}' as entity, count(*) as l, 0 as n, 0::bigint as d from ({landed}) group by scope" for e, (landed, _, _) in parts.items()]
+    rows += [f"select scope, '{e}', 0, count(*), {DIGEST.format(columns)} from ({planned}) group by scope" for e, (_, planned, columns) in parts.items()]
+    return f"""with {more} every as ({' union all '.join(rows)}), total as (select scope, entity, sum(l)::bigint as landed, sum(n)::bigint as planned, sum(d)::bigint as digest,
+grouping(scope) as s, grouping(entity) as e from every group by rollup (scope, entity))
+select case when s = 1 then '(all)' else scope end as scope, case when e = 1 then '(all)' else entity end as entity, landed, planned, digest from total"""
+
+
+@query("e18_project_plan", summary_sql(E18, f"{WALK},"))
 def e18(spark, sf):
     results, details, cases = source_results(spark, sf)
     s = t(spark, sf, "supplier").withColumn("project", F.expr("concat('N', s_nationkey)"))
+    p = t(spark, sf, "part")
+    groups, nested = en.configurations(configuration_pages(spark, sf))
     landed = {
-        "milestone": milestone_rows(spark, sf), "environment": entity_of(s, "environment", "project", id="s_suppkey", title="s_name"),
+        "milestone": milestone_rows(spark, sf), "configuration_group": groups, "configuration": nested,
+        "environment": entity_of(s, "environment", "project", id="s_suppkey", title="s_name", slug="lower(s_name)", description="'d'"),
+        "shared_step": entity_of(p, "shared_step", "p_brand", hash="if(p_size > 2, md5(cast(p_partkey as string)), null)", title="p_name",
+                                 steps="array(named_struct('action', '  ', 'expected', p_type))"),
+        "suite": entity_of(tree(spark, sf), "suite", None, id="id", parent_id="parent_id", title="if(id % 2 = 0, p_name, '')"),
         "case": case_rows(spark, sf), "plan": plan_rows(spark, sf), "run": run_rows(spark, sf), "run_link": run_links(spark, sf),
         "result": results, "result_detail": details, "defect": defect_rows(spark, sf)}
-    plans = whole.project_entities(landed, run_crosswalk(spark, sf), NEW_WS)
-    return whole.plan_summary(landed, plans)
+    # The scopes of the tables these stand for are disjoint, so one crosswalk serves all; results look their cases up among
+    # their own projects' cases.
+    known = crosswalk_of(
+        run_crosswalk(spark, sf), case_crosswalk(spark, sf).where("entity <> 'user'"), xw(p.where("p_size > 30"), "configuration", "p_partkey * 10", "p_partkey", "p_brand"),
+        xw(s.where("s_acctbal > 5000"), "environment", "s_suppkey", "s_suppkey", "project"), xw(p.where("p_size > 5"), "suite", "p_partkey", "p_partkey + 7"))
+    landed["result_case"] = cases
+    return whole.plan_summary(landed, whole.project_entities(landed, known, NEW_WS), contents=_contents())
 
 
 @query("e18b_project_rejects", f"""
@@ -529,24 +594,66 @@ def e18b(spark, sf):
     return whole.all_rejects(whole.project_entities(landed, run_crosswalk(spark, sf).where("entity = 'case'")))
 
 
-@query("e19_workspace_plan", """
-with rows as (select 'project' as entity, true as l from nation union all select 'project', false from nation where n_regionkey <= 1
-  union all select 'user', true from customer union all select 'user', false from customer where c_mktsegment <> 'BUILDING' and c_acctbal > 0
-  union all select 'custom_field', true from part union all select 'custom_field', false from (select distinct p_brand, p_type, p_size from part) where p_size <= 25)
-select case when entity is null then '(all)' else '*' end as scope, coalesce(entity, '(all)') as entity, count(*) filter (where l) as landed, count(*) filter (where not l) as planned
-from rows group by rollup (entity) union all
-select '*', '(all)', count(*) filter (where l), count(*) filter (where not l) from rows""")
-def e19(spark, sf):
+#: Who a customer becomes: found by mail, created just now (a fifth of the calls fail: the key of an earlier run stays), or the default user.
+E19_USERS = """(select c_custkey as k, case when c_mktsegment = 'BUILDING' then c_custkey::varchar when c_acctbal > 0 and c_custkey % 5 <> 0 then (c_custkey + 700000)::varchar
+  when c_acctbal > 0 then (c_custkey + 100000)::varchar else '1' end as target_user from customer)"""
+E19 = {
+    "project": ("select '*' as scope from nation", "select '*' as scope, n_name from nation where n_regionkey <= 1", "n_name"),
+    "user": ("select '*' as scope from customer", "select '*' as scope, c_custkey, lower(c_name || '@x.example') as mail from customer where c_mktsegment <> 'BUILDING' and c_acctbal > 0", "c_custkey, mail"),
+    "group": ("select '*' as scope from part", f"select '*' as scope, min(p_partkey::varchar) as id from part group by lower({GROUP_NAME}) having max(p_size) <= 25", "id"),
+    "custom_field": ("select '*' as scope from part", "select '*' as scope, min(p_partkey) as id, p_brand || ' ' || p_type || ' ' || p_size as title from part where p_size <= 25 group by p_brand, p_type, p_size", "id, title"),
+    "shared_parameter": ("select '*' as scope from part", """select '*' as scope, min(id) as id, arg_min(p_brand, id) as v from (select *, md5(p_partkey::varchar) as id from part where p_retailprice > 950 and p_type <> 'SMALL')
+       group by p_name, p_size having (p_name, p_size) not in (select (p_name, p_size) from part where p_size > 40)""", "id, v"),
+    "attachment": ("select '*' as scope from documents, (values (0), (1)) v(twice), (values (0), (1), (2)) l(link)",
+                   f"select '*' as scope, key, target_code, (row_number() over (partition by target_code order by key) - 1) // 20 as batch from {E06} where lang not in ('en', 'es')", "key, target_code, batch"),
+}
+
+
+def workspace_plan(spark, sf):
     n, c, p = (t(spark, sf, x) for x in ("nation", "customer", "part"))
-    p = p.withColumn("title", F.expr("concat(p_brand, ' ', p_type, ' ', p_size)"))
+    p = p.withColumn("title", F.expr("concat(p_brand, ' ', p_type, ' ', p_size)")).withColumn("gname", F.expr("concat(p_name, ' ', p_type, ' ', p_size)"))
+    p = p.withColumn("pid", F.md5(F.col("p_partkey").cast("string"))).withColumn("ptitle", F.expr("concat(p_name, ' ', p_size)"))
+    d = linked_documents(spark, sf)
+    refs = hv.all_refs(hv.harvest_refs(d, "source", [hv.text_refs("text")], 0, "doc_id"), hv.harvest_refs(d, "source", [hv.text_refs("text")], 2, "doc_id"))
+    order = d.select(F.col("source").alias("scope")).distinct().select(
+        "scope", F.expr("cast(substr(scope, 4) as int)").alias("ordinal"), F.expr("concat('T', substr(scope, 4))").alias("target_code"))
+    key = F.md5(F.col("doc_id").cast("string")).alias("key")
+    group = entity_of(p, "group", None, id="cast(p_partkey as string)", displayName="initcap(gname)", members="parse_json(concat('[{\"value\":', p_partkey, '},', p_size, ',\"abc-1\"]'))")
     landed = {"project": entity_of(n, "project", None, id="n_nationkey", code="n_name"),
               "user": entity_of(c, "user", None, id="c_custkey", email="concat(c_name, '@x.example')", name="c_name", is_active="c_acctbal > 0"),
-              "custom_field": entity_of(p, "custom_field", None, id="p_partkey", title="title")}
+              "group": group.withColumn("members", sh.member_keys("members")), "custom_field": entity_of(p, "custom_field", None, id="p_partkey", title="title"),
+              "shared_parameter": entity_of(p, "shared_parameter", None, id="pid", title="ptitle", type="'single'", project_codes="array('Brand#1')",
+                                            parameters="if(p_type <> 'SMALL', parse_json(to_json(array(named_struct('title', p_name, 'values', array(p_brand))))), parse_json('[]'))"),
+              "attachment": refs, "project_order": order, "attachment_size": d.select(key, F.lit(100).cast("bigint").alias("n_bytes"))}
     target = {"project": n.where("n_regionkey > 1").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("code")),
               "user": c.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("@x.example")).alias("email")),
-              "custom_field": p.where("p_size > 25").select(F.col("p_partkey").alias("id"), "title")}
+              "group": p.where("p_size > 25").select(F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("id"), F.upper("gname").alias("displayName")),
+              "custom_field": p.where("p_size > 25").select(F.col("p_partkey").alias("id"), "title"),
+              "shared_parameter": p.where("p_size > 40").select(F.col("pid").alias("id"), F.upper("ptitle").alias("title")),
+              "attachment": d.where("lang = 'es'").select(key)}
     landed = {k: v.drop("project_code") for k, v in landed.items()}
-    return whole.plan_summary(landed, whole.workspace_entities(landed, target, user_cw(spark, sf)))
+    done = crosswalk_of(user_cw(spark, sf), xw(p.where("p_retailprice <= 950"), "shared_parameter", "pid", "concat('x', pid)"),
+                        xw(d.where("lang = 'en'"), "attachment", "md5(cast(doc_id as string))", "md5(concat('t', doc_id))", "source"))
+    made = c.where("c_mktsegment <> 'BUILDING' and c_acctbal > 0 and c_custkey % 5 <> 0").select(F.col("c_custkey").alias("source_id"), (F.col("c_custkey") + 700000).alias("target_key"))
+    return landed, whole.workspace_entities(landed, target, done, created={"user": made})
+
+
+@query("e19_workspace_plan", f"""
+{summary_sql(E19)} where s = 0 or e = 1""")
+def e19(spark, sf):
+    landed, plans = workspace_plan(spark, sf)
+    contents = {"project": ["code"], "user": ["source_id", "email"], "group": ["source_id"], "custom_field": ["source_id", "title"],
+                "shared_parameter": ["source_id", F.col("parameters")[0]["values"][0]], "attachment": ["key", "target_code", "batch"]}
+    return whole.plan_summary(landed, plans, contents=contents)
+
+
+@query("e19b_members_of_created_users", f"""
+with s as (select p_partkey::varchar as id, lower({GROUP_NAME}) as nk, p_partkey, p_size from part),
+  tg as (select nk, max(id) as tid from s where p_size > 25 group by 1), f as (select nk, min(id) as cf from s group by 1),
+  m as (select id, nk, 0 as pos, p_partkey as member from s union all select id, nk, 1, p_size from s)
+select m.id as group_id, coalesce('g' || tid, 'new:' || cf) as target_group, pos, u.target_user from m left join tg using (nk) left join f using (nk) join {E19_USERS} u on member = u.k""")
+def e19b(spark, sf):
+    return workspace_plan(spark, sf)[1]["group"]["members"].select("group_id", "target_group", "pos", "target_user")
 
 
 @query("e20_scope_audit", f"""

@@ -241,17 +241,30 @@ def j13(spark, sf):
     return pa.pair_by_delta(sent, fresh, ["project_code", "chunk"], "pos", "hash", "at", "target")
 
 
+#: Chunks of four kinds: every row has its case; rows have titles only; neither, so that any key agrees; and rows with a case
+#: beside rows that know a title only, whose keys are of other cases.
+KINDS = f"""k as (select *, chunk % 4 as kind, case chunk % 4 when 0 then l_partkey when 3 then case when l_returnflag <> 'R' then l_partkey end end as case_id,
+    case chunk % 4 when 1 then 't' || l_partkey when 3 then case when l_returnflag = 'R' then 'r' || l_partkey end else ' ' end as title from {SENT}),
+made as (select project_code, chunk, kind, 499 - pos as at, md5('t' || hash) as target, case when kind = 3 and l_returnflag = 'R' then -l_partkey else l_partkey end as key_case,
+    case kind when 1 then 't' || l_partkey when 3 then case when l_returnflag = 'R' then 'r' || l_partkey else 'own' end else 'x' end as key_title from k where l_quantity > 5)"""
+
+
 @query("j14_pair_greedily", f"""
-with sent as (select *, row_number() over (partition by project_code, chunk, l_partkey order by pos) as k from {SENT}),
-made as (select project_code, chunk, l_partkey, md5('t' || hash) as target, row_number() over (partition by project_code, chunk, l_partkey order by 499 - pos, md5('t' || hash)) as k
-         from {SENT} where l_returnflag <> 'A')
-select s.project_code, s.chunk::bigint as chunk, s.hash as source_key, m.target as target_key
-from sent s join made m using (project_code, chunk, l_partkey, k)""")
+with {KINDS},
+s as (select *, row_number() over (partition by project_code, chunk, case when kind in (0, 3) then case_id end, case when kind in (1, 3) and case_id is null then title end order by pos) as n from k),
+m as (select *, row_number() over (partition by project_code, chunk, case when kind = 0 or (kind = 3 and key_title = 'own') then key_case end,
+  case when kind = 1 or (kind = 3 and key_title <> 'own') then key_title end order by at, target) as n from made)
+select s.project_code, s.chunk::bigint as chunk, s.hash as source_key, m.target as target_key from s join m on s.project_code = m.project_code and s.chunk = m.chunk and s.n = m.n
+ and (s.kind = 2 or (s.case_id is not null and s.case_id = m.key_case) or (s.case_id is null and s.title = m.key_title))""")
 def j14(spark, sf):
-    sent = sent_rows(spark, sf).select("project_code", "chunk", "pos", "hash", F.col("l_partkey").alias("case_id"), F.lit("t").alias("title"), "l_returnflag")
-    made = sent.where("l_returnflag <> 'A'").select("project_code", "chunk", (F.lit(499) - F.col("pos")).alias("at"),
-                                                    F.md5(F.concat(F.lit("t"), "hash")).alias("target"), "case_id", "title")
-    return pa.pair_greedily(sent.drop("l_returnflag"), made, ["project_code", "chunk"], "pos", "hash", "at", "target")
+    sent = sent_rows(spark, sf).withColumn("kind", F.expr("chunk % 4"))
+    sent = sent.withColumn("case_id", F.expr("case kind when 0 then l_partkey when 3 then if(l_returnflag <> 'R', l_partkey, null) end")).withColumn(
+        "title", F.expr("case kind when 1 then concat('t', l_partkey) when 3 then if(l_returnflag = 'R', concat('r', l_partkey), null) else ' ' end"))
+    made = sent.where("l_quantity > 5").select(
+        "project_code", "chunk", (F.lit(499) - F.col("pos")).alias("at"), F.md5(F.concat(F.lit("t"), "hash")).alias("target"),
+        F.expr("if(kind = 3 and l_returnflag = 'R', -l_partkey, l_partkey)").alias("case_id"),
+        F.expr("case kind when 1 then concat('t', l_partkey) when 3 then if(l_returnflag = 'R', concat('r', l_partkey), 'own') else 'x' end").alias("title"))
+    return pa.pair_greedily(sent, made, ["project_code", "chunk"], "pos", "hash", "at", "target")
 
 
 @query("j15_resume", "select o_orderkey from orders where o_totalprice <= 100000")

@@ -133,6 +133,23 @@ def m02(spark, sf):
     return collisions(ids.withColumn("new_id", enums.safe_id("id") % 100003), "id", "new_id")
 
 
+@query("m02b_ids_of_their_own", """
+select p_brand, count(*) as n_ids, count(*) as n_distinct, 100 as low, 100 + max(n) as high, count(*) filter (where p_size <= 25) as n_kept
+from part join (select max(c) - 1 as n from (select count(*) as c from part group by p_brand)) on true group by p_brand""")
+def m02b(spark, sf):
+    """Two loads into a range that the largest brand fills to the last id."""
+    from ..operators.crosswalk import assign_ids
+    p = t(spark, sf, "part").select("p_brand", "p_partkey", "p_size")
+    most = p.groupBy("p_brand").count().agg(F.max("count")).first()[0]
+    first = assign_ids(p.where("p_size <= 25"), "p_partkey", 100, 99 + most, by=["p_brand"])
+    both = assign_ids(p, "p_partkey", 100, 99 + most, first, ["p_brand"])
+    kept = first.select("p_brand", "p_partkey", F.col("made").alias("was"))
+    return both.join(kept, ["p_brand", "p_partkey"], "left").groupBy("p_brand").agg(
+        F.count("*").alias("n_ids"), F.count_distinct("made").alias("n_distinct"), F.lit(100).alias("low"),
+        F.when(F.max("made") <= 99 + most, F.lit(99 + most)).otherwise(F.max("made")).cast("bigint").alias("high"),
+        F.count_if(F.col("was") == F.col("made")).alias("n_kept"))
+
+
 STATUS_WORDS = {"error": "Fail", "click": "pending", "view": "Pass", "signup": "retry", "purchase": "odd"}
 WORD_SQL = "case event_type when 'error' then 'Fail' when 'click' then 'pending' when 'view' then 'Pass' when 'signup' then 'retry' else 'odd' end"
 
@@ -506,6 +523,14 @@ def n10(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.md5(m["a_text"]).alias("text_md5"), m["_truncated_keys"].alias("cut_keys"))
 
 
+@query("n10b_nested_caps", """
+select p_partkey, case when p_size % 16 <= 12 then repeat('{"a":', p_size % 16) || '"' || p_name || '"' || repeat('}', p_size % 16)
+  else repeat('{"a":', 13) || '"<max depth>"' || repeat('}', 13) end as capped from part""")
+def n10b(spark, sf):
+    text = F.expr("concat(repeat('{\"a\":', p_size % 16), '\"', p_name, '\"', repeat('}', p_size % 16))")
+    return t(spark, sf, "part").select("p_partkey", sh.cap_nested(F.parse_json(text)).alias("capped"))
+
+
 @query("n11_text_to_map", """select event_id, regexp_extract(props, '([0-9]+)', 1) as k from events""")
 def n11(spark, sf):
     m = F.try_variant_get(F.parse_json("props"), "$", "map<string,string>")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import json
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -297,3 +301,34 @@ def cap_members(v, max_keys: int = 80, max_items: int = 200, max_chars: int = 80
                                    (F.size(entries) - max_keys).cast("string").alias("value")))
                   ).otherwise(none_of("array<struct<key:string,value:string>>"))
     return F.map_from_entries(F.concat(kept, over))
+
+
+def cap_tree(value, max_depth: int, max_keys: int, max_items: int, max_chars: int):
+    """A JSON value with everything cut that a log line should not hold, and a mark where something was cut."""
+    def cap(v, depth):
+        if depth > max_depth:
+            return "<max depth>"
+        if isinstance(v, str):
+            return v if len(v) <= max_chars else f"{v[:max_chars]}...<truncated {len(v) - max_chars} chars>"
+        if isinstance(v, list):
+            out = [cap(x, depth + 1) for x in v[:max_items]]
+            return out if len(v) <= max_items else [*out, f"...<truncated {len(v) - max_items} items>"]
+        if isinstance(v, dict):
+            out = {k: cap(v[k], depth + 1) for k in itertools.islice(v, max_keys)}
+            return out if len(v) <= max_keys else {**out, "_truncated_keys": len(v) - max_keys}
+        return v
+
+    return cap(value, 0)
+
+
+def cap_nested(v, max_depth: int = 12, max_keys: int = 80, max_items: int = 200, max_chars: int = 8000) -> Column:
+    """A nested value as JSON text with its depth, members, list items and text lengths capped: a feature of log lines, not for
+    data. The outermost value has depth 0; what lies deeper than ``max_depth`` is `<max depth>`. Null stays null."""
+    @F.pandas_udf("string")
+    def capped(texts: pd.Series) -> pd.Series:
+        def one(text):
+            return None if text is None else json.dumps(cap_tree(json.loads(text), max_depth, max_keys, max_items, max_chars), ensure_ascii=False, separators=(",", ":"))
+
+        return texts.map(one)
+
+    return capped(F.to_json(col(v)))

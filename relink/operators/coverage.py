@@ -35,7 +35,9 @@ def gaps(intervals: DataFrame, totals: DataFrame, by: list[str], start: str = "s
     """(by..., start, end) of the maximal stretches of [0, total) that no interval covers. ``totals`` has a row for each group; a
     group without a total is open-ended: only holes before its last interval count."""
     walked = reached_before(intervals.select(*by, start, end), by, start, end)
-    inside = walked.where(F.col(start) > F.col("before")).select(*by, F.col("before").alias(start), F.col(start).alias(end))
+    known = totals.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(total).alias("_total"))
+    inside = walked.where(F.col(start) > F.col("before")).join(known, same_group(by), "left")
+    inside = inside.select(*by, F.col("before").alias(start), F.least(F.col(start), F.coalesce("_total", F.col(start))).alias(end)).where(F.col(start) < F.col(end))
     last = intervals.groupBy(*by).agg(F.max(end).alias("_last"))
     lasts = last.select(*[F.col(c).alias(f"_{c}") for c in by], "_last")
     tail = totals.select(*by, total).join(lasts, same_group(by), "left").withColumn("_last", F.coalesce("_last", F.lit(0)))

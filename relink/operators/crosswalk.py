@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.shapes import col
+from ..lineage import cut
 from ..schemas import WORKSPACE
-from .ranking import first_per_key, hot_keys, last_per_key
+from .ranking import first_per_key, hot_keys, last_per_key, number_rows
 
 
 def build_crosswalk(pairs: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -202,3 +203,49 @@ def collisions(df: DataFrame, original: str, made: str) -> DataFrame:
     return (df.select(original, made).distinct().groupBy(made)
             .agg(F.count(F.lit(1)).alias("n_originals"), F.min(original).alias("first_original"))
             .where("n_originals > 1"))
+
+
+#: Rounds of probing after which the few originals left are dealt the free ids in order.
+ROUNDS = 12
+
+
+def assign_ids(originals: DataFrame, original: str, low: int, high: int, taken: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
+    """An id of its own in [low, high] for every distinct original: (by..., original, made). No id is given twice in a group ``by``.
+
+    ``taken`` has what earlier loads gave (same columns) and is returned as it is, so a later load changes no id. In each round
+    an original without an id tries a hash of itself and the round; of those that try one free id the least original gets it. After
+    ROUNDS rounds few are left even in a full range: they get the free ids in order. The result depends on the originals
+    and ``taken`` only. Null originals get none; a group with more originals than ids is an error.
+    """
+    by = list(by)
+    spark = originals.sparkSession
+    size = high - low + 1
+    same = [*by, original]
+    every = originals.where(F.col(original).isNotNull()).select(*same).distinct()
+    given = every.limit(0).withColumn("made", F.lit(None).cast("bigint")) if taken is None else taken.select(*same, F.col("made").cast("bigint").alias("made"))
+    open_ = cut(every.join(given.select(*same), same, "left_anti"))
+    counts = open_.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).unionByName(given.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
+    if not counts.groupBy(*by).agg(F.sum("_n").alias("_n")).where(F.col("_n") > size).isEmpty():
+        raise ValueError(f"more originals than the {size} ids from {low} to {high}")
+    for turn in range(ROUNDS):
+        if open_.isEmpty():
+            return given
+        tries = open_.withColumn("made", F.lit(low) + F.pmod(F.xxhash64(F.col(original), F.lit(turn)), F.lit(size)))
+        free = tries.join(given.select(*by, "made"), [*by, "made"], "left_anti")
+        won = free.groupBy(*by, "made").agg(F.min(original).alias(original)).select(*same, "made")
+        given = cut(given.unionByName(won))
+        open_ = cut(open_.join(given.select(*same), same, "left_anti"))
+    if open_.isEmpty():
+        return given
+    wanting = open_.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    used = given.join(wanting.select(*by), by, "left_semi") if by else given
+    ids = spark.range(low, high + 1).select(F.col("id").alias("made"))
+    groups = wanting.select(*by)
+    if by:
+        every_id = groups.select(*by, F.explode(F.sequence(F.lit(low).cast("bigint"), F.lit(high).cast("bigint"))).alias("made"))
+    else:
+        every_id = ids
+    free = every_id.join(used.select(*by, "made"), [*by, "made"], "left_anti")
+    numbered = number_rows(free, by, ["made"], "_r").withColumnRenamed("made", "_made")
+    rest = number_rows(open_, by, [original], "_r").join(numbered, [*by, "_r"]).select(*same, F.col("_made").alias("made"))
+    return given.unionByName(rest)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.shapes import as_type, items, members, names, none_of, pick_member, truthy
-from ..lineage import cut
+from ..functions.shapes import as_type, is_array, items, members, names, none_of, pick_member, truthy
 from .ranking import last_per_key, orderable
 
 
@@ -121,23 +125,79 @@ def step_columns(flat) -> list[Column]:
     ]
 
 
+def _empty_value(v) -> bool:
+    return v is None or v in ("", "[]", "{}") or v == [] or v == {}
+
+
+def _nested(step) -> list:
+    """Steps below a step, laid over each other as `flat_step` does with every member."""
+    below = step.get("steps")
+    for name in ("data", "execution", "Execution"):
+        layer = step.get(name)
+        if isinstance(layer, dict) and layer.get("steps") is not None and _empty_value(below):
+            below = layer["steps"]
+    return below if isinstance(below, list) else []
+
+
+def _without_nested(step):
+    if not isinstance(step, dict):
+        return step
+    return {k: {n: x for n, x in v.items() if n != "steps"} if k in ("data", "execution", "Execution") and isinstance(v, dict) else v
+            for k, v in step.items() if k != "steps"}
+
+
+#: Numbers with a fraction pass through as they are written: a mark that no text has stands around them while a step is a text.
+_MARK = uuid.uuid4().hex
+
+
+def walk_steps(text: str | None) -> Iterator[tuple[list[int], str]]:
+    """(path, step as JSON without the steps below it) of every step of a tree, at any depth."""
+    tree = json.loads(text, parse_float=lambda s: f"{_MARK}{s}{_MARK}") if text else None
+    todo = [([i], s) for i, s in enumerate(tree)] if isinstance(tree, list) else []
+    while todo:
+        path, step = todo.pop()
+        flat = json.dumps(_without_nested(step), ensure_ascii=False)
+        yield path, re.sub(f'"{_MARK}([^"]*){_MARK}"', r"\1", flat) if _MARK in flat else flat
+        if isinstance(step, dict):
+            todo += [([*path, i], s) for i, s in enumerate(_nested(step))]
+
+
+#: Steps of one Arrow batch that a walk hands on.
+STEPS = 2_000
+
+
 def explode_steps(df: DataFrame, row_key: list[str], steps) -> DataFrame:
     """Step tree -> table (row_key, path array<int>, step columns), one row per step at any depth.
 
-    Each level is written once to the shared folder and the next one is exploded from it, until a level is empty; so
-    ``df`` is read once whatever the depth, and no step is flattened twice.
+    One pass whatever the depth: an Arrow function walks each row's tree, and the steps it finds are flattened by
+    expressions, each once. Nothing is written and no job is run before the result is used.
     """
-    level = cut(df.select(*row_key, F.posexplode(items(steps)).alias("_p", "_step")).select(
-        *row_key, F.array("_p").alias("path"), flat_step(F.col("_step")).alias("_flat")))
-    out = level.select(*row_key, "path", *step_columns("_flat"))
-    while True:
-        below = items(step_member("_flat", "steps"))
-        level = level.select(*row_key, "path", F.posexplode(below).alias("_p", "_step")).select(
-            *row_key, F.concat("path", F.array("_p")).alias("path"), flat_step(F.col("_step")).alias("_flat"))
-        level = cut(level)
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level.select(*row_key, "path", *step_columns("_flat")))
+    text = F.when(is_array(steps), F.to_json(steps if isinstance(steps, Column) else F.col(steps)))
+    slim = df.select(*row_key, text.alias("_tree")).where("_tree is not null")
+    kinds = ", ".join(f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in row_key)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, paths, found = [], [], []
+
+            def out():
+                at = pa.array(rows, pa.int64())
+                return pa.record_batch([*[batch.column(c).take(at) for c in row_key], pa.array(paths, pa.list_(pa.int32())), pa.array(found, pa.string())],
+                                       names=[*row_key, "path", "_step"])
+
+            for i, tree in enumerate(batch.column("_tree")):
+                for path, step in walk_steps(tree.as_py()):
+                    rows.append(i)
+                    paths.append(path)
+                    found.append(step)
+                    if len(rows) >= STEPS:
+                        yield out()
+                        rows, paths, found = [], [], []
+            if rows:
+                yield out()
+
+    walked = slim.mapInArrow(walk, f"{kinds}, path array<int>, _step string")
+    return walked.select(*row_key, "path", flat_step(F.parse_json("_step")).alias("_flat")).select(*row_key, "path", *step_columns("_flat"))
 
 
 def zip_steps(
@@ -154,8 +214,8 @@ def zip_steps(
     shared = [c for c in result_steps.columns if c not in on]
     r = result_steps.select(*on, *[F.col(c).alias(f"_r_{c}") for c in shared], F.lit(True).alias("_r"))
     c = case_steps.select(*on, *[F.col(x).alias(f"_c_{x}") for x in shared], F.col(parent_status).alias("_ps"))
-    covered = result_steps.select(*row_key, parent.alias("_parent")).distinct().withColumn("_covered", F.lit(True))
-    merged = r.join(c, on, "full").withColumn("_parent", parent).join(covered, [*row_key, "_parent"], "left")
+    siblings = Window.partitionBy(*row_key, "_parent")  # the steps of one list
+    merged = r.join(c, on, "full").withColumn("_parent", parent).withColumn("_covered", F.max("_r").over(siblings))
     synthetic = F.col("_r").isNull() & F.col("_covered").isNull()
 
     def value(x):

@@ -50,6 +50,8 @@ def load_waves(
             ready_rows = wave.join(above, here & (F.col(parent) == F.col("_up")), "left" if depth == 0 else "inner").drop(f"_{scope}", "_up")
             shaped = ready_rows.withColumn("wave", F.lit(depth))
             shaped = cut(ready(shaped) if ready else shaped)
+            if shaped.isEmpty():  # all parents failed; deeper rows may still stand below known ones
+                continue
             answers = send(shaped).where("target_key is not null").groupBy(F.col(scope).alias(f"_{scope}"), F.col(node).alias("_up")).agg(
                 F.max(F.col("target_key").cast("string")).alias("parent_target"))
             asked = shaped.select(scope, node)

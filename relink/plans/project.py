@@ -21,6 +21,16 @@ SCOPE = "project_code"
 ROW = [SCOPE, "id"]
 
 
+class Members(dict):
+    """A plan's tables; one that needs jobs of its own is built when it is first read."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        made = super().__getitem__(name)
+        if not isinstance(made, DataFrame):
+            made = self[name] = made()
+        return made
+
+
 def milestones(rows: DataFrame, cw: DataFrame | None = None) -> dict[str, DataFrame]:
     """Milestones parents-first; 0 counts as no parent. With a crosswalk, `parent_target` is the parent's target where
     it is known already; the others are created level by level."""
@@ -390,7 +400,7 @@ def results(
     rows: DataFrame, details: DataFrame | None, case_rows: DataFrame, cw: DataFrame,
     new_workspace: str | None = None, default_user: int = 1, batch: int = 500, with_steps: bool = True,
 ) -> dict[str, DataFrame]:
-    """Results ready to load, chunked per run, and their merged step table.
+    """Results ready to load, chunked per run, and their merged step table (`steps`, built when it is read).
 
     The crosswalk holds case, attachment, user and author (uuid -> source user id) entries. The enriched rows are
     written once to the shared folder: texts, steps and references are all read from there.
@@ -440,11 +450,11 @@ def results(
         text.short_titles("_path").alias("suite_path"),
         F.when(F.col("target_case_id").isNull(), text.standalone_description(as_text("case_id"), "_row_hash")).alias("description"),
         F.when(F.col("target_case_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
-    return {
+    return Members({
         "payload": out,
-        **({"steps": result_steps(work, cw, new_workspace)} if with_steps else {}),
+        **({"steps": lambda: result_steps(work, cw, new_workspace)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("target_case_id").isNull()}),
-    }
+    })
 
 
 def defects(rows: DataFrame, cw: DataFrame, new_workspace: str | None = None, default_user: int = 1) -> dict[str, DataFrame]:

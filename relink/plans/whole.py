@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.crosswalk import apply_created, extend, pairs
 from ..schemas import WORKSPACE
@@ -27,7 +27,8 @@ def project_entities(
 ) -> dict[str, dict[str, DataFrame]]:
     """Plan of each landed project entity. ``created`` holds, per entity, what creation answered (project_code, source_id,
     target_key): an entity's answers are laid over the crosswalk before the entities after it are planned, so a second
-    call with the answers of the first resolves the references that were open then."""
+    call with the answers of the first resolves the references that were open then. ``result_case`` holds the cases that results
+    look up, where they are not those of ``case``."""
     build = {
         "milestone": lambda d, cw: pj.milestones(d["milestone"], cw),
         "configuration": lambda d, cw: pj.configurations(d["configuration_group"], d["configuration"], cw),
@@ -37,7 +38,7 @@ def project_entities(
         "case": lambda d, cw: pj.cases(d["case"], cw, new_workspace=new_workspace, default_user=default_user),
         "plan": lambda d, cw: pj.plans(d["plan"], cw),
         "run": lambda d, cw: pj.runs(d["run"], d["run_link"], d["milestone"], cw, default_user),
-        "result": lambda d, cw: pj.results(d["result"], d.get("result_detail"), d["case"], cw, new_workspace, default_user),
+        "result": lambda d, cw: pj.results(d["result"], d.get("result_detail"), d.get("result_case", d["case"]), cw, new_workspace, default_user),
         "defect": lambda d, cw: pj.defects(d["defect"], cw, new_workspace, default_user),
     }
     plans = {}
@@ -84,20 +85,33 @@ def all_rejects(plans: dict[str, dict[str, DataFrame]]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [p["rejects"] for p in plans.values() if "rejects" in p])
 
 
-def plan_summary(landed: dict[str, DataFrame], plans: dict[str, dict[str, DataFrame]], scope: str = pj.SCOPE) -> DataFrame:
-    """Rows landed and rows planned, per scope and entity, per scope, and overall."""
-    def counted(df, entity, landed_n):
+def digest(columns) -> Column:
+    """A number of 32 bits from a row's columns as texts (nulls left out), the same in any engine that has MD5. Sums of it tell
+    whether two tables hold the same rows, in whatever order."""
+    text = F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def plan_summary(landed: dict[str, DataFrame], plans: dict[str, dict[str, DataFrame]], scope: str = pj.SCOPE,
+                 contents: dict[str, list] | None = None) -> DataFrame:
+    """Rows landed and rows planned, per scope and entity, per scope, and overall.
+
+    ``contents`` names columns of an entity's payload whose digests are added up beside the counts, so that what is to be sent is
+    worked out and compared, not only counted. Tables of a plan that nobody reads are not built."""
+    def counted(df, entity, landed_n, columns=()):
         place = F.col(scope) if scope in df.columns else F.lit(WORKSPACE)
-        return df.select(place.alias("scope"), F.lit(entity).alias("entity"), F.lit(landed_n).alias("is_landed"))
+        value = digest(columns) if columns else F.lit(0).cast("bigint")
+        return df.select(place.alias("scope"), F.lit(entity).alias("entity"), F.lit(landed_n).alias("is_landed"), value.alias("_digest"))
 
     parts = []
     for e, p in plans.items():
         if "payload" not in p:
             continue
-        parts += [counted(landed[e], e, True), counted(p["payload"], e, False)]
+        parts += [counted(landed[e], e, True), counted(p["payload"], e, False, (contents or {}).get(e, ()))]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
+    sums = [F.sum("_digest").alias("digest")] if contents is not None else []
     return (rows.rollup("scope", "entity").agg(
-        F.count_if("is_landed").alias("landed"), F.count_if(~F.col("is_landed")).alias("planned"),
+        F.count_if("is_landed").alias("landed"), F.count_if(~F.col("is_landed")).alias("planned"), *sums,
         F.grouping("scope").alias("_s"), F.grouping("entity").alias("_e"))
         .select(F.when(F.col("_s") == 1, "(all)").otherwise(F.col("scope")).alias("scope"),
-                F.when(F.col("_e") == 1, "(all)").otherwise(F.col("entity")).alias("entity"), "landed", "planned"))
+                F.when(F.col("_e") == 1, "(all)").otherwise(F.col("entity")).alias("entity"), "landed", "planned", *["digest" for _ in sums]))

@@ -148,6 +148,46 @@ def test_pair_greedily_equals_brute_force(spark):
         assert got == brute_greedy(sent, fresh)
 
 
+def test_pairing_of_many_chunks_equals_brute_force(spark):
+    """Chunks that come to a join by rank, and chunks that must be walked, side by side."""
+    rnd = random.Random(8)
+    sent, fresh, want, plain = [], [], {}, set()
+    for c in range(40):
+        kind = rnd.choice(["cases", "titles", "apart", "any"])
+        cases = {"cases": [1, 2], "titles": [None], "apart": [1, 2, None], "any": [1, 2, None]}[kind]
+        titles = {"titles": ["x", "y"], "apart": ["x", "y"]}.get(kind, ["x", "y", ""])
+        mine = [(p, f"{c}s{p:03d}", rnd.choice(cases), rnd.choice(titles)) for p in range(rnd.randint(1, 15))]
+        if kind == "apart":  # keys of wanted cases have titles that nobody asks for, and the other way round
+            keys = [(o, f"{c}t{o:03d}", *rnd.choice([(1, "q"), (2, "q"), (8, "x"), (9, "y")])) for o in range(rnd.randint(0, 25))]
+        else:
+            keys = [(o, f"{c}t{o:03d}", rnd.choice([1, 2, 3]), rnd.choice(titles)) for o in range(rnd.randint(0, 25))]
+        plain |= {c} if kind != "any" else set()
+        sent += [(c, *r) for r in mine]
+        fresh += [(c, *r) for r in keys]
+        want |= brute_greedy(mine, keys)
+    a = spark.createDataFrame(sent, "c int, pos int, src string, case_id bigint, title string")
+    b = spark.createDataFrame(fresh, "c int, at bigint, tgt string, case_id bigint, title string")
+    got = {r.source_key: r.target_key for r in pa.pair_greedily(a, b, ["c"], "pos", "src", "at", "tgt").collect()}
+    assert got == want
+    s = a.selectExpr("c", "case_id as _case", "title as _title")
+    found = {r.c for r in pa.plain_chunks(s, b.selectExpr("c", "case_id as _case", "title as _title"), ["c"]).collect()}
+    assert plain & found and len(found) < 40
+
+
+def test_step_trees_of_eight_levels(spark):
+    """One table for any depth; numbers and texts come through unchanged; layers below `data` and `execution` are found."""
+    deep = '{"action": "a8", "actual": 0.12345678901234567890}'
+    for level in range(7, 0, -1):
+        holder = [f'"steps": [{deep}]', f'"steps": [], "data": {{"steps": [{deep}]}}', f'"execution": {{"steps": [{deep}], "comment": "c{level}"}}'][level % 3]
+        deep = f'{{"action": "a{level}", {holder}}}'
+    df = spark.createDataFrame([("r", f'[{deep}, "just text", {{"actual": 1.50, "title": "\u00e9 \\"q\\""}}]'), ("n", None), ("o", '{"steps": []}'), ("e", "[]")], "id string, j string")
+    out = ov.explode_steps(df.withColumn("t", F.parse_json("j")), ["id"], "t").collect()
+    paths = {tuple(r.path): r for r in out}
+    assert len(out) == 10 and [paths[(0,) * n].action for n in range(1, 9)] == [f"a{n}" for n in range(1, 9)]
+    assert paths[(0,) * 8].actual == "0.1234567890123456789" and paths[(2,)].actual.startswith("1.5") and paths[(2,)].action == 'é "q"'
+    assert paths[(1,)].action is None and paths[(0,) * 2].comment == "c2"
+
+
 def test_pair_by_delta(spark):
     sent = spark.createDataFrame([(c, i, f"{c}{i}") for c in ("eq", "more", "less") for i in range(3)], "c string, pos int, src string")
     fresh = spark.createDataFrame([("eq", i, f"e{i}") for i in range(3)] + [("more", i, f"m{i}") for i in range(4)] + [("less", i, f"l{i}") for i in range(2)],
@@ -306,7 +346,7 @@ def test_numbering_by_pieces(spark):
     out = rk.number_rows(df, ["s"], ["k", "id"], piece=1000)
     plain = out.selectExpr("rank", "row_number() over (partition by s order by k, id) as want").where("rank <> want").count()
     assert plain == 0 and out.count() == n
-    bounds = rk._bounds(df.selectExpr("coalesce(s, '\\0') as _scope", "k", "id"), ["k", "id"], 1000)
+    bounds = rk._bounds(df.selectExpr("coalesce(s, '\\0') as _scope", "k", "id"), F.struct("k", "id"), 1000)
     assert set(bounds) == {"big", "small", "\0"} and len(bounds["big"]) == 15
     tens = df.where("s = 'big'").rdd.map(lambda r: sum(b.k <= r.k for b in bounds["big"])).countByValue()
     assert max(tens.values()) < 2500
