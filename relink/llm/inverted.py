@@ -301,8 +301,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> Dat
     """The rows of `docs`, columns untouched, in which no test window stands. The verdict belongs to a document's text: it is
     taken per doc_id and text hash, and the list of those to drop is written first, so that Spark knows its size when it
     picks the join (broadcast only below its threshold). Equal rows share their fate."""
-    tagged = docs.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text"), F.hash("text")))
+    key = F.xxhash64("doc_id", F.xxhash64("text"), F.hash("text"))
     terms = {t for b in test_blocks(benchmark, n) for t in b["terms"]}
-    found = search(build(tagged.select(F.col("_key").alias("doc_id"), "text"), terms), benchmark, n)
+    found = search(build(docs.select(key.alias("doc_id"), "text"), terms), benchmark, n)
     drop = written(found.where(F.size("runs") > 0).select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
-    return tagged.join(drop, "_key", "left_anti").select(docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))  # whatever the columns are called
+    return rows.join(drop, "_key", "left_anti").select("_row.*")

@@ -2,7 +2,9 @@
 
 A notice of k allowed edits is cut into k + 1 pieces; any text within k edits of it holds one piece unchanged (pigeonhole).
 All pieces of all notices are found in one pass of an Aho-Corasick automaton; around each find the regex library verifies
-the notice within its bounded number of errors and gives the best match's place and edits. Texts and notices are compared
+the notice within its bounded number of errors and gives the best match's place and edits. A notice's anchors, the words that tell it from its
+like ("mit", "cc by nc", the digits of a version; one phrase of it), must stand in the match unchanged: edits may not turn one license into another.
+The notices are a parameter: (text, label, anchors) each. Texts and notices are compared
 as lower-case words joined by blanks, so punctuation and line breaks don't count as edits.
 
 Besides, fixed phrases are found exactly, wherever their words stand consecutively (base places).
@@ -27,20 +29,26 @@ from .common import alnum_words, map_batches, raw
 
 #: Exact phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Notices that are also found with edits, and their labels.
+#: Notices that are also found with edits, their labels, and the words that may not be edited.
 NOTICES = (
-    ("all rights reserved", "reserved"),
-    ("apache license version 2 0", "apache-2.0"),
-    ("creative commons attribution", "cc-by"),
-    ("general public license", "gpl"),
-    ("licensed under cc by", "cc-by"),
-    ("licensed under cc by nc", "cc-by-nc"),
-    ("licensed under the apache license", "apache-2.0"),
-    ("mozilla public license", "mpl"),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
-    ("redistribution and use in source and binary forms", "bsd"),
-    ("released under the mit license", "mit"),
-    ("this work is licensed under the gnu general public license", "gpl"),
+    ("all rights reserved", "reserved", ""),
+    ("apache license version 2 0", "apache-2.0", "2 0"),
+    ("creative commons attribution", "cc-by", ""),
+    ("general public license", "gpl", ""),
+    ("licensed under cc by", "cc-by", "cc by"),
+    ("licensed under cc by nc", "cc-by-nc", "cc by nc"),
+    ("licensed under cc by nd", "cc-by-nd", "cc by nd"),
+    ("licensed under cc by sa", "cc-by-sa", "cc by sa"),
+    ("licensed under the apache license", "apache", ""),
+    ("mozilla public license", "mpl", ""),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", ""),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc", ""),
+    ("redistribution and use in source and binary forms", "bsd", ""),
+    ("released under the bsd license", "bsd", "bsd"),
+    ("released under the gpl license", "gpl", "gpl"),
+    ("released under the isc license", "isc", "isc"),
+    ("released under the mit license", "mit", "mit"),
+    ("this work is licensed under the gnu general public license", "gpl", ""),
 )
 #: One edit is allowed for so many characters of a notice.
 PER_EDIT = 9
@@ -62,9 +70,14 @@ def searcher(notices: tuple, per_edit: int):
 
     seeds: dict[str, list[tuple[int, int, int]]] = {}
     patterns = []
-    for number, (notice, label) in enumerate(notices):
+    for number, (notice, label, anchors) in enumerate(notices):
         k = len(notice) // per_edit
-        patterns.append((regex.compile(rf"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={k}}}"), k, len(notice), label))
+        before, anchor, after = f" {notice} ".partition(f" {anchors} ") if anchors else (f" {notice}", "", "")
+        if anchors and not anchor:
+            raise ValueError(f"{anchors!r} does not stand in {notice!r}")
+        parts = [f"(?:{regex.escape(x, literal_spaces=True)}){{e<={k}}}" if x else "" for x in (before[1:] + " " * bool(anchors and before), " " * bool(after) + after[:-1])]
+        exact = rf"(?<!\S){regex.escape(anchors, literal_spaces=True)}(?!\S)" if anchors else ""
+        patterns.append((regex.compile(f"(?b){parts[0]}{exact}{parts[1]}"), k, len(notice), label))
         for offset, piece in pieces(notice, k):
             seeds.setdefault(piece, []).append((number, offset, len(piece)))
     automaton = ahocorasick.Automaton()
@@ -74,12 +87,13 @@ def searcher(notices: tuple, per_edit: int):
     return automaton, patterns
 
 
-def apart(pattern, line: str, spans: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, edits) of the matches that lie within one of the spans: least edits first, then the first, and none that
-    overlaps one taken before. A span keeps its best match until another takes a part of it; then what is left is searched."""
+def apart(pattern, line: str, spans: set[tuple[int, int]], k: int) -> list[tuple[int, int, int]]:
+    """(start, end, edits) of the matches of at most k edits that lie within one of the spans: least edits first, then the first,
+    and none that overlaps one taken before. A span keeps its best match until another takes a part of it; then what is left
+    is searched. (Around an anchor the pattern bounds the edits of each side; the sum is bounded here.)"""
     def best(a: int, b: int) -> None:
         m = pattern.search(line, a, b)
-        if m:
+        if m and sum(m.fuzzy_counts) <= k:
             heappush(waiting, (sum(m.fuzzy_counts), m.start(), m.end(), a, b))
 
     waiting: list[tuple[int, int, int, int, int]] = []
@@ -107,17 +121,17 @@ def fuzzy(line: str, notices: tuple = NOTICES, per_edit: int = PER_EDIT) -> list
     regions: dict[int, set[tuple[int, int]]] = {}
     for end, uses in automaton.iter(line):
         for number, offset, size in uses:
-            _, k, length, _ = patterns[number]
+            k, length = patterns[number][1:3]
             begin = end + 1 - size - offset
             regions.setdefault(number, set()).add((max(0, begin - k), min(len(line), begin + length + k)))
     found = []
     for number, spans in regions.items():
-        pattern, _, length, label = patterns[number]
-        found += [(label, a, b, edits, length) for a, b, edits in apart(pattern, line, spans)]
+        pattern, k, length, label = patterns[number]
+        found += [(label, a, b, edits, length) for a, b, edits in apart(pattern, line, spans, k)]
     return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 
-def spans_of(words: list[bytes]) -> list[tuple[str, int, int, int, int, bool]]:
+def spans_of(words: list[bytes], notices: tuple = NOTICES, per_edit: int = PER_EDIT) -> list[tuple[str, int, int, int, int, bool]]:
     """All matches of a document: label, first and last word, edits, notice's length, and whether it is a base place."""
     line = b" ".join(words).decode("utf-8", "replace")
     framed = f" {line} "
@@ -128,7 +142,7 @@ def spans_of(words: list[bytes]) -> list[tuple[str, int, int, int, int, bool]]:
             first = framed.count(" ", 0, at + 1) - 1
             out.append((label, first, first + phrase.count(" "), 0, len(phrase), True))
             at = framed.find(f" {phrase} ", at + 1)
-    near = fuzzy(line)
+    near = fuzzy(line, notices, per_edit)
     if near:
         ends = list(accumulate(len(w.decode("utf-8", "replace")) + 1 for w in words))  # where the next word starts
         for label, a, b, edits, size in near:
@@ -138,7 +152,18 @@ def spans_of(words: list[bytes]) -> list[tuple[str, int, int, int, int, bool]]:
     return out
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def notice_table(notices: DataFrame, most: int = 10_000) -> tuple:
+    """Notices of a table (notice, label, anchors): lower-case words joined by blanks, those without a word left out, equal ones
+    once, in order. They stand in every task, so more than ``most`` are an error."""
+    words = F.array_join(F.regexp_extract_all(F.lower("notice"), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)")), " ")
+    rows = notices.select(words.alias("n"), F.coalesce("label", F.lit("")).alias("l"), F.coalesce(F.lower("anchors"), F.lit("")).alias("a")).where("n <> ''")
+    found = rows.distinct().sort("n", "l", "a").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} notices")
+    return tuple(tuple(r) for r in found)
+
+
+def scan(docs: DataFrame, notices: tuple = NOTICES, per_edit: int = PER_EDIT) -> DataFrame:
     """One row per document: doc_id, n_words and spans, every match with its words, edits and label."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("label", "first", "last", "edits", "size", "base")
@@ -149,7 +174,7 @@ def scan(docs: DataFrame) -> DataFrame:
             for text in b.column(1):
                 words = alnum_words(text.as_py())
                 number.append(len(words))
-                spans.append([dict(zip(names, s)) for s in spans_of(words)])
+                spans.append([dict(zip(names, s)) for s in spans_of(words, notices, per_edit)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(number, pa.int64()), pa.array(spans, kind)], ["doc_id", "n_words", "spans"])
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw("text")), rows, f"doc_id long, n_words long, spans {SPANS}")

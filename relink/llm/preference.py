@@ -7,6 +7,8 @@ character ranges on which a model is trained: the texts of the assistant's turns
 `turns` has pair_id, side (chosen or rejected), turn, role, text. A conversation is one record and becomes one string, so
 its turns meet in one task; pairs are not multiplied by any grouping.
 
+A mark that a text holds is not one of the template's: `<|` in a text is rendered as `< |`, and `|` in a role is left out.
+
 Defined results: turns are ordered by turn (null first), role and text, repeated turns stay; a null role is rendered as
 `unknown` and a null text as empty, and null equals null; turns without pair_id belong to no conversation and are left out;
 a pair with one side only has the other's completion null and status `unpaired`, one whose sides are equal has empty
@@ -27,11 +29,11 @@ def _side(side: str) -> str:
 
 
 def _head(t: str) -> str:
-    return f"concat('<|', coalesce({t}.role, 'unknown'), '|>\\n')"
+    return f"concat('<|', replace(coalesce({t}.role, 'unknown'), '|', ''), '|>\\n')"
 
 
 def _body(t: str) -> str:
-    return f"concat(coalesce({t}.text, ''), '{END}')"
+    return f"concat(replace(coalesce({t}.text, ''), '<|', '< |'), '{END}')"
 
 
 def _rendered(turns: str) -> str:
@@ -63,6 +65,23 @@ def format_pairs(turns: DataFrame) -> DataFrame:
         "case when c is null or r is null then 'unpaired' when size(c) = 0 and size(r) = 0 then 'equal' else 'pair' end as status")
 
 
+def swapped_answers(conversations: DataFrame) -> DataFrame:
+    """Turns of pairs made from the table `conversations`, which knows no preference: each conversation is the chosen side of a pair
+    of its number, and the same conversation up to its last answer, followed by the last answer of the next conversation, the
+    rejected one. They share all turns before that answer. Every fifth conversation stands beside itself, every seventh alone, and one
+    without an answer, or whose successor has none, beside itself."""
+    turns = conversations.where("conv_id is not null").selectExpr("cast(conv_id as bigint) as pair_id", "turn", "role", "text")
+    answers = turns.where(F.col("role") == TRAINED).groupBy("pair_id").agg(
+        F.max(F.struct("turn", "text")).alias("last"))
+    other = answers.selectExpr("pair_id - 1 as pair_id", "last.text as answer", "true as has_other")
+    both = turns.join(answers.selectExpr("pair_id", "last.turn as at"), "pair_id", "left").join(other, "pair_id", "left")
+    swaps = F.expr("has_other and at is not null and pair_id % 5 <> 0")
+    rejected = both.where("pair_id % 7 <> 0").where(~F.coalesce(swaps, F.lit(False)) | (F.col("turn") <= F.col("at"))).select(
+        "pair_id", F.lit("rejected").alias("side"), "turn", "role",
+        F.when(F.coalesce(swaps & (F.col("turn") == F.col("at")) & (F.col("role") == TRAINED), F.lit(False)), F.col("answer")).otherwise(F.col("text")).alias("text"))
+    return turns.select("pair_id", F.lit("chosen").alias("side"), "turn", "role", "text").unionByName(rejected)
+
+
 def neighbours(conversations: DataFrame) -> DataFrame:
     """Turns of the table `conversations`, which knows no preference: conversations 2k and 2k + 1 stand in as chosen and
     rejected of pair k."""

@@ -107,15 +107,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op9_preference_pairs", """
-with t as (select conv_id // 2 as pair_id, conv_id % 2 as side, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as i, role, text
-           from conversations where conv_id is not null),
+with c as (select conv_id::bigint as pair_id, turn, role, text from conversations where conv_id is not null),
+     a as (select pair_id, max(turn) as at, max(text) filter (where turn = m) as answer from (select *, max(turn) over (partition by pair_id) as m from c where role = 'assistant') group by pair_id),
+     b as (select c.*, a.at, o.answer, coalesce(o.pair_id is not null and a.at is not null and c.pair_id % 5 <> 0, false) as swaps from c left join a on a.pair_id = c.pair_id left join a o on o.pair_id = c.pair_id + 1),
+     s0 as (select pair_id, 0 as side, turn, role, text from c union all
+            select pair_id, 1, turn, role, case when swaps and turn = at and role = 'assistant' then answer else text end from b where pair_id % 7 <> 0 and (not swaps or turn <= at)),
+     t as (select pair_id, side, row_number() over (partition by pair_id, side order by turn nulls first, role nulls first, text nulls first) as i, role, text from s0),
      s as (select pair_id, count(distinct side) as sides from t group by pair_id),
      n as (select pair_id, side, max(i) as n from t group by pair_id, side),
      d as (select c.pair_id, min(c.i) as i from t c join t r on c.pair_id = r.pair_id and c.i = r.i and c.side = 0 and r.side = 1
            where c.role is distinct from r.role or c.text is distinct from r.text group by c.pair_id),
      k as (select s.pair_id, case when sides < 2 then 0 else coalesce(d.i - 1, (select min(n) from n where n.pair_id = s.pair_id)) end as k, sides
            from s left join d on s.pair_id = d.pair_id),
-     x as (select t.*, k, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) as h, coalesce(text, '') || '<|end|>' || chr(10) as b from t join k on t.pair_id = k.pair_id),
+     x as (select t.*, k, '<|' || replace(coalesce(role, 'unknown'), '|', '') || '|>' || chr(10) as h, replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) as b from t join k on t.pair_id = k.pair_id),
      y as (select *, coalesce(sum(length(h) + length(b)) over (partition by pair_id, side order by i rows between unbounded preceding and 1 preceding), 0) as pos from x where i > k),
      z as (select pair_id, side, string_agg(h || b, '' order by i) as body,
                   string_agg(case when role = 'assistant' then (pos + length(h))::bigint || '-' || (pos + length(h) + length(b))::bigint end, ',' order by i) as mask
@@ -131,7 +135,7 @@ left join z c on k.pair_id = c.pair_id and c.side = 0 left join z r on k.pair_id
 left join own oc on k.pair_id = oc.pair_id and oc.side = 0 left join own orr on k.pair_id = orr.pair_id and orr.side = 1
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+    pairs = preference.format_pairs(preference.swapped_answers(table(spark, sf_dir, "conversations")))
     spans = "array_join(transform({0}, s -> concat(s.from, '-', s.to)), ',') as {0}"
     return pairs.selectExpr("pair_id", "n_common", "prompt", "chosen", "rejected", spans.format("chosen_mask"), spans.format("rejected_mask"), "status")
 

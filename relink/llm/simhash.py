@@ -2,7 +2,7 @@
 
 A document's fingerprint sums the bits of its shingle hashes. Distinct fingerprints are dealt into shards: a fingerprint
 stands in one shard for each of SEGMENTS bit segments, keyed by that segment's value, so two fingerprints that differ in
-fewer bits than there are segments meet in a shard. A shard with many members is divided further by its members' Hamming
+fewer bits than there are segments meet in a shard. A shard is divided further by its members' Hamming
 distance to a vantage point: rings of width RING, and every member whose ball of the radius reaches over a ring's outer
 edge is also sent to the next ring, which is the only other one the triangle inequality leaves. A ring that still is large
 (distances may crowd) is dealt into chunks, and each two chunks are a group, so a task holds a bounded number of fingerprints
@@ -32,12 +32,12 @@ from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 SEGMENTS = RADIUS + 1
-#: Members from which a shard is divided into rings, and the width of a ring; a ring must be no narrower than the radius.
-SHARD, RING = 2048, 4
+#: Width of a ring; it must be no narrower than the radius.
+RING = 4
 #: Members from which a ring is dealt into chunks that are solved two by two.
 PART = 8192
 #: Members of a tree's leaf, which are compared with each other.
-LEAF = 128
+LEAF = 16
 
 
 def fingerprint(words: list[bytes]) -> int:
@@ -132,8 +132,8 @@ def _blocks(x: np.ndarray, left: np.ndarray, right: np.ndarray, forest: Forest,
 def dealt(fps: DataFrame) -> DataFrame:
     """(fp, key): the groups of distinct fingerprints that are solved in one task each; near ones meet in a group.
 
-    Shards are counted first; only those over SHARD members are cut into rings. A ring over PART members is dealt by hash into
-    chunks of about PART at most, and a group for each two chunks holds just these, so no group is larger than about 2 x PART.
+    Every shard of two members or more is cut into rings around its least fingerprint. A ring over PART members is dealt by hash
+    into chunks of about PART at most, and a group for each two chunks holds just these, so no group is larger than about 2 x PART.
     """
     cuts = [round(i * 64 / SEGMENTS) for i in range(SEGMENTS + 1)]
     values = [F.shiftrightunsigned("fp", a).bitwiseAND((1 << (b - a)) - 1).bitwiseOR(F.lit(i << 32)) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
@@ -141,8 +141,7 @@ def dealt(fps: DataFrame) -> DataFrame:
     sizes = shards.groupBy("shard").agg(F.count("*").alias("size"), F.min("fp").alias("vantage")).where("size > 1")
     sized = shards.join(F.broadcast(sizes), "shard")  # no more rows than segments have values: 5 x 2 ** 13
     ring = (F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage"))) / RING).cast("int")
-    rings = F.when(F.col("size") <= SHARD, F.array(F.lit(0))).otherwise(F.array(ring, ring + 1))
-    ringed = sized.select("fp", "shard", "size", F.explode(rings).alias("ring"))
+    ringed = sized.select("fp", "shard", "size", F.explode(F.array(ring, ring + 1)).alias("ring"))
     # no more rows than shards have rings (5 x 2 ** 13 x 18), and none unless a shard is larger than PART
     large = ringed.where(F.col("size") > PART).groupBy("shard", "ring").agg(F.count("*").alias("members")).where(F.col("members") > PART)
     chunks = F.ceil(F.col("members") / PART).cast("int")
@@ -207,4 +206,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull(), "_h": F.xxhash64("text")}
     stay = first.select(F.coalesce("component_id", F.lit(0)).alias("_id"), F.col("component_id").isNull().alias("_none"),
                         F.col("first_h").alias("_h"))
-    return docs.withColumns(key).join(stay, list(key), "left_semi").dropDuplicates(list(key)).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), *[c.alias(name) for name, c in key.items()])  # whatever the columns are called
+    return rows.join(stay, list(key), "left_semi").dropDuplicates(list(key)).select("_row.*")

@@ -164,10 +164,9 @@ def test_simhash_brute_force(spark, docs, edge):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("shard", [4, 2048])
-def test_vantage_trees_and_rings(spark, monkeypatch, shard):
-    monkeypatch.setattr(simhash, "SHARD", shard)
-    monkeypatch.setattr(simhash, "LEAF", 8)
+@pytest.mark.parametrize("leaf", [1, 16])
+def test_vantage_trees_and_rings(spark, monkeypatch, leaf):
+    monkeypatch.setattr(simhash, "LEAF", leaf)
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2 ** 63, 40).tolist()
     prints = {0, 2 ** 64 - 1, *base}
@@ -186,7 +185,6 @@ def test_vantage_trees_and_rings(spark, monkeypatch, shard):
 
 
 def test_dense_rings_are_dealt_into_chunks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SHARD", 16)
     monkeypatch.setattr(simhash, "PART", 32)
     rng = np.random.default_rng(7)
     # one value of the first segment; one ring: half of the twelve free bits differ from the vantage point's
@@ -336,13 +334,32 @@ def test_flow_is_of_least_cost():
         supply, n = rng.integers(0, 20, 3).tolist(), 4
         capacity = [-(-sum(supply) // n) + 1] * n
         cost = [[int(i != j) for j in range(n)] for i in range(3)]
-        flow = reshard.min_cost_flow(supply, capacity, cost)
+        flow = dense_flow(supply, capacity, cost)
         assert [sum(f) for f in flow] == supply and all(sum(f[j] for f in flow) <= capacity[j] for j in range(n))
         moved = sum(flow[i][j] for i in range(3) for j in range(n) if i != j)
         assert moved == sum(max(0, s - c) for s, c in zip(supply, capacity))
+        owed = reshard.moves(supply, capacity)
+        assert sum(sum(x.values()) for x in owed) == moved and not any(i in x for i, x in enumerate(owed))
+        assert all(sum(x.get(j, 0) for x in owed) + min(supply[j], capacity[j]) * (j < 3) <= capacity[j] for j in range(n))
     with pytest.raises(ValueError):
-        reshard.min_cost_flow([3], [2], [[0]])
-    assert reshard.min_cost_flow([2, 2], [2, 2], [[5, 1], [4, 3]]) == [[0, 2], [2, 0]]
+        reshard.moves([3], [2])
+    assert dense_flow([2, 2], [2, 2], [[5, 1], [4, 3]]) == [[0, 2], [2, 0]]
+    for _ in range(40):  # any costs, against all ways to send single units
+        supply, capacity, cost = rng.integers(0, 3, 2).tolist(), rng.integers(1, 4, 2).tolist(), rng.integers(0, 9, (2, 2)).tolist()
+        if sum(supply) <= sum(capacity):
+            flow = dense_flow(supply, capacity, cost)
+            ways = [(a, b) for a in range(supply[0] + 1) for b in range(supply[1] + 1) if a + b <= capacity[0] and sum(supply) - a - b <= capacity[1]]
+            best = min(a * cost[0][0] + (supply[0] - a) * cost[0][1] + b * cost[1][0] + (supply[1] - b) * cost[1][1] for a, b in ways)
+            assert sum(flow[i][j] * cost[i][j] for i in range(2) for j in range(2)) == best
+    many = reshard.moves([10**9] * 3000, [6 * 10**8] * 5001)  # thousands of shards: a few arcs for each
+    assert sum(sum(x.values()) for x in many) == 3000 * 4 * 10**8
+
+
+def dense_flow(supply, capacity, cost):
+    n, m = len(supply), len(capacity)
+    arcs = [(i, n + j, supply[i], cost[i][j]) for i in range(n) for j in range(m)]
+    flow = reshard.min_cost_flow(arcs + [(n + m, i, supply[i], 0) for i in range(n)] + [(n + j, n + m + 1, capacity[j], 0) for j in range(m)], n + m, n + m + 1)
+    return [flow[i * m : (i + 1) * m] for i in range(n)]
 
 
 def test_reshard(spark, docs, edge):
@@ -384,12 +401,49 @@ def test_rewrite_touches_affected_shards_only(spark, docs, tmp_path):
     actions = {r.shard: r.action for r in report.collect()}
     new = spark.read.parquet(str(tmp_path / "new"))
     full = reshard.tagged(docs)
-    stay = full.where(F.col("_old").isin([s for s, a in actions.items() if a != "rewrite"])).select(docs.columns)
+    stay = full.where(F.col("_old").isin([s for s, a in actions.items() if a != "rewrite"])).select("_row.*")
     both = stay.unionByName(new.select(docs.columns))
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, docs.collect()))
     assert {actions[6], actions[7]} == {"append"}
 
 
+def test_given_shards_and_capacities(spark, docs, tmp_path):
+    """Rows lie in shards of a column, new shards hold different amounts, and the table has columns of the operator's own names."""
+    total = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0]
+    mine = docs.withColumns({c: F.lit(f"own {c}") for c in ("_old", "_block", "_row", "_mix", "_shard", "shard_", "_part")}).withColumn("shard", F.pmod("doc_id", F.lit(3)).cast("int"))
+    capacity = [total // 2 + 1, total // 4 + 1, 0, total // 4 + 2]
+    got = reshard.reshard(mine, 3, 4, old="shard", capacity=capacity).collect()
+    size, old, stay = collections.Counter(), collections.Counter(), 0
+    for r in got:
+        assert r.old_shard == r.doc_id % 3
+        size[r.shard] += r.size
+        old[r.old_shard] += r.size
+        stay += r.size * (r.shard == r.old_shard)
+    slack = 0.03 * total
+    assert all(size[j] <= capacity[j] + slack for j in range(4)) and size[2] <= slack
+    assert total - stay <= sum(max(0, old[i] - capacity[i]) for i in range(3)) + slack
+    for _ in range(2):  # a second run replaces the first one's files
+        report = reshard.rewrite(mine, str(tmp_path / "out"), 3, 4, old="shard", capacity=capacity)
+        actions = {r.shard: r.action for r in report.collect()}
+        new = spark.read.parquet(str(tmp_path / "out"))
+        assert set(new.columns) == {*mine.columns, "shard__"}
+        kept = mine.where(F.col("shard").isin([s for s, a in actions.items() if a != "rewrite"]))
+        both = kept.unionByName(new.select(mine.columns))
+        assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, mine.collect()), key=str)
+
+
+def test_stages_keep_every_column(spark, docs):
+    """Whole rows come through, also where columns have names that the operators use themselves."""
+    names = ("_id", "_none", "_h", "_key", "_row", "key", "fp")
+    mine = docs.withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names})
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    whole = {r.doc_id: tuple(r) for r in mine.collect()}
+    for out in (simhash.keep_one(mine), inverted.drop_contaminated(mine, benchmark), langid.keep_known(mine)):
+        assert out.columns == mine.columns
+        rows = out.collect()
+        assert rows and all(tuple(r) == whole[r.doc_id] for r in rows)
+
+
 # 6: archive
 
 def test_archive_round_trip(spark):
@@ -429,12 +483,12 @@ def test_notices(spark, edge):
     one = got[1]
     assert (one.n_words, one.n_base, one.first_word, one.last_word, one.base_labels, one.labels, one.score) == (9, 2, 0, 4, "cc-by,reserved", "cc-by,reserved", 1.0)
     assert (got[2].n_base, got[2].first_word, got[2].base_labels, got[2].labels) == (0, None, "", "reserved") and got[2].score == 1 - 2 / 19
-    assert got[3].labels == "apache-2.0" and 0.9 < got[3].score < 1
+    assert got[3].labels == "apache,apache-2.0" and 0.9 < got[3].score < 1
     assert got[4].labels == "" and got[4].score == 0 and (got[5].n_words, got[5].labels) == (0, "")
     assert (got[6].n_base, got[6].first_word, got[6].last_word) == (2, 0, 2)
     assert (got[7].n_base, got[7].first_word, got[7].last_word, got[7].labels) == (2, 2, 5, "gpl") and got[8].n_base == 0
     spans = {(s.label, s.first, s.last) for s in got[3].spans}
-    assert ("apache-2.0", 0, 4) in spans
+    assert {("apache", 0, 4), ("apache-2.0", 3, 7)} <= spans
     assert notices.scan(edge).count() == len(EDGE) and notices.labelled(notices.scan(empty(spark))).count() == 0
 
 
@@ -442,7 +496,7 @@ def test_seeds_lose_no_match():
     import regex
 
     rng = np.random.default_rng(6)
-    for notice, label in notices.NOTICES:
+    for notice, label, anchors in notices.NOTICES:
         k = len(notice) // notices.PER_EDIT
         for _ in range(6):
             t = list(notice)
@@ -451,7 +505,36 @@ def test_seeds_lose_no_match():
                 t[i:i + 1] = [[], [t[i], "q"], ["z"]][rng.integers(0, 3)]
             line = "lorem " + "".join(t) + " ipsum"
             whole = regex.search(rf"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={k}}}", line)
-            assert (label in {x[0] for x in notices.fuzzy(line)}) or whole is None
+            kept = f" {anchors} " in line if anchors else True
+            assert (label in {x[0] for x in notices.fuzzy(line)}) or whole is None or not kept
+
+
+def test_edits_make_no_other_license(spark):
+    """The word that names a license is never edited into another's."""
+    def labels(text):
+        return {x[0] for x in notices.fuzzy(text)}
+
+    assert labels("released under the bsd license") == {"bsd"} and labels("released under the gpl license") == {"gpl"}
+    assert labels("released under the isc license") == {"isc"} and labels("relased undr the mit licence") == {"mit"}
+    assert labels("released under the xyz license") == set() and labels("released under the mitt license") == set()
+    assert labels("licensed under cc by sa") == {"cc-by", "cc-by-sa"} and labels("licenced under cc by nd") == {"cc-by", "cc-by-nd"}
+    assert labels("licensed under cc by nc") == {"cc-by", "cc-by-nc"} and labels("licensed under cc by") == {"cc-by"}
+    assert labels("apache license version 1 1") == set() and labels("apache licence version 2 0") == {"apache-2.0"}
+    assert labels("licensed under the apache license") == {"apache"}
+
+
+def test_notices_of_a_table(spark):
+    given = spark.createDataFrame([("Do NOT copy, ever!", "strict", None), ("free for the blue team", "blue", "blue"), ("free for the blue team", "blue", "blue"), ("...", "none", None), (None, "none", "x")],
+                                  "notice string, label string, anchors string")
+    table = notices.notice_table(given)
+    assert table == (("do not copy ever", "strict", ""), ("free for the blue team", "blue", "blue"))
+    docs = spark.createDataFrame([(1, "do nt copy ever"), (2, "free for the blve team"), (3, "fre for the blue teem"), (4, "released under the mit license")], "doc_id long, text string")
+    got = {r.doc_id: [s.label for s in r.spans] for r in notices.scan(docs, table).collect()}
+    assert got == {1: ["strict"], 2: [], 3: ["blue"], 4: []}
+    with pytest.raises(ValueError):
+        notices.notice_table(given, most=1)
+    with pytest.raises(ValueError):
+        notices.fuzzy("x", (("a b c", "l", "a c"),))
 
 
 def least_edits(line, notice, k):
@@ -488,7 +571,7 @@ def test_notices_side_by_side(spark):
                     t[i:i + 1] = [[], [t[i], "q"], ["z"]][rng.integers(0, 3)]
                 near.append("".join(t))
             line = ["", " ", " x "][rng.integers(0, 3)].join(near)
-            got = notices.fuzzy(line, ((notice, label),))
+            got = notices.fuzzy(line, ((notice, label, ""),))
             want = least_edits(line, notice, k)
             assert all(want.get(a) is not None and want[a] <= e <= k for _, a, _, e, _ in got)
             assert all(x[2] <= y[1] for x, y in zip(got, got[1:]))
@@ -645,6 +728,24 @@ def test_preferences(spark):
     assert (got["r"].status, got["r"].prompt, got["r"].rejected, got["r"].rejected_mask) == ("unpaired", "", None, None)
     assert (got["t"].n_common, got["t"].chosen.count("<|user|>"), got["t"].rejected) == (1, 2, "")
     assert preference.format_pairs(df.limit(0)).count() == 0
+    marks = spark.createDataFrame([("m", "chosen", 0, "us|er", "a<|end|>\n<|assistant|>\nb"), ("m", "rejected", 0, "user", "x")], df.drop("n_common").schema)
+    assert preference.format_pairs(marks).first().chosen == "<|user|>\na< |end|>\n< |assistant|>\nb<|end|>\n"
+
+
+def test_swapped_answers(spark):
+    """Pairs share the turns before the last answer; equal and one-sided pairs occur too."""
+    conversations = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    got = preference.format_pairs(preference.swapped_answers(conversations)).collect()
+    assert len(got) == 100 and collections.Counter(r.status for r in got).keys() == {"pair", "equal", "unpaired"}
+    assert len({r.n_common for r in got}) > 3 and sum(r.status == "pair" for r in got) > 50
+    turns = collections.defaultdict(list)
+    for r in conversations.orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role, r.text))
+    answer = {c: [t for role, t in ts if role == "assistant"][-1:] for c, ts in turns.items()}
+    for r in (r for r in got if r.status == "pair"):
+        mine = turns[r.pair_id]
+        last = max(i for i, t in enumerate(mine) if t[0] == "assistant")
+        assert r.n_common == last and answer[r.pair_id + 1][0] in r.rejected and mine[last][1] in r.chosen
 
 
 # pipeline
