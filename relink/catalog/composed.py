@@ -604,7 +604,7 @@ E19 = {
     "custom_field": ("select '*' as scope from part", "select '*' as scope, min(p_partkey) as id, p_brand || ' ' || p_type || ' ' || p_size as title from part where p_size <= 25 group by p_brand, p_type, p_size", "id, title"),
     "shared_parameter": ("select '*' as scope from part", """select '*' as scope, min(id) as id, arg_min(p_brand, id) as v from (select *, md5(p_partkey::varchar) as id from part where p_retailprice > 950 and p_type <> 'SMALL')
        group by p_name, p_size having (p_name, p_size) not in (select (p_name, p_size) from part where p_size > 40)""", "id, v"),
-    "attachment": ("select '*' as scope from documents, (values (0), (1)) v(twice), (values (0), (1), (2)) l(link)",
+    "attachment": ("select '*' as scope from documents, (values (0), (1)) v(twice), (values (0), (1)) l(link)",
                    f"select '*' as scope, key, target_code, (row_number() over (partition by target_code order by key) - 1) // 20 as batch from {E06} where lang not in ('en', 'es')", "key, target_code, batch"),
 }
 

@@ -245,7 +245,7 @@ def j13(spark, sf):
 #: beside rows that know a title only, whose keys are of other cases.
 KINDS = f"""k as (select *, chunk % 4 as kind, case chunk % 4 when 0 then l_partkey when 3 then case when l_returnflag <> 'R' then l_partkey end end as case_id,
     case chunk % 4 when 1 then 't' || l_partkey when 3 then case when l_returnflag = 'R' then 'r' || l_partkey end else ' ' end as title from {SENT}),
-made as (select project_code, chunk, kind, 499 - pos as at, md5('t' || hash) as target, case when kind = 3 and l_returnflag = 'R' then -l_partkey else l_partkey end as key_case,
+made as (select project_code, chunk, kind, 499 - pos as ord, md5('t' || hash) as target, case when kind = 3 and l_returnflag = 'R' then -l_partkey else l_partkey end as key_case,
     case kind when 1 then 't' || l_partkey when 3 then case when l_returnflag = 'R' then 'r' || l_partkey else 'own' end else 'x' end as key_title from k where l_quantity > 5)"""
 
 
@@ -253,7 +253,7 @@ made as (select project_code, chunk, kind, 499 - pos as at, md5('t' || hash) as
 with {KINDS},
 s as (select *, row_number() over (partition by project_code, chunk, case when kind in (0, 3) then case_id end, case when kind in (1, 3) and case_id is null then title end order by pos) as n from k),
 m as (select *, row_number() over (partition by project_code, chunk, case when kind = 0 or (kind = 3 and key_title = 'own') then key_case end,
-  case when kind = 1 or (kind = 3 and key_title <> 'own') then key_title end order by at, target) as n from made)
+  case when kind = 1 or (kind = 3 and key_title <> 'own') then key_title end order by ord, target) as n from made)
 select s.project_code, s.chunk::bigint as chunk, s.hash as source_key, m.target as target_key from s join m on s.project_code = m.project_code and s.chunk = m.chunk and s.n = m.n
  and (s.kind = 2 or (s.case_id is not null and s.case_id = m.key_case) or (s.case_id is null and s.title = m.key_title))""")
 def j14(spark, sf):
