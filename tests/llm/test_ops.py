@@ -340,7 +340,7 @@ def test_flow_is_of_least_cost():
         assert moved == sum(max(0, s - c) for s, c in zip(supply, capacity))
         owed = reshard.moves(supply, capacity)
         assert sum(sum(x.values()) for x in owed) == moved and not any(i in x for i, x in enumerate(owed))
-        assert all(sum(x.get(j, 0) for x in owed) + min(supply[j], capacity[j]) * (j < 3) <= capacity[j] for j in range(n))
+        assert all(sum(x.get(j, 0) for x in owed) + (min(supply[j], capacity[j]) if j < 3 else 0) <= capacity[j] for j in range(n))
     with pytest.raises(ValueError):
         reshard.moves([3], [2])
     assert dense_flow([2, 2], [2, 2], [[5, 1], [4, 3]]) == [[0, 2], [2, 0]]
