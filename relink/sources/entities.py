@@ -14,7 +14,7 @@ from .pages import entity_rows
 
 def projects(pages: DataFrame, only=()) -> DataFrame:
     """Allow-listed projects, the first of each code; rows without a code are kept."""
-    rows = allow(entity_rows(pages, "project", scope="workspace"), "code", only)
+    rows = allow(entity_rows(pages, "project", scope="workspace", dedupe=False), "code", only)
     return first_wins(rows, "code", ["id"])
 
 
@@ -26,7 +26,7 @@ def users(pages: DataFrame) -> DataFrame:
 
 def authors(pages: DataFrame) -> DataFrame:
     """uuid -> id, both present, a later row replacing an earlier one."""
-    rows = entity_rows(pages, "author", scope="workspace").where("uuid is not null and id is not null")
+    rows = entity_rows(pages, "author", scope="workspace", dedupe=False).where("uuid is not null and id is not null")
     return last_per_key(rows, ["uuid"], ["id"]).select("uuid", "id")
 
 
