@@ -108,10 +108,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_preference_pairs", """
 with c as (select conv_id::bigint as pair_id, turn, role, text from conversations where conv_id is not null),
-     a as (select pair_id, max(turn) as at, max(text) filter (where turn = m) as answer from (select *, max(turn) over (partition by pair_id) as m from c where role = 'assistant') group by pair_id),
-     b as (select c.*, a.at, o.answer, coalesce(o.pair_id is not null and a.at is not null and c.pair_id % 5 <> 0, false) as swaps from c left join a on a.pair_id = c.pair_id left join a o on o.pair_id = c.pair_id + 1),
+     a as (select pair_id, max(turn) as at_, max(text) filter (where turn = m) as answer from (select *, max(turn) over (partition by pair_id) as m from c where role = 'assistant') group by pair_id),
+     b as (select c.*, a.at_, o.answer, coalesce(o.pair_id is not null and a.at_ is not null and c.pair_id % 5 <> 0, false) as swaps from c left join a on a.pair_id = c.pair_id left join a o on o.pair_id = c.pair_id + 1),
      s0 as (select pair_id, 0 as side, turn, role, text from c union all
-            select pair_id, 1, turn, role, case when swaps and turn = at and role = 'assistant' then answer else text end from b where pair_id % 7 <> 0 and (not swaps or turn <= at)),
+            select pair_id, 1, turn, role, case when swaps and turn = at_ and role = 'assistant' then answer else text end from b where pair_id % 7 <> 0 and (not swaps or turn <= at_)),
      t as (select pair_id, side, row_number() over (partition by pair_id, side order by turn nulls first, role nulls first, text nulls first) as i, role, text from s0),
      s as (select pair_id, count(distinct side) as sides from t group by pair_id),
      n as (select pair_id, side, max(i) as n from t group by pair_id, side),
