@@ -29,6 +29,7 @@ def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+# Members that say a run is finished.
 FINISHED_FLAGS = ("is_completed", "is_complete")
 FINISHED_TIMES = ("end_time", "completed_at", "time_end", "finished_at", "closed_at", "complete_time")
 STATE_ALIASES = ("state", "status", "run_status", "runStatus", "execution_state", "executionState")

@@ -114,7 +114,7 @@ def display_line(email, formatted, given, family, active) -> Column:
 
 
 def result_title(own_titles, case, case_id, row_id, target_id, row_hash) -> Column:
-    """Own title aliases, else the nested case's title, else `Automated Test {key}`."""
+    """Own title aliases, else the nested case's title, else `Automated Test {key}` (fixed value)."""
     def numbered(c):
         return F.concat(F.lit("Automated Test "), col(c).try_cast("bigint").cast("string"))
 
@@ -135,6 +135,7 @@ def join_message(*parts) -> Column:
 
 def step_comment(actual, comment) -> Column:
     """Markdown of a step: actual result, then comment."""
+    # The two headings.
     return F.nullif(F.concat_ws(
         "\n\n",
         F.concat(F.lit("**Actual result**\n"), non_blank(actual)),
@@ -144,6 +145,7 @@ def step_comment(actual, comment) -> Column:
 
 def standalone_description(case_id, row_hash) -> Column:
     """Lines kept on a result whose case has no target."""
+    # The wording of the three lines.
     return F.concat_ws(
         "\n",
         F.lit("Imported by workspace migration (no mapped test case on target)."),

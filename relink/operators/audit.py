@@ -32,6 +32,7 @@ def summary(rows: DataFrame, scope: str, entity: str, created: str) -> DataFrame
                     F.when(F.col("_e") == 1, "(all)").otherwise(F.col(entity)).alias(entity), "processed", "created"))
 
 
+# Counters of a run that add up to its results.
 COUNT_PARTS = ("passed", "failed", "skipped", "blocked", "invalid", "untested", "pending", "in_progress", "retest")
 
 

@@ -165,6 +165,7 @@ def parameter_shapes(m) -> Column:
                     lambda p: p["shared_id"].isNotNull() | (F.size(p["items"]) > 0))
 
 
+# Texts of a case, and what a member that is missing counts as.
 CASE_TEXTS = ("description", "preconditions", "postconditions")
 CASE_DEFAULTS = {"severity": 2, "priority": 2, "type": 1, "behavior": 1, "automation": 0, "status": 1, "is_flaky": 0}
 
