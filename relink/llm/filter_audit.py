@@ -6,15 +6,17 @@ what a filter removes, what it would have removed, and what only it fails.
 
 Method. The documents' files are a stream, drained in available-now micro-batches. A text's digest (SHA-256) keys a state
 that holds the least doc_id seen and the counts of its rows. A smaller id that arrives later takes the place over: the
-earlier owner's counts are retracted from its part's counter of mask m and added to that of m with E. Counters are
-changes (part, mask, n, good, toxic), added up in each task, appended by Spark's file sink, which records a micro-batch
-once however often it ran. Their sums over all batches are 32 numbers for each part at most, from which all 120 orders
-follow; the result does not depend on the order of files, nor on how they are dealt into batches.
+earlier owner's counts are retracted from its part's counter of mask m and added to that of m with E. A batch's counters are
+changes (part, mask, n, good, toxic); their sums over all batches are 32 numbers for each part at most, from which all
+120 orders follow; the result does not depend on the order of files, nor on how they are dealt into batches.
+
+The state is a table in the shared folder: each batch writes the owners of the texts it has met, below its own number, and
+reads those that earlier batches wrote of its texts, the latest for each. A batch that is run again, after a failure at any
+point, reads the same and writes over what it wrote.
 
 Before the shuffle by digest every task folds its rows: of a text's rows only the least id is sent as a claim, the others
 can be counted at once (a smaller id exists), so a text with a third of all rows sends one claim for each task and flush.
-Labels are reduced to one row for each doc_id, and join without the texts. State is kept by RocksDB on executors' disks and
-saved to the shared folder with every batch.
+Labels are reduced to one row for each doc_id, and join without the texts.
 
 Defined results: a null text is empty; a null lang is the part of the empty string, as is an empty lang; a null doc_id is
 smaller than none and larger than none, so E never fails it and it fails no other row; rows that share doc_id and text do not
@@ -30,11 +32,9 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..lineage import work_path
 from .common import map_batches, raw, written
@@ -46,13 +46,10 @@ BATCHES, FOLD = 4, 50_000
 BLOCK = 1 << 20
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ODD = re.compile(rb"[#$%&*|]")
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
 FACTS = "doc_id bigint, digest binary, mask int, part string, n bigint"
 CLAIMS = "key binary, id bigint, mask int, part string, n bigint, good bigint, toxic bigint, claim boolean"
 CHANGES = "part string, mask int, n bigint, good bigint, toxic bigint"
-STATE = "id bigint, mask int, part array<string>, n array<bigint>, good array<bigint>, toxic array<bigint>"
+OWNERS = "key binary, id bigint, mask int, part string, n bigint, good bigint, toxic bigint"
 
 
 def words_of(text: bytes) -> Iterator[list[bytes]]:
@@ -143,63 +140,35 @@ def add(counters: dict, key, counts, sign: int = 1) -> None:
         now[j] += sign * x
 
 
-def fold_claims(now: tuple | None, rows: Iterator[tuple], changes: dict) -> tuple | None:
-    """Least id, mask and counts of a text's owner after `rows`; `changes` gets what this does to the counters.
-
-    ``now`` and the result are (id, mask, {part: counts}) or None; rows are (id, mask, part, n, good, toxic, claim)."""
-    for i, mask, part, *counts, claim in rows:
-        if not claim:
-            add(changes, (part, mask), counts)
-        elif now is not None and i > now[0]:
-            add(changes, (part, mask | E), counts)
-        else:
-            if now is None or i < now[0]:
-                if now is not None:
-                    for old, had in now[2].items():
-                        add(changes, (old, mask), had, -1)
-                        add(changes, (old, mask | E), had)
-                now = (i, mask, {})
-            add(now[2], part, counts)
-            add(changes, (part, mask), counts)
-    return now
-
-
-def _retract(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    now, changes = None, {}
-    if state.exists:
-        i, mask, parts, *counts = state.get
-        now = (i, mask, {p: list(c) for p, *c in zip(parts, *counts)})
-    before = now
-    for frame in frames:
-        now = fold_claims(now, zip(*(frame[c].tolist() for c in ("id", "mask", "part", "n", "good", "toxic", "claim"))), changes)
-    if now is not None and (now is not before or changes):
-        i, mask, owners = now
-        state.update((i, mask, list(owners), *map(list, zip(*owners.values()))))
-    yield pd.DataFrame([(part, mask, *c) for (part, mask), c in changes.items()], columns=["part", "mask", "n", "good", "toxic"])
-
-
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's changes, added up; it holds a counter for each part and mask."""
-    held: dict[tuple, list] = {}
-    for batch in batches:
-        for part, mask, *counts in zip(*[c.to_pylist() for c in batch.columns]):
-            add(held, (part, mask), counts)
-    rows = [(part, mask, *c) for (part, mask), c in held.items() if any(c)]
-    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    yield pa.record_batch([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names=["part", "mask", "n", "good", "toxic"])
+def fold(claims: DataFrame, owners: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(changes, owners) that a batch's claims bring about beside the owners that their texts had before.
 
+    Of a text's claims, old and new, those of the least id own it. What new owners count is added as it is, other new claims fail E;
+    an old owner that is not the owner any more is taken back and added as failing E."""
+    columns = ["key", "id", "mask", "part", "n", "good", "toxic"]
+    every = claims.select(*columns, "claim", F.lit(False).alias("old")).unionByName(
+        owners.select(*columns, F.lit(True).alias("claim"), F.lit(True).alias("old")))
+    least = F.min(F.when(F.col("claim"), F.col("id"))).over(Window.partitionBy("key"))
+    judged = every.withColumn("owns", F.col("claim") & (F.col("id") == least))
+    lost = F.col("mask").bitwiseOR(F.lit(E))
 
-def changes(stream: DataFrame, labels: DataFrame) -> DataFrame:
-    """The stream of counter changes of a stream of documents."""
-    flags = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
-        F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("bigint")).alias("good"),
-        F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("bigint")).alias("toxic"))
-    docs = stream.select(F.col("doc_id").cast("bigint").alias("doc_id"), raw("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"))
-    facts = map_batches(docs, _facts, FACTS).join(written(flags, "flags"), "doc_id", "left")
+    def changed(*pairs):
+        return F.array(*[F.struct(F.lit(sign).alias("sign"), mask.alias("now")) for sign, mask in pairs])
+
+    moves = (F.when(F.col("old"), F.when(~F.col("owns"), changed((-1, F.col("mask")), (1, lost))))
+             .when(F.col("owns") | ~F.col("claim"), changed((1, F.col("mask")))).otherwise(changed((1, lost))))
+    rows = judged.select("part", "n", "good", "toxic", F.explode(moves).alias("c"))
+    changes = rows.groupBy("part", F.col("c.now").alias("mask")).agg(*[F.sum(F.col("c.sign") * F.col(c)).alias(c) for c in ("n", "good", "toxic")])
+    kept = judged.where("owns").groupBy("key", "id", "mask", "part").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
+    return changes, kept
+
+
+def claims_of(docs: DataFrame, flags: DataFrame) -> DataFrame:
+    """Claims and settled counts of documents, folded in each task; ``flags`` has doc_id (unique), good and toxic."""
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), raw("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"))
+    facts = map_batches(slim, _facts, FACTS).join(flags, "doc_id", "left")
     facts = facts.select("doc_id", "digest", "mask", "part", "n", *[(F.col("n") * F.coalesce(c, F.lit(0))).alias(c) for c in ("good", "toxic")])
-    claims = facts.mapInArrow(_claims, CLAIMS)
-    return (claims.groupBy("key").applyInPandasWithState(_retract, CHANGES, STATE, "append", GroupStateTimeout.NoTimeout)
-            .mapInArrow(_sums, CHANGES))
+    return facts.mapInArrow(_claims, CLAIMS)
 
 
 def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES, progress: str | None = None, counters: str | None = None) -> DataFrame:
@@ -209,18 +178,29 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int
     landed = spark.read.parquet(path)
     each = -(-len(landed.inputFiles()) // batches)
     counters, progress = counters or work_path(spark, "counters"), progress or work_path(spark, "progress")
+    flags = written(labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
+        F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("bigint")).alias("good"),
+        F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("bigint")).alias("toxic")), "flags")
+    for name, kind in (("owners", OWNERS), ("changes", CHANGES)):  # so that there is something to read before the first batch
+        spark.createDataFrame([], kind).write.mode("ignore").parquet(f"{counters}/{name}/batch=-1")
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        claims_of(batch, flags).write.mode("overwrite").parquet(f"{counters}/claims/batch={number}")
+        claims = spark.read.schema(CLAIMS).parquet(f"{counters}/claims/batch={number}")
+        met = claims.where("claim").select("key").distinct()
+        before = spark.read.schema(f"{OWNERS}, batch bigint").parquet(f"{counters}/owners").where(F.col("batch") < number).join(met, "key", "left_semi")
+        latest = before.withColumn("_last", F.max("batch").over(Window.partitionBy("key"))).where("batch = _last")
+        changes, owners = fold(claims, latest)
+        owners.write.mode("overwrite").parquet(f"{counters}/owners/batch={number}")
+        changes.write.mode("overwrite").parquet(f"{counters}/changes/batch={number}")
+
     # As a pattern the path may be one file or a folder of files. A file is read whatever its age beside others.
     path = path.rstrip("/")
     pattern = path if set(path) & set("*?[]{}") else f"{path[:-1]}[{path[-1]}]"
     stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", max(1, each)).option("maxFileAge", "36500d").parquet(pattern)
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS)
-    try:
-        (changes(stream, labels).writeStream.format("parquet").outputMode("append").option("checkpointLocation", progress)
-         .trigger(availableNow=True).start(counters).awaitTermination())
-    finally:
-        spark.conf.set(PROVIDER, before)
-    sums = spark.read.schema(CHANGES).parquet(counters).groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
+    stream.writeStream.foreachBatch(step).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    sums = spark.read.schema(f"{CHANGES}, batch bigint").parquet(f"{counters}/changes").groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
     return sums.where("n <> 0")
 
 

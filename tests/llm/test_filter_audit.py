@@ -81,22 +81,40 @@ def test_masks():
     assert fa.own_mask(b"same " * 500_000) == 2
 
 
-def test_fold_is_independent_of_order():
+def sequential(now, rows, changes):
+    """The state of one text after rows (id, mask, part, n, good, toxic, claim), one after the other, and what that changes."""
+    for i, mask, part, *counts, claim in rows:
+        if not claim:
+            fa.add(changes, (part, mask), counts)
+        elif now is not None and i > now[0]:
+            fa.add(changes, (part, mask | fa.E), counts)
+        else:
+            if now is None or i < now[0]:
+                for old, had in (now[2] if now else {}).items():
+                    fa.add(changes, (old, mask), had, -1)
+                    fa.add(changes, (old, mask | fa.E), had)
+                now = (i, mask, {})
+            fa.add(now[2], part, counts)
+            fa.add(changes, (part, mask), counts)
+    return now
+
+
+def test_fold_equals_the_sequential_walk(spark):
+    """Three batches of claims on a few texts, folded one after the other, against the walk row by row."""
     rng = random.Random(4)
-    for _ in range(200):
-        rows = [(rng.randint(1, 4), 5, rng.choice("ab"), 1, rng.randint(0, 1), 0, True) for _ in range(rng.randint(1, 7))]
-        ends = set()
-        for order in itertools.islice(itertools.permutations(rows), 40):
-            now, changes = None, {}
-            for row in order:  # each row a batch of its own: a state handed on
-                now = fa.fold_claims(now, iter([row]), changes)
-            least = min(r[0] for r in rows)
-            assert now[0] == least
-            ends.add(tuple(sorted((k, tuple(v)) for k, v in changes.items() if any(v))))
-        want = collections.defaultdict(lambda: [0, 0, 0])
-        for i, mask, part, *c, _ in rows:
-            fa.add(want, (part, mask | (fa.E if i > least else 0)), c)
-        assert ends == {tuple(sorted((k, tuple(v)) for k, v in want.items()))}
+    owners, states, changes, got = spark.createDataFrame([], fa.OWNERS), {}, {}, collections.defaultdict(lambda: [0, 0, 0])
+    for _ in range(3):
+        rows = [(bytes([k]), rng.randint(1, 6), k, rng.choice("ab"), rng.randint(1, 3), rng.randint(0, 1), 0, rng.random() < 0.9) for k in (rng.randrange(5) for _ in range(12))]
+        for key, *row in rows:
+            states[key] = sequential(states.get(key), [tuple(row)], changes)
+        made, fresh = fa.fold(spark.createDataFrame(rows, fa.CLAIMS), owners.join(spark.createDataFrame([(r[0],) for r in rows if r[-1]], "key binary"), "key", "left_semi"))
+        for r in made.collect():
+            fa.add(got, (r.part, r["mask"]), (r.n, r.good, r.toxic))
+        fresh = spark.createDataFrame(fresh.collect(), fa.OWNERS)
+        owners = owners.join(fresh, "key", "left_anti").unionByName(fresh)
+    assert {k: v for k, v in got.items() if any(v)} == {k: v for k, v in changes.items() if any(v)}
+    kept = {(bytes(r.key), r.id, r.part): r.n for r in owners.collect()}
+    assert kept == {(key, s[0], part): c[0] for key, s in states.items() if s for part, c in s[2].items()}
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -127,7 +145,7 @@ def test_a_task_folds_its_rows(monkeypatch, fold):
     for b in fa._claims(iter(with_labels)):
         for r in b.to_pylist():
             key = r.pop("key")
-            states[key] = fa.fold_claims(states.get(key), iter([tuple(r.values())]), changes)
+            states[key] = sequential(states.get(key), [tuple(r.values())], changes)
             sent += 1
     want = {k: (v[0], v[0], 0) for k, v in brute_masks(docs, []).items()}
     assert {k: tuple(v) for k, v in changes.items() if any(v)} == want and sent > 0
@@ -145,6 +163,31 @@ def test_resumed_run_reads_new_files_only(spark):
     assert of(fa.count_masks(spark, path, lab, progress=progress, counters=counters)) == brute_masks(docs, labels)
 
 
+def test_a_batch_that_is_run_again_counts_once(spark, monkeypatch):
+    """The job dies after a batch has written its owners; the next run does that batch again."""
+    docs, labels = sample(5, 90)
+    path, progress, counters = (work_path(spark, x) for x in ("landed", "progress", "counters"))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    land(spark, docs[45:], path)
+    land(spark, docs[:45], path)
+    real, calls = fa.fold, []
+
+    class Dies:
+        def __getattr__(self, _):
+            raise RuntimeError("killed")
+
+    def dying(claims, owners):
+        calls.append(1)
+        changes, kept = real(claims, owners)
+        return (Dies() if len(calls) == 2 else changes), kept
+
+    with monkeypatch.context() as m:
+        m.setattr(fa, "fold", dying)
+        with pytest.raises(Exception):
+            fa.count_masks(spark, path, lab, batches=2, progress=progress, counters=counters)
+    assert of(fa.count_masks(spark, path, lab, batches=2, progress=progress, counters=counters)) == brute_masks(docs, labels)
+
+
 def test_edges(spark):
     path = work_path(spark, "landed")
     land(spark, [], path)
