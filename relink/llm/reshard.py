@@ -2,15 +2,19 @@
 
 Documents lie in old shards. Equal texts of a shard belong to one block, and blocks are what moves. From the old shards'
 bytes and the new shards' capacities (both can be given) a minimum-cost flow gives the bytes to move from each shard to each
-other one, at no cost for what stays and one per byte that moves; blocks are then chosen to carry it. The solver sees one number per shard
-and one row per block; blocks are a fixed number per old shard, so the driver's share doesn't grow with the rows.
+other one, at no cost for what stays and one per byte that moves; blocks are then chosen to carry it. Blocks that are large
+beside a shard (HEAVY) couldn't carry it closely: they get their shards first, and the flow is that of all others into the
+room left. The solver sees one number per shard and one row per block; blocks are a fixed number per old shard, so the
+driver's share doesn't grow with the rows. Then the shards that the plan affects are written, and the rows of the new shards
+are read from these files and from the old shards that stay as they are.
 
-Within a shard every row gets a gapless slot: blocks are laid one after another, and a block with many rows (a text that is
-repeated very often) is numbered in parts, so no task numbers more than a part. A block larger than SPLIT of a shard's
+Within a shard every row gets a gapless slot: what stays in it is laid first, block after block, then what comes to it, so
+that a shard that only gains is added to at its end. A block with many rows (a text that is repeated very often) is numbered
+in parts, so no task numbers more than a part. A block larger than SPLIT of a shard's
 capacity moves part by part, since equal sizes could not be met otherwise; all smaller groups of equal texts stay together.
 
 Defined results: a null text has no bytes, size 1 and crc32 0; a null doc_id is an id like any other; repeated rows each
-get a slot; an empty table gives no rows; other columns are ignored.
+get a slot; an empty table gives no rows; other columns are written along with their row and otherwise ignored.
 """
 
 from __future__ import annotations
@@ -19,12 +23,15 @@ from collections import Counter
 from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..lineage import work_path
 from .common import written
 
 OLD_SHARDS, NEW_SHARDS = 6, 8
-#: Blocks per old shard, parts that all rows would fill, and the share of a capacity above which a block is split.
-BLOCKS, PARTS, SPLIT = 2048, 8192, 1 / 2
+#: Blocks per old shard, parts that all rows would fill, the share of a capacity above which a block is split, and that of a
+#: mean capacity above which a block is placed before the flow.
+BLOCKS, PARTS, SPLIT, HEAVY = 2048, 8192, 1 / 2, 1 / 16
 
 
 def min_cost_flow(arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
@@ -125,9 +132,29 @@ def moves(supply: list[int], capacity: list[int]) -> list[dict[int, int]]:
     return owed
 
 
+def settle(blocks: list[tuple], held: list[int], capacity: list[int]) -> dict:
+    """New shard of every large block (key, old shard, bytes), from the largest down: its own while that holds it beside the
+    large ones before it, else of those that can hold it the one with most room beside the bytes ``held`` so far, by old shard.
+    One that no shard can hold stays whole, in the shard that it fills over least."""
+    free = list(capacity)
+    room = [c - (held[j] if j < len(held) else 0) for j, c in enumerate(capacity)]
+    place = {}
+    for key, old, size in sorted(blocks, key=lambda b: (-b[2], str(b[0]))):
+        j = old
+        if old >= len(capacity) or free[old] < size:
+            j = max(range(len(capacity)), key=lambda j: (min(free[j], size), j == old, room[j], -j))
+            room[j] -= size
+            if old < len(capacity):
+                room[old] += size
+        free[j] -= size
+        place[key] = j
+    return place
+
+
 def carry(blocks: list[tuple], owed: list[dict[int, int]], shards: int) -> dict:
     """New shard of every block (key, old shard, bytes): the flow's amounts are filled from the largest block down, each
-    block going where most is still owed to its shard; what stays over balances to within a small block."""
+    block going where most is still owed to its shard. Then blocks go that no single amount left could take but all of their
+    shard's together can; what stays over is less than a block."""
     owed = [dict(x) for x in owed]
     place = {}
     for key, old, size in sorted(blocks, key=lambda b: (-b[2], str(b[0]))):
@@ -137,6 +164,13 @@ def carry(blocks: list[tuple], owed: list[dict[int, int]], shards: int) -> dict:
             place[key] = j
         else:
             place[key] = old if old < shards else None
+    left = [sum(x.values()) for x in owed]
+    for key, old, size in sorted(blocks, key=lambda b: (-b[2], str(b[0]))):
+        if place[key] == old and left[old] >= size:
+            j = max(owed[old], key=lambda j: (owed[old][j], -j))
+            owed[old][j] -= size
+            left[old] -= size
+            place[key] = j
     room = Counter()
     for x in owed:
         room.update(x)
@@ -148,6 +182,27 @@ def carry(blocks: list[tuple], owed: list[dict[int, int]], shards: int) -> dict:
     return place
 
 
+def assign(blocks: list[tuple], old_shards: int, capacity: list[int]) -> dict:
+    """New shard of every block (key, old shard, bytes): the large ones settled, the flow of the others carried."""
+    shards = max([old_shards, *[old + 1 for _, old, _ in blocks]])
+
+    def held(blocks: list[tuple]) -> list[int]:
+        out = [0] * shards
+        for _, old, size in blocks:
+            out[old] += size
+        return out
+
+    if sum(held(blocks)) > sum(capacity):
+        raise ValueError("the capacities are less than the supplies")
+    heavy = HEAVY * sum(capacity) / max(1, sum(c > 0 for c in capacity))
+    place = settle([b for b in blocks if b[2] > heavy], held(blocks), capacity)
+    room, rest = list(capacity), [b for b in blocks if b[0] not in place]
+    for key, _, size in blocks:
+        if key in place:
+            room[place[key]] -= size
+    return place | carry(rest, moves(held(rest), [max(0, c) for c in room]), len(capacity))
+
+
 def tagged(docs: DataFrame, old=None, old_shards: int = OLD_SHARDS) -> DataFrame:
     """(_row, doc_id, text, _old, _block, _size, _mix) of every row: the whole row, the shard it lies in (``old``, a column or its
     name; by default the text's hash decides), its block there (by the text's hash), UTF-8 bytes plus one, and a hash that deals a
@@ -178,13 +233,10 @@ def plan(slim: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW_SH
     for r in held:
         key = (r["_block"], r["_part"]) if r["_block"] in large else (r["_block"], None)
         moving.setdefault(key, [r["_old"], 0])[1] += r["b"]
-    totals = [0] * max([old_shards, *[old + 1 for old, _ in moving.values()]])
-    for old, size in moving.values():
-        totals[old] += size
-    place = carry([(k, old, size) for k, (old, size) in moving.items()], moves(totals, capacity), len(capacity))
+    place = assign([(k, old, size) for k, (old, size) in moving.items()], old_shards, capacity)
     first, out = [0] * len(capacity), []
-    for r in sorted(held, key=lambda r: (r["_block"], r["_part"])):
-        j = place[(r["_block"], r["_part"]) if r["_block"] in large else (r["_block"], None)]
+    laid = [(place[(r["_block"], r["_part"]) if r["_block"] in large else (r["_block"], None)], r) for r in held]
+    for j, r in sorted(laid, key=lambda x: (x[0] != x[1]["_old"], x[1]["_block"], x[1]["_part"])):  # what stays, then what comes
         out.append((r["_block"], r["_part"], j, first[j]))
         first[j] += r["n"]
     return parts, spark.createDataFrame(out, "_block int, _part int, _shard int, _first long")
@@ -195,16 +247,50 @@ def part(df: DataFrame, parts: DataFrame) -> DataFrame:
     return df.join(F.broadcast(parts), "_block").withColumn("_part", F.pmod("_mix", "_parts").cast("int")).drop("_parts")
 
 
-def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW_SHARDS, old=None, capacity: list[int] | None = None) -> DataFrame:
-    """One row per document: size, crc32 of the text, old shard, new shard, slot. Texts are read once and not shuffled.
+def placed(rows: DataFrame, parts: DataFrame, places: DataFrame) -> DataFrame:
+    """Adds _part, its new shard _shard and its _first slot there; BLOCKS x shards + PARTS rows at most are broadcast, twice."""
+    return part(rows, parts).join(F.broadcast(places), ["_block", "_part"])
+
 
-    ``old`` names the shard that each row lies in (numbers from 0, not null), ``capacity`` the bytes of each new shard."""
-    slim = written(tagged(docs, old, old_shards).select(
-        "doc_id", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("text_crc32"), "_old", "_block", "_size", "_mix"), "blocks")
+def land(docs: DataFrame, path: str, old_shards: int, new_shards: int, old, capacity: list[int] | None) -> tuple[DataFrame, DataFrame, str, list, set[int]]:
+    """Plan, and write the affected shards below ``path``. Returns the plan, the name that the shards' folders have, rows and
+    bytes (_old, _shard, n, b) by old and new shard, and the old shards that lose rows."""
+    rows = tagged(docs, old, old_shards)
+    slim = written(rows.select("_old", "_block", "_size", "_mix"), "blocks")
     parts, places = plan(slim, old_shards, new_shards, capacity)
-    placed = part(slim, parts).join(F.broadcast(places), ["_block", "_part"])  # BLOCKS x shards + PARTS rows at most, twice
+    totals = placed(slim, parts, places).groupBy("_old", "_shard").agg(F.count("*").alias("n"), F.sum("_size").alias("b")).collect()
+    losing = {r["_old"] for r in totals if r["_old"] != r["_shard"]}
+    write = placed(rows, parts, places).where((F.col("_old") != F.col("_shard")) | F.col("_old").isin(losing))
+    folder = "shard"
+    while folder.lower() in {c.lower() for c in docs.columns}:
+        folder += "_"
+    write.select("_row.*", F.col("_shard").alias(folder)).write.mode("overwrite").partitionBy(folder).parquet(path)
+    return parts, places, folder, totals, losing
+
+
+def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW_SHARDS, old=None, capacity: list[int] | None = None, path: str | None = None) -> DataFrame:
+    """One row per document of the new shards: size, crc32 of the text, old shard, new shard, slot.
+
+    The affected shards are written below ``path`` (by default a folder of this run) as by `rewrite` and their rows read from
+    there; rows of shards that lose none are read from ``docs``. No text is shuffled. ``old`` names the shard that each row
+    lies in (a column, or an expression of the rows' columns; numbers from 0, not null), ``capacity`` the bytes of each new shard."""
+    spark = docs.sparkSession
+    path = path or work_path(spark, "shards")
+    parts, places, folder, totals, losing = land(docs, path, old_shards, new_shards, old, capacity)
+
+    def rows(df: DataFrame) -> DataFrame:
+        return placed(tagged(df, old, old_shards), parts, places)
+
+    def slim(df: DataFrame, shard: str) -> DataFrame:
+        crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))
+        return df.select("doc_id", crc.alias("text_crc32"), "_old", "_block", "_part", "_size", F.col(shard).alias("_shard"), "_first")
+
+    files = spark.read.schema(StructType([*docs.schema, StructField(folder, IntegerType())])).parquet(path)
+    found = slim(rows(files), f"_row.{folder}")
+    if any(r["_old"] == r["_shard"] and r["_old"] not in losing for r in totals):
+        found = found.unionByName(slim(rows(docs).where((F.col("_old") == F.col("_shard")) & ~F.col("_old").isin(losing)), "_shard"))
     number = F.expr("row_number() over (partition by _block, _part order by doc_id, text_crc32, _size)")
-    return placed.select(
+    return found.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"),
         F.col("_shard").alias("shard"), (F.col("_first") + number - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("_old").alias("old_shard"))
 
@@ -218,16 +304,7 @@ def rewrite(docs: DataFrame, path: str, old_shards: int = OLD_SHARDS, new_shards
     are named `shard=`, with underscores after it while a column has that name. ``path`` is this plan's alone and is
     written over, so that a run that failed can be run again.
     """
-    full = tagged(docs, old, old_shards)
-    parts, places = plan(written(full.select("_old", "_block", "_size", "_mix"), "blocks"), old_shards, new_shards, capacity)
-    moved = part(full, parts).join(F.broadcast(places), ["_block", "_part"])
-    totals = moved.groupBy("_old", "_shard").agg(F.count("*").alias("n"), F.sum("_size").alias("b")).collect()
-    losing = sorted({r["_old"] for r in totals if r["_old"] != r["_shard"]})
-    write = moved.where((F.col("_old") != F.col("_shard")) | F.col("_old").isin(losing))
-    folder = "shard"
-    while folder.lower() in {c.lower() for c in docs.columns}:
-        folder += "_"
-    write.select("_row.*", F.col("_shard").alias(folder)).write.mode("overwrite").partitionBy(folder).parquet(path)
+    *_, totals, losing = land(docs, path, old_shards, new_shards, old, capacity)
     gains = {r["_shard"] for r in totals if r["_old"] != r["_shard"]}
     report = [(j, "rewrite" if j in losing else "append" if j in gains else "keep",
                sum(r["n"] for r in totals if r["_shard"] == j), sum(r["b"] for r in totals if r["_shard"] == j)) for j in range(max(old_shards, new_shards))]

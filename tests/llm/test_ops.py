@@ -396,6 +396,23 @@ def test_reshard_balances_and_keeps_copies(spark):
     assert sum(size.values()) - stay <= 1.02 * least
 
 
+def test_reshard_balances_large_groups(spark):
+    """Groups just too small to be split: three of them fill one old shard, or there are no small texts to level with."""
+    rows = [(i, f"group {i % 3} ".ljust(449), 0) for i in range(300)] + [(1000 + i, f"text {i} ".ljust(99), 1 + i % 5) for i in range(6650)]
+    got = reshard.reshard(spark.createDataFrame(rows, "doc_id long, text string, home int"), old="home").collect()
+    size, place = collections.Counter(), collections.defaultdict(set)
+    for r in got:
+        size[r.shard] += r.size
+        place[r.text_crc32].add(r.shard)
+    total = sum(size.values())
+    assert total == 300 * 450 + 6650 * 100 and max(size.values()) <= 1.02 * min(size[j] for j in range(8)) and all(len(s) == 1 for s in place.values())
+    blocks = [(f"group {i}", (0, 0, 0, 1, 2, 3, 4, 5, 5, 5)[i % 10], 400) for i in range(20)]
+    load = collections.Counter()
+    for key, j in reshard.assign(blocks, 6, [1000] * 8).items():
+        load[j] += 400
+    assert sorted(load.values()) == [800] * 4 + [1200] * 4
+
+
 def test_rewrite_touches_affected_shards_only(spark, docs, tmp_path):
     report = reshard.rewrite(docs, str(tmp_path / "new"), old_shards=6, new_shards=8)
     actions = {r.shard: r.action for r in report.collect()}
@@ -432,6 +449,38 @@ def test_given_shards_and_capacities(spark, docs, tmp_path):
         assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, mine.collect()), key=str)
 
 
+def test_reshard_rows_come_from_written_shards(spark, docs, tmp_path):
+    """Shard 0 gives up half and is written anew, shard 1 only gains, shard 2 stays: its rows are in no file."""
+    mine = docs.withColumn("home", F.when(F.col("doc_id") % 8 == 0, 2).when(F.col("doc_id") % 8 == 1, 1).otherwise(0))
+    held = {r.home: r.b for r in mine.groupBy("home").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()}
+    still = reshard.reshard(mine, 3, 3, old="home", capacity=[held[j] for j in range(3)], path=str(tmp_path / "still")).collect()
+    assert all(r.shard == r.old_shard for r in still) and not list((tmp_path / "still").glob("shard=*"))
+    half = held[0] // 2
+    got = reshard.reshard(mine, 3, 3, old="home", capacity=[half, held[1] + held[0] - half, held[2]], path=str(tmp_path / "new")).collect()
+    whole = {r.doc_id: tuple(r) for r in mine.collect()}
+    new = spark.read.parquet(str(tmp_path / "new"))
+    assert new.columns == [*mine.columns, "shard"] and all(tuple(r)[:-1] == whole[r.doc_id] for r in new.collect())
+    assert sorted((r.shard, r.doc_id) for r in new.collect()) == sorted((r.shard, r.doc_id) for r in got if r.shard == 0 or r.old_shard != r.shard)
+    assert sorted(r.doc_id for r in got) == sorted(whole) and {(r.old_shard, r.shard) for r in got} == {(0, 0), (0, 1), (1, 1), (2, 2)}
+    for shard in range(3):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    before = {r.doc_id: r.slot for r in still}
+    assert all(r.slot == before[r.doc_id] for r in got if r.shard == r.old_shard and r.shard > 0)  # kept rows keep their slots
+
+
+def test_query_reads_the_written_shards(spark, monkeypatch):
+    """All six old shards lose rows, so every row comes from the files: what stands there twice comes twice."""
+    def twice(docs, path, *rest):
+        out = land(docs, path, *rest)
+        spark.read.parquet(path).localCheckpoint().write.mode("append").partitionBy("shard").parquet(path)
+        return out
+
+    land, query = reshard.land, registry.QUERIES["op5_flow_resharding"]
+    once = collections.Counter(r[:3] for r in query(spark, SMALL).collect())
+    monkeypatch.setattr(reshard, "land", twice)
+    assert collections.Counter(r[:3] for r in query(spark, SMALL).collect()) == once + once
+
+
 def test_stages_keep_every_column(spark, docs):
     """Whole rows come through, also where columns have names that the operators use themselves."""
     names = ("_id", "_none", "_h", "_key", "_row", "key", "fp")
