@@ -1,5 +1,7 @@
 """What stays on disk and what is shuffled: files of ended jobs go, rows that belong together meet once."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from relink import lineage
@@ -12,6 +14,11 @@ def shuffle_files(spark) -> int:
     return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
 
 
+def exchanges(df) -> int:
+    """Shuffles of a plan; one that is read twice counts once."""
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))
+
+
 def test_a_cut_leaves_no_shuffle_files(spark):
     df = spark.range(1000).withColumn("k", F.col("id") % 7)
     for make in (lineage.cut, lineage.stored):
@@ -44,3 +51,18 @@ def test_new_keys_travel_as_bytes(spark):
     got = pa.new_keys(before, after, ["k"])
     assert sorted(tuple(r[c] for c in ("n", "k")) for r in got.collect()) == [(2, digest[1]), (3, digest[1]), (5, "X"), (6, None)]
     assert "unhex(k" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_greedy_pairing_shuffles_once(spark):
+    """Rows and keys meet once, and a chunk whose rows take any key comes to a join by rank, whatever its size."""
+    sent = spark.createDataFrame([("c", p, f"s{p}", None, " ") for p in range(5)] + [("d", p, f"u{p}", None, "") for p in range(2)], "c string, pos int, src string, case_id long, title string")
+    keys = [("c", 9 - o, f"t{o}", o, "x") for o in range(4)] + [("d", 1, "v", 1, "x"), ("d", 2, "v", 2, "x"), ("d", 3, "w", 3, "x")]
+    fresh = spark.createDataFrame(keys, "c string, at int, tgt string, case_id long, title string")
+    got = pa.pair_greedily(sent, fresh, ["c"], "pos", "src", "at", "tgt")
+    pairs = got.collect()
+    assert {r.source_key: r.target_key for r in pairs if r.c == "c"} == {"s0": "t3", "s1": "t2", "s2": "t1", "s3": "t0"}
+    assert [(r.source_key, r.target_key) for r in pairs if r.c == "d"] == [("u0", "v")]  # a key that comes twice is used once
+    assert exchanges(got) <= 2
+    both = pa._marked(sent.selectExpr("c", "0 as _side", "src as _key", "case_id as _case", "'' as _title").unionByName(
+        fresh.selectExpr("c", "1 as _side", "tgt as _key", "case_id as _case", "title as _title")), ["c"])
+    assert {(r.c, r._any_key) for r in both.collect()} == {("c", True), ("d", False)}
