@@ -113,20 +113,32 @@ def display_line(email, formatted, given, family, active) -> Column:
     )
 
 
-def result_title(own_titles, case, case_id, row_id, target_id, row_hash) -> Column:
-    """Own title aliases, else the nested case's title, else `Automated Test {key}` (fixed value)."""
-    def numbered(c):
-        return F.concat(F.lit("Automated Test "), col(c).try_cast("bigint").cast("string"))
+def _numbered(c) -> Column:
+    return F.concat(F.lit("Automated Test "), col(c).try_cast("bigint").cast("string"))
+
 
+def own_title(own_titles, case, case_id, row_id) -> Column:
+    """What `result_title` finds in the row itself; null when there is nothing."""
     return F.coalesce(
         first_non_blank(*own_titles),
         pick(case, "title", "Title", "name", "Name") if case is not None else F.lit(None).cast("string"),
-        numbered(case_id), numbered(row_id), numbered(target_id),
+        _numbered(case_id), _numbered(row_id))
+
+
+def titled(own, target_id, row_hash) -> Column:
+    """``own`` title (`own_title`), else `Automated Test {key}` (fixed value)."""
+    return F.coalesce(
+        col(own), _numbered(target_id),
         F.concat(F.lit("Automated Test "), F.left(non_blank(row_hash), F.lit(12))),
         F.lit("Automated Test"),
     )
 
 
+def result_title(own_titles, case, case_id, row_id, target_id, row_hash) -> Column:
+    """Own title aliases, else the nested case's title, else `Automated Test {key}` (fixed value)."""
+    return titled(own_title(own_titles, case, case_id, row_id), target_id, row_hash)
+
+
 def join_message(*parts) -> Column:
     """Non-empty parts joined by a blank line; null when nothing is left."""
     joined = F.concat_ws("\n\n", *[F.nullif(col(p), F.lit("")) for p in parts])

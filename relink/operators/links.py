@@ -11,8 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.shapes import col, none_of
-from ..functions.text import embedded_keys, normal_key, rewrite_keys
+from ..functions.shapes import col, let, none_of
+from ..functions.text import embedded_keys, normal_key, packed, rewrite_keys, unpacked
 from ..schemas import WORKSPACE
 from .crosswalk import slice_of
 from .ranking import first_per_key
@@ -39,17 +39,20 @@ def resolve_refs(
 
     arrays = [F.coalesce(tagged(e, k), none_of("array<struct<entity:string,scope:string,source_key:string>>")) for e, k in refs.items()]
     every = reduce(lambda a, b: F.concat(a, b), arrays)
-    kept = ["_r.entity", F.col("_r.scope").alias("_place"), "_r.source_key"]
+    # Keys travel as bytes, digests at half their length.
+    kept = ["_r.entity", F.col("_r.scope").alias("_place"), packed("_r.source_key").alias("_source")]
     sure = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in row_key if c != scope] or [F.lit(True)])
     slim = df.where(sure).select(*row_key, F.explode(every).alias("_r")).select(*row_key, *kept)
-    wanted = cw.where(F.col("entity").isin(*refs)).select("entity", F.col("scope").alias("_cw_scope"), "source_key", "target_key")
+    wanted = cw.where(F.col("entity").isin(*refs)).select(
+        "entity", F.col("scope").alias("_cw_scope"), packed("source_key").alias("_known"), packed("target_key").alias("_target"))
     hits = (slim.join(wanted, (slim["entity"] == wanted["entity"]) & slim["_place"].eqNullSafe(wanted["_cw_scope"])
-                      & (slim["source_key"] == wanted["source_key"]))
-            .select(*row_key, slim["entity"], slim["source_key"], "target_key"))
+                      & (slim["_source"] == wanted["_known"]))
+            .select(*row_key, slim["entity"], slim["_source"], "_target"))
     # A row's map holds at most the row's own distinct references; of several targets of one key the largest counts.
-    entries = F.array_sort(F.collect_list(F.struct(F.concat_ws(SEP, "entity", "source_key").alias("key"), "target_key")))
-    found = hits.groupBy(*row_key).agg(entries.alias("_e"))
-    last = F.filter("_e", lambda e, i: (i == F.size("_e") - 1) | (F.get("_e", i + 1)["key"] != e["key"]))
+    found = hits.groupBy(*row_key).agg(F.collect_list(F.struct("entity", "_source", "_target")).alias("_h"))
+    entries = F.array_sort(F.transform("_h", lambda h: F.struct(
+        F.concat_ws(SEP, h["entity"], unpacked(h["_source"])).alias("key"), unpacked(h["_target"]).alias("target_key"))))
+    last = let(entries, lambda es: F.filter(es, lambda e, i: (i == F.size(es) - 1) | (F.get(es, i + 1)["key"] != e["key"])))
     maps = found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(row_key)], F.map_from_entries(last).alias(out))
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) if c == scope else F.col(c) == F.col(f"_k{i}") for i, c in enumerate(row_key)]
     return df.join(maps, reduce(lambda a, b: a & b, on), "left").select(*df.columns, out)

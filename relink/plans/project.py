@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates, enums, shapes, text
 from ..functions.predicates import defect_resolved, has_all, run_finished
 from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, items, none_of
-from ..lineage import cut
+from ..lineage import cut, stored
 from ..operators import hierarchy, overlay as ov
 from ..operators.audit import rejects
 from ..operators.crosswalk import lookup, lookup_by_title, resume, titles_to_ids
@@ -403,57 +403,59 @@ def results(
 ) -> dict[str, DataFrame]:
     """Results ready to load, chunked per run, and their merged step table (`steps`, built when it is read).
 
-    The crosswalk holds case, attachment, user and author (uuid -> source user id) entries. The enriched rows are
-    written once to the shared folder: texts, steps and references are all read from there.
+    The crosswalk holds case, attachment, user and author (uuid -> source user id) entries. What a row says by itself is worked
+    out once and written to the shared folder with a number for the row; references are resolved by that number.
     """
     enriched = enrich_results(chunk_index(_by_hash(rows), [SCOPE, "run_id"], ["hash"], batch), details, case_rows)
-    ex = F.col("execution")
+    have, ex = enriched.columns, F.col("execution")
     media = text.media_keys(*MEDIA, *[F.try_variant_get(ex, f"$.{m}", "variant") for m in RUN_MEDIA])
     message = text.join_message("comment", "message", "text")
     params = shapes.first_params("params", "param", "parameters", *[
         F.try_variant_get(o, f"$.{p}", "variant") for o in ("execution", "case") for p in ("params", "param", "parameters")])
     groups = F.coalesce("param_groups", *[F.try_variant_get(o, "$.param_groups", "variant") for o in ("execution", "case")])
-    work = (enriched.withColumn("_message", message).withColumn("_media", media)
-            .withColumn("_params", params).withColumn("_groups", shapes.param_groups(groups))
-            .withColumn("_row_hash", F.col("hash")))
     chosen = F.coalesce(*[as_text(c).try_cast("bigint") for c in ("member_id", "author_id", "user_id", "created_by")])
-    work = lookup(work, cw, "author", "author_uuid", "_author")
-    in_texts = refs_in_text(["_message", "stacktrace"])
-    work = cut(work.withColumn("_uid", F.coalesce(F.col("_author").try_cast("bigint"), chosen)).withColumn("_in_texts", in_texts))
+    work = lookup(enriched.withColumn("_message", message), cw, "author", "author_uuid", "_author")
+    work = work.select(
+        SCOPE, "run_id", "hash", "_case_id", "_message", "stacktrace", "signature", "defect", "chunk", "pos",
+        media.alias("_media"), refs_in_text(["_message", "stacktrace"]).alias("_in_texts"), params.alias("_params"),
+        shapes.param_groups(groups).alias("_groups"), F.coalesce(F.col("_author").try_cast("bigint"), chosen).alias("_uid"),
+        text.own_title(
+            [c for c in ("title", "case_title", "caseTitle", "name") if c in have],
+            F.coalesce(*[F.when(is_object(c), F.col(c)) for c in ("case", "test_case", "TestCase") if c in have]),
+            F.coalesce(*[F.nullif(as_text(c), F.lit("")) for c in ("case_id", "CaseId", "test_case_id") if c in have]), "id").alias("_title"),
+        enums.run_execution_status(enums.result_status("status_id", "status")).alias("_status"),
+        enums.duration_ms([as_type(c, "bigint") for c in MS_FIELDS],
+                          [as_type(c, "bigint") for c in ("time", "duration")]).alias("duration_ms"),
+        *[(dates.wall_clock(c) if c in have else F.lit(None).cast("string")).alias(c) for c in ("start_time", "end_time")],
+        text.short_titles("_path").alias("suite_path"), as_text("case_id").alias("_case_text"),
+        F.when(F.col("hash").isNotNull(), F.monotonically_increasing_id()).alias("_row"))
+    work = stored(work, "results")
     refs = {
         "case": F.array(F.col("_case_id").cast("string")),
         "user": F.array(F.col("_uid").cast("string")),
         "attachment": F.concat("_media", "_in_texts"),
     }
-    done = resolve_refs(work, cw, [SCOPE, "hash"], refs, SCOPE, workspace=("user",), out="_m")
+    done = resolve_refs(work, cw, ["_row"], refs, SCOPE, workspace=("user",), out="_m")
     m = text_targets("_m", "attachment")
     done = done.withColumn("target_case_id", target_of("_m", "case", F.col("_case_id")).try_cast("bigint"))
-    row_id, signature = text.row_identity("_row_hash", "signature", "target_case_id", F.col("_params"))
+    row_id, signature = text.row_identity("hash", "signature", "target_case_id", F.col("_params"))
     author = F.when(F.coalesce("_uid", F.lit(0)) == 0, F.lit(default_user)).otherwise(
         F.coalesce(target_of("_m", "user", F.col("_uid")).try_cast("bigint"), F.lit(default_user)))
     stack = text.rewrite_keys("stacktrace", m, new_workspace)
     out = done.select(
         SCOPE, "run_id", "hash", "target_case_id",
-        text.result_title(
-            [c for c in ("title", "case_title", "caseTitle", "name") if c in done.columns],
-            F.coalesce(*[F.when(is_object(c), F.col(c)) for c in ("case", "test_case", "TestCase") if c in done.columns]),
-            F.coalesce(*[F.nullif(as_text(c), F.lit("")) for c in ("case_id", "CaseId", "test_case_id") if c in done.columns]),
-            "id", "target_case_id", "_row_hash").alias("title"),
-        enums.run_execution_status(enums.result_status("status_id", "status")).alias("status"),
-        enums.duration_ms([as_type(c, "bigint") for c in MS_FIELDS],
-                          [as_type(c, "bigint") for c in ("time", "duration")]).alias("duration_ms"),
+        text.titled("_title", "target_case_id", "hash").alias("title"),
+        F.col("_status").alias("status"), "duration_ms",
         F.when(F.trim(stack) != "", stack).alias("stacktrace"),
         text.rewrite_keys("_message", m, new_workspace).alias("message"),
         remap_list("_media", "_m", "attachment", distinct=True).alias("attachments"),
         F.col("_params").alias("params"), F.col("_groups").alias("param_groups"),
-        row_id.alias("id"), signature.alias("signature"), F.col("defect"),
-        *[(dates.wall_clock(c) if c in done.columns else F.lit(None).cast("string")).alias(c) for c in ("start_time", "end_time")],
-        text.short_titles("_path").alias("suite_path"),
-        F.when(F.col("target_case_id").isNull(), text.standalone_description(as_text("case_id"), "_row_hash")).alias("description"),
+        row_id.alias("id"), signature.alias("signature"), F.col("defect"), "start_time", "end_time", "suite_path",
+        F.when(F.col("target_case_id").isNull(), text.standalone_description("_case_text", "hash")).alias("description"),
         F.when(F.col("target_case_id").isNull(), author.cast("string")).alias("author"), "chunk", "pos")
     return Members({
         "payload": out,
-        **({"steps": lambda: result_steps(work, cw, new_workspace)} if with_steps else {}),
+        **({"steps": lambda: result_steps(enriched, cw, new_workspace)} if with_steps else {}),
         "rejects": rejects(out, "result_case", SCOPE, "hash", {"case not mapped": F.col("target_case_id").isNull()}),
     })
 

@@ -1,12 +1,15 @@
 """What stays on disk and what is shuffled: files of ended jobs go, rows that belong together meet once."""
 
+import glob
 import re
 
 from pyspark.sql import functions as F
 
 from relink import lineage
+from relink.catalog.base import entity_of
 from relink.functions import text as tx
-from relink.operators import pairing as pa
+from relink.operators import links as lk, pairing as pa
+from relink.plans import project as pj
 
 
 def shuffle_files(spark) -> int:
@@ -66,3 +69,40 @@ def test_greedy_pairing_shuffles_once(spark):
     both = pa._marked(sent.selectExpr("c", "0 as _side", "src as _key", "case_id as _case", "'' as _title").unionByName(
         fresh.selectExpr("c", "1 as _side", "tgt as _key", "case_id as _case", "title as _title")), ["c"])
     assert {(r.c, r._any_key) for r in both.collect()} == {("c", True), ("d", False)}
+
+
+def landed_results(spark):
+    """A row that comes twice, one without a hash, one whose steps and texts come from its detail and its case."""
+    base = spark.createDataFrame([(1, "h1", 5), (1, "h1", 5), (1, None, 5), (2, "0" * 31 + "a", 6)], "run long, h string, c long")
+    key = "a" * 32
+    rows = entity_of(base, "result", F.lit("P"), run_id="run", hash="h", case_id="c", status_id="1", comment=f"concat('see /attachment/{key}/ ', run)",
+                     member_id="7", steps="array(named_struct('action', concat('own', run)))", params="named_struct('n', run)")
+    details = entity_of(base.where("run = 2"), "result", F.lit("P"), hash="h", stacktrace="'at x'", steps="array(named_struct('action', 'a'), named_struct('action', 'b'))")
+    cases = entity_of(base.select("c").distinct(), "case", F.lit("P"), id="c", suite_title="'S'", steps="array(named_struct('action', 'x', 'steps', array(named_struct('action', 'y'))))")
+    cw = spark.createDataFrame([("case", "P", "5", "55"), ("user", "*", "7", "77"), ("attachment", "P", key, "b" * 32)], "entity string, scope string, source_key string, target_key string")
+    return rows, details, cases, cw
+
+
+def written_columns(spark, label: str) -> list[str]:
+    path = max(glob.glob(f"{lineage.run_path(spark).removeprefix('file:')}/{label}-*"), key=lambda p: spark._jvm.java.io.File(p).lastModified())
+    return spark.read.parquet(path).columns
+
+
+def test_results_write_what_is_sent_only(spark):
+    rows, details, cases, cw = landed_results(spark)
+    plan = pj.results(rows, details, cases, cw)
+    kept = written_columns(spark, "results")
+    assert not {"steps", "_steps", "_case_steps", "execution", "attachments", "params", "case"} & set(kept) and len(kept) < 30
+    got = sorted(((r.run_id, r.hash, r.target_case_id, r.title, r.author, r.message, r.stacktrace, r.attachments) for r in plan["payload"].collect()), key=str)
+    new, old = "see /attachment/" + "b" * 32 + "/ 1", "see /attachment/" + "a" * 32 + "/ 1"
+    assert got == sorted([(1, "h1", 55, "Automated Test 5", None, new, None, [])] * 2 + [(1, None, None, "Automated Test 5", "1", old, None, [])] + [
+        (2, "0" * 31 + "a", None, "Automated Test 6", "77", new[:-1] + "2", "at x", [])], key=str)
+
+
+def test_references_travel_as_bytes(spark):
+    digest = "0123456789abcdef" * 2
+    cw = spark.createDataFrame([("e", "*", digest, digest[::-1]), ("e", "*", digest, "zz"), ("e", "*", "AB", "x")], "entity string, scope string, source_key string, target_key string")
+    df = spark.createDataFrame([(1, [digest, "ab"]), (2, ["AB"]), (3, None)], "id int, ks array<string>")
+    got = lk.resolve_refs(df, cw, ["id"], {"e": F.col("ks")}, out="m")
+    assert {r.id: r.m for r in got.collect()} == {1: {f"e\u001f{digest}": "zz"}, 2: {"e\u001fAB": "x"}, 3: None}
+    assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
