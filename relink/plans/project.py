@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import dates, enums, shapes, text
 from ..functions.predicates import defect_resolved, has_all, run_finished
 from ..functions.shapes import as_text, as_type, first_truthy, get, is_array, is_object, items, none_of
-from ..lineage import cut, stored
+from ..lineage import stored
 from ..operators import hierarchy, overlay as ov
 from ..operators.audit import rejects
 from ..operators.crosswalk import lookup, lookup_by_title, resume, titles_to_ids
@@ -381,17 +381,18 @@ def enrich_results(rows: DataFrame, details: DataFrame | None, case_rows: DataFr
 
 def result_steps(enriched: DataFrame, cw: DataFrame, new_workspace: str | None = None) -> DataFrame:
     """Steps of results at every level, merged by position with the steps of their cases."""
-    key = [SCOPE, "hash"]
+    key = [SCOPE, "_hash"]
+    enriched = stored(enriched.select(SCOPE, text.packed("hash").alias("_hash"), F.col("status_id").alias("_ps"), "_steps", "_case_steps"), "enriched")
     own = ov.explode_steps(enriched, key, "_steps")
-    case_side = ov.explode_steps(enriched.withColumn("_ps", F.col("status_id")), [*key, "_ps"], "_case_steps")
+    case_side = ov.explode_steps(enriched, [*key, "_ps"], "_case_steps")
     merged = ov.zip_steps(own, case_side.withColumnRenamed("_ps", "parent_status"), key)
     comment = text.step_comment("actual", "comment")
     with_text = merged.withColumn("comment", comment).withColumn("_pk", F.array_join(F.col("path").cast("array<string>"), "."))
     refs = {"attachment": F.concat(refs_in_text(["comment"]), text.media_keys("attachments"))}
-    done = resolve_refs(cut(with_text), cw, [*key, "_pk"], refs, SCOPE, out="_m")
+    done = resolve_refs(stored(with_text, "steps"), cw, [*key, "_pk"], refs, SCOPE, out="_m")
     status = F.coalesce("status", "status_id")
     return done.select(
-        *key, "path", F.coalesce("action", F.lit(".")).alias("action"), "expected_result",
+        SCOPE, text.unpacked("_hash").alias("hash"), "path", F.coalesce("action", F.lit(".")).alias("action"), "expected_result",
         text.rewrite_keys("comment", text_targets("_m", "attachment"), new_workspace).alias("comment"),
         enums.step_status(status).alias("status"), "duration",
         remap_list(text.media_keys("attachments"), "_m", "attachment", distinct=True).alias("attachments"), "origin")

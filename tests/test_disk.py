@@ -99,6 +99,15 @@ def test_results_write_what_is_sent_only(spark):
         (2, "0" * 31 + "a", None, "Automated Test 6", "77", new[:-1] + "2", "at x", [])], key=str)
 
 
+def test_result_steps_write_two_slim_tables(spark):
+    rows, details, cases, cw = landed_results(spark)
+    got = pj.results(rows, details, cases, cw)["steps"]
+    assert written_columns(spark, "enriched") == ["project_code", "_hash", "_ps", "_steps", "_case_steps"]
+    mine = sorted((tuple(r.path), r.action, r.origin) for r in got.collect() if r.hash == "0" * 31 + "a")
+    assert mine == [((0,), "a", "result"), ((0, 0), "y", "synthetic"), ((1,), "b", "result")]
+    assert got.where("hash = 'h1' and size(path) = 1").count() == 4 and got.where("hash is null").count() == 3
+
+
 def test_references_travel_as_bytes(spark):
     digest = "0123456789abcdef" * 2
     cw = spark.createDataFrame([("e", "*", digest, digest[::-1]), ("e", "*", digest, "zz"), ("e", "*", "AB", "x")], "entity string, scope string, source_key string, target_key string")
