@@ -9,7 +9,7 @@ from relink import lineage
 from relink.catalog.base import entity_of
 from relink.functions import text as tx
 from relink.operators import links as lk, pairing as pa
-from relink.plans import project as pj
+from relink.plans import project as pj, whole
 
 
 def shuffle_files(spark) -> int:
@@ -115,3 +115,14 @@ def test_references_travel_as_bytes(spark):
     got = lk.resolve_refs(df, cw, ["id"], {"e": F.col("ks")}, out="m")
     assert {r.id: r.m for r in got.collect()} == {1: {f"e\u001f{digest}": "zz"}, 2: {"e\u001fAB": "x"}, 3: None}
     assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_project_plan_that_reads_no_steps_writes_none(spark):
+    rows, details, cases, cw = landed_results(spark)
+    tables = lambda: set(glob.glob(f"{lineage.run_path(spark).removeprefix('file:')}/*"))
+    before = tables()
+    plans = whole.project_entities({"result": rows, "result_detail": details, "result_case": cases, "case": cases}, cw)
+    got = whole.plan_summary({"result": rows}, {"result": plans["result"]}, contents={"result": ["hash", "target_case_id"]}).collect()
+    assert {(r.scope, r.entity, r.landed, r.planned) for r in got} == {("P", "result", 4, 4), ("P", "(all)", 4, 4), ("(all)", "(all)", 4, 4)}
+    made = {p.rsplit("/", 1)[1].split("-")[0] for p in tables() - before}
+    assert made == {"results"}
